@@ -95,13 +95,13 @@ def micros_literal(us: int, dtype: T.DataType) -> Column:
     pushed filter and prune row groups / partitions.
     """
     dt = datetime(1970, 1, 1) + timedelta(microseconds=us)
-    s = dt.strftime("%Y-%m-%d %H:%M:%S.%f")
+    s = f"{dt.year:04d}-{dt.month:02d}-{dt.day:02d} {dt.hour:02d}:{dt.minute:02d}:{dt.second:02d}.{dt.microsecond:06d}"
     if isinstance(dtype, T.TimestampNTZType):
         return F.expr(f"TIMESTAMP_NTZ'{s}'")
     if isinstance(dtype, T.TimestampType):
         return F.expr(f"TIMESTAMP'{s}+00:00'")
     if isinstance(dtype, T.DateType):
-        return F.expr(f"DATE'{dt.date().isoformat()}'")
+        return F.expr(f"DATE'{s[:10]}'")
     if isinstance(dtype, T.StringType):
         return F.lit(s)
     return F.lit(us)

@@ -10,6 +10,7 @@ from .frame import (  # noqa: F401
     event_timestamp_range,
     filter_time_range,
     filter_ttl,
+    join_left,
     keep_latest,
     rename_columns,
     select_columns,

@@ -84,6 +84,23 @@ def detect_event_timestamp_column(df: DataFrame, default: str = "event_timestamp
         f"(found timestamp columns {cands})")
 
 
+# ---------------------------------------------------------------------------
+# Left equi-join of the entity table with a frame
+
+
+def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left outer equi-join on ``keys`` (entity table on the left).
+
+    A non-key column present on both sides is an error (named), rather than
+    an ambiguous column or a silent suffix.  Physical strategy is left to
+    Spark: broadcast only when the right side's size is below the configured
+    limit (also re-decided by AQE at runtime), else a sort-merge join."""
+    clash = [c for c in right.columns if c in left.columns and c not in keys]
+    if clash:
+        raise ValueError(f"columns {clash} exist on both sides of the join; rename or drop them")
+    return left.join(right, list(keys), "left")
+
+
 # ---------------------------------------------------------------------------
 # Time predicates
 
@@ -233,7 +250,7 @@ def with_sort_position(df: DataFrame, order: Sequence[Column], pos_col: str = "p
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.shiftright(mid, 33).alias("__cf_pid"),
-                           F.bitwise_and(mid, F.lit((1 << 33) - 1)).alias("__cf_idx"))
+                           mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("__cf_idx"))
     counts = tagged.groupBy("__cf_pid").agg(F.count(F.lit(1)).alias("__cf_n"))
     w = Window.orderBy("__cf_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__cf_pid", F.coalesce(F.sum("__cf_n").over(w), F.lit(0)).alias("__cf_off"))

@@ -1,6 +1,6 @@
 """Execution plans: historical retrieval and materialization."""
 
-from .materialize import (  # noqa: F401
+from .snapshot import (  # noqa: F401
     get_online_features,
     materialize,
     merge_snapshots,
@@ -10,6 +10,7 @@ from .materialize import (  # noqa: F401
     view_latest,
 )
 from .retrieval import (  # noqa: F401
+    feature_projection,
     get_historical_features,
     prepare_entity_df,
     prepare_view_source,

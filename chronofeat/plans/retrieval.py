@@ -100,6 +100,26 @@ def prepare_view_source(spark: SparkSession, view: FeatureView, features: Sequen
     return df.select(*cols), bool(cr)
 
 
+def feature_projection(view: FeatureView, features: Sequence[str], full_feature_names: bool = False,
+                       spark: Optional[SparkSession] = None) -> DataFrame:
+    """The view's source as the join sees it: field mapping applied, entity
+    columns under their (key-mapped) names, the time column(s), then the
+    features under their output names."""
+    spark = spark or SparkSession.getActiveSession()
+    src = view.source
+    df = read_source(spark, src)
+    mapping = src.mapping
+    if mapping:
+        df = df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
+    key_map = view.key_map
+    ts, cr = src.timestamp_field, src.created_timestamp_column
+    cols = [F.col(k).alias(key_map.get(k, k)) for k in view.entities] + [F.col(ts)]
+    if cr:
+        cols.append(F.col(cr))
+    cols += [F.col(f).alias(output_feature_name(view, f, full_feature_names)) for f in features]
+    return df.select(*cols)
+
+
 def spine_time_bounds(spine: DataFrame, ts: str) -> Optional[Tuple[int, int]]:
     """(min, max) event time of the spine in epoch micros; one small job."""
     row = spine.agg(F.min(epoch_micros(ts, spine.schema[ts].dataType)).alias("lo"),

@@ -104,6 +104,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "app
                 partition_by: Optional[Iterable[str]] = None, **options) -> None:
     """Write a source table (Parquet, CSV, Delta, Iceberg-by-location)."""
     w = df.write.mode(mode)
+    if fmt == "csv":
+        # Spark's CSV default keeps milliseconds only; keep every microsecond
+        options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                   "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", **options}
     if partition_by:
         w = w.partitionBy(*partition_by)
     for k, v in options.items():

@@ -1,0 +1,76 @@
+"""Run every catalog query on Spark and its SQL oracle on DuckDB; compare.
+
+Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Prints one line per query: rows, columns and whether the values match
+(order-insensitive, floats to 1e-9 relative)."""
+
+import math
+import sys
+import time
+
+sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
+
+import duckdb  # noqa: E402
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from chronofeat.session import local_session  # noqa: E402
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def norm(v):
+    if v is None:
+        return (0, "")
+    if isinstance(v, float):
+        if math.isnan(v):
+            return (1, "nan")
+        return (2, round(v, 9))
+    if hasattr(v, "isoformat"):
+        s = v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
+        return (3, s.replace("+00:00", ""))
+    return (4, str(v))
+
+
+def rows_of(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted(tuple(norm(r[i]) for i in order) for r in rows)
+
+
+def main():
+    d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:]
+    spark = local_session(8)
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
+    qs, orc = queries(), oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if names and name not in names:
+            continue
+        t0 = time.time()
+        try:
+            df = fn(spark, d)
+            cols = df.columns
+            srows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # noqa: BLE001
+            print(f"{name:28s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
+            bad += 1
+            continue
+        dt = time.time() - t0
+        if name not in orc:
+            print(f"{name:28s} rows={len(srows)} (no oracle) {dt:.2f}s")
+            continue
+        res = con.execute(orc[name])
+        ocols = [c[0] for c in res.description]
+        orows = res.fetchall()
+        ok_cols = sorted(cols) == sorted(ocols)
+        ok = ok_cols and rows_of(cols, srows) == rows_of(ocols, orows)
+        bad += 0 if ok else 1
+        print(f"{name:28s} {'OK ' if ok else 'BAD'} rows={len(srows)}/{len(orows)} "
+              f"cols={'ok' if ok_cols else (cols, ocols)} {dt:.2f}s")
+    print("mismatches:", bad)
+
+
+if __name__ == "__main__":
+    main()
