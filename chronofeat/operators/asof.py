@@ -186,12 +186,19 @@ def _bucketed_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     t = F.col(T_COL)
     s_rows = src.select(*keys, T_COL, F.lit(0).alias(KIND), bucket_of(t, w).alias(BUCKET),
                         RANK, null_g.alias(GKEY), null_s.alias(SPAY))
-    e_rows = sp.select(*keys, T_COL, F.lit(1).alias(KIND), bucket_of(t, w).alias(BUCKET),
-                       null_rank.alias(RANK), GKEY, SPAY)
     lo = t - F.lit(ttl_us)
-    p_rows = sp.select(*keys, lo.alias(T_COL), F.lit(2).alias(KIND), bucket_of(lo, w).alias(BUCKET),
-                       null_rank.alias(RANK), GKEY, null_s.alias(SPAY))
-    u = s_rows.unionByName(e_rows).unionByName(p_rows)
+    # each spine row yields itself (kind 1, at t) and its probe (kind 2, at
+    # t - ttl) from one scan of the spine
+    pair = F.explode(F.array(
+        F.struct(t.alias(T_COL), F.lit(1).alias(KIND), bucket_of(t, w).alias(BUCKET),
+                 F.col(SPAY).alias(SPAY)),
+        F.struct(lo.alias(T_COL), F.lit(2).alias(KIND), bucket_of(lo, w).alias(BUCKET),
+                 null_s.alias(SPAY)))).alias("__cf_pair")
+    e_rows = sp.select(*keys, GKEY, pair).select(
+        *keys, F.col("__cf_pair")[T_COL].alias(T_COL), F.col("__cf_pair")[KIND].alias(KIND),
+        F.col("__cf_pair")[BUCKET].alias(BUCKET), null_rank.alias(RANK), GKEY,
+        F.col("__cf_pair")[SPAY].alias(SPAY))
+    u = s_rows.unionByName(e_rows)
     part = [*keys, BUCKET]
     # source rows sort before spine/probe rows at equal time: both bounds inclusive
     up = Window.partitionBy(*part).orderBy(t.asc(), F.col(KIND).asc()) \
