@@ -30,7 +30,8 @@ is a single row.
 
 from __future__ import annotations
 
-from typing import List, Optional, Sequence
+import math
+from typing import List, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,8 +88,8 @@ def _null_like(df: DataFrame, expr: Column) -> Column:
 def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
                        source: DataFrame, keys: Sequence[str], features: Sequence[str],
                        ttl_us: Optional[int], has_created: bool = False,
-                       strategy: str = "bucketed", bucket_width_us: Optional[int] = None,
-                       keep_unmatched: bool = False) -> DataFrame:
+                       strategy: str = "bucketed", bucket_width_us: Union[int, str, None] = "auto",
+                       keep_unmatched: bool = False, max_bucket_rows: int = 2_000_000) -> DataFrame:
     """As-of join one prepared source onto the spine.
 
     ``source`` must hold the key columns under the spine's key names, ``T_COL``
@@ -136,8 +137,11 @@ def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str]
         if keep_unmatched:
             cands = cands.unionByName(sp.where(~valid).select(GKEY, SPAY, null_rank.alias(BEST)))
     else:
-        cands = _bucketed_plan(sp_ok, src, keys, ttl_us, bucket_width_us or ttl_us, rank,
-                               null_rank, null_g, null_s)
+        if bucket_width_us == "auto":
+            w = auto_bucket_width(spine, spine_ts, src, keys, ttl_us, max_bucket_rows)
+        else:
+            w = min(int(bucket_width_us or ttl_us), ttl_us)
+        cands = _bucketed_plan(sp_ok, src, keys, ttl_us, w, rank, null_rank, null_g, null_s)
         if keep_unmatched:
             cands = cands.unionByName(sp.where(~valid).select(GKEY, SPAY, null_rank.alias(BEST)))
 
@@ -211,11 +215,75 @@ def _bucketed_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
         .select(GKEY, SPAY, BEST)
     if w == ttl_us:
         return edges
-    # whole buckets strictly inside (b(t - ttl), b(t)): at most ceil(ttl / w) - 1 per spine row
+    # whole buckets strictly inside (b(t - ttl), b(t)): covered by dyadic
+    # blocks (segment-tree decomposition), at most 2 per level, so a spine
+    # row joins O(log(ttl / w)) block maxima instead of ttl / w bucket maxima
+    levels = max(1, math.ceil(math.log2(math.ceil(ttl_us / w) + 1)))
+    first_b = bucket_of(lo, w) + F.lit(1)          # half-open [first_b, end_b)
+    end_b = bucket_of(t, w)
+    blocks = []
+    for j in range(levels + 1):
+        lj = F.shiftright(first_b + F.lit((1 << j) - 1), j)   # ceil(first_b / 2^j)
+        rj = F.shiftright(end_b, j)                           # floor(end_b / 2^j)
+        inside = lj < rj
+        blocks.append(F.when(inside & (F.pmod(lj, F.lit(2)) == 1),
+                             F.struct(F.lit(j).alias("lvl"), lj.alias("blk"))))
+        blocks.append(F.when(inside & (F.pmod(rj, F.lit(2)) == 1),
+                             F.struct(F.lit(j).alias("lvl"), (rj - F.lit(1)).alias("blk"))))
+    mids = sp.select(*keys, GKEY, F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("m")) \
+        .select(*keys, GKEY, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk"))
+    # block maxima: per-bucket maxima first (partial aggregate over the
+    # source), then every level from those small rows in one more aggregate
     per_bucket = src.groupBy(*keys, bucket_of(t, w).alias(BUCKET)).agg(rank.best(r).alias(BEST))
-    first_b = bucket_of(lo, w) + F.lit(1)
-    last_b = bucket_of(t, w) - F.lit(1)
-    mids = sp.select(*keys, GKEY, F.explode(F.when(first_b <= last_b, F.sequence(first_b, last_b)))
-                     .alias(BUCKET))
-    inner = mids.join(per_bucket, part).select(GKEY, null_s.alias(SPAY), BEST)
+    lv = F.explode(F.array(*[F.struct(F.lit(j).alias("lvl"), F.shiftright(F.col(BUCKET), j).alias("blk"))
+                             for j in range(levels + 1)])).alias("m")
+    per_block = per_bucket.select(*keys, BEST, lv) \
+        .groupBy(*keys, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk")) \
+        .agg(rank.best(F.col(BEST)).alias(BEST))
+    inner = mids.join(per_block, [*keys, "__cf_lvl", "__cf_blk"]).select(GKEY, null_s.alias(SPAY), BEST)
     return edges.unionByName(inner)
+
+
+def auto_bucket_widths(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
+                       max_bucket_rows: int) -> List[int]:
+    """Bucket width per view so that no (keys, bucket) window partition holds
+    more than about ``max_bucket_rows`` rows.
+
+    ``views`` is ``[(prepared_source, keys, ttl_us)]``.  One job for all
+    views: rows of both sides are counted per (view, hash of keys, TTL-wide
+    bucket) with partial counts on every task, and the largest count per
+    view comes back (one row per view).  A hot key holding a third of all
+    rows shows up here.  The width is ``ttl / 2^k`` for the smallest k that
+    brings that count under the budget, assuming rows spread in time inside
+    the bucket.  Hash collisions only over-count, i.e. err toward narrower
+    buckets."""
+    t = F.col(T_COL)
+    parts = []
+    for i, (src, keys, ttl_us) in enumerate(views):
+        h = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+        sp_t = epoch_micros(spine_ts, spine.schema[spine_ts].dataType)
+        for df, tcol in ((src, F.col(T_COL).cast("long")), (spine, sp_t)):
+            ok = tcol.isNotNull()
+            for k in keys:
+                ok = ok & F.col(k).isNotNull()
+            parts.append(df.where(ok).select(F.lit(i).alias("__cf_v"), h.alias("__cf_h"),
+                                             bucket_of(tcol, ttl_us).alias(BUCKET)))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    got = {r["__cf_v"]: int(r["m"] or 0) for r in
+           u.groupBy("__cf_v", "__cf_h", BUCKET).count().groupBy("__cf_v")
+           .agg(F.max("count").alias("m")).collect()}
+    out = []
+    for i, (_, _, ttl_us) in enumerate(views):
+        biggest, k = got.get(i, 0), 0
+        while biggest > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
+            k += 1
+        out.append(max(1, ttl_us >> k))
+    return out
+
+
+def auto_bucket_width(spine: DataFrame, spine_ts: str, source: DataFrame, keys: Sequence[str],
+                      ttl_us: int, max_bucket_rows: int) -> int:
+    """Single-view form of :func:`auto_bucket_widths`."""
+    return auto_bucket_widths(spine, spine_ts, [(source, list(keys), ttl_us)], max_bucket_rows)[0]

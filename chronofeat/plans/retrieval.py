@@ -26,7 +26,7 @@ from ..model import (
     OnDemandFeatureView,
     group_feature_refs,
 )
-from ..operators.asof import C_COL, T_COL, point_in_time_join
+from ..operators.asof import C_COL, T_COL, auto_bucket_widths, point_in_time_join
 from ..operators.frame import detect_event_timestamp_column
 from ..sources.readers import check_columns, read_source
 
@@ -134,7 +134,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                             on_demand_feature_views: Sequence[OnDemandFeatureView] = (),
                             spark: Optional[SparkSession] = None,
                             strategy: str = "bucketed",
-                            bucket_width=None,
+                            bucket_width="auto",
+                            max_bucket_rows: int = 2_000_000,
                             keep_unmatched: bool = False,
                             prune_by_spine_range: bool = True,
                             event_timestamp_column: Optional[str] = None) -> DataFrame:
@@ -183,17 +184,27 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     if prune_by_spine_range and any(t is not None for t in ttls):
         bounds = spine_time_bounds(spine, ets)
 
-    bw = ttl_micros(bucket_width) if bucket_width is not None else None
-    result = spine
+    bw = bucket_width if bucket_width in (None, "auto") else ttl_micros(bucket_width)
+    prepared = []
     for (view, feats, outs), ttl in zip(plan, ttls):
         vb = None
         if bounds is not None and ttl is not None:
             vb = (bounds[0] - ttl, bounds[1])
-        src, has_created = prepare_view_source(spark, view, feats, outs, vb)
+        prepared.append(prepare_view_source(spark, view, feats, outs, vb))
+    widths = [bw] * len(plan)
+    if strategy == "bucketed" and bw == "auto":
+        idx = [i for i, t in enumerate(ttls) if t is not None]
+        if idx:
+            got = auto_bucket_widths(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
+                                                  for i in idx], max_bucket_rows)
+            for i, w in zip(idx, got):
+                widths[i] = w
+    result = spine
+    for (view, feats, outs), ttl, (src, has_created), bw in zip(plan, ttls, prepared, widths):
         result = point_in_time_join(result, ets, group_key, src, view.join_keys, outs, ttl,
                                     has_created=has_created, strategy=strategy,
-                                    bucket_width_us=min(bw, ttl) if (bw and ttl) else None,
-                                    keep_unmatched=keep_unmatched)
+                                    bucket_width_us=bw, keep_unmatched=keep_unmatched,
+                                    max_bucket_rows=max_bucket_rows)
     for od in ods:
         result = apply_on_demand(result, od)
     return result

@@ -213,6 +213,24 @@ def test_multi_view_drops_carry_over(spark):
     assert rows(out) == [(1, T0, 1.0, 9.0)]
 
 
+def test_auto_width_splits_hot_key(spark):
+    """A key holding most rows gets narrower buckets; results unchanged."""
+    from chronofeat.operators.asof import auto_bucket_width, T_COL
+    base = datetime(2024, 1, 1)
+    src_rows = [(1, base + timedelta(seconds=7 * i), float(i)) for i in range(400)] + \
+        [(2, base + timedelta(hours=1), 5.0)]
+    src = spark.createDataFrame(src_rows, "id long, ts timestamp_ntz, f double")
+    sp = spark.createDataFrame([(1, base + timedelta(minutes=m)) for m in range(0, 50, 3)] + [(2, base + timedelta(hours=2))],
+                               "id long, event_timestamp timestamp_ntz")
+    ttl = timedelta(hours=1)
+    prepared = src.select("id", (F.unix_micros(F.col("ts").cast("timestamp"))).alias(T_COL))
+    w = auto_bucket_width(sp, "event_timestamp", prepared, ["id"], 3_600_000_000, 50)
+    assert w < 3_600_000_000 and 3_600_000_000 // w >= 8
+    base_rows = rows(get_historical_features(sp, [view(src, ttl)], ["v:f"], strategy="join"))
+    for mbr in (50, 7, 1):
+        assert rows(get_historical_features(sp, [view(src, ttl)], ["v:f"], max_bucket_rows=mbr)) == base_rows
+
+
 def test_unknown_strategy_and_bad_width(spark):
     sp = spine_at(spark, (1, T0))
     src = spark.createDataFrame([(1, T0, 1.0)], "id long, ts timestamp_ntz, f double")
@@ -249,8 +267,9 @@ def test_strategies_equal_brute_force(spark, seed, created):
     exp = brute_asof([(a, m(b)) for a, b in spine], [(a, m(b), m(c), f) for a, b, c, f in src],
                      ttl.total_seconds() * 1e6, created)
     exp_rows = sorted(((a, b, f) for (a, b), f in exp.items()), key=str)
-    widths = [None, timedelta(minutes=3), ttl / 3]
-    for kw in [dict(strategy="join")] + [dict(bucket_width=w) for w in widths]:
+    widths = [None, "auto", timedelta(minutes=3), ttl / 3, timedelta(seconds=7)]
+    kws = [dict(strategy="join"), dict(max_bucket_rows=4)] + [dict(bucket_width=w) for w in widths]
+    for kw in kws:
         got = get_historical_features(sp_df, [v], ["v:f"], **kw)
         got_rows = sorted(((r[0], us(r[1]), r[2]) for r in got.collect()), key=str)
         assert got_rows == exp_rows, kw
