@@ -25,3 +25,4 @@ from .plans import (  # noqa: F401
     pull_all_from_table_or_query,
     pull_latest_from_table_or_query,
 )
+from .store import FeatureStore  # noqa: F401,E402

@@ -176,7 +176,8 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[Union[s
     With no keys the whole frame collapses to one row (global aggregate with
     partial aggregation on every task)."""
     others = [c for c in df.columns if c not in keys]
-    tie = others if tie_break else []
+    named_order = {c for c in order_cols if isinstance(c, str)}
+    tie = [c for c in others if c not in named_order] if tie_break else []
     order = rank_fields(df, order_cols, tie)
     orderable = all(is_orderable(df.schema[c].dataType) for c in others)
     payload = [F.col(c) for c in others]

@@ -192,8 +192,13 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
             vb = (bounds[0] - ttl, bounds[1])
         prepared.append(prepare_view_source(spark, view, feats, outs, vb))
     widths = [bw] * len(plan)
+    for i, (view, _, _) in enumerate(plan):
+        # a Delta / Iceberg source's range-join bin size (seconds) is its bucket width
+        rj = getattr(view.source, "range_join", None)
+        if rj and bucket_width == "auto" and ttls[i] is not None:
+            widths[i] = min(ttl_micros(float(rj)), ttls[i])
     if strategy == "bucketed" and bw == "auto":
-        idx = [i for i, t in enumerate(ttls) if t is not None]
+        idx = [i for i, t in enumerate(ttls) if t is not None and widths[i] == "auto"]
         if idx:
             got = auto_bucket_widths(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
                                                   for i in idx], max_bucket_rows)

@@ -178,3 +178,40 @@ def test_incremental_stream_materialize(spark, tmp_path_str):
     incremental_materialize(spark, v, snap, checkpoint_location=ck).awaitTermination()
     assert rows(read_snapshot(spark, v, snap).select("k", "f")) == [(1, 5.0), (2, 2.0)]
     assert rows(spark.read.parquet(compact(spark, v, snap)).select("k", "f")) == [(1, 5.0), (2, 2.0)]
+
+
+def test_feature_store_facade(spark, tmp_path_str):
+    from chronofeat import FeatureStore
+    src = spark.createDataFrame([(1, T0, 1.0), (2, T0, 2.0), (1, T0 + timedelta(days=2), 3.0)],
+                                "entity_id long, datetime timestamp_ntz, f0 double")
+    src.write.parquet(tmp_path_str + "/s")
+    v = FeatureView(name="fv", entities=["entity_id"], ttl=timedelta(days=20), schema=["f0"],
+                    source=ParquetSource(path=tmp_path_str + "/s", timestamp_field="datetime"))
+    store = FeatureStore(spark, [v], snapshot_root=tmp_path_str + "/snaps")
+    sp = spark.createDataFrame([(1, T0 + timedelta(days=1))], "entity_id long, event_timestamp timestamp_ntz")
+    hist = store.get_historical_features(sp, ["fv:f0"], full_feature_names=True)
+    assert rows(hist) == [(1, T0 + timedelta(days=1), 1.0)]
+    store.materialize(T0, T0 + timedelta(days=1))
+    on = store.get_online_features(["fv:f0"], [{"entity_id": 1}, {"entity_id": 7}], full_feature_names=True)
+    assert rows(on) == [(1, 1.0), (7, None)]
+    store.materialize(T0 + timedelta(days=1), T0 + timedelta(days=5))
+    on = store.get_online_features(["fv:f0"], [{"entity_id": 1}, {"entity_id": 2}])
+    assert rows(on) == [(1, 3.0), (2, 2.0)]
+
+
+def test_range_join_bin_sets_bucket_width(spark, monkeypatch):
+    """A Delta source's range-join bin size (seconds) becomes the bucket width
+    (the reader is stubbed: no Delta connector here)."""
+    import chronofeat.operators.asof as asof
+    import chronofeat.plans.retrieval as retr
+    src = spark.createDataFrame([(1, T0, 1.0), (1, T0 + timedelta(hours=3), 2.0)],
+                                "entity_id long, datetime timestamp_ntz, f0 double")
+    monkeypatch.setattr(retr, "read_source", lambda spark_, source: src)
+    seen = []
+    real = asof._bucketed_plan
+    monkeypatch.setattr(asof, "_bucketed_plan", lambda *a: seen.append(a[4]) or real(*a))
+    v = FeatureView(name="fv", entities=["entity_id"], ttl=timedelta(days=1), schema=["f0"],
+                    source=DeltaSource(path="/unused", timestamp_field="datetime", range_join=3600))
+    sp = spark.createDataFrame([(1, T0 + timedelta(hours=5))], "entity_id long, event_timestamp timestamp_ntz")
+    assert rows(retr.get_historical_features(sp, [v], ["fv:f0"])) == [(1, T0 + timedelta(hours=5), 2.0)]
+    assert seen == [3_600_000_000]
