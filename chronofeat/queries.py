@@ -247,9 +247,9 @@ def q_stream_materialize(spark, d):
     landing = scratch_path(spark, "orders-landing")
     orders = table(spark, d, "orders")
     # two landings: the stream picks both up as micro-batches
-    write_table(orders.where(F.col("o_orderdate") < F.lit(datetime(1998, 1, 1))), landing, mode="append")
-    write_table(orders.where(~(F.col("o_orderdate") < F.lit(datetime(1998, 1, 1)))
-                             | F.col("o_orderdate").isNull()), landing, mode="append")
+    cut = F.col("o_orderdate") < F.expr("TIMESTAMP_NTZ'1998-01-01 00:00:00'")
+    write_table(orders.where(cut), landing, mode="append")
+    write_table(orders.where(~cut | F.col("o_orderdate").isNull()), landing, mode="append")
     v = FeatureView(name="cust_orders", entities=["o_custkey"], ttl=None, schema=["o_totalprice"],
                     source=ParquetSource(path=landing, timestamp_field="o_orderdate"))
     snap = scratch_path(spark, "orders-stream-snapshot")

@@ -75,8 +75,9 @@ class FeatureStore:
             km = view.key_map
             snap = snap.select(*[F.col(e).alias(km.get(e, e)) for e in view.entities],
                                *[F.col(f) for f in feats])
-            looked = get_online_features(snap, rows.select(*keys).distinct(), keys, feats)
-            looked = looked.select(*keys, *[F.col(f).alias(output_feature_name(view, f, full_feature_names))
-                                            for f in feats])
-            out = out.join(looked, keys, "left")
+            snap = snap.select(*keys, *[F.col(f).alias(output_feature_name(view, f, full_feature_names))
+                                        for f in feats])
+            # one row per key in a snapshot: the left join cannot fan out
+            out = get_online_features(snap, out, keys, [output_feature_name(view, f, full_feature_names)
+                                                         for f in feats])
         return out
