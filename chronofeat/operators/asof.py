@@ -55,23 +55,34 @@ STRATEGIES = ("bucketed", "join")
 class RankSpec:
     """How source rows are ranked and carried.
 
-    ``o`` holds created (if any), ts, then the orderable features (ties break
-    by features in request order, descending, NULL lowest); ``p`` holds all
-    features.  ``best`` is ``max`` on the whole struct when every feature is
-    orderable, else ``max_by(r, r.o)``."""
+    Order: created (if any), ts, then the orderable features in request
+    order (ties break by features, descending, NULL lowest).  When every
+    feature is orderable the ranking struct *is* the payload,
+    ``struct(created, ts, f1, f2, ...)``, and ``best`` is ``max``; otherwise
+    it is ``struct(o: ranking fields, p: all features)`` and ``best`` is
+    ``max_by(r, r.o)``."""
 
     def __init__(self, source: DataFrame, features: Sequence[str], has_created: bool):
         self.features = list(features)
         self.orderable = all(is_orderable(source.schema[f].dataType) for f in features)
         order = ([F.col(C_COL)] if has_created else []) + [F.col(T_COL)]
-        order += [F.col(f) for f in features if is_orderable(source.schema[f].dataType)]
-        o = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-        p = F.struct(*[F.col(f) for f in features]) if features else F.struct(F.lit(None).alias("_"))
-        self.expr = F.struct(o.alias("o"), p.alias("p"))
+        if self.orderable:
+            fields = order + [F.col(f) for f in features]
+            self.expr = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(fields)])
+            self._field = {f: f"r{len(order) + i}" for i, f in enumerate(features)}
+        else:
+            order += [F.col(f) for f in features if is_orderable(source.schema[f].dataType)]
+            o = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+            p = F.struct(*[F.col(f) for f in features])
+            self.expr = F.struct(o.alias("o"), p.alias("p"))
+            self._field = None
 
     def best(self, c: Column) -> Column:
         return F.max(c) if self.orderable else F.max_by(c, c["o"])
 
+    def feature(self, c: Column, name: str) -> Column:
+        return c[self._field[name]] if self._field is not None else c["p"][name]
+
 
 def _struct_or_null(cols: Sequence[str], df: DataFrame) -> Column:
     if not cols:
@@ -152,7 +163,7 @@ def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str]
     cols = []
     for c in spine_cols:
         cols.append((F.col(GKEY)[c] if c in group_key else F.col(SPAY)[c]).alias(c))
-    cols += [F.col(BEST)["p"][f].alias(f) for f in features]
+    cols += [rank.feature(F.col(BEST), f).alias(f) for f in features]
     return out.select(*cols)
 
 

@@ -273,3 +273,15 @@ def test_strategies_equal_brute_force(spark, seed, created):
         got = get_historical_features(sp_df, [v], ["v:f"], **kw)
         got_rows = sorted(((r[0], us(r[1]), r[2]) for r in got.collect()), key=str)
         assert got_rows == exp_rows, kw
+
+
+@pytest.mark.parametrize("kw", STRATS + [dict(bucket_width=timedelta(minutes=1))])
+def test_unorderable_feature_uses_max_by(spark, kw):
+    sp = spine_at(spark, (1, T0), (2, T0))
+    src = spark.createDataFrame([(1, T0 - timedelta(minutes=30), {"a": 1}, 1.0),
+                                 (1, T0 - timedelta(minutes=2), {"b": 2}, 2.0),
+                                 (2, T0 - timedelta(minutes=90), {"c": 3}, 3.0)],
+                                "id long, ts timestamp_ntz, m map<string,int>, f double")
+    out = get_historical_features(sp, [view(src, timedelta(hours=2), feats=("m", "f"))], ["v:m", "v:f"], **kw)
+    got = {r["id"]: (r["m"], r["f"]) for r in out.collect()}
+    assert got == {1: ({"b": 2}, 2.0), 2: ({"c": 3}, 3.0)}
