@@ -31,6 +31,7 @@ is a single row.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from typing import List, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,6 +49,7 @@ RANK = "__cf_r"       # struct(o: ranking fields, p: features)
 GKEY = "__cf_g"       # struct of the spine dedup key
 SPAY = "__cf_s"       # struct of the other spine columns
 BEST = "__cf_best"
+VIEW = "__cf_view"    # index of the view a source / probe row belongs to
 
 STRATEGIES = ("bucketed", "join")
 
@@ -96,38 +98,76 @@ def _null_like(df: DataFrame, expr: Column) -> Column:
     return F.lit(None).cast(dt)
 
 
+@dataclass
+class AsofView:
+    """One prepared source for :func:`point_in_time_join_many`.
+
+    ``source`` holds the key columns under the spine's key names, ``T_COL``
+    (and ``C_COL`` if ``has_created``) as epoch micros, and the features under
+    their output names.  ``width``: bucket width in micros, or ``"auto"``."""
+
+    source: DataFrame
+    features: List[str]
+    ttl_us: Optional[int]
+    has_created: bool = False
+    width: Union[int, str, None] = "auto"
+
+
 def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
                        source: DataFrame, keys: Sequence[str], features: Sequence[str],
                        ttl_us: Optional[int], has_created: bool = False,
                        strategy: str = "bucketed", bucket_width_us: Union[int, str, None] = "auto",
                        keep_unmatched: bool = False, max_bucket_rows: int = 2_000_000) -> DataFrame:
-    """As-of join one prepared source onto the spine.
-
-    ``source`` must hold the key columns under the spine's key names, ``T_COL``
-    (and ``C_COL`` if ``has_created``) as epoch micros, and the features under
-    their output names.  ``group_key`` (spine columns) identifies a spine row:
-    spine rows equal on it collapse to one.  Returns the spine columns in
-    their order followed by ``features``.
-    """
+    """As-of join one prepared source onto the spine (see :class:`AsofView`).
+
+    ``group_key`` (spine columns) identifies a spine row: spine rows equal on
+    it collapse to one.  Returns the spine columns in their order followed by
+    ``features``."""
+    view = AsofView(source, list(features), ttl_us, has_created, bucket_width_us)
+    return point_in_time_join_many(spine, spine_ts, group_key, keys, [view], strategy,
+                                   keep_unmatched, max_bucket_rows)
+
+
+def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
+                            keys: Sequence[str], views: Sequence[AsofView],
+                            strategy: str = "bucketed", keep_unmatched: bool = False,
+                            max_bucket_rows: int = 2_000_000) -> DataFrame:
+    """As-of join several views that share the same join keys, in one pass.
+
+    With the ``bucketed`` strategy and TTLs on all views, the views share one
+    shuffle on ``(keys, bucket)`` and one final aggregate: each view's source
+    rows carry that view's ranking column, each spine row yields one probe
+    per view.  Otherwise the views are joined one after the other.  A spine
+    row must match every TTL view (unless ``keep_unmatched``)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
+    views = list(views)
+    fusable = strategy == "bucketed" and all(v.ttl_us is not None for v in views)
+    if len(views) > 1 and not fusable:
+        out = spine
+        for v in views:
+            out = point_in_time_join_many(out, spine_ts, group_key, keys, [v], strategy,
+                                          keep_unmatched, max_bucket_rows)
+        return out
     keys = list(keys)
-    features = list(features)
     spine_cols = list(spine.columns)
     payload_cols = [c for c in spine_cols if c not in group_key]
     spine_orderable = all(is_orderable(spine.schema[c].dataType) for c in payload_cols)
 
-    # cast source keys to the spine key types so both sides partition alike
-    src = source.select(
-        *[F.col(k).cast(spine.schema[k].dataType).alias(k) for k in keys],
-        F.col(T_COL).cast("long").alias(T_COL),
-        *([F.col(C_COL).cast("long").alias(C_COL)] if has_created else []),
-        *[F.col(f) for f in features])
-    rank = RankSpec(src, features, has_created)
-    src = src.where(F.col(T_COL).isNotNull())
-    for k in keys:                                  # NULL keys never match
-        src = src.where(F.col(k).isNotNull())
-    src = src.select(*keys, T_COL, rank.expr.alias(RANK))
+    srcs, ranks = [], []
+    for i, v in enumerate(views):
+        # cast source keys to the spine key types so both sides partition alike
+        src = v.source.select(
+            *[F.col(k).cast(spine.schema[k].dataType).alias(k) for k in keys],
+            F.col(T_COL).cast("long").alias(T_COL),
+            *([F.col(C_COL).cast("long").alias(C_COL)] if v.has_created else []),
+            *[F.col(f) for f in v.features])
+        rank = RankSpec(src, v.features, v.has_created)
+        ok = F.col(T_COL).isNotNull()
+        for k in keys:                              # NULL keys never match
+            ok = ok & F.col(k).isNotNull()
+        srcs.append(src.where(ok).select(*keys, T_COL, rank.expr.alias(_r(i))))
+        ranks.append(rank)
 
     sp = spine.select(*[F.col(k) for k in keys],
                       epoch_micros(spine_ts, spine.schema[spine_ts].dataType).alias(T_COL),
@@ -137,98 +177,137 @@ def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str]
     for k in keys:
         valid = valid & F.col(k).isNotNull()
     sp_ok = sp.where(valid)
-    null_rank = _null_like(src, F.col(RANK))
-    null_g = _null_like(sp, F.col(GKEY))
+    null_r = [_null_like(srcs[i], F.col(_r(i))) for i in range(len(views))]
     null_s = _null_like(sp, F.col(SPAY))
+    bests = [_b(i) for i in range(len(views))]
 
-    if ttl_us is None:
-        cands = _no_ttl(sp, src, keys, rank)
+    v0 = views[0]
+    if v0.ttl_us is None:
+        cands = _no_ttl(sp, srcs[0], keys, ranks[0])
     elif strategy == "join":
-        cands = _join_plan(sp_ok, src, keys, ttl_us, rank, keep_unmatched)
-        if keep_unmatched:
-            cands = cands.unionByName(sp.where(~valid).select(GKEY, SPAY, null_rank.alias(BEST)))
+        cands = _join_plan(sp_ok, srcs[0], keys, v0.ttl_us, keep_unmatched)
     else:
-        if bucket_width_us == "auto":
-            w = auto_bucket_width(spine, spine_ts, src, keys, ttl_us, max_bucket_rows)
-        else:
-            w = min(int(bucket_width_us or ttl_us), ttl_us)
-        cands = _bucketed_plan(sp_ok, src, keys, ttl_us, w, rank, null_rank, null_g, null_s)
-        if keep_unmatched:
-            cands = cands.unionByName(sp.where(~valid).select(GKEY, SPAY, null_rank.alias(BEST)))
+        widths = [v.width for v in views]
+        auto = [i for i, wd in enumerate(widths) if wd == "auto"]
+        if auto:
+            got = auto_bucket_widths(spine, spine_ts, [(srcs[i], keys, views[i].ttl_us) for i in auto],
+                                     max_bucket_rows)
+            for i, wd in zip(auto, got):
+                widths[i] = wd
+        w = min(min(int(wd or v.ttl_us), v.ttl_us) for wd, v in zip(widths, views))
+        cands = _bucketed_plan(sp_ok, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s)
+    if keep_unmatched and v0.ttl_us is not None:
+        cands = cands.unionByName(sp.where(~valid).select(
+            GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))
 
     spay = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
-    out = cands.groupBy(GKEY).agg(rank.best(F.col(BEST)).alias(BEST), spay.alias(SPAY))
-    if ttl_us is not None and not keep_unmatched:
-        out = out.where(F.col(BEST).isNotNull())
-    cols = []
-    for c in spine_cols:
-        cols.append((F.col(GKEY)[c] if c in group_key else F.col(SPAY)[c]).alias(c))
-    cols += [rank.feature(F.col(BEST), f).alias(f) for f in features]
+    out = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)],
+                                  spay.alias(SPAY))
+    if v0.ttl_us is not None and not keep_unmatched:
+        for b in bests:
+            out = out.where(F.col(b).isNotNull())
+    cols = [(F.col(GKEY)[c] if c in group_key else F.col(SPAY)[c]).alias(c) for c in spine_cols]
+    for rk, b, v in zip(ranks, bests, views):
+        cols += [rk.feature(F.col(b), f).alias(f) for f in v.features]
     return out.select(*cols)
 
 
+def _r(i: int) -> str:
+    return f"{RANK}{i}"
+
+
+def _b(i: int) -> str:
+    return f"{BEST}{i}"
+
+
 def _no_ttl(sp: DataFrame, src: DataFrame, keys: List[str], rank: RankSpec) -> DataFrame:
     """Latest source row per key over all time (future rows included)."""
     if keys:
-        latest = src.groupBy(*keys).agg(rank.best(F.col(RANK)).alias(BEST))
+        latest = src.groupBy(*keys).agg(rank.best(F.col(_r(0))).alias(_b(0)))
         j = sp.join(latest, keys, "left")
     else:
         # a global aggregate is exactly one row: a proven broadcast bound
-        latest = src.agg(rank.best(F.col(RANK)).alias(BEST))
+        latest = src.agg(rank.best(F.col(_r(0))).alias(_b(0)))
         j = sp.crossJoin(F.broadcast(latest))
-    return j.select(GKEY, SPAY, BEST)
+    return j.select(GKEY, SPAY, _b(0))
 
 
 def _join_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
-               rank: RankSpec, keep_unmatched: bool) -> DataFrame:
+               keep_unmatched: bool) -> DataFrame:
     if not keys:
         raise ValueError("the 'join' strategy needs join keys; entityless views use 'bucketed'")
     r = src.select(*[F.col(k).alias(f"__cf_rk{i}") for i, k in enumerate(keys)],
-                   F.col(T_COL).alias("__cf_rt"), RANK)
+                   F.col(T_COL).alias("__cf_rt"), _r(0))
     cond = None
     for i, k in enumerate(keys):
         c = sp[k] == r[f"__cf_rk{i}"]
         cond = c if cond is None else cond & c
     cond = cond & (r["__cf_rt"] <= sp[T_COL]) & (r["__cf_rt"] >= sp[T_COL] - F.lit(ttl_us))
     j = sp.join(r, cond, "left" if keep_unmatched else "inner")
-    return j.select(GKEY, SPAY, F.col(RANK).alias(BEST))
+    return j.select(GKEY, SPAY, F.col(_r(0)).alias(_b(0)))
 
 
-def _bucketed_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, w: int,
-                   rank: RankSpec, null_rank: Column, null_g: Column, null_s: Column) -> DataFrame:
-    if w <= 0 or w > ttl_us:
-        raise ValueError("bucket width must be positive and not larger than the TTL")
+def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls: List[int], w: int,
+                   ranks: List[RankSpec], null_r: List[Column], null_s: Column) -> DataFrame:
+    if w <= 0 or any(w > ttl for ttl in ttls):
+        raise ValueError("bucket width must be positive and not larger than any TTL")
+    n = len(srcs)
     t = F.col(T_COL)
-    s_rows = src.select(*keys, T_COL, F.lit(0).alias(KIND), bucket_of(t, w).alias(BUCKET),
-                        RANK, null_g.alias(GKEY), null_s.alias(SPAY))
-    lo = t - F.lit(ttl_us)
-    # each spine row yields itself (kind 1, at t) and its probe (kind 2, at
-    # t - ttl) from one scan of the spine
-    pair = F.explode(F.array(
-        F.struct(t.alias(T_COL), F.lit(1).alias(KIND), bucket_of(t, w).alias(BUCKET),
-                 F.col(SPAY).alias(SPAY)),
-        F.struct(lo.alias(T_COL), F.lit(2).alias(KIND), bucket_of(lo, w).alias(BUCKET),
-                 null_s.alias(SPAY)))).alias("__cf_pair")
-    e_rows = sp.select(*keys, GKEY, pair).select(
-        *keys, F.col("__cf_pair")[T_COL].alias(T_COL), F.col("__cf_pair")[KIND].alias(KIND),
-        F.col("__cf_pair")[BUCKET].alias(BUCKET), null_rank.alias(RANK), GKEY,
-        F.col("__cf_pair")[SPAY].alias(SPAY))
-    u = s_rows.unionByName(e_rows)
+    null_g = _null_like(sp, F.col(GKEY))
+    parts = []
+    for i, src in enumerate(srcs):
+        parts.append(src.select(*keys, T_COL, F.lit(0).alias(KIND), F.lit(i).alias(VIEW),
+                                bucket_of(t, w).alias(BUCKET),
+                                *[(F.col(_r(j)) if j == i else null_r[j]).alias(_r(j)) for j in range(n)],
+                                null_g.alias(GKEY), null_s.alias(SPAY)))
+    # each spine row yields itself (kind 1, at t) and one probe per view
+    # (kind 2, at t - ttl), all from one scan of the spine
+    items = [F.struct(t.alias(T_COL), F.lit(1).alias(KIND), F.lit(-1).alias(VIEW),
+                      bucket_of(t, w).alias(BUCKET), F.col(SPAY).alias(SPAY))]
+    for i, ttl in enumerate(ttls):
+        lo = t - F.lit(ttl)
+        items.append(F.struct(lo.alias(T_COL), F.lit(2).alias(KIND), F.lit(i).alias(VIEW),
+                              bucket_of(lo, w).alias(BUCKET), null_s.alias(SPAY)))
+    pair = F.col("__cf_pair")
+    e_rows = sp.select(*keys, GKEY, F.explode(F.array(*items)).alias("__cf_pair")).select(
+        *keys, pair[T_COL].alias(T_COL), pair[KIND].alias(KIND), pair[VIEW].alias(VIEW),
+        pair[BUCKET].alias(BUCKET), *[null_r[j].alias(_r(j)) for j in range(n)], GKEY,
+        pair[SPAY].alias(SPAY))
+    u = parts[0]
+    for p in parts[1:] + [e_rows]:
+        u = u.unionByName(p)
     part = [*keys, BUCKET]
     # source rows sort before spine/probe rows at equal time: both bounds inclusive
     up = Window.partitionBy(*part).orderBy(t.asc(), F.col(KIND).asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     down = Window.partitionBy(*part).orderBy(t.desc(), F.col(KIND).asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = F.col(RANK)
-    best = F.when(F.col(KIND) == 1, rank.best(r).over(up)).otherwise(rank.best(r).over(down))
-    edges = u.select(KIND, GKEY, SPAY, best.alias(BEST)).where(F.col(KIND) > 0) \
-        .select(GKEY, SPAY, BEST)
-    if w == ttl_us:
-        return edges
-    # whole buckets strictly inside (b(t - ttl), b(t)): covered by dyadic
-    # blocks (segment-tree decomposition), at most 2 per level, so a spine
-    # row joins O(log(ttl / w)) block maxima instead of ttl / w bucket maxima
+    kind, view = F.col(KIND), F.col(VIEW)
+    best = [F.when(kind == 1, ranks[j].best(F.col(_r(j))).over(up))
+            .when((kind == 2) & (view == j), ranks[j].best(F.col(_r(j))).over(down)).alias(_b(j))
+            for j in range(n)]
+    out = u.select(KIND, GKEY, SPAY, *best).where(kind > 0).select(GKEY, SPAY, *[_b(j) for j in range(n)])
+    for i, (src, ttl) in enumerate(zip(srcs, ttls)):
+        if w < ttl:
+            inner = _middle_blocks(sp, src, keys, ttl, w, ranks[i], _r(i))
+            out = out.unionByName(inner.select(
+                GKEY, null_s.alias(SPAY),
+                *[(F.col(BEST) if j == i else null_r[j]).alias(_b(j)) for j in range(n)]))
+    return out
+
+
+def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, w: int,
+                   rank: RankSpec, rcol: str) -> DataFrame:
+    """Best source row of the whole buckets strictly inside (b(t - ttl), b(t)).
+
+    Those buckets are covered by dyadic blocks (segment-tree decomposition),
+    at most 2 per level, so a spine row joins O(log(ttl / w)) block maxima
+    instead of ttl / w bucket maxima.  Block maxima come from per-bucket
+    maxima (a partial aggregate over the source), then every level from those
+    small rows in one more aggregate."""
+    t = F.col(T_COL)
+    r = F.col(rcol)
+    lo = t - F.lit(ttl_us)
     levels = max(1, math.ceil(math.log2(math.ceil(ttl_us / w) + 1)))
     first_b = bucket_of(lo, w) + F.lit(1)          # half-open [first_b, end_b)
     end_b = bucket_of(t, w)
@@ -243,16 +322,13 @@ def _bucketed_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
                              F.struct(F.lit(j).alias("lvl"), (rj - F.lit(1)).alias("blk"))))
     mids = sp.select(*keys, GKEY, F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("m")) \
         .select(*keys, GKEY, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk"))
-    # block maxima: per-bucket maxima first (partial aggregate over the
-    # source), then every level from those small rows in one more aggregate
     per_bucket = src.groupBy(*keys, bucket_of(t, w).alias(BUCKET)).agg(rank.best(r).alias(BEST))
     lv = F.explode(F.array(*[F.struct(F.lit(j).alias("lvl"), F.shiftright(F.col(BUCKET), j).alias("blk"))
                              for j in range(levels + 1)])).alias("m")
     per_block = per_bucket.select(*keys, BEST, lv) \
         .groupBy(*keys, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk")) \
         .agg(rank.best(F.col(BEST)).alias(BEST))
-    inner = mids.join(per_block, [*keys, "__cf_lvl", "__cf_blk"]).select(GKEY, null_s.alias(SPAY), BEST)
-    return edges.unionByName(inner)
+    return mids.join(per_block, [*keys, "__cf_lvl", "__cf_blk"]).select(GKEY, BEST)
 
 
 def auto_bucket_widths(spine: DataFrame, spine_ts: str, views: Sequence[tuple],

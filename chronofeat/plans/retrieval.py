@@ -26,7 +26,7 @@ from ..model import (
     OnDemandFeatureView,
     group_feature_refs,
 )
-from ..operators.asof import C_COL, T_COL, auto_bucket_widths, point_in_time_join
+from ..operators.asof import C_COL, T_COL, AsofView, auto_bucket_widths, point_in_time_join_many
 from ..operators.frame import detect_event_timestamp_column
 from ..sources.readers import check_columns, read_source
 
@@ -204,12 +204,20 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                                                   for i in idx], max_bucket_rows)
             for i, w in zip(idx, got):
                 widths[i] = w
+    # views on the same join keys share one as-of pass (one shuffle on
+    # (keys, bucket), one spine aggregate); groups run one after another
+    groups: dict = {}
+    for i, (view, _, _) in enumerate(plan):
+        fuse = strategy == "bucketed" and ttls[i] is not None
+        gk = (tuple(view.join_keys), "ttl") if fuse else (tuple(view.join_keys), "single", i)
+        groups.setdefault(gk, []).append(i)
     result = spine
-    for (view, feats, outs), ttl, (src, has_created), bw in zip(plan, ttls, prepared, widths):
-        result = point_in_time_join(result, ets, group_key, src, view.join_keys, outs, ttl,
-                                    has_created=has_created, strategy=strategy,
-                                    bucket_width_us=bw, keep_unmatched=keep_unmatched,
-                                    max_bucket_rows=max_bucket_rows)
+    for gk, idx in groups.items():
+        avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i]) for i in idx]
+        result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategy,
+                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows)
+    feature_cols = [o for _, _, outs in plan for o in outs]
+    result = result.select(*spine.columns, *feature_cols)
     for od in ods:
         result = apply_on_demand(result, od)
     return result

@@ -285,3 +285,36 @@ def test_unorderable_feature_uses_max_by(spark, kw):
     out = get_historical_features(sp, [view(src, timedelta(hours=2), feats=("m", "f"))], ["v:m", "v:f"], **kw)
     got = {r["id"]: (r["m"], r["f"]) for r in out.collect()}
     assert got == {1: ({"b": 2}, 2.0), 2: ({"c": 3}, 3.0)}
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+@pytest.mark.parametrize("keep", [False, True])
+def test_fused_views_equal_brute_force(spark, seed, keep):
+    """Two views on the same key with different TTLs (one ranked by created)
+    share one pass; the result equals per-view brute force, intersected."""
+    rnd = random.Random(seed)
+    base = datetime(2024, 1, 1)
+
+    def t():
+        return base + timedelta(minutes=rnd.randrange(0, 400))
+
+    spine = [(rnd.randrange(0, 5), t()) for _ in range(50)]
+    a = [(rnd.randrange(0, 5), t(), None, float(rnd.randrange(0, 9))) for _ in range(150)]
+    b = [(rnd.randrange(0, 5), t(), t(), float(rnd.randrange(0, 9))) for _ in range(150)]
+    ttl_a, ttl_b = timedelta(minutes=25), timedelta(minutes=70)
+    sp_df = spark.createDataFrame(spine, "id long, event_timestamp timestamp_ntz")
+    a_df = spark.createDataFrame([(k, ts, f) for k, ts, _, f in a], "id long, ts timestamp_ntz, fa double")
+    b_df = spark.createDataFrame(b, "id long, ts timestamp_ntz, created timestamp_ntz, fb double")
+    va = view(a_df, ttl_a, feats=("fa",), name="a")
+    vb = view(b_df, ttl_b, created="created", feats=("fb",), name="b")
+    m = lambda x: None if x is None else us(x)
+    sp_us = [(k, m(x)) for k, x in spine]
+    ea = brute_asof(sp_us, [(k, m(x), None, f) for k, x, _, f in a], ttl_a.total_seconds() * 1e6, False, keep)
+    eb = brute_asof(sp_us, [(k, m(x), m(c), f) for k, x, c, f in b], ttl_b.total_seconds() * 1e6, True, keep)
+    exp = sorted(((k, tt, ea[(k, tt)], eb[(k, tt)]) for (k, tt) in set(sp_us) if (k, tt) in ea and (k, tt) in eb),
+                 key=str)
+    for kw in [dict(), dict(bucket_width=timedelta(minutes=4)), dict(max_bucket_rows=3), dict(strategy="join")]:
+        got = get_historical_features(sp_df, [va, vb], ["a:fa", "b:fb"], keep_unmatched=keep, **kw)
+        assert got.columns == ["id", "event_timestamp", "fa", "fb"]
+        got_rows = sorted(((r[0], us(r[1]), r[2], r[3]) for r in got.collect()), key=str)
+        assert got_rows == exp, kw
