@@ -226,9 +226,10 @@ def _no_ttl(sp: DataFrame, src: DataFrame, keys: List[str], rank: RankSpec) -> D
         latest = src.groupBy(*keys).agg(rank.best(F.col(_r(0))).alias(_b(0)))
         j = sp.join(latest, keys, "left")
     else:
-        # a global aggregate is exactly one row: a proven broadcast bound
+        # no keys: one best row overall, evaluated once as a scalar subquery
+        # (a global aggregate with partial aggregation on every task)
         latest = src.agg(rank.best(F.col(_r(0))).alias(_b(0)))
-        j = sp.crossJoin(F.broadcast(latest))
+        j = sp.select(GKEY, SPAY, latest.scalar().alias(_b(0)))
     return j.select(GKEY, SPAY, _b(0))
 
 

@@ -28,6 +28,7 @@ from ..model import (
 )
 from ..operators.asof import C_COL, T_COL, AsofView, auto_bucket_widths, point_in_time_join_many
 from ..operators.frame import detect_event_timestamp_column
+from ..session import shared_dir
 from ..sources.readers import check_columns, read_source
 
 
@@ -138,10 +139,15 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                             max_bucket_rows: int = 2_000_000,
                             keep_unmatched: bool = False,
                             prune_by_spine_range: bool = True,
-                            event_timestamp_column: Optional[str] = None) -> DataFrame:
+                            event_timestamp_column: Optional[str] = None,
+                            checkpoint_every: Optional[int] = None) -> DataFrame:
     """Training set: the spine plus, per requested feature, the value of the
     latest source row inside the view's TTL at each spine row's event time.
 
+    ``checkpoint_every=N`` checkpoints the running result (into
+    ``spark.checkpoint.dir``) after every N groups of views, which bounds
+    lineage and plan size for requests over many entities.
+
     Rules: created time outranks event time; ties break by the features in
     request order (descending, NULL lowest); NULL keys never match; spine
     rows equal on (all join keys of all views + event time) collapse to one;
@@ -212,10 +218,14 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         gk = (tuple(view.join_keys), "ttl") if fuse else (tuple(view.join_keys), "single", i)
         groups.setdefault(gk, []).append(i)
     result = spine
-    for gk, idx in groups.items():
+    for n, (gk, idx) in enumerate(groups.items(), start=1):
         avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i]) for i in idx]
         result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategy,
                                          keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows)
+        if checkpoint_every and n % checkpoint_every == 0 and n < len(groups):
+            # cut the lineage of long requests: written to spark.checkpoint.dir
+            shared_dir(spark)
+            result = result.checkpoint(eager=True)
     feature_cols = [o for _, _, outs in plan for o in outs]
     result = result.select(*spine.columns, *feature_cols)
     for od in ods:

@@ -130,6 +130,21 @@ def q_pit_entityless(spark, d):
     return get_historical_features(purchases(spark, d), [v], ["signups:g"])
 
 
+def q_pit_fused_views(spark, d):
+    """Two views on the same key with different TTLs, one ranked by a
+    created column: they share one as-of pass."""
+    v1 = activity_view(spark, d, "view", "act", ttl=timedelta(days=2), feature="f")
+    v2 = activity_view(spark, d, "click", "clk", ttl=timedelta(days=5), feature="g", created=True)
+    return get_historical_features(purchases(spark, d), [v1, v2], ["act:f", "clk:g"])
+
+
+def q_pit_entityless_no_ttl(spark, d):
+    src = events_of(spark, d, "signup")
+    v = FeatureView(name="signups", entities=[], ttl=None, schema=["g"],
+                    source=DataFrameSource(df=src, timestamp_field="ts", field_mapping={"value": "g"}))
+    return get_historical_features(purchases(spark, d), [v], ["signups:g"])
+
+
 def role_spine(spark: SparkSession, d: str) -> DataFrame:
     """Purchases with two roles: the buyer, and a referrer: the user id named
     in the event's properties."""
@@ -377,6 +392,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_no_ttl": q_pit_no_ttl,
     "pit_multi_view": q_pit_multi_view,
     "pit_entityless": q_pit_entityless,
+    "pit_entityless_no_ttl": q_pit_entityless_no_ttl,
+    "pit_fused_views": q_pit_fused_views,
     "pit_role_twice": q_pit_role_twice,
     "pit_mixed_sources": q_pit_mixed_sources,
     "ts_name_collision": q_ts_name_collision,
@@ -461,6 +478,16 @@ ORACLES: Dict[str, str] = {
         "e.user_id, e.event_timestamp order by v.ts desc, v.value desc) rn from e join events v on "
         "v.event_type = 'signup' and v.ts <= event_timestamp and v.ts >= event_timestamp - interval 2 day) "
         "where rn = 1"),
+    "pit_entityless_no_ttl": (
+        "select e.user_id, e.ts as event_timestamp, l.g from events e cross join (select value as g "
+        "from events where event_type = 'signup' order by ts desc nulls last, value desc nulls last limit 1) l "
+        "where e.event_type = 'purchase'"),
+    "pit_fused_views": (
+        "with a as (" + _PIT_TTL + ") select user_id, event_timestamp, f, g from (select a.*, v.value g, "
+        "row_number() over (partition by a.user_id, a.event_timestamp order by "
+        "v.ts + to_days(cast(v.event_id % 7 as int)) desc, v.ts desc, v.value desc) rn "
+        "from a join events v on a.user_id = v.user_id and v.event_type = 'click' and v.ts <= event_timestamp "
+        "and v.ts >= event_timestamp - interval 5 day) where rn = 1"),
     "pit_role_twice": (
         "with e as (select user_id buyer, cast(json_extract_string(props, '$.k') as bigint) referrer, "
         "ts event_timestamp from events where event_type = 'purchase'), "

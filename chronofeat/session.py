@@ -21,6 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
+                             "every executor can reach; a machine-local folder is not safe on a cluster")
         import tempfile
         d = tempfile.mkdtemp(prefix="chronofeat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

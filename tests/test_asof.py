@@ -318,3 +318,13 @@ def test_fused_views_equal_brute_force(spark, seed, keep):
         assert got.columns == ["id", "event_timestamp", "fa", "fb"]
         got_rows = sorted(((r[0], us(r[1]), r[2], r[3]) for r in got.collect()), key=str)
         assert got_rows == exp, kw
+
+
+def test_checkpoint_every_cuts_lineage(spark):
+    sp = spark.createDataFrame([(1, 2, T0)], "a long, b long, event_timestamp timestamp_ntz")
+    va = view(spark.createDataFrame([(1, T0, 1.0)], "a long, ts timestamp_ntz, fa double"),
+              entities=("a",), feats=("fa",), name="va")
+    vb = view(spark.createDataFrame([(2, T0, 2.0)], "b long, ts timestamp_ntz, fb double"),
+              entities=("b",), feats=("fb",), name="vb")
+    out = get_historical_features(sp, [va, vb], ["va:fa", "vb:fb"], checkpoint_every=1)
+    assert rows(out) == [(1, 2, T0, 1.0, 2.0)]
