@@ -111,6 +111,7 @@ class AsofView:
     ttl_us: Optional[int]
     has_created: bool = False
     width: Union[int, str, None] = "auto"
+    dedup_source: bool = False
 
 
 def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
@@ -131,23 +132,29 @@ def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str]
 def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
                             keys: Sequence[str], views: Sequence[AsofView],
                             strategy: str = "bucketed", keep_unmatched: bool = False,
-                            max_bucket_rows: int = 2_000_000) -> DataFrame:
+                            max_bucket_rows: int = 2_000_000, dedup_spine: bool = False) -> DataFrame:
     """As-of join several views that share the same join keys, in one pass.
 
     With the ``bucketed`` strategy and TTLs on all views, the views share one
     shuffle on ``(keys, bucket)`` and one final aggregate: each view's source
     rows carry that view's ranking column, each spine row yields one probe
     per view.  Otherwise the views are joined one after the other.  A spine
-    row must match every TTL view (unless ``keep_unmatched``)."""
+    row must match every TTL view (unless ``keep_unmatched``).
+
+    ``dedup_spine`` collapses spine rows equal on ``group_key`` before the
+    shuffle (an aggregate whose partial step merges copies on every task);
+    a view's ``dedup_source`` keeps only the best source row per (keys, time)
+    the same way.  Both are set from :func:`asof_plan_stats` when copies are
+    heavy; results are the same either way."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
     views = list(views)
     fusable = strategy == "bucketed" and all(v.ttl_us is not None for v in views)
     if len(views) > 1 and not fusable:
         out = spine
-        for v in views:
+        for n, v in enumerate(views):
             out = point_in_time_join_many(out, spine_ts, group_key, keys, [v], strategy,
-                                          keep_unmatched, max_bucket_rows)
+                                          keep_unmatched, max_bucket_rows, dedup_spine and n == 0)
         return out
     keys = list(keys)
     spine_cols = list(spine.columns)
@@ -166,13 +173,20 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
         ok = F.col(T_COL).isNotNull()
         for k in keys:                              # NULL keys never match
             ok = ok & F.col(k).isNotNull()
-        srcs.append(src.where(ok).select(*keys, T_COL, rank.expr.alias(_r(i))))
+        src = src.where(ok).select(*keys, T_COL, rank.expr.alias(_r(i)))
+        if v.dedup_source:
+            # only the best row per (keys, time) can ever win
+            src = src.groupBy(*keys, T_COL).agg(rank.best(F.col(_r(i))).alias(_r(i)))
+        srcs.append(src)
         ranks.append(rank)
 
     sp = spine.select(*[F.col(k) for k in keys],
                       epoch_micros(spine_ts, spine.schema[spine_ts].dataType).alias(T_COL),
                       _struct_or_null(group_key, spine).alias(GKEY),
                       _struct_or_null(payload_cols, spine).alias(SPAY))
+    if dedup_spine:
+        spay_pre = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
+        sp = sp.groupBy(*keys, T_COL, GKEY).agg(spay_pre.alias(SPAY))
     valid = F.col(T_COL).isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
@@ -332,45 +346,77 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     return mids.join(per_block, [*keys, "__cf_lvl", "__cf_blk"]).select(GKEY, BEST)
 
 
-def auto_bucket_widths(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
-                       max_bucket_rows: int) -> List[int]:
-    """Bucket width per view so that no (keys, bucket) window partition holds
-    more than about ``max_bucket_rows`` rows.
-
-    ``views`` is ``[(prepared_source, keys, ttl_us)]``.  One job for all
-    views: rows of both sides are counted per (view, hash of keys, TTL-wide
-    bucket) with partial counts on every task, and the largest count per
-    view comes back (one row per view).  A hot key holding a third of all
-    rows shows up here.  The width is ``ttl / 2^k`` for the smallest k that
-    brings that count under the budget, assuming rows spread in time inside
-    the bucket.  Hash collisions only over-count, i.e. err toward narrower
-    buckets."""
+@dataclass
+class AsofPlanStats:
+    """What one counting job found for a view: the bucket width to use, and
+    whether copies (rows equal on keys and time, which no time slicing can
+    split) are heavy on the source or spine side."""
+
+    width: int
+    source_copies: bool = False
+    spine_copies: bool = False
+
+
+def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
+                    max_bucket_rows: int) -> List[AsofPlanStats]:
+    """Size the as-of plan of every view from one job.
+
+    ``views`` is ``[(prepared_source, keys, ttl_us)]``.  Rows of both sides
+    are grouped per (view, hash of keys, TTL-wide bucket), with partial
+    aggregation on every task; per group the job counts rows and estimates
+    distinct times (HyperLogLog, fixed-size buffers) per side, and returns
+    per view the largest group and the largest excess of rows over distinct
+    times (one row per view).  A hot key holding a third of all rows shows
+    up in the first number and gets width ``ttl / 2^k``, the smallest k that
+    brings the group under ``max_bucket_rows`` (assuming rows spread in time
+    inside the bucket).  Heavy copies show up in the second: time slicing
+    cannot split them, so the plan collapses them first.  Hash collisions only
+    over-count, i.e. err toward narrower buckets."""
     t = F.col(T_COL)
     parts = []
     for i, (src, keys, ttl_us) in enumerate(views):
         h = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
         sp_t = epoch_micros(spine_ts, spine.schema[spine_ts].dataType)
-        for df, tcol in ((src, F.col(T_COL).cast("long")), (spine, sp_t)):
+        for side, (df, tcol) in enumerate(((src, F.col(T_COL).cast("long")), (spine, sp_t))):
             ok = tcol.isNotNull()
             for k in keys:
                 ok = ok & F.col(k).isNotNull()
-            parts.append(df.where(ok).select(F.lit(i).alias("__cf_v"), h.alias("__cf_h"),
+            parts.append(df.where(ok).select(F.lit(i).alias("__cf_v"), F.lit(side).alias("__cf_side"),
+                                             h.alias("__cf_h"), tcol.alias(T_COL),
                                              bucket_of(tcol, ttl_us).alias(BUCKET)))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    got = {r["__cf_v"]: int(r["m"] or 0) for r in
-           u.groupBy("__cf_v", "__cf_h", BUCKET).count().groupBy("__cf_v")
-           .agg(F.max("count").alias("m")).collect()}
+    side = F.col("__cf_side")
+    per_group = u.groupBy("__cf_v", "__cf_h", BUCKET).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(side == 0, 1)).alias("n0"),
+        F.approx_count_distinct(F.when(side == 0, t), 0.05).alias("d0"),
+        F.count(F.when(side == 1, 1)).alias("n1"),
+        F.approx_count_distinct(F.when(side == 1, t), 0.05).alias("d1"))
+    got = {r["__cf_v"]: r for r in per_group.groupBy("__cf_v").agg(
+        F.max("n").alias("n"), F.max(F.col("n0") - F.col("d0")).alias("x0"),
+        F.max(F.col("n1") - F.col("d1")).alias("x1")).collect()}
     out = []
     for i, (_, _, ttl_us) in enumerate(views):
-        biggest, k = got.get(i, 0), 0
+        r = got.get(i)
+        biggest = int(r["n"] or 0) if r is not None else 0
+        k = 0
         while biggest > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
             k += 1
-        out.append(max(1, ttl_us >> k))
+        out.append(AsofPlanStats(
+            width=max(1, ttl_us >> k),
+            source_copies=r is not None and int(r["x0"] or 0) > max_bucket_rows,
+            spine_copies=r is not None and int(r["x1"] or 0) > max_bucket_rows))
     return out
 
 
+def auto_bucket_widths(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
+                       max_bucket_rows: int) -> List[int]:
+    """Bucket widths of :func:`asof_plan_stats`."""
+    return [st.width for st in asof_plan_stats(spine, spine_ts, views, max_bucket_rows)]
+
+
 def auto_bucket_width(spine: DataFrame, spine_ts: str, source: DataFrame, keys: Sequence[str],
                       ttl_us: int, max_bucket_rows: int) -> int:
     """Single-view form of :func:`auto_bucket_widths`."""

@@ -26,7 +26,7 @@ from ..model import (
     OnDemandFeatureView,
     group_feature_refs,
 )
-from ..operators.asof import C_COL, T_COL, AsofView, auto_bucket_widths, point_in_time_join_many
+from ..operators.asof import C_COL, T_COL, AsofView, asof_plan_stats, point_in_time_join_many
 from ..operators.frame import detect_event_timestamp_column
 from ..session import shared_dir
 from ..sources.readers import check_columns, read_source
@@ -203,13 +203,18 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         rj = getattr(view.source, "range_join", None)
         if rj and bucket_width == "auto" and ttls[i] is not None:
             widths[i] = min(ttl_micros(float(rj)), ttls[i])
+    dedup_src = [False] * len(plan)
+    dedup_spine = False
     if strategy == "bucketed" and bw == "auto":
-        idx = [i for i, t in enumerate(ttls) if t is not None and widths[i] == "auto"]
+        idx = [i for i, t in enumerate(ttls) if t is not None]
         if idx:
-            got = auto_bucket_widths(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
-                                                  for i in idx], max_bucket_rows)
-            for i, w in zip(idx, got):
-                widths[i] = w
+            stats = asof_plan_stats(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
+                                                 for i in idx], max_bucket_rows)
+            for i, st in zip(idx, stats):
+                if widths[i] == "auto":
+                    widths[i] = st.width
+                dedup_src[i] = st.source_copies
+                dedup_spine = dedup_spine or st.spine_copies
     # views on the same join keys share one as-of pass (one shuffle on
     # (keys, bucket), one spine aggregate); groups run one after another
     groups: dict = {}
@@ -219,9 +224,11 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         groups.setdefault(gk, []).append(i)
     result = spine
     for n, (gk, idx) in enumerate(groups.items(), start=1):
-        avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i]) for i in idx]
+        avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i], dedup_src[i])
+               for i in idx]
         result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategy,
-                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows)
+                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
+                                         dedup_spine=dedup_spine and n == 1)
         if checkpoint_every and n % checkpoint_every == 0 and n < len(groups):
             # cut the lineage of long requests: written to spark.checkpoint.dir
             shared_dir(spark)

@@ -328,3 +328,20 @@ def test_checkpoint_every_cuts_lineage(spark):
               entities=("b",), feats=("fb",), name="vb")
     out = get_historical_features(sp, [va, vb], ["va:fa", "vb:fb"], checkpoint_every=1)
     assert rows(out) == [(1, 2, T0, 1.0, 2.0)]
+
+
+def test_heavy_copies_are_detected_and_collapsed(spark):
+    """Copies on (key, time) cannot be split by time slicing: the stats job
+    flags them, the plan collapses them first, results are unchanged."""
+    from chronofeat.operators.asof import asof_plan_stats, T_COL
+    t = datetime(2024, 1, 1, 12)
+    src = spark.createDataFrame([(1, t, float(i % 5)) for i in range(60)] + [(2, t, 9.0)],
+                                "id long, ts timestamp_ntz, f double")
+    sp = spark.createDataFrame([(1, t + timedelta(minutes=5))] * 40 + [(2, t)],
+                               "id long, event_timestamp timestamp_ntz")
+    prepared = src.select("id", F.unix_micros(F.col("ts").cast("timestamp")).alias(T_COL))
+    st = asof_plan_stats(sp, "event_timestamp", [(prepared, ["id"], 3_600_000_000)], 10)[0]
+    assert st.source_copies and st.spine_copies
+    exp = [(1, t + timedelta(minutes=5), 4.0), (2, t, 9.0)]
+    assert rows(get_historical_features(sp, [view(src, timedelta(hours=1))], ["v:f"], max_bucket_rows=10)) == exp
+    assert rows(get_historical_features(sp, [view(src, timedelta(hours=1))], ["v:f"])) == exp
