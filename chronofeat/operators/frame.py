@@ -88,17 +88,45 @@ def detect_event_timestamp_column(df: DataFrame, default: str = "event_timestamp
 # Left equi-join of the entity table with a frame
 
 
-def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
+              max_rows_per_key: Optional[int] = None) -> DataFrame:
     """Left outer equi-join on ``keys`` (entity table on the left).
 
     A non-key column present on both sides is an error (named), rather than
     an ambiguous column or a silent suffix.  Physical strategy is left to
     Spark: broadcast only when the right side's size is below the configured
-    limit (also re-decided by AQE at runtime), else a sort-merge join."""
+    limit (also re-decided by AQE at runtime), else a sort-merge join whose
+    skewed *left* partitions AQE splits.
+
+    AQE cannot split the right side of a left join.  With
+    ``max_rows_per_key=N`` right-side keys holding more than N rows are
+    salted: one aggregate counts rows per key and returns only the hot keys
+    (at most ``rows / N`` of them, a proven bound), each hot key's right rows
+    spread round-robin over ``ceil(count / N)`` salts, and
+    the matching left rows are replicated once per salt.  Other keys keep
+    salt 0.  The result is the same rows."""
     clash = [c for c in right.columns if c in left.columns and c not in keys]
     if clash:
         raise ValueError(f"columns {clash} exist on both sides of the join; rename or drop them")
-    return left.join(right, list(keys), "left")
+    keys = list(keys)
+    if not max_rows_per_key:
+        return left.join(right, keys, "left")
+    hot = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cf_n")) \
+        .where(F.col("__cf_n") > F.lit(max_rows_per_key)) \
+        .select(*keys, F.ceil(F.col("__cf_n") / F.lit(max_rows_per_key)).cast("int").alias("__cf_salts"))
+    hot_rows = hot.collect()
+    if not hot_rows:
+        return left.join(right, keys, "left")
+    hot_df = right.sparkSession.createDataFrame(hot_rows, hot.schema)
+    salts = F.coalesce(F.col("__cf_salts"), F.lit(1))
+    r = right.join(F.broadcast(hot_df), keys, "left").withColumn(
+        # round-robin inside each task: exact duplicate rows spread too
+        "__cf_salt", F.pmod(F.monotonically_increasing_id(), salts.cast("long")))
+    lft = left.join(F.broadcast(hot_df), keys, "left").withColumn(
+        "__cf_salt", F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long"))))
+    out = lft.drop("__cf_salts").join(r.drop("__cf_salts"), keys + ["__cf_salt"], "left")
+    return out.select(*[F.col(c) for c in left.columns],
+                      *[F.col(c) for c in right.columns if c not in keys])
 
 
 # ---------------------------------------------------------------------------

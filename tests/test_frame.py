@@ -106,3 +106,20 @@ def test_join_left_and_clash(spark):
     assert rows(ops.join_left(a, b, ["k"])) == [(1, "x", 5.0), (1, "x", 6.0), (2, "y", None)]
     with pytest.raises(ValueError, match="both sides"):
         ops.join_left(a, b.withColumn("a", F.lit(1)), ["k"])
+
+
+def test_join_left_salts_hot_right_keys(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z"), (None, "n")], "k long, a string")
+    b = spark.createDataFrame([(1, float(i)) for i in range(50)] + [(2, 7.0), (None, 1.0)], "k long, b double")
+    plain = sorted(map(tuple, ops.join_left(a, b, ["k"]).collect()), key=str)
+    salted = ops.join_left(a, b, ["k"], max_rows_per_key=8)
+    assert salted.columns == ["k", "a", "b"]
+    assert sorted(map(tuple, salted.collect()), key=str) == plain
+    assert len(plain) == 50 + 1 + 1 + 1
+
+
+def test_join_left_salting_spreads_exact_copies(spark):
+    a = spark.createDataFrame([(1, "x")], "k long, a string")
+    b = spark.createDataFrame([(1, 5.0)] * 40, "k long, b double").repartition(3)
+    out = ops.join_left(a, b, ["k"], max_rows_per_key=10)
+    assert out.count() == 40 and out.where("b = 5.0").count() == 40
