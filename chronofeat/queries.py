@@ -306,6 +306,13 @@ def q_join_left(spark, d):
     return ops.join_left(c, o, ["c_custkey"])
 
 
+def q_join_left_salted(spark, d):
+    """Same join with right-side keys over 8 orders salted."""
+    c = table(spark, d, "customer").select("c_custkey")
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return ops.join_left(c, o, ["c_custkey"], max_rows_per_key=8)
+
+
 def q_event_time_range(spark, d):
     return ops.event_timestamp_range(table(spark, d, "events"), "ts")
 
@@ -413,6 +420,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_ttl": q_filter_ttl,
     "filter_range": q_filter_range,
     "join_left": q_join_left,
+    "join_left_salted": q_join_left_salted,
     "event_time_range": q_event_time_range,
     "sort_rank": q_sort_rank,
     "rename_cols": q_rename_cols,
@@ -543,6 +551,8 @@ ORACLES: Dict[str, str] = {
     "filter_range": (
         "select event_id, ts from events where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-20'"),
     "join_left": "select c.c_custkey, o.o_orderkey from customer c left join orders o on c.c_custkey = o.o_custkey",
+    "join_left_salted": (
+        "select c.c_custkey, o.o_orderkey from customer c left join orders o on c.c_custkey = o.o_custkey"),
     "event_time_range": "select min(ts) min_ts, max(ts) max_ts from events",
     "sort_rank": (
         "select event_id, row_number() over (order by value asc nulls first, event_id asc) pos from events"),
