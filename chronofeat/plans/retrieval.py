@@ -89,8 +89,10 @@ def prepare_view_source(spark: SparkSession, view: FeatureView, features: Sequen
         if part and part in df.columns:
             pdt = df.schema[part].dataType
             day = F.to_date(F.col(part)) if not isinstance(pdt, T.DateType) else F.col(part)
-            lo_d = micros_literal(lo - lo % MICROS_PER_DAY, T.DateType())
-            hi_d = micros_literal(hi - hi % MICROS_PER_DAY, T.DateType())
+            # one spare day each side: a partition day in any time zone
+            # (offsets are under 24 h) still holds every row of the range
+            lo_d = micros_literal(lo - lo % MICROS_PER_DAY - MICROS_PER_DAY, T.DateType())
+            hi_d = micros_literal(hi - hi % MICROS_PER_DAY + MICROS_PER_DAY, T.DateType())
             df = df.where((day >= lo_d) & (day <= hi_d))
     key_map = view.key_map
     cols = [F.col(k).alias(key_map.get(k, k)) for k in view.entities]

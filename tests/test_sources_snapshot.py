@@ -215,3 +215,16 @@ def test_range_join_bin_sets_bucket_width(spark, monkeypatch):
     sp = spark.createDataFrame([(1, T0 + timedelta(hours=5))], "entity_id long, event_timestamp timestamp_ntz")
     assert rows(retr.get_historical_features(sp, [v], ["fv:f0"])) == [(1, T0 + timedelta(hours=5), 2.0)]
     assert seen == [3_600_000_000]
+
+
+def test_date_partition_pruning_tolerates_local_day_partitions(spark, tmp_path_str):
+    """Partitions named by a local (UTC-5) day: a row at 02:00 UTC sits in the
+    previous day's partition and must still be found."""
+    rows_ = [(1, datetime(2021, 10, 5, 2, 0), 7.0, datetime(2021, 10, 4).date())]
+    df = spark.createDataFrame(rows_, "entity_id long, datetime timestamp_ntz, f double, day date")
+    df.write.partitionBy("day").parquet(tmp_path_str + "/local")
+    v = FeatureView(name="v", entities=["entity_id"], ttl=timedelta(hours=2), schema=["f"],
+                    source=ParquetSource(path=tmp_path_str + "/local", timestamp_field="datetime",
+                                         date_partition_column="day"))
+    sp = spark.createDataFrame([(1, datetime(2021, 10, 5, 3, 0))], "entity_id long, event_timestamp timestamp_ntz")
+    assert [r["f"] for r in get_historical_features(sp, [v], ["v:f"]).collect()] == [7.0]
