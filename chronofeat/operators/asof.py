@@ -1,4 +1,4 @@
-"""Point-in-time (as-of) join of one feature source onto a spine.
+"""Point-in-time (as-of) join of feature sources onto a spine.
 
 For every spine row ``(keys, t)`` pick the source row with the same keys and
 ``t - ttl <= ts <= t`` that ranks highest by ``(created, ts, features...)``
@@ -11,13 +11,15 @@ Strategies (one result, different plans):
     ``[t - ttl, t]`` is then (a) a *prefix* of bucket ``b(t)``: rows with
     ``ts <= t``; (b) a *suffix* of bucket ``b(t - ttl)``: rows with
     ``ts >= t - ttl``; (c) the whole buckets strictly between (none when
-    ``w == ttl``).  Source rows, spine rows and "probe" rows at ``t - ttl``
-    are unioned and one shuffle on ``(keys, bucket)`` feeds two running-max
-    windows (ascending for prefixes, descending for suffixes); (c) joins
-    per-bucket maxima (a partial aggregate).  A final aggregate on the spine
+    ``w == ttl``).  Source rows, spine rows and one "probe" row at
+    ``t - ttl`` per spine row and view are unioned; one shuffle on
+    ``(keys, bucket)`` feeds two running-max windows (ascending for
+    prefixes, descending for suffixes); (c) joins maxima of dyadic blocks of
+    buckets, O(log(ttl / w)) per spine row.  A final aggregate on the spine
     key keeps the best candidate.  Work is linear in rows: no pairs are
-    formed, and a hot key is split into as many tasks as it has buckets
-    (shrink ``w`` to split it further).
+    formed.  Views on the same keys share the pass.  :func:`asof_plan_stats`
+    sizes ``w`` so that a hot key is cut into enough time slices, and
+    detects heavy copies (equal keys and time), which are collapsed first.
 ``join``
     Equi-join on the keys with the TTL range in the join condition, then
     keep the best row per spine row.  Forms every (spine, source) pair of a
@@ -25,7 +27,7 @@ Strategies (one result, different plans):
 
 No TTL: the source is first reduced to its best row per key (partial
 aggregate), then left-joined: no fan-out.  Without keys the reduced source
-is a single row.
+is a single row, attached as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -45,10 +47,10 @@ T_COL = "__cf_t"      # epoch micros of the source ts / spine event ts
 C_COL = "__cf_c"      # epoch micros of the source created ts
 KIND = "__cf_kind"    # 0 source, 1 spine, 2 probe at t - ttl
 BUCKET = "__cf_b"
-RANK = "__cf_r"       # struct(o: ranking fields, p: features)
+RANK = "__cf_r"       # ranking struct of a source row (see RankSpec), one per view
 GKEY = "__cf_g"       # struct of the spine dedup key
 SPAY = "__cf_s"       # struct of the other spine columns
-BEST = "__cf_best"
+BEST = "__cf_best"    # best ranking struct found for a spine row, one per view
 VIEW = "__cf_view"    # index of the view a source / probe row belongs to
 
 STRATEGIES = ("bucketed", "join")
@@ -86,7 +88,7 @@ class RankSpec:
         return c[self._field[name]] if self._field is not None else c["p"][name]
 
 
-def _struct_or_null(cols: Sequence[str], df: DataFrame) -> Column:
+def _struct_or_null(cols: Sequence[str]) -> Column:
     if not cols:
         return F.lit(None).cast("struct<_:int>")
     return F.struct(*[F.col(c) for c in cols])
@@ -182,8 +184,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
 
     sp = spine.select(*[F.col(k) for k in keys],
                       epoch_micros(spine_ts, spine.schema[spine_ts].dataType).alias(T_COL),
-                      _struct_or_null(group_key, spine).alias(GKEY),
-                      _struct_or_null(payload_cols, spine).alias(SPAY))
+                      _struct_or_null(group_key).alias(GKEY),
+                      _struct_or_null(payload_cols).alias(SPAY))
     if dedup_spine:
         spay_pre = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
         sp = sp.groupBy(*keys, T_COL, GKEY).agg(spay_pre.alias(SPAY))
@@ -359,19 +361,19 @@ class AsofPlanStats:
 
 def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
                     max_bucket_rows: int) -> List[AsofPlanStats]:
-    """Size the as-of plan of every view from one job.
-
-    ``views`` is ``[(prepared_source, keys, ttl_us)]``.  Rows of both sides
-    are grouped per (view, hash of keys, TTL-wide bucket), with partial
-    aggregation on every task; per group the job counts rows and estimates
-    distinct times (HyperLogLog, fixed-size buffers) per side, and returns
-    per view the largest group and the largest excess of rows over distinct
-    times (one row per view).  A hot key holding a third of all rows shows
-    up in the first number and gets width ``ttl / 2^k``, the smallest k that
-    brings the group under ``max_bucket_rows`` (assuming rows spread in time
-    inside the bucket).  Heavy copies show up in the second: time slicing
-    cannot split them, so the plan collapses them first.  Hash collisions only
-    over-count, i.e. err toward narrower buckets."""
+    """Size the as-of plan of every view.
+
+    ``views`` is ``[(prepared_source, keys, ttl_us)]``.  Job 1 counts rows of
+    both sides per (view, hash of keys, TTL-wide bucket), with partial counts
+    on every task, and returns only the *hot* groups, those above
+    ``max_bucket_rows`` (at most rows / max_bucket_rows of them: a proven
+    bound).  A hot key holding a third of all rows is one of them; its view
+    gets width ``ttl / 2^k``, the smallest k that brings the group under the
+    budget (assuming rows spread in time inside the bucket).  Copies (equal
+    keys and time) cannot be split by time, so job 2, run only when hot
+    groups exist and only over their rows, finds the largest set of copies
+    per view and side; above the budget the plan collapses them first.  Hash
+    collisions only over-count, i.e. err toward narrower buckets."""
     t = F.col(T_COL)
     parts = []
     for i, (src, keys, ttl_us) in enumerate(views):
@@ -387,27 +389,28 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    side = F.col("__cf_side")
-    per_group = u.groupBy("__cf_v", "__cf_h", BUCKET).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(side == 0, 1)).alias("n0"),
-        F.approx_count_distinct(F.when(side == 0, t), 0.05).alias("d0"),
-        F.count(F.when(side == 1, 1)).alias("n1"),
-        F.approx_count_distinct(F.when(side == 1, t), 0.05).alias("d1"))
-    got = {r["__cf_v"]: r for r in per_group.groupBy("__cf_v").agg(
-        F.max("n").alias("n"), F.max(F.col("n0") - F.col("d0")).alias("x0"),
-        F.max(F.col("n1") - F.col("d1")).alias("x1")).collect()}
+    grp = ["__cf_v", "__cf_h", BUCKET]
+    hot = u.groupBy(*grp).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.lit(max_bucket_rows))
+    hot_rows = hot.collect()
+    biggest: dict = {}
+    for r in hot_rows:
+        biggest[r["__cf_v"]] = max(biggest.get(r["__cf_v"], 0), int(r["n"]))
+    copies: dict = {}
+    if hot_rows:
+        hot_df = spine.sparkSession.createDataFrame([(r["__cf_v"], r["__cf_h"], r[BUCKET]) for r in hot_rows],
+                                                    f"__cf_v int, __cf_h long, {BUCKET} long")
+        in_hot = u.join(F.broadcast(hot_df), grp)
+        for r in in_hot.groupBy("__cf_v", "__cf_side", "__cf_h", T_COL).agg(F.count(F.lit(1)).alias("n")) \
+                .groupBy("__cf_v", "__cf_side").agg(F.max("n").alias("n")).collect():
+            copies[(r["__cf_v"], r["__cf_side"])] = int(r["n"])
     out = []
     for i, (_, _, ttl_us) in enumerate(views):
-        r = got.get(i)
-        biggest = int(r["n"] or 0) if r is not None else 0
-        k = 0
-        while biggest > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
+        n, k = biggest.get(i, 0), 0
+        while n > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
             k += 1
-        out.append(AsofPlanStats(
-            width=max(1, ttl_us >> k),
-            source_copies=r is not None and int(r["x0"] or 0) > max_bucket_rows,
-            spine_copies=r is not None and int(r["x1"] or 0) > max_bucket_rows))
+        out.append(AsofPlanStats(width=max(1, ttl_us >> k),
+                                 source_copies=copies.get((i, 0), 0) > max_bucket_rows,
+                                 spine_copies=copies.get((i, 1), 0) > max_bucket_rows))
     return out
 
 
