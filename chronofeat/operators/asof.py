@@ -350,13 +350,20 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
 
 @dataclass
 class AsofPlanStats:
-    """What one counting job found for a view: the bucket width to use, and
-    whether copies (rows equal on keys and time, which no time slicing can
-    split) are heavy on the source or spine side."""
+    """What the stats job found for a view: the bucket width to use, whether
+    copies (rows equal on keys and time, which no time slicing can split) are
+    heavy on the source or spine side, and an upper bound on the (spine,
+    source) pairs the ``join`` strategy would form, next to the row total."""
 
     width: int
     source_copies: bool = False
     spine_copies: bool = False
+    pairs: int = 0
+    rows: int = 0
+
+    def join_is_bounded(self, factor: int = 4) -> bool:
+        """The ``join`` plan forms at most ``factor`` pairs per input row."""
+        return self.pairs <= factor * max(self.rows, 1)
 
 
 def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
@@ -364,16 +371,19 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     """Size the as-of plan of every view.
 
     ``views`` is ``[(prepared_source, keys, ttl_us)]``.  Job 1 counts rows of
-    both sides per (view, hash of keys, TTL-wide bucket), with partial counts
-    on every task, and returns only the *hot* groups, those above
-    ``max_bucket_rows`` (at most rows / max_bucket_rows of them: a proven
-    bound).  A hot key holding a third of all rows is one of them; its view
-    gets width ``ttl / 2^k``, the smallest k that brings the group under the
-    budget (assuming rows spread in time inside the bucket).  Copies (equal
-    keys and time) cannot be split by time, so job 2, run only when hot
-    groups exist and only over their rows, finds the largest set of copies
-    per view and side; above the budget the plan collapses them first.  Hash
-    collisions only over-count, i.e. err toward narrower buckets."""
+    both sides per (view, hash of keys, TTL-wide bucket) with partial counts
+    on every task.  Per view it returns one row: the row total, an upper
+    bound on join pairs (spine rows of a bucket times source rows of that
+    bucket and the one before, which hold every row of any TTL window ending
+    in it), and the *hot* groups, those above ``max_bucket_rows`` (at most
+    rows / max_bucket_rows of them: a proven bound).  A hot key holding a
+    third of all rows is one of them; its view gets width ``ttl / 2^k``, the
+    smallest k that brings the group under the budget (assuming rows spread
+    in time inside the bucket).  Copies (equal keys and time) cannot be split
+    by time, so job 2, run only when hot groups exist and only over their
+    rows, finds the largest set of copies per view and side; above the
+    budget the plan collapses them first.  Hash collisions only over-count,
+    i.e. err toward narrower buckets and fewer joins."""
     t = F.col(T_COL)
     parts = []
     for i, (src, keys, ttl_us) in enumerate(views):
@@ -389,28 +399,41 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    side = F.col("__cf_side")
+    # a source row also counts toward the next bucket (shift 1) for the pair bound only
+    shifted = u.select("*", F.explode(F.when(side == 0, F.array(F.lit(0), F.lit(1)))
+                                      .otherwise(F.array(F.lit(0)))).alias("__cf_shift"))
     grp = ["__cf_v", "__cf_h", BUCKET]
-    hot = u.groupBy(*grp).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.lit(max_bucket_rows))
-    hot_rows = hot.collect()
-    biggest: dict = {}
-    for r in hot_rows:
-        biggest[r["__cf_v"]] = max(biggest.get(r["__cf_v"], 0), int(r["n"]))
+    own = F.col("__cf_shift") == 0
+    per_group = shifted.groupBy("__cf_v", "__cf_h", (F.col(BUCKET) + F.col("__cf_shift")).alias(BUCKET)).agg(
+        F.count(F.when(own, 1)).alias("n"),
+        F.count(F.when(side == 0, 1)).alias("n_src2"),
+        F.count(F.when(own & (side == 1), 1)).alias("n_spine"))
+    hot_item = F.when(F.col("n") > F.lit(max_bucket_rows), F.struct(F.col("__cf_h"), F.col(BUCKET), F.col("n")))
+    per_view = {r["__cf_v"]: r for r in per_group.groupBy("__cf_v").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.col("n_spine") * F.col("n_src2")).alias("pairs"),
+        F.collect_list(hot_item).alias("hot")).collect()}
+    hot_rows = [(v, x["__cf_h"], x[BUCKET]) for v, r in per_view.items() for x in r["hot"]]
     copies: dict = {}
     if hot_rows:
-        hot_df = spine.sparkSession.createDataFrame([(r["__cf_v"], r["__cf_h"], r[BUCKET]) for r in hot_rows],
-                                                    f"__cf_v int, __cf_h long, {BUCKET} long")
+        hot_df = spine.sparkSession.createDataFrame(hot_rows, f"__cf_v int, __cf_h long, {BUCKET} long")
         in_hot = u.join(F.broadcast(hot_df), grp)
         for r in in_hot.groupBy("__cf_v", "__cf_side", "__cf_h", T_COL).agg(F.count(F.lit(1)).alias("n")) \
                 .groupBy("__cf_v", "__cf_side").agg(F.max("n").alias("n")).collect():
             copies[(r["__cf_v"], r["__cf_side"])] = int(r["n"])
     out = []
     for i, (_, _, ttl_us) in enumerate(views):
-        n, k = biggest.get(i, 0), 0
+        r = per_view.get(i)
+        n = max([int(x["n"]) for x in r["hot"]], default=0) if r is not None else 0
+        k = 0
         while n > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
             k += 1
         out.append(AsofPlanStats(width=max(1, ttl_us >> k),
                                  source_copies=copies.get((i, 0), 0) > max_bucket_rows,
-                                 spine_copies=copies.get((i, 1), 0) > max_bucket_rows))
+                                 spine_copies=copies.get((i, 1), 0) > max_bucket_rows,
+                                 pairs=int(r["pairs"] or 0) if r is not None else 0,
+                                 rows=int(r["rows"] or 0) if r is not None else 0))
     return out
 
 

@@ -207,28 +207,34 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
             widths[i] = min(ttl_micros(float(rj)), ttls[i])
     dedup_src = [False] * len(plan)
     dedup_spine = False
-    if strategy == "bucketed" and bw == "auto":
+    strategies = [strategy] * len(plan)
+    if (strategy == "bucketed" and bw == "auto") or strategy == "join":
         idx = [i for i, t in enumerate(ttls) if t is not None]
         if idx:
             stats = asof_plan_stats(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
                                                  for i in idx], max_bucket_rows)
             for i, st in zip(idx, stats):
+                if strategy == "join" and not (st.join_is_bounded() and plan[i][0].join_keys):
+                    # the join would form too many pairs (or has no keys):
+                    # use the linear plan instead, same result
+                    strategies[i] = "bucketed"
                 if widths[i] == "auto":
                     widths[i] = st.width
-                dedup_src[i] = st.source_copies
-                dedup_spine = dedup_spine or st.spine_copies
+                if strategies[i] == "bucketed":
+                    dedup_src[i] = st.source_copies
+                    dedup_spine = dedup_spine or st.spine_copies
     # views on the same join keys share one as-of pass (one shuffle on
     # (keys, bucket), one spine aggregate); groups run one after another
     groups: dict = {}
     for i, (view, _, _) in enumerate(plan):
-        fuse = strategy == "bucketed" and ttls[i] is not None
+        fuse = strategies[i] == "bucketed" and ttls[i] is not None
         gk = (tuple(view.join_keys), "ttl") if fuse else (tuple(view.join_keys), "single", i)
         groups.setdefault(gk, []).append(i)
     result = spine
     for n, (gk, idx) in enumerate(groups.items(), start=1):
         avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i], dedup_src[i])
                for i in idx]
-        result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategy,
+        result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategies[idx[0]],
                                          keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
                                          dedup_spine=dedup_spine and n == 1)
         if checkpoint_every and n % checkpoint_every == 0 and n < len(groups):

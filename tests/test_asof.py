@@ -345,3 +345,20 @@ def test_heavy_copies_are_detected_and_collapsed(spark):
     exp = [(1, t + timedelta(minutes=5), 4.0), (2, t, 9.0)]
     assert rows(get_historical_features(sp, [view(src, timedelta(hours=1))], ["v:f"], max_bucket_rows=10)) == exp
     assert rows(get_historical_features(sp, [view(src, timedelta(hours=1))], ["v:f"])) == exp
+
+
+def test_join_strategy_falls_back_when_pairs_unbounded(spark):
+    base = datetime(2024, 1, 1)
+    dense_src = spark.createDataFrame([(1, base + timedelta(seconds=i), float(i)) for i in range(60)],
+                                      "id long, ts timestamp_ntz, f double")
+    dense_sp = spark.createDataFrame([(1, base + timedelta(seconds=60 + i)) for i in range(60)],
+                                     "id long, event_timestamp timestamp_ntz")
+    out = get_historical_features(dense_sp, [view(dense_src, timedelta(hours=1))], ["v:f"], strategy="join")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan
+    assert {r["f"] for r in out.collect()} == {59.0}
+    sparse_sp = spark.createDataFrame([(1, base + timedelta(seconds=30))], "id long, event_timestamp timestamp_ntz")
+    out = get_historical_features(sparse_sp, [view(dense_src, timedelta(seconds=5))], ["v:f"], strategy="join")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert [r["f"] for r in out.collect()] == [30.0]
