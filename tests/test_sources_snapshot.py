@@ -228,3 +228,18 @@ def test_date_partition_pruning_tolerates_local_day_partitions(spark, tmp_path_s
                                          date_partition_column="day"))
     sp = spark.createDataFrame([(1, datetime(2021, 10, 5, 3, 0))], "entity_id long, event_timestamp timestamp_ntz")
     assert [r["f"] for r in get_historical_features(sp, [v], ["v:f"]).collect()] == [7.0]
+
+
+def test_spine_range_and_columns_reach_the_parquet_scan(spark, tmp_path_str, capsys):
+    df = spark.createDataFrame([(1, T0 + timedelta(days=i), float(i), "junk") for i in range(30)],
+                               "entity_id long, datetime timestamp_ntz, f double, unused string")
+    df.write.parquet(tmp_path_str + "/src")
+    v = FeatureView(name="v", entities=["entity_id"], ttl=timedelta(days=2), schema=["f"],
+                    source=ParquetSource(path=tmp_path_str + "/src", timestamp_field="datetime"))
+    sp = spark.createDataFrame([(1, T0 + timedelta(days=10))], "entity_id long, event_timestamp timestamp_ntz")
+    out = get_historical_features(sp, [v], ["v:f"])
+    out.explain(mode="formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(datetime,2021-10-09" in plan and "LessThanOrEqual(datetime,2021-10-11" in plan
+    assert "unused" not in plan
+    assert [r["f"] for r in out.collect()] == [10.0]
