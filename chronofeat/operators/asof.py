@@ -367,7 +367,7 @@ class AsofPlanStats:
 
 
 def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
-                    max_bucket_rows: int) -> List[AsofPlanStats]:
+                    max_bucket_rows: int, pair_bound: bool = False) -> List[AsofPlanStats]:
     """Size the as-of plan of every view.
 
     ``views`` is ``[(prepared_source, keys, ttl_us)]``.  Job 1 counts rows of
@@ -375,7 +375,7 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     on every task.  Per view it returns one row: the row total, an upper
     bound on join pairs (spine rows of a bucket times source rows of that
     bucket and the one before, which hold every row of any TTL window ending
-    in it), and the *hot* groups, those above ``max_bucket_rows`` (at most
+    in it; only with ``pair_bound``), and the *hot* groups, those above ``max_bucket_rows`` (at most
     rows / max_bucket_rows of them: a proven bound).  A hot key holding a
     third of all rows is one of them; its view gets width ``ttl / 2^k``, the
     smallest k that brings the group under the budget (assuming rows spread
@@ -400,9 +400,12 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     for p in parts[1:]:
         u = u.unionByName(p)
     side = F.col("__cf_side")
-    # a source row also counts toward the next bucket (shift 1) for the pair bound only
-    shifted = u.select("*", F.explode(F.when(side == 0, F.array(F.lit(0), F.lit(1)))
-                                      .otherwise(F.array(F.lit(0)))).alias("__cf_shift"))
+    if pair_bound:
+        # a source row also counts toward the next bucket (shift 1) for the pair bound only
+        shifted = u.select("*", F.explode(F.when(side == 0, F.array(F.lit(0), F.lit(1)))
+                                          .otherwise(F.array(F.lit(0)))).alias("__cf_shift"))
+    else:
+        shifted = u.select("*", F.lit(0).alias("__cf_shift"))
     grp = ["__cf_v", "__cf_h", BUCKET]
     own = F.col("__cf_shift") == 0
     per_group = shifted.groupBy("__cf_v", "__cf_h", (F.col(BUCKET) + F.col("__cf_shift")).alias(BUCKET)).agg(

@@ -212,7 +212,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         idx = [i for i, t in enumerate(ttls) if t is not None]
         if idx:
             stats = asof_plan_stats(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
-                                                 for i in idx], max_bucket_rows)
+                                                 for i in idx], max_bucket_rows,
+                                    pair_bound=strategy == "join")
             for i, st in zip(idx, stats):
                 if strategy == "join" and not (st.join_is_bounded() and plan[i][0].join_keys):
                     # the join would form too many pairs (or has no keys):
