@@ -16,6 +16,9 @@ from typing import Iterable, List, Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.timecols import MICROS_PER_DAY, micros_literal, python_to_micros
 
 from ..model import DUMMY_ENTITY_ID, DUMMY_ENTITY_VAL, FULL_NAME_SEPARATOR, DataSource, FeatureView
 from ..operators.frame import check_unique_names, filter_time_range, keep_latest
@@ -45,6 +48,15 @@ def pull_latest_from_table_or_query(source: DataSource, join_key_columns: Sequen
     ts_cols = [timestamp_field] + ([created_timestamp_column] if created_timestamp_column else [])
     check_columns(df, keys + ts_cols, source)
     df = filter_time_range(df, timestamp_field, start_date, end_date)
+    part = getattr(source, "date_partition_column", None)
+    if part and part in df.columns:
+        # prune partitions; one spare day each side covers partition days
+        # named in any time zone
+        lo = python_to_micros(start_date) - MICROS_PER_DAY
+        hi = python_to_micros(end_date) + MICROS_PER_DAY
+        day = F.col(part) if isinstance(df.schema[part].dataType, T.DateType) else F.to_date(F.col(part))
+        df = df.where((day >= micros_literal(lo - lo % MICROS_PER_DAY, T.DateType()))
+                      & (day <= micros_literal(hi - hi % MICROS_PER_DAY, T.DateType())))
     cols = check_unique_names(keys + list(feature_name_columns) + ts_cols)
     df = df.select(*cols)
     if keys:

@@ -145,6 +145,25 @@ def q_pit_entityless_no_ttl(spark, d):
     return get_historical_features(purchases(spark, d), [v], ["signups:g"])
 
 
+def hot_events(spark: SparkSession, d: str) -> DataFrame:
+    """``events`` with one hot key: every event with value < 20 (a third of
+    them) is attributed to user 0."""
+    ev = table(spark, d, "events")
+    return ev.withColumn("user_id", F.when(F.col("value") < 20, F.lit(0).cast("long"))
+                         .otherwise(F.col("user_id")))
+
+
+def q_pit_hot_key(spark, d):
+    """User 0 holds a third of the spine and of the source; a small row
+    budget per window partition makes the plan cut it into time slices."""
+    ev = hot_events(spark, d)
+    spine = ev.where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("event_timestamp"))
+    v = FeatureView(name="act", entities=["user_id"], ttl=timedelta(days=2), schema=["f"],
+                    source=DataFrameSource(df=ev.where(F.col("event_type") == "view"), timestamp_field="ts",
+                                           field_mapping={"value": "f"}))
+    return get_historical_features(spine, [v], ["act:f"], max_bucket_rows=50)
+
+
 def role_spine(spark: SparkSession, d: str) -> DataFrame:
     """Purchases with two roles: the buyer, and a referrer: the user id named
     in the event's properties."""
@@ -401,6 +420,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_entityless": q_pit_entityless,
     "pit_entityless_no_ttl": q_pit_entityless_no_ttl,
     "pit_fused_views": q_pit_fused_views,
+    "pit_hot_key": q_pit_hot_key,
     "pit_role_twice": q_pit_role_twice,
     "pit_mixed_sources": q_pit_mixed_sources,
     "ts_name_collision": q_ts_name_collision,
@@ -496,6 +516,13 @@ ORACLES: Dict[str, str] = {
         "v.ts + to_days(cast(v.event_id % 7 as int)) desc, v.ts desc, v.value desc) rn "
         "from a join events v on a.user_id = v.user_id and v.event_type = 'click' and v.ts <= event_timestamp "
         "and v.ts >= event_timestamp - interval 5 day) where rn = 1"),
+    "pit_hot_key": (
+        "with ev as (select event_id, ts, case when value < 20 then 0 else user_id end as user_id, "
+        "event_type, value from events) "
+        "select user_id, event_timestamp, f from (select e.user_id, e.ts event_timestamp, v.value f, "
+        "row_number() over (partition by e.user_id, e.ts order by v.ts desc, v.value desc) rn "
+        "from ev e join ev v on e.user_id = v.user_id and v.event_type = 'view' and v.ts <= e.ts "
+        "and v.ts >= e.ts - interval 2 day where e.event_type = 'purchase') where rn = 1"),
     "pit_role_twice": (
         "with e as (select user_id buyer, cast(json_extract_string(props, '$.k') as bigint) referrer, "
         "ts event_timestamp from events where event_type = 'purchase'), "

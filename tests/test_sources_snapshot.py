@@ -243,3 +243,15 @@ def test_spine_range_and_columns_reach_the_parquet_scan(spark, tmp_path_str, cap
     assert "GreaterThanOrEqual(datetime,2021-10-09" in plan and "LessThanOrEqual(datetime,2021-10-11" in plan
     assert "unused" not in plan
     assert [r["f"] for r in out.collect()] == [10.0]
+
+
+def test_pull_latest_prunes_date_partitions(spark, tmp_path_str, capsys):
+    df = spark.createDataFrame([(1, T0 + timedelta(days=i), float(i)) for i in range(20)],
+                               "k long, ts timestamp_ntz, f double")
+    append_partitioned_by_day(df, tmp_path_str + "/p", "ts")
+    src = ParquetSource(path=tmp_path_str + "/p", timestamp_field="ts", date_partition_column="day")
+    out = pull_latest_from_table_or_query(src, ["k"], ["f"], "ts", None, T0 + timedelta(days=3),
+                                          T0 + timedelta(days=6), spark=spark)
+    assert [r["f"] for r in out.collect()] == [5.0]
+    out.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(day" in capsys.readouterr().out
