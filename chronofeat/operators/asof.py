@@ -400,23 +400,29 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     for p in parts[1:]:
         u = u.unionByName(p)
     side = F.col("__cf_side")
+    grp = ["__cf_v", "__cf_h", BUCKET]
     if pair_bound:
-        # a source row also counts toward the next bucket (shift 1) for the pair bound only
+        # a source row also counts toward the next bucket (shift 1), for the pair bound only
         shifted = u.select("*", F.explode(F.when(side == 0, F.array(F.lit(0), F.lit(1)))
                                           .otherwise(F.array(F.lit(0)))).alias("__cf_shift"))
+        own = F.col("__cf_shift") == 0
+        per_group = shifted.groupBy("__cf_v", "__cf_h", (F.col(BUCKET) + F.col("__cf_shift")).alias(BUCKET)) \
+            .agg(F.count(F.when(own, 1)).alias("n"),
+                 F.count(F.when(side == 0, 1)).alias("n_src2"),
+                 F.count(F.when(own & (side == 1), 1)).alias("n_spine"))
+        hot_item = F.when(F.col("n") > F.lit(max_bucket_rows),
+                          F.struct(F.col("__cf_h"), F.col(BUCKET), F.col("n")))
+        per_view = {r["__cf_v"]: r for r in per_group.groupBy("__cf_v").agg(
+            F.sum("n").alias("rows"),
+            F.sum(F.col("n_spine") * F.col("n_src2")).alias("pairs"),
+            F.collect_list(hot_item).alias("hot")).collect()}
     else:
-        shifted = u.select("*", F.lit(0).alias("__cf_shift"))
-    grp = ["__cf_v", "__cf_h", BUCKET]
-    own = F.col("__cf_shift") == 0
-    per_group = shifted.groupBy("__cf_v", "__cf_h", (F.col(BUCKET) + F.col("__cf_shift")).alias(BUCKET)).agg(
-        F.count(F.when(own, 1)).alias("n"),
-        F.count(F.when(side == 0, 1)).alias("n_src2"),
-        F.count(F.when(own & (side == 1), 1)).alias("n_spine"))
-    hot_item = F.when(F.col("n") > F.lit(max_bucket_rows), F.struct(F.col("__cf_h"), F.col(BUCKET), F.col("n")))
-    per_view = {r["__cf_v"]: r for r in per_group.groupBy("__cf_v").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.col("n_spine") * F.col("n_src2")).alias("pairs"),
-        F.collect_list(hot_item).alias("hot")).collect()}
+        # hot groups only, straight from the group counts (one shuffle)
+        per_view = {}
+        for r in u.groupBy(*grp).agg(F.count(F.lit(1)).alias("n")) \
+                .where(F.col("n") > F.lit(max_bucket_rows)).collect():
+            e = per_view.setdefault(r["__cf_v"], {"rows": 0, "pairs": 0, "hot": []})
+            e["hot"].append({"__cf_h": r["__cf_h"], BUCKET: r[BUCKET], "n": r["n"]})
     hot_rows = [(v, x["__cf_h"], x[BUCKET]) for v, r in per_view.items() for x in r["hot"]]
     copies: dict = {}
     if hot_rows:
