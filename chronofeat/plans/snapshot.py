@@ -84,6 +84,11 @@ def view_latest(view: FeatureView, start_date, end_date, spark: Optional[SparkSe
     if src.mapping:
         df = df.select(*[F.col(c).alias(src.mapping.get(c, c)) for c in df.columns])
     feats = list(features or view.feature_names)
+    if not feats:
+        # no declared schema: every column but keys, times and the partition column
+        skip = set(view.entities) | {src.timestamp_field, src.created_timestamp_column,
+                                     src.date_partition_column}
+        feats = [c for c in df.columns if c not in skip]
     return pull_latest_from_table_or_query(
         DataFrameSource(df=df, timestamp_field=src.timestamp_field,
                         created_timestamp_column=src.created_timestamp_column),

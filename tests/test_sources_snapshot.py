@@ -290,3 +290,12 @@ def test_e2e_csv_and_parquet_offline_equals_online(spark, tmp_path_str):
                                    full_feature_names=True).collect()[0]
     assert abs(on["fv_csv__f0"] - r["fv_csv__f0"]) < 1e-6
     assert abs(on["fv_parquet__f0"] - r["fv_parquet__f0"]) < 1e-6
+
+
+def test_materialize_view_without_schema_takes_all_columns(spark, tmp_path_str):
+    df = spark.createDataFrame([(1, T0, 1.0, "a"), (1, T0 + timedelta(days=1), 2.0, "b")],
+                               "k long, ts timestamp_ntz, f double, g string")
+    v = FeatureView(name="v", entities=["k"], ttl=None, source=DataFrameSource(df=df, timestamp_field="ts"))
+    snap = spark.read.parquet(materialize(v, T0, T0 + timedelta(days=5), spark=spark))
+    assert sorted(snap.columns) == ["f", "g", "k", "ts"]
+    assert rows(snap.select("k", "f", "g")) == [(1, 2.0, "b")]
