@@ -2,6 +2,7 @@
 
 from .readers import (  # noqa: F401
     append_partitioned_by_day,
+    append_to_catalog_table,
     apply_endpoint_override,
     check_columns,
     normalize_path,

@@ -127,3 +127,16 @@ def append_partitioned_by_day(df: DataFrame, path: str, ts_col: str, day_col: st
     day = F.date_from_unix_date(bucket_of(epoch_micros(ts_col, dt), MICROS_PER_DAY).cast("int"))
     out = df.withColumn(day_col, day).sortWithinPartitions(day_col)
     write_table(out, path, fmt=fmt, mode="append", partition_by=[day_col])
+
+
+def append_to_catalog_table(df: DataFrame, table: str, partitioned_by: Optional[Iterable[str]] = None,
+                            using: Optional[str] = None) -> None:
+    """Create-or-append a catalog table (a Parquet table in the session
+    catalog, or an Iceberg table in an Iceberg catalog): ``saveAsTable`` in
+    append mode creates the table (optionally partitioned) when missing."""
+    w = df.write.mode("append")
+    if using:
+        w = w.format(using)
+    if partitioned_by:
+        w = w.partitionBy(*partitioned_by)
+    w.saveAsTable(table)

