@@ -17,6 +17,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="chronofeat-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():

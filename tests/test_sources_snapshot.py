@@ -303,7 +303,8 @@ def test_materialize_view_without_schema_takes_all_columns(spark, tmp_path_str):
 
 def test_append_to_catalog_table_creates_then_appends(spark):
     from chronofeat.sources.readers import append_to_catalog_table
-    name = "chronofeat_test_append_tbl"
+    import uuid
+    name = f"chronofeat_test_append_{uuid.uuid4().hex[:8]}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     df = spark.createDataFrame([(1, T0)], "id long, ts timestamp_ntz")
     try:
