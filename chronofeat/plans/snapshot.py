@@ -91,7 +91,8 @@ def view_latest(view: FeatureView, start_date, end_date, spark: Optional[SparkSe
         feats = [c for c in df.columns if c not in skip]
     return pull_latest_from_table_or_query(
         DataFrameSource(df=df, timestamp_field=src.timestamp_field,
-                        created_timestamp_column=src.created_timestamp_column),
+                        created_timestamp_column=src.created_timestamp_column,
+                        date_partition_column=src.date_partition_column),
         list(view.entities), feats, src.timestamp_field, src.created_timestamp_column,
         start_date, end_date, spark=spark)
 
@@ -117,10 +118,16 @@ def materialize(view: FeatureView, start_date, end_date, path: Optional[str] = N
     cuts the lineage of the whole materialization."""
     spark = _session(spark)
     new = view_latest(view, start_date, end_date, spark=spark)
+    src = view.source
+    order = ([src.created_timestamp_column] if src.created_timestamp_column else []) + [src.timestamp_field]
+    keys = list(view.entities) or [DUMMY_ENTITY_ID]
+    if not view.entities:
+        # a snapshot holds one row per key: for an entityless view, the
+        # latest row under the constant dummy key
+        new = keep_latest(new, keys, order)
     if previous:
         old = spark.read.parquet(normalize_path(previous))
-        new = merge_snapshots(old, new, list(view.entities), view.source.timestamp_field,
-                              view.source.created_timestamp_column)
+        new = merge_snapshots(old, new, keys, src.timestamp_field, src.created_timestamp_column)
     out = path or scratch_path(spark, f"snapshot-{view.name}")
     new.write.mode("errorifexists").parquet(normalize_path(out))
     return out

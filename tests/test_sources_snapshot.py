@@ -314,3 +314,12 @@ def test_append_to_catalog_table_creates_then_appends(spark):
         pytest.skip(f"v2 writes to the session catalog are not supported here: {type(e).__name__}")
     assert spark.table(name).count() == 2
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_entityless_snapshot_has_one_row(spark):
+    df = spark.createDataFrame([(T0, 1.0), (T0 + timedelta(days=1), 2.0)], "ts timestamp_ntz, g double")
+    v = FeatureView(name="e", entities=[], ttl=None, schema=["g"], source=DataFrameSource(df=df, timestamp_field="ts"))
+    p1 = materialize(v, T0, T0 + timedelta(hours=1), spark=spark)
+    p2 = materialize(v, T0 + timedelta(hours=1), T0 + timedelta(days=3), previous=p1, spark=spark)
+    snap = spark.read.parquet(p2)
+    assert rows(snap.select("__dummy_id", "g")) == [("", 2.0)]
