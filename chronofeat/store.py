@@ -71,6 +71,13 @@ class FeatureStore:
         for view, feats in grouped:
             snap = self.snapshot(view.name_to_use())
             keys = view.join_keys
+            names = [output_feature_name(view, f, full_feature_names) for f in feats]
+            if not keys:
+                # entityless: the snapshot is one row, attached as a scalar subquery
+                one = snap.select(F.struct(*[F.col(f).alias(n) for f, n in zip(feats, names)]).alias("x"))
+                out = out.withColumn("__cf_x", one.scalar()).select(
+                    "*", *[F.col("__cf_x")[n].alias(n) for n in names]).drop("__cf_x")
+                continue
             # the snapshot is keyed by the view's entity names; name them as the rows do
             km = view.key_map
             snap = snap.select(*[F.col(e).alias(km.get(e, e)) for e in view.entities],

@@ -323,3 +323,16 @@ def test_entityless_snapshot_has_one_row(spark):
     p2 = materialize(v, T0 + timedelta(hours=1), T0 + timedelta(days=3), previous=p1, spark=spark)
     snap = spark.read.parquet(p2)
     assert rows(snap.select("__dummy_id", "g")) == [("", 2.0)]
+
+
+def test_store_online_lookup_entityless_view(spark, tmp_path_str):
+    from chronofeat import FeatureStore
+    df = spark.createDataFrame([(1, T0, 1.0), (2, T0 + timedelta(days=1), 2.0)], "k long, ts timestamp_ntz, f double")
+    g = spark.createDataFrame([(T0, 5.0), (T0 + timedelta(days=2), 6.0)], "ts timestamp_ntz, g double")
+    vk = FeatureView(name="vk", entities=["k"], schema=["f"], source=DataFrameSource(df=df, timestamp_field="ts"))
+    ve = FeatureView(name="ve", entities=[], schema=["g"], source=DataFrameSource(df=g, timestamp_field="ts"))
+    store = FeatureStore(spark, [vk, ve], snapshot_root=tmp_path_str + "/s")
+    store.materialize(T0, T0 + timedelta(days=5))
+    out = store.get_online_features(["vk:f", "ve:g"], [{"k": 1}, {"k": 3}])
+    assert out.columns == ["k", "f", "g"]
+    assert rows(out) == [(1, 1.0, 6.0), (3, None, 6.0)]
