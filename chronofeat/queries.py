@@ -112,6 +112,12 @@ def q_pit_created_subwidth(spark, d):
     return q_pit_created(spark, d, bucket_width=timedelta(hours=11))
 
 
+def q_pit_union_strategy(spark, d):
+    """The union-based plan in its plainest form: one (keys, bucket) shuffle
+    with buckets as wide as the TTL, ranking by created then ts."""
+    return q_pit_created(spark, d, strategy="bucketed", bucket_width=timedelta(days=5))
+
+
 def q_pit_no_ttl(spark, d):
     v = activity_view(spark, d, ttl=None)
     return get_historical_features(purchases(spark, d), [v], ["act:f"])
@@ -415,6 +421,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_created": q_pit_created,
     "pit_created_join_strategy": q_pit_created_join_strategy,
     "pit_created_subwidth": q_pit_created_subwidth,
+    "pit_union_strategy": q_pit_union_strategy,
     "pit_no_ttl": q_pit_no_ttl,
     "pit_multi_view": q_pit_multi_view,
     "pit_entityless": q_pit_entityless,
@@ -494,6 +501,7 @@ ORACLES: Dict[str, str] = {
     "pit_created": _PIT_CREATED,
     "pit_created_join_strategy": _PIT_CREATED,
     "pit_created_subwidth": _PIT_CREATED,
+    "pit_union_strategy": _PIT_CREATED,
     "pit_no_ttl": (
         "select user_id, event_timestamp, f from (select e.user_id, e.ts event_timestamp, v.value f, "
         "row_number() over (partition by e.user_id, e.ts order by v.ts desc nulls last, v.value desc nulls last) rn "
