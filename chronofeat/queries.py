@@ -137,10 +137,10 @@ def q_pit_entityless(spark, d):
 
 
 def q_pit_fused_views(spark, d):
-    """Two views on the same key with different TTLs, one ranked by a
-    created column: they share one as-of pass."""
+    """Two views on the same key and TTL, one ranked by a created column:
+    they share one as-of pass."""
     v1 = activity_view(spark, d, "view", "act", ttl=timedelta(days=2), feature="f")
-    v2 = activity_view(spark, d, "click", "clk", ttl=timedelta(days=5), feature="g", created=True)
+    v2 = activity_view(spark, d, "click", "clk", ttl=timedelta(days=2), feature="g", created=True)
     return get_historical_features(purchases(spark, d), [v1, v2], ["act:f", "clk:g"])
 
 
@@ -523,7 +523,7 @@ ORACLES: Dict[str, str] = {
         "row_number() over (partition by a.user_id, a.event_timestamp order by "
         "v.ts + to_days(cast(v.event_id % 7 as int)) desc, v.ts desc, v.value desc) rn "
         "from a join events v on a.user_id = v.user_id and v.event_type = 'click' and v.ts <= event_timestamp "
-        "and v.ts >= event_timestamp - interval 5 day) where rn = 1"),
+        "and v.ts >= event_timestamp - interval 2 day) where rn = 1"),
     "pit_hot_key": (
         "with ev as (select event_id, ts, case when value < 20 then 0 else user_id end as user_id, "
         "event_type, value from events) "
