@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from typing import List, Optional, Sequence, Union
+from typing import Dict, List, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,6 +114,7 @@ class AsofView:
     has_created: bool = False
     width: Union[int, str, None] = "auto"
     dedup_source: bool = False
+    hot_keys: Optional[Dict[int, int]] = None   # hash of keys -> k: width >> k for that key
 
 
 def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
@@ -204,14 +205,26 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
         cands = _join_plan(sp_ok, srcs[0], keys, v0.ttl_us, keep_unmatched)
     else:
         widths = [v.width for v in views]
+        hot_keys: Dict[int, int] = {}
+        for v in views:
+            for h, k in (v.hot_keys or {}).items():
+                hot_keys[h] = max(k, hot_keys.get(h, 0))
         auto = [i for i, wd in enumerate(widths) if wd == "auto"]
         if auto:
-            got = auto_bucket_widths(spine, spine_ts, [(srcs[i], keys, views[i].ttl_us) for i in auto],
-                                     max_bucket_rows)
-            for i, wd in zip(auto, got):
-                widths[i] = wd
+            got = asof_plan_stats(spine, spine_ts, [(srcs[i], keys, views[i].ttl_us) for i in auto],
+                                  max_bucket_rows)
+            for i, st in zip(auto, got):
+                widths[i] = views[i].ttl_us
+                for h, k in st.hot_keys.items():
+                    hot_keys[h] = max(k, hot_keys.get(h, 0))
         w = min(min(int(wd or v.ttl_us), v.ttl_us) for wd, v in zip(widths, views))
-        cands = _bucketed_plan(sp_ok, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s)
+        hot, max_k = None, 0
+        if hot_keys:
+            max_k = max(hot_keys.values())
+            # at most rows / max_bucket_rows hot keys: a proven bound
+            hot = spine.sparkSession.createDataFrame(sorted(hot_keys.items()), "__cf_hk long, __cf_k int")
+        cands = _bucketed_plan(sp_ok, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s,
+                               hot, max_k)
     if keep_unmatched and v0.ttl_us is not None:
         cands = cands.unionByName(sp.where(~valid).select(
             GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))
@@ -264,27 +277,47 @@ def _join_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     return j.select(GKEY, SPAY, F.col(_r(0)).alias(_b(0)))
 
 
+WIDTH = "__cf_w"       # per-row bucket width (micros), by key
+
+
+def _with_width(df: DataFrame, keys: List[str], w: int, hot: Optional[DataFrame]) -> DataFrame:
+    """Add the bucket width of each row's key: ``w``, or ``w >> k`` for the
+    hot keys in ``hot`` (hash of keys -> k; a small table, broadcast)."""
+    if hot is None:
+        return df.withColumn(WIDTH, F.lit(w).cast("long"))
+    h = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+    return df.withColumn("__cf_hk", h).join(F.broadcast(hot), "__cf_hk", "left") \
+        .withColumn(WIDTH, F.expr(f"shiftright(cast({int(w)} as bigint), coalesce(__cf_k, 0))")) \
+        .drop("__cf_hk", "__cf_k")
+
+
 def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls: List[int], w: int,
-                   ranks: List[RankSpec], null_r: List[Column], null_s: Column) -> DataFrame:
+                   ranks: List[RankSpec], null_r: List[Column], null_s: Column,
+                   hot: Optional[DataFrame] = None, max_k: int = 0) -> DataFrame:
+    """``w``: bucket width of ordinary keys; keys in ``hot`` use ``w >> k``
+    (``max_k`` is the largest k there)."""
     if w <= 0 or any(w > ttl for ttl in ttls):
         raise ValueError("bucket width must be positive and not larger than any TTL")
     n = len(srcs)
     t = F.col(T_COL)
+    wc = F.col(WIDTH)
     null_g = _null_like(sp, F.col(GKEY))
+    sp = _with_width(sp, keys, w, hot)
+    srcs = [_with_width(src, keys, w, hot) for src in srcs]
     parts = []
     for i, src in enumerate(srcs):
         parts.append(src.select(*keys, T_COL, F.lit(0).alias(KIND), F.lit(i).alias(VIEW),
-                                bucket_of(t, w).alias(BUCKET),
+                                bucket_of(t, wc).alias(BUCKET),
                                 *[(F.col(_r(j)) if j == i else null_r[j]).alias(_r(j)) for j in range(n)],
                                 null_g.alias(GKEY), null_s.alias(SPAY)))
     # each spine row yields itself (kind 1, at t) and one probe per view
     # (kind 2, at t - ttl), all from one scan of the spine
     items = [F.struct(t.alias(T_COL), F.lit(1).alias(KIND), F.lit(-1).alias(VIEW),
-                      bucket_of(t, w).alias(BUCKET), F.col(SPAY).alias(SPAY))]
+                      bucket_of(t, wc).alias(BUCKET), F.col(SPAY).alias(SPAY))]
     for i, ttl in enumerate(ttls):
         lo = t - F.lit(ttl)
         items.append(F.struct(lo.alias(T_COL), F.lit(2).alias(KIND), F.lit(i).alias(VIEW),
-                              bucket_of(lo, w).alias(BUCKET), null_s.alias(SPAY)))
+                              bucket_of(lo, wc).alias(BUCKET), null_s.alias(SPAY)))
     pair = F.col("__cf_pair")
     e_rows = sp.select(*keys, GKEY, F.explode(F.array(*items)).alias("__cf_pair")).select(
         *keys, pair[T_COL].alias(T_COL), pair[KIND].alias(KIND), pair[VIEW].alias(VIEW),
@@ -304,30 +337,35 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
             .when((kind == 2) & (view == j), ranks[j].best(F.col(_r(j))).over(down)).alias(_b(j))
             for j in range(n)]
     out = u.select(KIND, GKEY, SPAY, *best).where(kind > 0).select(GKEY, SPAY, *[_b(j) for j in range(n)])
+    narrowest = w >> max_k
     for i, (src, ttl) in enumerate(zip(srcs, ttls)):
-        if w < ttl:
-            inner = _middle_blocks(sp, src, keys, ttl, w, ranks[i], _r(i))
+        if narrowest < ttl:
+            # only keys whose buckets are narrower than this TTL have middle buckets
+            inner = _middle_blocks(sp.where(wc < F.lit(ttl)), src.where(wc < F.lit(ttl)), keys, ttl,
+                                   narrowest, ranks[i], _r(i))
             out = out.unionByName(inner.select(
                 GKEY, null_s.alias(SPAY),
                 *[(F.col(BEST) if j == i else null_r[j]).alias(_b(j)) for j in range(n)]))
     return out
 
 
-def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, w: int,
+def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, narrowest: int,
                    rank: RankSpec, rcol: str) -> DataFrame:
     """Best source row of the whole buckets strictly inside (b(t - ttl), b(t)).
 
-    Those buckets are covered by dyadic blocks (segment-tree decomposition),
-    at most 2 per level, so a spine row joins O(log(ttl / w)) block maxima
-    instead of ttl / w bucket maxima.  Block maxima come from per-bucket
-    maxima (a partial aggregate over the source), then every level from those
-    small rows in one more aggregate."""
+    Rows carry their key's bucket width in ``WIDTH`` (at least
+    ``narrowest``).  The middle buckets are covered by dyadic blocks
+    (segment-tree decomposition), at most 2 per level, so a spine row joins
+    O(log(ttl / w)) block maxima instead of ttl / w bucket maxima.  Block
+    maxima come from per-bucket maxima (a partial aggregate over the source),
+    then every level from those small rows in one more aggregate."""
     t = F.col(T_COL)
     r = F.col(rcol)
+    wc = F.col(WIDTH)
     lo = t - F.lit(ttl_us)
-    levels = max(1, math.ceil(math.log2(math.ceil(ttl_us / w) + 1)))
-    first_b = bucket_of(lo, w) + F.lit(1)          # half-open [first_b, end_b)
-    end_b = bucket_of(t, w)
+    levels = max(1, math.ceil(math.log2(math.ceil(ttl_us / narrowest) + 1)))
+    first_b = bucket_of(lo, wc) + F.lit(1)          # half-open [first_b, end_b)
+    end_b = bucket_of(t, wc)
     blocks = []
     for j in range(levels + 1):
         lj = F.shiftright(first_b + F.lit((1 << j) - 1), j)   # ceil(first_b / 2^j)
@@ -339,7 +377,7 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
                              F.struct(F.lit(j).alias("lvl"), (rj - F.lit(1)).alias("blk"))))
     mids = sp.select(*keys, GKEY, F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("m")) \
         .select(*keys, GKEY, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk"))
-    per_bucket = src.groupBy(*keys, bucket_of(t, w).alias(BUCKET)).agg(rank.best(r).alias(BEST))
+    per_bucket = src.groupBy(*keys, bucket_of(t, wc).alias(BUCKET)).agg(rank.best(r).alias(BEST))
     lv = F.explode(F.array(*[F.struct(F.lit(j).alias("lvl"), F.shiftright(F.col(BUCKET), j).alias("blk"))
                              for j in range(levels + 1)])).alias("m")
     per_block = per_bucket.select(*keys, BEST, lv) \
@@ -360,6 +398,11 @@ class AsofPlanStats:
     spine_copies: bool = False
     pairs: int = 0
     rows: int = 0
+    hot_keys: Dict[int, int] = None   # hash of keys -> k: that key uses width ttl >> k
+
+    def __post_init__(self):
+        if self.hot_keys is None:
+            self.hot_keys = {}
 
     def join_is_bounded(self, factor: int = 4) -> bool:
         """The ``join`` plan forms at most ``factor`` pairs per input row."""
@@ -382,7 +425,8 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
     in time inside the bucket).  Copies (equal keys and time) cannot be split
     by time, so job 2, run only when hot groups exist and only over their
     rows, finds the largest set of copies per view and side; above the
-    budget the plan collapses them first.  Hash collisions only over-count,
+    budget the plan collapses them first.  ``hot_keys`` maps the hash of each
+    hot key to its k: only those keys get narrower buckets.  Hash collisions only over-count,
     i.e. err toward narrower buckets and fewer joins."""
     t = F.col(T_COL)
     parts = []
@@ -431,14 +475,22 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
         for r in in_hot.groupBy("__cf_v", "__cf_side", "__cf_h", T_COL).agg(F.count(F.lit(1)).alias("n")) \
                 .groupBy("__cf_v", "__cf_side").agg(F.max("n").alias("n")).collect():
             copies[(r["__cf_v"], r["__cf_side"])] = int(r["n"])
-    out = []
-    for i, (_, _, ttl_us) in enumerate(views):
-        r = per_view.get(i)
-        n = max([int(x["n"]) for x in r["hot"]], default=0) if r is not None else 0
+    def slices(n: int, ttl_us: int) -> int:
         k = 0
         while n > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
             k += 1
-        out.append(AsofPlanStats(width=max(1, ttl_us >> k),
+        return k
+
+    out = []
+    for i, (_, _, ttl_us) in enumerate(views):
+        r = per_view.get(i)
+        per_key: Dict[int, int] = {}
+        for x in (r["hot"] if r is not None else []):
+            per_key[int(x["__cf_h"])] = max(per_key.get(int(x["__cf_h"]), 0), int(x["n"]))
+        hot_keys = {h: slices(n, ttl_us) for h, n in per_key.items()}
+        hot_keys = {h: k for h, k in hot_keys.items() if k > 0}
+        k = max(hot_keys.values(), default=0)
+        out.append(AsofPlanStats(width=max(1, ttl_us >> k), hot_keys=hot_keys,
                                  source_copies=copies.get((i, 0), 0) > max_bucket_rows,
                                  spine_copies=copies.get((i, 1), 0) > max_bucket_rows,
                                  pairs=int(r["pairs"] or 0) if r is not None else 0,

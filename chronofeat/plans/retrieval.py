@@ -206,6 +206,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         if rj and bucket_width == "auto" and ttls[i] is not None:
             widths[i] = min(ttl_micros(float(rj)), ttls[i])
     dedup_src = [False] * len(plan)
+    hot_keys = [None] * len(plan)
     dedup_spine = False
     strategies = [strategy] * len(plan)
     if (strategy == "bucketed" and bw == "auto") or strategy == "join":
@@ -220,7 +221,9 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                     # use the linear plan instead, same result
                     strategies[i] = "bucketed"
                 if widths[i] == "auto":
-                    widths[i] = st.width
+                    # ordinary keys: one bucket per TTL; hot keys: narrower, per key
+                    widths[i] = ttls[i]
+                    hot_keys[i] = st.hot_keys
                 if strategies[i] == "bucketed":
                     dedup_src[i] = st.source_copies
                     dedup_spine = dedup_spine or st.spine_copies
@@ -240,8 +243,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         groups.setdefault(gk, []).append(i)
     result = spine
     for n, (gk, idx) in enumerate(groups.items(), start=1):
-        avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i], dedup_src[i])
-               for i in idx]
+        avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i], dedup_src[i],
+                        hot_keys[i]) for i in idx]
         result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategies[idx[0]],
                                          keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
                                          dedup_spine=dedup_spine and n == 1)

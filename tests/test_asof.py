@@ -387,3 +387,17 @@ def test_low_level_fused_pass_with_different_ttls(spark):
     sep = point_in_time_join_many(point_in_time_join_many(sp, "event_timestamp", gk, ["id"], [A]),
                                   "event_timestamp", gk, ["id"], [B])
     assert rows(fused) == rows(sep)
+
+
+def test_only_hot_keys_get_narrow_buckets(spark):
+    from chronofeat.operators.asof import asof_plan_stats, T_COL
+    base = datetime(2024, 1, 1)
+    rows_ = [(1, base + timedelta(seconds=5 * i), 1.0) for i in range(300)] + \
+        [(k, base + timedelta(minutes=k), 2.0) for k in range(2, 40)]
+    src = spark.createDataFrame(rows_, "id long, ts timestamp_ntz, f double") \
+        .select("id", F.unix_micros(F.col("ts").cast("timestamp")).alias(T_COL))
+    sp = spark.createDataFrame([(k, base + timedelta(hours=1)) for k in range(1, 40)],
+                               "id long, event_timestamp timestamp_ntz")
+    st = asof_plan_stats(sp, "event_timestamp", [(src, ["id"], 3_600_000_000)], 40)[0]
+    h1 = spark.range(1).select(F.xxhash64(F.lit(1).cast("long")).alias("h")).first()["h"]
+    assert list(st.hot_keys) == [h1] and st.hot_keys[h1] >= 3
