@@ -8,7 +8,6 @@ every map task before the shuffle instead of being collected into one task.
 
 from __future__ import annotations
 
-from datetime import datetime
 from typing import Iterable, List, Mapping, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +16,6 @@ from pyspark.sql import types as T
 
 from ..functions.timecols import (
     epoch_micros,
-    is_time_type,
     micros_literal,
     python_to_micros,
     ttl_micros,

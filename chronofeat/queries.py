@@ -17,7 +17,7 @@ from typing import Callable, Dict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.timecols import epoch_micros, to_instant
+from .functions.timecols import to_instant
 from .model import (
     CsvSource,
     DataFrameSource,

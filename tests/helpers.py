@@ -1,8 +1,6 @@
 """Small-fixture builders and a brute-force as-of reference."""
 
-from datetime import datetime, timedelta, timezone
-
-from pyspark.sql import types as T
+from datetime import datetime, timezone
 
 EPOCH = datetime(1970, 1, 1)
 
