@@ -144,10 +144,10 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     per view.  Otherwise the views are joined one after the other.  A spine
     row must match every TTL view (unless ``keep_unmatched``).
 
-    ``dedup_spine`` collapses spine rows equal on ``group_key`` before the
-    shuffle (an aggregate whose partial step merges copies on every task);
-    a view's ``dedup_source`` keeps only the best source row per (keys, time)
-    the same way.  Both are set from :func:`asof_plan_stats` when copies are
+    ``dedup_spine`` answers each distinct (keys, time) point of the spine
+    once and joins the answers back (the distinct's partial step merges
+    copies on every task); a view's ``dedup_source`` keeps only the best
+    source row per (keys, time) the same way.  Both are set from :func:`asof_plan_stats` when copies are
     heavy; results are the same either way."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
@@ -187,9 +187,6 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
                       epoch_micros(spine_ts, spine.schema[spine_ts].dataType).alias(T_COL),
                       _struct_or_null(group_key).alias(GKEY),
                       _struct_or_null(payload_cols).alias(SPAY))
-    if dedup_spine:
-        spay_pre = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
-        sp = sp.groupBy(*keys, T_COL, GKEY).agg(spay_pre.alias(SPAY))
     valid = F.col(T_COL).isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
@@ -199,10 +196,18 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     bests = [_b(i) for i in range(len(views))]
 
     v0 = views[0]
+    probe = sp_ok
+    if dedup_spine and v0.ttl_us is not None:
+        # heavy copies on (keys, time): answer each distinct point once (the
+        # distinct's partial step merges copies on every task), then join the
+        # answers back; a hot point is then the skewed side of an equi-join
+        # with a unique right side, which AQE splits
+        pts = sp_ok.select(*keys, T_COL).distinct()
+        probe = pts.select(*keys, T_COL, F.struct(*keys, T_COL).alias(GKEY), null_s.alias(SPAY))
     if v0.ttl_us is None:
         cands = _no_ttl(sp, srcs[0], keys, ranks[0])
     elif strategy == "join":
-        cands = _join_plan(sp_ok, srcs[0], keys, v0.ttl_us, keep_unmatched)
+        cands = _join_plan(probe, srcs[0], keys, v0.ttl_us, keep_unmatched and probe is sp_ok)
     else:
         widths = [v.width for v in views]
         hot_keys: Dict[int, int] = {}
@@ -223,8 +228,12 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
             max_k = max(hot_keys.values())
             # at most rows / max_bucket_rows hot keys: a proven bound
             hot = spine.sparkSession.createDataFrame(sorted(hot_keys.items()), "__cf_hk long, __cf_k int")
-        cands = _bucketed_plan(sp_ok, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s,
+        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s,
                                hot, max_k)
+    if probe is not sp_ok:
+        answers = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)]) \
+            .select(*[F.col(GKEY)[k].alias(k) for k in keys], F.col(GKEY)[T_COL].alias(T_COL), *bests)
+        cands = sp_ok.join(answers, [*keys, T_COL], "left").select(GKEY, SPAY, *bests)
     if keep_unmatched and v0.ttl_us is not None:
         cands = cands.unionByName(sp.where(~valid).select(
             GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))

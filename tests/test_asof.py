@@ -401,3 +401,24 @@ def test_only_hot_keys_get_narrow_buckets(spark):
     st = asof_plan_stats(sp, "event_timestamp", [(src, ["id"], 3_600_000_000)], 40)[0]
     h1 = spark.range(1).select(F.xxhash64(F.lit(1).cast("long")).alias("h")).first()["h"]
     assert list(st.hot_keys) == [h1] and st.hot_keys[h1] >= 3
+
+
+@pytest.mark.parametrize("kw", [dict(), dict(strategy="join"), dict(keep_unmatched=True)])
+def test_spine_copies_with_other_key_columns(spark, kw):
+    """Spine copies on (view key, time) that differ in another view's key are
+    answered once per point and joined back; results unchanged."""
+    from chronofeat.operators.asof import AsofView, point_in_time_join_many, T_COL
+    t = datetime(2024, 1, 1, 12)
+    sp = spark.createDataFrame([(1, c, t) for c in range(30)] + [(2, 0, t), (None, 1, t)],
+                               "a long, b long, event_timestamp timestamp_ntz")
+    src = spark.createDataFrame([(1, t - timedelta(minutes=m), float(m)) for m in range(5)] + [(2, t, 9.0)],
+                                "a long, ts timestamp_ntz, f double") \
+        .select("a", F.unix_micros(F.col("ts").cast("timestamp")).alias(T_COL), "f")
+    gk = ["a", "b", "event_timestamp"]
+    strategy = kw.get("strategy", "bucketed")
+    keep = kw.get("keep_unmatched", False)
+    v = AsofView(src, ["f"], 3_600_000_000, False, 3_600_000_000)
+    plain = point_in_time_join_many(sp, "event_timestamp", gk, ["a"], [v], strategy, keep)
+    dedup = point_in_time_join_many(sp, "event_timestamp", gk, ["a"], [v], strategy, keep, dedup_spine=True)
+    assert sorted(map(tuple, dedup.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert dedup.count() == (32 if keep else 31)
