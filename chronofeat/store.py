@@ -30,6 +30,7 @@ class FeatureStore:
         self.on_demand_views = list(on_demand_views)
         self.snapshot_root = (snapshot_root or f"{shared_dir(spark)}/chronofeat/store").rstrip("/")
         self._snapshots: Dict[str, str] = {}
+        self._last_end: Dict[str, Any] = {}
         self._generation = 0
 
     def get_historical_features(self, entity_df: Any, features: Iterable, full_feature_names: bool = False,
@@ -51,6 +52,23 @@ class FeatureStore:
             out[name] = materialize(v, start_date, end_date, path=path,
                                     previous=self._snapshots.get(name), spark=self.spark)
         self._snapshots.update(out)
+        for name in out:
+            self._last_end[name] = end_date
+        return out
+
+    def materialize_incremental(self, end_date, views: Optional[Sequence[str]] = None) -> Dict[str, str]:
+        """Materialize each view from where its last materialization ended
+        (first time: ``end - ttl``, or the epoch without TTL) up to ``end``."""
+        from datetime import datetime
+        out = {}
+        for v in self.views:
+            name = v.name_to_use()
+            if views is not None and name not in views:
+                continue
+            start = self._last_end.get(name)
+            if start is None:
+                start = (end_date - v.ttl) if v.ttl else datetime(1970, 1, 1)
+            out.update(self.materialize(start, end_date, views=[name]))
         return out
 
     def snapshot(self, view_name: str) -> DataFrame:

@@ -336,3 +336,16 @@ def test_store_online_lookup_entityless_view(spark, tmp_path_str):
     out = store.get_online_features(["vk:f", "ve:g"], [{"k": 1}, {"k": 3}])
     assert out.columns == ["k", "f", "g"]
     assert rows(out) == [(1, 1.0, 6.0), (3, None, 6.0)]
+
+
+def test_store_materialize_incremental(spark, tmp_path_str):
+    from chronofeat import FeatureStore
+    df = spark.createDataFrame([(1, T0, 1.0), (1, T0 + timedelta(days=3), 2.0), (2, T0 - timedelta(days=30), 5.0)],
+                               "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=["k"], ttl=timedelta(days=10), schema=["f"],
+                    source=DataFrameSource(df=df, timestamp_field="ts"))
+    store = FeatureStore(spark, [v], snapshot_root=tmp_path_str + "/s")
+    store.materialize_incremental(T0 + timedelta(days=1))          # [end - ttl, end): key 2 too old
+    assert rows(store.get_online_features(["v:f"], [{"k": 1}, {"k": 2}])) == [(1, 1.0), (2, None)]
+    store.materialize_incremental(T0 + timedelta(days=5))          # continues from the last end
+    assert rows(store.get_online_features(["v:f"], [{"k": 1}])) == [(1, 2.0)]
