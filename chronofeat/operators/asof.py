@@ -94,10 +94,10 @@ def _struct_or_null(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
-def _null_like(df: DataFrame, expr: Column) -> Column:
-    """A NULL of the type ``expr`` has in ``df``."""
-    dt = df.select(expr.alias("x")).schema["x"].dataType
-    return F.lit(None).cast(dt)
+def _null_like(df: DataFrame, name: str) -> Column:
+    """A NULL of the type column ``name`` has in ``df`` (read from the
+    already analyzed schema: no new plan analysis)."""
+    return F.lit(None).cast(df.schema[name].dataType)
 
 
 @dataclass
@@ -191,8 +191,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     for k in keys:
         valid = valid & F.col(k).isNotNull()
     sp_ok = sp.where(valid)
-    null_r = [_null_like(srcs[i], F.col(_r(i))) for i in range(len(views))]
-    null_s = _null_like(sp, F.col(SPAY))
+    null_r = [_null_like(srcs[i], _r(i)) for i in range(len(views))]
+    null_s = _null_like(sp, SPAY)
     bests = [_b(i) for i in range(len(views))]
 
     v0 = views[0]
@@ -310,7 +310,7 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
     n = len(srcs)
     t = F.col(T_COL)
     wc = F.col(WIDTH)
-    null_g = _null_like(sp, F.col(GKEY))
+    null_g = _null_like(sp, GKEY)
     sp = _with_width(sp, keys, w, hot)
     srcs = [_with_width(src, keys, w, hot) for src in srcs]
     parts = []
