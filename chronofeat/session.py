@@ -16,19 +16,26 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this is the shared (HDFS / object store) location every
     executor can reach; it is read from the session.  Only when it is unset
-    (tests, local runs) a local scratch folder is created and registered."""
+    and the master is local (tests, local runs) a local scratch folder is
+    created and registered."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:                                   # classic sessions only (not Spark Connect)
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        master = spark.sparkContext.master or ""
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "") or ""
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
                              "every executor can reach; a machine-local folder is not safe on a cluster")
         import tempfile
         d = tempfile.mkdtemp(prefix="chronofeat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
