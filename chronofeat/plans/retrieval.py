@@ -84,7 +84,11 @@ def prepare_view_source(spark: SparkSession, view: FeatureView, features: Sequen
     tdt = df.schema[ts].dataType
     if bounds_us is not None:
         lo, hi = bounds_us
-        df = df.where((F.col(ts) >= micros_literal(lo, tdt)) & (F.col(ts) <= micros_literal(hi, tdt)))
+        if isinstance(tdt, (T.TimestampType, T.TimestampNTZType)):
+            df = df.where((F.col(ts) >= micros_literal(lo, tdt)) & (F.col(ts) <= micros_literal(hi, tdt)))
+        else:   # dates, strings, numbers: compare parsed micros (exact, not pushed down)
+            m = epoch_micros(ts, tdt)
+            df = df.where((m >= F.lit(lo)) & (m <= F.lit(hi)))
         part = src.date_partition_column
         if part and part in df.columns:
             pdt = df.schema[part].dataType

@@ -422,3 +422,10 @@ def test_spine_copies_with_other_key_columns(spark, kw):
     dedup = point_in_time_join_many(sp, "event_timestamp", gk, ["a"], [v], strategy, keep, dedup_spine=True)
     assert sorted(map(tuple, dedup.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert dedup.count() == (32 if keep else 31)
+
+
+def test_string_time_column_source(spark):
+    sp = spine_at(spark, (1, T0))
+    src = spark.createDataFrame([(1, (T0 - timedelta(minutes=5)).isoformat(), 1.0),
+                                 (1, (T0 - timedelta(days=3)).isoformat(), 2.0)], "id long, ts string, f double")
+    assert rows(get_historical_features(sp, [view(src)], ["v:f"])) == [(1, T0, 1.0)]
