@@ -148,7 +148,8 @@ def filter_time_range(df: DataFrame, ts: str, start, end) -> DataFrame:
     The bounds become literals of the column's own type, so the predicate is
     pushed into the Parquet scan and prunes row groups."""
     dt = df.schema[ts].dataType
-    if isinstance(dt, T.DateType):
+    if not isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        # dates, strings, numbers: compare parsed epoch micros (exact)
         m = epoch_micros(ts, dt)
         return df.where((m >= F.lit(python_to_micros(start))) & (m < F.lit(python_to_micros(end))))
     lo = micros_literal(python_to_micros(start), dt)

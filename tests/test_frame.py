@@ -123,3 +123,10 @@ def test_join_left_salting_spreads_exact_copies(spark):
     b = spark.createDataFrame([(1, 5.0)] * 40, "k long, b double").repartition(3)
     out = ops.join_left(a, b, ["k"], max_rows_per_key=10)
     assert out.count() == 40 and out.where("b = 5.0").count() == 40
+
+
+def test_filter_time_range_on_iso_strings(spark):
+    df = spark.createDataFrame([(1, "2024-01-05T10:00:00"), (2, "2024-01-04T23:59:59"), (3, "2024-01-10T00:00:00")],
+                               "id long, ts string")
+    out = ops.filter_time_range(df, "ts", datetime(2024, 1, 5), datetime(2024, 1, 10))
+    assert [r[0] for r in rows(out)] == [1]
