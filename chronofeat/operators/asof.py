@@ -239,6 +239,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
             GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))
 
     spay = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
+    # keep the map-side partial step: it merges copies of a spine row before
+    # the shuffle even when no stats job ran (explicit widths, no TTL)
     out = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)],
                                   spay.alias(SPAY))
     if v0.ttl_us is not None and not keep_unmatched:
