@@ -222,12 +222,13 @@ def q_on_demand(spark, d):
                                    ["act:f", "derived:f2"], on_demand_feature_views=[od])
 
 
-def _double_f(pdf):
-    return pdf.assign(f2=pdf["f"] * 2)
-
-
 def q_on_demand_pandas(spark, d):
-    od = OnDemandFeatureView(name="derived", transform=_double_f, pandas=True,
+    # a local function is pickled by value: Python workers need no import of
+    # this package to run it
+    def double_f(pdf):
+        return pdf.assign(f2=pdf["f"] * 2)
+
+    od = OnDemandFeatureView(name="derived", transform=double_f, pandas=True,
                              output_schema="f2 double")
     return get_historical_features(purchases(spark, d), [activity_view(spark, d)],
                                    ["act:f", "derived:f2"], on_demand_feature_views=[od])
