@@ -150,6 +150,14 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     """Training set: the spine plus, per requested feature, the value of the
     latest source row inside the view's TTL at each spine row's event time.
 
+    Options: ``strategy`` ``"bucketed"`` (default; linear, skew-aware) or
+    ``"join"`` (used per view only when the stats job bounds its pairs, else
+    bucketed); ``bucket_width`` ``"auto"`` (default: one bucket per TTL,
+    narrower only for hot keys found by the stats job), ``None`` (one bucket
+    per TTL, no stats job) or a timedelta; ``max_bucket_rows`` the row budget
+    of one window partition; ``keep_unmatched`` keeps spine rows without a
+    match in TTL views (NULL features); ``prune_by_spine_range`` bounds every
+    TTL view's scan by the spine's event-time range (one small job);
     ``checkpoint_every=N`` checkpoints the running result (into
     ``spark.checkpoint.dir``) after every N groups of views, which bounds
     lineage and plan size for requests over many entities.
