@@ -429,3 +429,44 @@ def test_string_time_column_source(spark):
     src = spark.createDataFrame([(1, (T0 - timedelta(minutes=5)).isoformat(), 1.0),
                                  (1, (T0 - timedelta(days=3)).isoformat(), 2.0)], "id long, ts string, f double")
     assert rows(get_historical_features(sp, [view(src)], ["v:f"])) == [(1, T0, 1.0)]
+
+
+@pytest.mark.parametrize("seed,keep", [(21, False), (22, True), (23, False)])
+def test_mixed_views_fold_equals_brute_force(spark, seed, keep):
+    """Two TTL views on `id` (fused), one no-TTL view on `id2`; spine rows
+    equal on (id, id2, t) collapse; TTL views drop unmatched rows unless
+    keep_unmatched; the no-TTL view keeps them."""
+    rnd = random.Random(seed)
+    base = datetime(2024, 1, 1)
+
+    def t():
+        return base + timedelta(minutes=rnd.randrange(0, 300))
+
+    spine = [(rnd.randrange(0, 4), rnd.randrange(0, 3), t()) for _ in range(40)]
+    spine += spine[:5]                                   # duplicates
+    a = [(rnd.randrange(0, 4), t(), float(rnd.randrange(9))) for _ in range(80)]
+    c = [(rnd.randrange(0, 4), t(), float(rnd.randrange(9))) for _ in range(80)]
+    b = [(rnd.randrange(0, 3), t(), float(rnd.randrange(9))) for _ in range(30)]
+    ttl = timedelta(minutes=40)
+    sp = spark.createDataFrame(spine, "id long, id2 long, event_timestamp timestamp_ntz")
+    va = view(spark.createDataFrame(a, "id long, ts timestamp_ntz, fa double"), ttl, feats=("fa",), name="va")
+    vc = view(spark.createDataFrame(c, "id long, ts timestamp_ntz, fc double"), ttl, feats=("fc",), name="vc")
+    vb = view(spark.createDataFrame(b, "id2 long, ts timestamp_ntz, fb double"), None, entities=("id2",),
+              feats=("fb",), name="vb")
+    m = lambda x: us(x)
+    pts = [(i, m(x)) for i, _, x in spine]
+    ea = brute_asof(pts, [(k, m(x), None, f) for k, x, f in a], ttl.total_seconds() * 1e6, False, keep)
+    ec = brute_asof(pts, [(k, m(x), None, f) for k, x, f in c], ttl.total_seconds() * 1e6, False, keep)
+    eb = brute_asof([(j, m(x)) for _, j, x in spine], [(k, m(x), None, f) for k, x, f in b], None, False)
+    exp = set()
+    for i, j, x in set(spine):
+        key = (i, m(x))
+        if key not in ea or key not in ec:
+            continue
+        exp.add((i, j, m(x), ea[key], eb[(j, m(x))], ec[key]))
+    for kw in [dict(), dict(max_bucket_rows=3)]:
+        got = get_historical_features(sp, [va, vb, vc], ["va:fa", "vb:fb", "vc:fc"], keep_unmatched=keep, **kw)
+        assert got.columns == ["id", "id2", "event_timestamp", "fa", "fb", "fc"]
+        got_rows = [(r[0], r[1], us(r[2]), r[3], r[4], r[5]) for r in got.collect()]
+        assert len(got_rows) == len(set(got_rows))
+        assert sorted(got_rows, key=str) == sorted(exp, key=str), kw
