@@ -456,6 +456,8 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
         u = u.unionByName(p)
     side = F.col("__cf_side")
     grp = ["__cf_v", "__cf_h", BUCKET]
+    # every collect below is bounded: one row per view, plus hot groups (each
+    # above max_bucket_rows, so at most rows / max_bucket_rows of them)
     if pair_bound:
         # a source row also counts toward the next bucket (shift 1), for the pair bound only
         shifted = u.select("*", F.explode(F.when(side == 0, F.array(F.lit(0), F.lit(1)))

@@ -112,7 +112,7 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
     hot = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cf_n")) \
         .where(F.col("__cf_n") > F.lit(max_rows_per_key)) \
         .select(*keys, F.ceil(F.col("__cf_n") / F.lit(max_rows_per_key)).cast("int").alias("__cf_salts"))
-    hot_rows = hot.collect()
+    hot_rows = hot.collect()          # at most rows / max_rows_per_key keys
     if not hot_rows:
         return left.join(right, keys, "left")
     hot_df = right.sparkSession.createDataFrame(hot_rows, hot.schema)

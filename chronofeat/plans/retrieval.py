@@ -128,7 +128,8 @@ def feature_projection(view: FeatureView, features: Sequence[str], full_feature_
 
 
 def spine_time_bounds(spine: DataFrame, ts: str) -> Optional[Tuple[int, int]]:
-    """(min, max) event time of the spine in epoch micros; one small job."""
+    """(min, max) event time of the spine in epoch micros; one small job
+    (a global aggregate: one row comes back)."""
     row = spine.agg(F.min(epoch_micros(ts, spine.schema[ts].dataType)).alias("lo"),
                     F.max(epoch_micros(ts, spine.schema[ts].dataType)).alias("hi")).first()
     if row is None or row["lo"] is None:
