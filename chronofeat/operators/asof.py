@@ -135,7 +135,8 @@ def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str]
 def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
                             keys: Sequence[str], views: Sequence[AsofView],
                             strategy: str = "bucketed", keep_unmatched: bool = False,
-                            max_bucket_rows: int = 2_000_000, dedup_spine: bool = False) -> DataFrame:
+                            max_bucket_rows: int = 2_000_000, dedup_spine: bool = False,
+                            copies_checked: bool = False) -> DataFrame:
     """As-of join several views that share the same join keys, in one pass.
 
     With the ``bucketed`` strategy and TTLs on all views, the views share one
@@ -148,7 +149,9 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     once and joins the answers back (the distinct's partial step merges
     copies on every task); a view's ``dedup_source`` keeps only the best
     source row per (keys, time) the same way.  Both are set from :func:`asof_plan_stats` when copies are
-    heavy; results are the same either way."""
+    heavy; results are the same either way.  ``copies_checked`` says the
+    stats job ran for these views, so no set of spine copies exceeds the row
+    budget: the final aggregate then skips its map-side partial step."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
     views = list(views)
@@ -157,7 +160,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
         out = spine
         for n, v in enumerate(views):
             out = point_in_time_join_many(out, spine_ts, group_key, keys, [v], strategy,
-                                          keep_unmatched, max_bucket_rows, dedup_spine and n == 0)
+                                          keep_unmatched, max_bucket_rows, dedup_spine and n == 0,
+                                          copies_checked)
         return out
     keys = list(keys)
     spine_cols = list(spine.columns)
@@ -196,6 +200,7 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     bests = [_b(i) for i in range(len(views))]
 
     v0 = views[0]
+    auto = []
     probe = sp_ok
     if dedup_spine and v0.ttl_us is not None:
         # heavy copies on (keys, time): answer each distinct point once (the
@@ -239,8 +244,14 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
             GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))
 
     spay = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
-    # keep the map-side partial step: it merges copies of a spine row before
-    # the shuffle even when no stats job ran (explicit widths, no TTL)
+    if auto and not copies_checked:
+        copies_checked = True       # the stats job above ran for every view here
+    if copies_checked and v0.ttl_us is not None:
+        # a spine row's candidates come from different window partitions, and
+        # the stats job bounded any copies: shuffle first, aggregate once
+        cands = cands.repartition(GKEY)
+    # otherwise keep the map-side partial step: it merges copies of a spine
+    # row before the shuffle (explicit widths, no TTL: no stats job ran)
     out = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)],
                                   spay.alias(SPAY))
     if v0.ttl_us is not None and not keep_unmatched:

@@ -220,6 +220,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
             widths[i] = min(ttl_micros(float(rj)), ttls[i])
     dedup_src = [False] * len(plan)
     hot_keys = [None] * len(plan)
+    checked = [False] * len(plan)
     dedup_spine = False
     strategies = [strategy] * len(plan)
     if (strategy == "bucketed" and bw == "auto") or strategy == "join":
@@ -229,6 +230,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                                                  for i in idx], max_bucket_rows,
                                     pair_bound=strategy == "join")
             for i, st in zip(idx, stats):
+                checked[i] = True
                 if strategy == "join" and not (st.join_is_bounded() and plan[i][0].join_keys):
                     # the join would form too many pairs (or has no keys):
                     # use the linear plan instead, same result
@@ -260,7 +262,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                         hot_keys[i]) for i in idx]
         result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategies[idx[0]],
                                          keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
-                                         dedup_spine=dedup_spine and n == 1)
+                                         dedup_spine=dedup_spine and n == 1,
+                                         copies_checked=all(checked[i] for i in idx))
         if checkpoint_every and n % checkpoint_every == 0 and n < len(groups):
             # cut the lineage of long requests: written to spark.checkpoint.dir
             shared_dir(spark)
