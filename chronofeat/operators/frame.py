@@ -205,12 +205,20 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[Union[s
     others = [c for c in df.columns if c not in keys]
     named_order = {c for c in order_cols if isinstance(c, str)}
     tie = [c for c in others if c not in named_order] if tie_break else []
-    order = rank_fields(df, order_cols, tie)
     orderable = all(is_orderable(df.schema[c].dataType) for c in others)
-    payload = [F.col(c) for c in others]
-    best = latest_struct_agg(order, payload, orderable).alias("__cf_best")
+    if orderable and tie_break and all(isinstance(c, str) for c in order_cols):
+        # the ranking struct (order columns, then every other column as a tie
+        # breaker) already holds the whole row: shuffle each column once
+        fields = list(dict.fromkeys([*order_cols, *tie]))
+        best = F.max(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(fields)])).alias("__cf_best")
+        name = {c: f"c{i}" for i, c in enumerate(fields)}
+    else:
+        order = rank_fields(df, order_cols, tie)
+        payload = [F.col(c) for c in others]
+        best = latest_struct_agg(order, payload, orderable).alias("__cf_best")
+        name = {c: c for c in others}
     agg = df.groupBy(*keys).agg(best) if keys else df.agg(best)
-    return agg.select(*[F.col(k) for k in keys], *[F.col("__cf_best")[c].alias(c) for c in others]) \
+    return agg.select(*[F.col(k) for k in keys], *[F.col("__cf_best")[name[c]].alias(c) for c in others]) \
         .select(*df.columns)
 
 
