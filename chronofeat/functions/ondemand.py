@@ -18,7 +18,7 @@ def apply_on_demand(df: DataFrame, odfv: OnDemandFeatureView) -> DataFrame:
         return odfv.transform(df)
     if not odfv.output_schema:
         raise ValueError(f"on-demand view {odfv.name!r}: a pandas transform needs output_schema")
-    added = T._parse_datatype_string(odfv.output_schema)
+    added = T.StructType.fromDDL(odfv.output_schema)
     if not isinstance(added, T.StructType):
         raise ValueError("output_schema must describe the added columns as a struct")
     schema = T.StructType(list(df.schema.fields) + list(added.fields))
