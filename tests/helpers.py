@@ -40,3 +40,13 @@ def brute_asof(spine, source, ttl_us, has_created, keep_unmatched=False):
         elif keep_unmatched or ttl_us is None:
             out[(k, t)] = None
     return out
+
+
+def plan_text(df) -> str:
+    """The formatted physical plan, as ``explain`` prints it."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()

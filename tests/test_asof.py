@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronofeat import DataFrameSource, FeatureView, get_historical_features
-from helpers import brute_asof, rows, us
+from helpers import plan_text, brute_asof, rows, us
 
 T0 = datetime(2021, 10, 1, 23, 59, 42)
 STRATS = [dict(strategy="bucketed"), dict(strategy="join"),
@@ -354,12 +354,12 @@ def test_join_strategy_falls_back_when_pairs_unbounded(spark):
     dense_sp = spark.createDataFrame([(1, base + timedelta(seconds=60 + i)) for i in range(60)],
                                      "id long, event_timestamp timestamp_ntz")
     out = get_historical_features(dense_sp, [view(dense_src, timedelta(hours=1))], ["v:f"], strategy="join")
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "Window" in plan
     assert {r["f"] for r in out.collect()} == {59.0}
     sparse_sp = spark.createDataFrame([(1, base + timedelta(seconds=30))], "id long, event_timestamp timestamp_ntz")
     out = get_historical_features(sparse_sp, [view(dense_src, timedelta(seconds=5))], ["v:f"], strategy="join")
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "Window" not in plan
     assert [r["f"] for r in out.collect()] == [30.0]
 

@@ -5,6 +5,8 @@ import math
 import duckdb
 import pytest
 
+from helpers import plan_text
+
 from __spark_entry__ import entry, oracle_sql, queries
 
 TABLES = ["customer", "orders", "lineitem", "events"]
@@ -46,7 +48,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, sf_dir, name):
     df = queries()[name](spark, sf_dir)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     res = duck.execute(oracle_sql()[name])

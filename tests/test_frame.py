@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronofeat.operators import frame as ops
-from helpers import rows
+from helpers import plan_text, rows
 
 T0 = datetime(2024, 1, 1)
 
@@ -54,7 +54,7 @@ def test_filter_time_range_half_open_pushed_down(spark, tmp_path_str):
     r = spark.read.parquet(tmp_path_str + "/t")
     out = ops.filter_time_range(r, "ts", datetime(2024, 1, 5), end)
     assert [x[0] for x in rows(out)] == [1, 2]
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
 
 

@@ -26,7 +26,7 @@ from chronofeat.sources.readers import (
     normalize_path,
     read_source,
 )
-from helpers import rows
+from helpers import plan_text, rows
 
 T0 = datetime(2021, 10, 1)
 
@@ -160,7 +160,7 @@ def test_date_partition_pruning(spark, tmp_path_str):
     sp = spark.createDataFrame([(1, T0 + timedelta(days=4, hours=1))], "entity_id long, event_timestamp timestamp_ntz")
     out = get_historical_features(sp, [v], ["v:f"])
     assert [r["f"] for r in out.collect()] == [4.0]
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "PartitionFilters: [isnotnull(month_year" in plan or "month_year#" in plan
 
 
