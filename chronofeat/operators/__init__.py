@@ -19,3 +19,10 @@ from .frame import (  # noqa: F401
     sort_values,
     with_sort_position,
 )
+from .asof import (  # noqa: F401,E402
+    AsofPlanStats,
+    AsofView,
+    asof_plan_stats,
+    point_in_time_join,
+    point_in_time_join_many,
+)
