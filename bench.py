@@ -17,7 +17,7 @@ from chronofeat.session import local_session  # noqa: E402
 
 HEADLINE = [
     "pit_ttl", "pit_join_strategy", "pit_created", "pit_no_ttl", "pit_multi_view",
-    "pit_fused_views", "pit_entityless", "pit_role_twice", "pit_hot_key", "pull_latest", "pull_latest_created", "pull_all",
+    "pit_fused_views", "pit_entityless", "pit_role_twice", "pull_latest", "pull_latest_created", "pull_all",
     "latest_per_key", "dedup_keep_last", "materialize_merge", "snapshot_lookup", "sort_rank",
 ]
 
