@@ -470,3 +470,18 @@ def test_mixed_views_fold_equals_brute_force(spark, seed, keep):
         got_rows = [(r[0], r[1], us(r[2]), r[3], r[4], r[5]) for r in got.collect()]
         assert len(got_rows) == len(set(got_rows))
         assert sorted(got_rows, key=str) == sorted(exp, key=str), kw
+
+
+@pytest.mark.parametrize("kw", STRATS + [dict(keep_unmatched=True)])
+def test_empty_and_null_inputs(spark, kw):
+    empty_sp = spark.createDataFrame([], "id long, event_timestamp timestamp_ntz")
+    src = spark.createDataFrame([(1, T0, 1.0)], "id long, ts timestamp_ntz, f double")
+    empty_src = spark.createDataFrame([], "id long, ts timestamp_ntz, f double")
+    assert get_historical_features(empty_sp, [view(src)], ["v:f"], **kw).count() == 0
+    sp = spine_at(spark, (1, T0))
+    got = rows(get_historical_features(sp, [view(empty_src)], ["v:f"], **kw))
+    assert got == ([(1, T0, None)] if kw.get("keep_unmatched") else [])
+    nulls = spark.createDataFrame([(None, T0), (None, None)], "id long, event_timestamp timestamp_ntz")
+    got = get_historical_features(nulls, [view(src)], ["v:f"], **kw).count()
+    assert got == (2 if kw.get("keep_unmatched") else 0)
+    assert rows(get_historical_features(sp, [view(empty_src, ttl=None)], ["v:f"])) == [(1, T0, None)]
