@@ -349,3 +349,16 @@ def test_store_materialize_incremental(spark, tmp_path_str):
     assert rows(store.get_online_features(["v:f"], [{"k": 1}, {"k": 2}])) == [(1, 1.0), (2, None)]
     store.materialize_incremental(T0 + timedelta(days=5))          # continues from the last end
     assert rows(store.get_online_features(["v:f"], [{"k": 1}])) == [(1, 2.0)]
+
+
+def test_empty_ranges_and_snapshots(spark, tmp_path_str):
+    df = spark.createDataFrame([(1, T0, 1.0)], "k long, ts timestamp_ntz, f double")
+    src = DataFrameSource(df=df, timestamp_field="ts")
+    far = T0 + timedelta(days=365)
+    assert pull_latest_from_table_or_query(src, ["k"], ["f"], "ts", None, far, far + timedelta(days=1),
+                                           spark=spark).count() == 0
+    v = FeatureView(name="v", entities=["k"], schema=["f"], source=src)
+    snap = spark.read.parquet(materialize(v, far, far + timedelta(days=1), spark=spark))
+    assert snap.count() == 0
+    keys = spark.createDataFrame([(1,)], "k long")
+    assert rows(get_online_features(snap, keys, ["k"], ["f"])) == [(1, None)]
