@@ -52,6 +52,7 @@ GKEY = "__cf_g"       # struct of the spine dedup key
 SPAY = "__cf_s"       # struct of the other spine columns
 BEST = "__cf_best"    # best ranking struct found for a spine row, one per view
 VIEW = "__cf_view"    # index of the view a source / probe row belongs to
+WIDTH = "__cf_w"      # per-row bucket width (micros), set by the row's key
 
 STRATEGIES = ("bucketed", "join")
 
@@ -299,9 +300,6 @@ def _join_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     return j.select(GKEY, SPAY, F.col(_r(0)).alias(_b(0)))
 
 
-WIDTH = "__cf_w"       # per-row bucket width (micros), by key
-
-
 def _with_width(df: DataFrame, keys: List[str], w: int, hot: Optional[DataFrame]) -> DataFrame:
     """Add the bucket width of each row's key: ``w``, or ``w >> k`` for the
     hot keys in ``hot`` (hash of keys -> k; a small table, broadcast)."""
