@@ -485,3 +485,16 @@ def test_empty_and_null_inputs(spark, kw):
     got = get_historical_features(nulls, [view(src)], ["v:f"], **kw).count()
     assert got == (2 if kw.get("keep_unmatched") else 0)
     assert rows(get_historical_features(sp, [view(empty_src, ttl=None)], ["v:f"])) == [(1, T0, None)]
+
+
+def test_date_typed_timestamp_field_and_narrower_key_type(spark):
+    """Source time column of DATE type and INT entity key, spine with a long
+    key and a timestamp: dates count as UTC midnight."""
+    from datetime import date
+    sp = spark.createDataFrame([(1, datetime(2021, 10, 1, 23, 59, 42))], "entity_id long, event_timestamp timestamp_ntz")
+    src = spark.createDataFrame([(1, date(2021, 10, 1), 1.0), (1, date(2021, 10, 2), 2.0), (1, date(2021, 9, 1), 3.0)],
+                                "entity_id int, datetime date, f0 float")
+    v = FeatureView(name="fv", entities=["entity_id"], ttl=timedelta(days=20), schema=["f0"],
+                    source=DataFrameSource(df=src, timestamp_field="datetime"))
+    for kw in STRATS:
+        assert [r["f0"] for r in get_historical_features(sp, [v], ["fv:f0"], **kw).collect()] == [1.0]
