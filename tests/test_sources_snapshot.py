@@ -362,3 +362,44 @@ def test_empty_ranges_and_snapshots(spark, tmp_path_str):
     assert snap.count() == 0
     keys = spark.createDataFrame([(1,)], "k long")
     assert rows(get_online_features(snap, keys, ["k"], ["f"])) == [(1, None)]
+
+
+class _Recorder:
+    """Stands in for a session: records which reader calls a source makes."""
+
+    def __init__(self):
+        self.calls = []
+        rec = self
+
+        class Reader:
+            def format(self, f):
+                rec.calls.append(("format", f))
+                return self
+
+            def load(self, p):
+                rec.calls.append(("load", p))
+                return "df"
+
+        class Conf:
+            def set(self, k, v):
+                rec.calls.append(("conf", k, v))
+
+        self.read = Reader()
+        self.conf = Conf()
+
+    def table(self, name):
+        self.calls.append(("table", name))
+        return "df"
+
+
+def test_delta_and_iceberg_reader_calls():
+    r = _Recorder()
+    read_source(r, DeltaSource(path="s3://bkt/tables/t", timestamp_field="ts", s3_endpoint_override="http://e"))
+    assert r.calls == [("conf", "fs.s3a.bucket.bkt.endpoint", "http://e"), ("format", "delta"),
+                       ("load", "s3a://bkt/tables/t")]
+    r = _Recorder()
+    read_source(r, IcebergSource(path="db.features", timestamp_field="ts"))
+    assert r.calls == [("table", "db.features")]
+    r = _Recorder()
+    read_source(r, IcebergSource(path="s3://bkt/wh/features", timestamp_field="ts"))
+    assert r.calls == [("format", "iceberg"), ("load", "s3://bkt/wh/features")]   # no scheme rewrite
