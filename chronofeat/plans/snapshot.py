@@ -109,13 +109,19 @@ def merge_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], timesta
 
 
 def materialize(view: FeatureView, start_date, end_date, path: Optional[str] = None,
-                previous: Optional[str] = None, spark: Optional[SparkSession] = None) -> str:
+                previous: Optional[str] = None, spark: Optional[SparkSession] = None,
+                table: Optional[str] = None, num_buckets: Optional[int] = None) -> str:
     """Write the view's latest rows in ``[start, end)`` as a Parquet snapshot.
 
-    With ``previous`` (the path of an earlier snapshot) the two are merged
-    so the newest row per key wins.  Returns the new snapshot path, by
-    default a fresh folder under ``spark.checkpoint.dir``; reading it back
-    cuts the lineage of the whole materialization."""
+    With ``previous`` (the path, or table name, of an earlier snapshot) the
+    two are merged so the newest row per key wins.  Returns the new snapshot
+    path, by default a fresh folder under ``spark.checkpoint.dir``; reading
+    it back cuts the lineage of the whole materialization.
+
+    With ``table`` and ``num_buckets`` the snapshot is written instead as a
+    catalog table bucketed and sorted by the entity keys, and the table name
+    is returned: later lookups on those keys then shuffle only the entity
+    rows, never the snapshot."""
     spark = _session(spark)
     new = view_latest(view, start_date, end_date, spark=spark)
     src = view.source
@@ -126,8 +132,15 @@ def materialize(view: FeatureView, start_date, end_date, path: Optional[str] = N
         # latest row under the constant dummy key
         new = keep_latest(new, keys, order)
     if previous:
-        old = spark.read.parquet(normalize_path(previous))
+        old = (spark.table(previous) if spark.catalog.tableExists(previous)
+               else spark.read.parquet(normalize_path(previous)))
         new = merge_snapshots(old, new, keys, src.timestamp_field, src.created_timestamp_column)
+    if table:
+        if not num_buckets:
+            raise ValueError("a bucketed snapshot table needs num_buckets")
+        new.write.mode("errorifexists").format("parquet").bucketBy(num_buckets, *keys) \
+            .sortBy(*keys).saveAsTable(table)
+        return table
     out = path or scratch_path(spark, f"snapshot-{view.name}")
     new.write.mode("errorifexists").parquet(normalize_path(out))
     return out

@@ -10,6 +10,8 @@ the snapshot paths.
 
 from __future__ import annotations
 
+import re
+
 from typing import Any, Dict, Iterable, Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,13 @@ from .session import shared_dir
 class FeatureStore:
     def __init__(self, spark: SparkSession, views: Sequence[FeatureView],
                  on_demand_views: Sequence[OnDemandFeatureView] = (),
-                 snapshot_root: Optional[str] = None):
+                 snapshot_root: Optional[str] = None, snapshot_buckets: Optional[int] = None,
+                 table_prefix: str = "chronofeat_snapshot"):
+        """``snapshot_buckets=N`` writes snapshots as catalog tables bucketed
+        by the entity keys (named ``<table_prefix>_<view>_<generation>``), so
+        lookups shuffle only the entity rows."""
+        self.snapshot_buckets = snapshot_buckets
+        self.table_prefix = table_prefix
         self.spark = spark
         self.views = list(views)
         self.on_demand_views = list(on_demand_views)
@@ -48,6 +56,11 @@ class FeatureStore:
             name = v.name_to_use()
             if views is not None and name not in views:
                 continue
+            if self.snapshot_buckets:
+                table = re.sub(r"\W", "_", f"{self.table_prefix}_{name}_{self._generation}")
+                out[name] = materialize(v, start_date, end_date, previous=self._snapshots.get(name),
+                                        spark=self.spark, table=table, num_buckets=self.snapshot_buckets)
+                continue
             path = f"{self.snapshot_root}/{name}/gen={self._generation}"
             out[name] = materialize(v, start_date, end_date, path=path,
                                     previous=self._snapshots.get(name), spark=self.spark)
@@ -74,6 +87,8 @@ class FeatureStore:
     def snapshot(self, view_name: str) -> DataFrame:
         if view_name not in self._snapshots:
             raise ValueError(f"view {view_name!r} has not been materialized")
+        if self.snapshot_buckets:
+            return self.spark.table(self._snapshots[view_name])
         return self.spark.read.parquet(self._snapshots[view_name])
 
     def get_online_features(self, features: Iterable, entity_rows: Any,

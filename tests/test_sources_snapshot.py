@@ -403,3 +403,42 @@ def test_delta_and_iceberg_reader_calls():
     r = _Recorder()
     read_source(r, IcebergSource(path="s3://bkt/wh/features", timestamp_field="ts"))
     assert r.calls == [("format", "iceberg"), ("load", "s3://bkt/wh/features")]   # no scheme rewrite
+
+
+def test_bucketed_snapshot_lookup_shuffles_only_entity_rows(spark):
+    import uuid
+    df = spark.createDataFrame([(k, T0 + timedelta(hours=k % 5), float(k)) for k in range(200)],
+                               "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=["k"], schema=["f"], source=DataFrameSource(df=df, timestamp_field="ts"))
+    name1 = f"snap_{uuid.uuid4().hex[:8]}"
+    name2 = f"snap_{uuid.uuid4().hex[:8]}"
+    materialize(v, T0, T0 + timedelta(days=1), spark=spark, table=name1, num_buckets=4)
+    newer = spark.createDataFrame([(3, T0 + timedelta(days=2), 99.0)], "k long, ts timestamp_ntz, f double")
+    v2 = FeatureView(name="v", entities=["k"], schema=["f"], source=DataFrameSource(df=newer, timestamp_field="ts"))
+    materialize(v2, T0, T0 + timedelta(days=5), spark=spark, previous=name1, table=name2, num_buckets=4)
+    keys = spark.createDataFrame([(3,), (7,), (999,)], "k long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # force the shuffle join
+    try:
+        out = get_online_features(spark.table(name2), keys, ["k"], ["f"])
+        assert rows(out) == [(3, 99.0), (7, 7.0), (999, None)]
+        plan = plan_text(out)
+        tree = plan.split("\n\n")[0]
+        scan_of_snapshot = [ln for ln in plan.split("\n") if "Bucketed: true" in ln]
+        assert scan_of_snapshot, "the snapshot scan is not read as bucketed"
+        assert tree.count("Exchange") == 1          # only the entity rows move
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE IF EXISTS {name1}")
+        spark.sql(f"DROP TABLE IF EXISTS {name2}")
+
+
+def test_store_with_bucketed_snapshots(spark):
+    import uuid
+    from chronofeat import FeatureStore
+    df = spark.createDataFrame([(1, T0, 1.0), (1, T0 + timedelta(days=2), 2.0), (2, T0, 5.0)],
+                               "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="my-view", entities=["k"], schema=["f"], source=DataFrameSource(df=df, timestamp_field="ts"))
+    store = FeatureStore(spark, [v], snapshot_buckets=4, table_prefix=f"t{uuid.uuid4().hex[:6]}")
+    store.materialize(T0, T0 + timedelta(days=1))
+    store.materialize(T0 + timedelta(days=1), T0 + timedelta(days=3))
+    assert rows(store.get_online_features(["my-view:f"], [{"k": 1}, {"k": 2}])) == [(1, 2.0), (2, 5.0)]
