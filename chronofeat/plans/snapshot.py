@@ -132,8 +132,9 @@ def materialize(view: FeatureView, start_date, end_date, path: Optional[str] = N
         # latest row under the constant dummy key
         new = keep_latest(new, keys, order)
     if previous:
-        old = (spark.table(previous) if spark.catalog.tableExists(previous)
-               else spark.read.parquet(normalize_path(previous)))
+        # a path has a slash or a scheme; anything else names a catalog table
+        is_path = "/" in previous or ":" in previous
+        old = spark.read.parquet(normalize_path(previous)) if is_path else spark.table(previous)
         new = merge_snapshots(old, new, keys, src.timestamp_field, src.created_timestamp_column)
     if table:
         if not num_buckets:
