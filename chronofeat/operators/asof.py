@@ -330,11 +330,13 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
                                 bucket_of(t, wc).alias(BUCKET),
                                 *[(F.col(_r(j)) if j == i else null_r[j]).alias(_r(j)) for j in range(n)],
                                 null_g.alias(GKEY), null_s.alias(SPAY)))
-    # each spine row yields itself (kind 1, at t) and one probe per view
-    # (kind 2, at t - ttl), all from one scan of the spine
+    # each spine row yields itself (kind 1, at t) and one probe (kind 2, at
+    # t - ttl) per distinct TTL, shared by the views with that TTL, all from
+    # one scan of the spine; a probe row's VIEW is its TTL's index
+    distinct_ttls = list(dict.fromkeys(ttls))
     items = [F.struct(t.alias(T_COL), F.lit(1).alias(KIND), F.lit(-1).alias(VIEW),
                       bucket_of(t, wc).alias(BUCKET), F.col(SPAY).alias(SPAY))]
-    for i, ttl in enumerate(ttls):
+    for i, ttl in enumerate(distinct_ttls):
         lo = t - F.lit(ttl)
         items.append(F.struct(lo.alias(T_COL), F.lit(2).alias(KIND), F.lit(i).alias(VIEW),
                               bucket_of(lo, wc).alias(BUCKET), null_s.alias(SPAY)))
@@ -354,7 +356,8 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kind, view = F.col(KIND), F.col(VIEW)
     best = [F.when(kind == 1, ranks[j].best(F.col(_r(j))).over(up))
-            .when((kind == 2) & (view == j), ranks[j].best(F.col(_r(j))).over(down)).alias(_b(j))
+            .when((kind == 2) & (view == distinct_ttls.index(ttls[j])),
+                  ranks[j].best(F.col(_r(j))).over(down)).alias(_b(j))
             for j in range(n)]
     out = u.select(KIND, GKEY, SPAY, *best).where(kind > 0).select(GKEY, SPAY, *[_b(j) for j in range(n)])
     narrowest = w >> max_k
