@@ -147,7 +147,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                             keep_unmatched: bool = False,
                             prune_by_spine_range: bool = True,
                             event_timestamp_column: Optional[str] = None,
-                            checkpoint_every: Optional[int] = None) -> DataFrame:
+                            checkpoint_every: Optional[int] = None,
+                            max_views_per_pass: int = 8) -> DataFrame:
     """Training set: the spine plus, per requested feature, the value of the
     latest source row inside the view's TTL at each spine row's event time.
 
@@ -159,6 +160,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     of one window partition; ``keep_unmatched`` keeps spine rows without a
     match in TTL views (NULL features); ``prune_by_spine_range`` bounds every
     TTL view's scan by the spine's event-time range (one small job);
+    ``max_views_per_pass`` caps how many views share one pass (each adds a
+    column to every source row of the pass);
     ``checkpoint_every=N`` checkpoints the running result (into
     ``spark.checkpoint.dir``) after every N groups of views, which bounds
     lineage and plan size for requests over many entities.
@@ -256,15 +259,19 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         else:
             gk = (tuple(view.join_keys), "single", i)
         groups.setdefault(gk, []).append(i)
+    # a fused pass gives every source row one ranking column per view (NULL
+    # but for its own, 8 bytes each in a row): cap the views per pass
+    step = max(1, max_views_per_pass)
+    passes = [(gk[0], idx[c:c + step]) for gk, idx in groups.items() for c in range(0, len(idx), step)]
     result = spine
-    for n, (gk, idx) in enumerate(groups.items(), start=1):
+    for n, (pass_keys, idx) in enumerate(passes, start=1):
         avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i], dedup_src[i],
                         hot_keys[i]) for i in idx]
-        result = point_in_time_join_many(result, ets, group_key, list(gk[0]), avs, strategy=strategies[idx[0]],
+        result = point_in_time_join_many(result, ets, group_key, list(pass_keys), avs, strategy=strategies[idx[0]],
                                          keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
                                          dedup_spine=dedup_spine and n == 1,
                                          copies_checked=all(checked[i] for i in idx))
-        if checkpoint_every and n % checkpoint_every == 0 and n < len(groups):
+        if checkpoint_every and n % checkpoint_every == 0 and n < len(passes):
             # cut the lineage of long requests: written to spark.checkpoint.dir
             shared_dir(spark)
             result = result.checkpoint(eager=True)

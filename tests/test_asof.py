@@ -498,3 +498,20 @@ def test_date_typed_timestamp_field_and_narrower_key_type(spark):
                     source=DataFrameSource(df=src, timestamp_field="datetime"))
     for kw in STRATS:
         assert [r["f0"] for r in get_historical_features(sp, [v], ["fv:f0"], **kw).collect()] == [1.0]
+
+
+def test_max_views_per_pass_splits_passes_same_result(spark):
+    base = datetime(2024, 1, 1)
+    rnd = random.Random(9)
+    sp = spark.createDataFrame([(rnd.randrange(3), base + timedelta(minutes=rnd.randrange(200))) for _ in range(30)],
+                               "id long, event_timestamp timestamp_ntz")
+    views = []
+    for name in ("x", "y", "z"):
+        df = spark.createDataFrame([(rnd.randrange(3), base + timedelta(minutes=rnd.randrange(200)),
+                                     float(rnd.randrange(9))) for _ in range(60)], f"id long, ts timestamp_ntz, {name} double")
+        views.append(view(df, timedelta(minutes=45), feats=(name,), name=name))
+    refs = ["x:x", "y:y", "z:z"]
+    one = get_historical_features(sp, views, refs, keep_unmatched=True)
+    split = get_historical_features(sp, views, refs, keep_unmatched=True, max_views_per_pass=2)
+    assert split.columns == one.columns == ["id", "event_timestamp", "x", "y", "z"]
+    assert rows(split) == rows(one)
