@@ -3,10 +3,12 @@
 ``get_historical_features`` composes one lazy DataFrame: for each requested
 view, read its source (column-pruned, time-bounded), project it (field
 mapping, key map, feature names) and as-of join it onto the running result.
-Views are folded in request order; with TTLs a spine row dropped by one view
-stays dropped.  The only eager work is one small aggregate over the spine
-(its min/max event time) used to bound every source scan; turn it off with
-``prune_by_spine_range=False``.
+Views on the same keys and bucket width share a pass; passes run one after
+another, and with TTLs a spine row dropped by one view stays dropped.  The
+only eager work is two small bounded aggregates: the spine's min/max event
+time, which bounds every source scan (``prune_by_spine_range=False`` skips
+it), and the stats job that sizes buckets for hot keys and detects heavy
+copies (``bucket_width="auto"``, also the pair bound of ``strategy="join"``).
 """
 
 from __future__ import annotations
