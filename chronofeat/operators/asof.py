@@ -12,7 +12,7 @@ Strategies (one result, different plans):
     ``ts <= t``; (b) a *suffix* of bucket ``b(t - ttl)``: rows with
     ``ts >= t - ttl``; (c) the whole buckets strictly between (none when
     ``w == ttl``).  Source rows, spine rows and one "probe" row at
-    ``t - ttl`` per spine row and view are unioned; one shuffle on
+    ``t - ttl`` per spine row and distinct TTL are unioned; one shuffle on
     ``(keys, bucket)`` feeds two running-max windows (ascending for
     prefixes, descending for suffixes); (c) joins maxima of dyadic blocks of
     buckets, O(log(ttl / w)) per spine row.  A final aggregate on the spine
