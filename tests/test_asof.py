@@ -515,3 +515,16 @@ def test_max_views_per_pass_splits_passes_same_result(spark):
     split = get_historical_features(sp, views, refs, keep_unmatched=True, max_views_per_pass=2)
     assert split.columns == one.columns == ["id", "event_timestamp", "x", "y", "z"]
     assert rows(split) == rows(one)
+
+
+def test_without_spine_range_pruning_same_result(spark):
+    base = datetime(2024, 1, 1)
+    rnd = random.Random(4)
+    sp = spark.createDataFrame([(rnd.randrange(3), base + timedelta(minutes=rnd.randrange(300))) for _ in range(30)],
+                               "id long, event_timestamp timestamp_ntz")
+    src = spark.createDataFrame([(rnd.randrange(3), base + timedelta(minutes=rnd.randrange(-200, 500)),
+                                  float(rnd.randrange(9))) for _ in range(120)], "id long, ts timestamp_ntz, f double")
+    v = view(src, timedelta(minutes=50))
+    a = get_historical_features(sp, [v], ["v:f"])
+    b = get_historical_features(sp, [v], ["v:f"], prune_by_spine_range=False, bucket_width=None)
+    assert rows(a) == rows(b)
