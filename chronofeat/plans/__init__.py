@@ -14,5 +14,6 @@ from .retrieval import (  # noqa: F401
     get_historical_features,
     prepare_entity_df,
     prepare_view_source,
+    retrieval_metadata,
     spine_time_bounds,
 )

@@ -282,3 +282,16 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     for od in ods:
         result = apply_on_demand(result, od)
     return result
+
+
+def retrieval_metadata(entity_df: Any, feature_refs: Iterable, spark: Optional[SparkSession] = None,
+                       event_timestamp_column: Optional[str] = None) -> dict:
+    """Metadata of a retrieval: the requested feature refs, the entity
+    columns (spine columns but the event time) and the spine's min / max
+    event time (one global aggregate; one row comes back)."""
+    spine = prepare_entity_df(entity_df, spark)
+    ets = event_timestamp_column or detect_event_timestamp_column(spine, DEFAULT_EVENT_TIMESTAMP_COL)
+    row = spine.agg(F.min(ets).alias("lo"), F.max(ets).alias("hi")).first()
+    return {"features": [r if isinstance(r, str) else ":".join(r) for r in feature_refs],
+            "keys": [c for c in spine.columns if c != ets],
+            "min_event_timestamp": row["lo"], "max_event_timestamp": row["hi"]}

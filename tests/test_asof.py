@@ -528,3 +528,11 @@ def test_without_spine_range_pruning_same_result(spark):
     a = get_historical_features(sp, [v], ["v:f"])
     b = get_historical_features(sp, [v], ["v:f"], prune_by_spine_range=False, bucket_width=None)
     assert rows(a) == rows(b)
+
+
+def test_retrieval_metadata(spark):
+    from chronofeat.plans import retrieval_metadata
+    sp = spine_at(spark, (1, T0), (2, T0 + timedelta(days=1)))
+    md = retrieval_metadata(sp, ["v:f", ("w", "g")])
+    assert md == {"features": ["v:f", "w:g"], "keys": ["id"], "min_event_timestamp": T0,
+                  "max_event_timestamp": T0 + timedelta(days=1)}
