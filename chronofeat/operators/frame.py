@@ -119,10 +119,16 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
     salts = F.coalesce(F.col("__cf_salts"), F.lit(1))
     r = right.join(F.broadcast(hot_df), keys, "left").withColumn(
         # round-robin inside each task: exact duplicate rows spread too
-        "__cf_salt", F.pmod(F.monotonically_increasing_id(), salts.cast("long")))
-    lft = left.join(F.broadcast(hot_df), keys, "left").withColumn(
-        "__cf_salt", F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long"))))
-    out = lft.drop("__cf_salts").join(r.drop("__cf_salts"), keys + ["__cf_salt"], "left")
+        "__cf_salt", F.pmod(F.monotonically_increasing_id(), salts.cast("long"))) \
+        .withColumn("__cf_hit", F.lit(True)).drop("__cf_salts")
+    lft = left.join(F.broadcast(hot_df), keys, "left") \
+        .withColumn("__cf_hot", F.col("__cf_salts").isNotNull()) \
+        .withColumn("__cf_salt", F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))) \
+        .drop("__cf_salts")
+    out = lft.join(r, keys + ["__cf_salt"], "left")
+    # a hot key always has right rows, so a replica of it that met none (its
+    # salt got no right row) is not an unmatched row: drop it
+    out = out.where(~F.col("__cf_hot") | F.col("__cf_hit").isNotNull())
     return out.select(*[F.col(c) for c in left.columns],
                       *[F.col(c) for c in right.columns if c not in keys])
 

@@ -130,3 +130,15 @@ def test_filter_time_range_on_iso_strings(spark):
                                "id long, ts string")
     out = ops.filter_time_range(df, "ts", datetime(2024, 1, 5), datetime(2024, 1, 10))
     assert [r[0] for r in rows(out)] == [1]
+
+
+def test_join_left_salting_empty_salt_adds_no_rows(spark):
+    """All right rows of a hot key can land in one salt (one row per task):
+    the other replicas of its left row must not become unmatched rows."""
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k long, a string")
+    # five rows, one per task: every row id is even, so with 2 salts all go to salt 0
+    b = spark.createDataFrame(spark.sparkContext.parallelize([(1, float(i)) for i in range(5)], 5),
+                              "k long, b double")
+    out = ops.join_left(a, b, ["k"], max_rows_per_key=4)
+    got = sorted(map(tuple, out.collect()), key=str)
+    assert got == sorted([(1, "x", float(i)) for i in range(5)] + [(2, "y", None)], key=str)
