@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import string
+import tempfile
+import zipfile
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -38,3 +41,24 @@ def ascii_lower(col: Column) -> Column:
 
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
+
+
+_SHIPPED = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per application
+    (Spark's own file distribution; nothing to install or to set there)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{os.path.basename(root)}.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)

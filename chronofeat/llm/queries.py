@@ -8,8 +8,13 @@ from typing import Callable, Dict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from .bpe import bpe_encode
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .ngram_join import ngram_jaccard_join
+from .packing import pack_documents
 from .quality_rules import quality_rules
 from .secrets import RULES, scan_secrets, spans_text
 
@@ -28,11 +33,23 @@ def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op3_packing(spark: SparkSession, d: str) -> DataFrame:
+    out = pack_documents(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                      "offset")
+
+
 def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_bpe(spark: SparkSession, d: str) -> DataFrame:
+    out = bpe_encode(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op6_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     found = scan_secrets(table(spark, d, "documents"))
     base = [r.kind for r in RULES if r.base]
@@ -45,11 +62,18 @@ def op6_secret_scan(spark: SparkSession, d: str) -> DataFrame:
                         spans_text(F.col("spans")).alias("spans"))
 
 
+def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, d, "documents"))
+
+
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_bpe": op5_bpe,
     "op6_secret_scan": op6_secret_scan,
+    "op8_ngram_join": op8_ngram_join,
 }
 
 ORACLES: Dict[str, str] = {}
