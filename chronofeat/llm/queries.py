@@ -12,11 +12,14 @@ import public_tokenizers
 
 from .bpe import bpe_encode
 from .exact_dedup import exact_dedup
+from .html_extract import extract_main_text, train_extractor
 from .line_dedup import line_dedup
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
+from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .secrets import RULES, scan_secrets, spans_text
+from .warc import build_derivatives, page_responses
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -62,10 +65,25 @@ def op6_secret_scan(spark: SparkSession, d: str) -> DataFrame:
                         spans_text(F.col("spans")).alias("spans"))
 
 
+def op7_warc(spark: SparkSession, d: str) -> DataFrame:
+    out = build_derivatives(page_responses(table(spark, d, "pages")), keep=("page_id",))
+    return out.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "date", "payload_digest",
+                      "block_digest", "n_bytes", F.sha2("record", 256).alias("record_sha256"))
+
+
 def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, d, "documents"))
 
 
+def op9_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    return extract_main_text(pages, train_extractor(pages))
+
+
+def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    return quality_classifier(table(spark, d, "documents"))
+
+
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -73,7 +91,10 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
     "op6_secret_scan": op6_secret_scan,
+    "op7_warc": op7_warc,
     "op8_ngram_join": op8_ngram_join,
+    "op9_html_extract": op9_html_extract,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: Dict[str, str] = {}
