@@ -8,6 +8,7 @@ import pytest
 from helpers import plan_text
 
 from __spark_entry__ import entry, oracle_sql, queries
+from chronofeat.queries import QUERIES
 
 TABLES = ["customer", "orders", "lineitem", "events"]
 
@@ -42,10 +43,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) <= set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, sf_dir, name):
     df = queries()[name](spark, sf_dir)
     plan = plan_text(df)
