@@ -3,8 +3,8 @@
 Every text is measured in its own row with built-in functions.  The rule
 failures are then counted by host, each host's failure rate is shrunk towards
 all hosts by an empirical beta prior, and the host's verdict is joined back to
-its documents.  Hosts meet their documents in an equi-join whose document side
-Spark splits where a host is hot; the counts are partial on every task.
+its documents.  A host's documents are spread over salts for that join, so a
+hot host is not one task; the counts are partial on every task.
 """
 
 from __future__ import annotations
@@ -100,8 +100,17 @@ def host_verdicts(rows: DataFrame, host_col: str, failed: Column, max_rate: floa
         .withColumn("host_rejected", F.col("host_rate") > F.lit(max_rate))
 
 
+def _with_salts(hosts: DataFrame, salts: int) -> DataFrame:
+    return hosts.withColumn("__cf_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+
+
+def _meets(host_col: str, salts: int, *spread: str) -> Column:
+    """A document's join condition with salted hosts; ``spread`` columns choose its salt."""
+    return (F.col(host_col) == F.col("__cf_host")) & (F.pmod(F.xxhash64(*spread), F.lit(salts)) == F.col("__cf_salt"))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  max_rate: float = 0.5) -> DataFrame:
+                  max_rate: float = 0.5, salts: int = 64) -> DataFrame:
     """One row per input row: the id as ``doc_id``, the measures, ``base_failed``,
     ``kept``, ``host_rate`` and ``host_rejected``.
 
@@ -112,18 +121,20 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                        F.col(text_col).alias("text")))
     rows = materialise(rows.select("doc_id", "host", "__cf_m.*"), "quality-measures")
     hosts = host_verdicts(rows, "host", F.col("base_failed"), max_rate)
-    return rows.join(hosts, F.col("host") == F.col("__cf_host"), "left").select(
+    hosts = _with_salts(materialise(hosts, "hosts"), salts)
+    return rows.join(hosts, _meets("host", salts, "doc_id", "n_words", "word_chars"), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"),
         "host_rate", F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"))
 
 
 def drop_low_quality(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-                     max_rate: float = 0.5) -> DataFrame:
+                     max_rate: float = 0.5, salts: int = 64) -> DataFrame:
     """The rows of ``docs`` that pass their own rules and their host's, all
     columns as they were.  Cases as in :func:`quality_rules`."""
     rows = with_base_rules(docs, text_col)
     rows = materialise(rows.select(*docs.columns, F.col("__cf_m.base_failed").alias("__cf_failed")), "quality-rows")
     hosts = host_verdicts(rows, host_col, F.col("__cf_failed"), max_rate).where("host_rejected").select("__cf_host")
+    hosts = _with_salts(materialise(hosts, "rejected-hosts"), salts)
     return rows.where(~F.col("__cf_failed")) \
-        .join(hosts, F.col(host_col) == F.col("__cf_host"), "left_anti").select(*docs.columns)
+        .join(hosts, _meets(host_col, salts, text_col), "left_anti").select(*docs.columns)
