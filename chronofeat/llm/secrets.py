@@ -127,7 +127,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known = _read_ledger(spark, ledger).join(F.broadcast(wanted), ["kind", "version"]) \
         .where(F.size("spans") > 0) \
         .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return paths.join(known, "blob", "left") \
+    # written first, so both sides of the join are plain exchanges and Spark can split a blob with many paths
+    return paths.join(materialise(known, "blob-findings"), "blob", "left") \
         .select("doc_id", "blob", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
 
 
