@@ -1,0 +1,232 @@
+"""Exact dedup, line dedup, quality rules and secret scans against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from helpers import plan_text
+
+from chronofeat.llm.exact_dedup import drop_exact_duplicates, exact_dedup
+from chronofeat.llm.line_dedup import ROLL, line_dedup
+from chronofeat.llm.queries import ORACLES, QUERIES
+from chronofeat.llm.quality_rules import drop_low_quality, quality_rules
+from chronofeat.llm.secrets import RULES, SecretRule, redact_secrets, scan_secrets
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def doc(i, text, source="s", lang="en"):
+    return i, text, lang, source, None if text is None else len(text)
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op4_quality_rules", "op6_secret_scan"])
+def test_query_matches_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    df = QUERIES[name](spark, sf_dir)
+    got = sorted(tuple(map(str, r)) for r in df.select(*sorted(df.columns)).collect())
+    res = con.execute(ORACLES[name])
+    cols = [c[0] for c in res.description]
+    order = sorted(range(len(cols)), key=lambda k: cols[k])
+    want = sorted(tuple(str(r[k]) for k in order) for r in res.fetchall())
+    assert sorted(df.columns) == sorted(cols) and got == want
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_line_dedup", "op4_quality_rules", "op6_secret_scan"])
+def test_native_plans_have_no_python(spark, sf_dir, name):
+    plan = plan_text(QUERIES[name](spark, sf_dir))
+    assert not re.search("Python|Arrow|Pandas|CartesianProduct", plan)
+
+
+# --- exact dedup
+
+
+def test_exact_dedup_cases(frame):
+    rows = [doc(1, "Abc É"), doc(5, "aBC É"), doc(3, "abc é"), doc(7, None), doc(8, ""), doc(None, "ABC É"),
+            doc(9, "x"), doc(9, "x"), doc(None, "lone"), doc(10, "y" * 200_000)]
+    rows += [doc(100 + k, "hot") for k in range(300)]
+    df = frame(DOCS + ", keep_id string, text_sha256 long", [r + ("clash", 1) for r in rows])
+    got = exact_dedup(df, heavy=4, tracked=16)
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    groups = defaultdict(list)
+    for r in rows:
+        groups[(r[1] or "").translate(low)].append(r[0])
+    want = []
+    for t, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        want += [(i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    kept = drop_exact_duplicates(df, heavy=4, tracked=16)
+    assert kept.columns == df.columns
+    assert sorted(str(r[0]) for r in kept.collect()) == sorted(
+        str(max((i for i in ids if i is not None), default=None)) for ids in groups.values())
+
+
+def test_exact_dedup_empty(frame):
+    assert exact_dedup(frame(DOCS)).count() == 0
+    assert drop_exact_duplicates(frame(DOCS)).count() == 0
+
+
+def test_exact_dedup_does_not_depend_on_the_split(frame):
+    rows = [doc(i, f"t{min(i % 97, 60)}") for i in range(2000)]
+    results = [sorted(map(tuple, exact_dedup(frame(DOCS, rows), heavy=h, tracked=t).collect()))
+               for h, t in ((1, 16), (64, 1024))]
+    assert results[0] == results[1]
+
+
+# --- line dedup
+
+
+def chunks(text, divisor=4):
+    lines = text.split("\n")
+    crc = [zlib.crc32(x.encode()) for x in lines]
+    out, first = [], 0
+    for i in range(len(lines)):
+        rolled = sum((crc[i - k] if i >= k else 0) * m for k, m in enumerate(ROLL))
+        if (rolled >> 8) % divisor == 0 or i == len(lines) - 1:
+            out.append((i - first + 1, "\n".join(lines[first:i + 1])))
+            first = i + 1
+    return out
+
+
+def brute_line_dedup(rows):
+    seen, out = set(), []
+    for i, t in sorted(set((r[0], r[1] or "") for r in rows)):
+        left, gone = [], 0
+        for n, body in chunks(t):
+            if n >= 2 and re.search(r"[^\x20\x09-\x0D]", body):
+                if body in seen:
+                    gone += n
+                    continue
+                seen.add(body)
+            left.append(body)
+        out.append((i, "\n".join(left), t.count("\n") + 1, gone))
+    return out
+
+
+def test_line_dedup_against_brute_force(frame):
+    shared = "\n".join(f"shared line number {k}" for k in range(40))
+    rows = [doc(k, f"own {k}\n" * (k % 5) + shared + f"\nend {k}") for k in range(30)]
+    rows += [doc(100, None), doc(101, ""), doc(102, "one line"), doc(103, "one line"), doc(104, "\n\n\n\n\n"),
+             doc(105, "\n\n\n\n\n"), doc(106, shared), doc(106, shared)]
+    got = sorted({tuple(r)[:4] for r in line_dedup(frame(DOCS, rows)).collect()})
+    assert got == sorted(brute_line_dedup(rows))
+    assert line_dedup(frame(DOCS, rows)).count() == len(rows)
+    removed = sum(r[3] for r in got)
+    assert removed > 29 * 20                        # most of the passage, wherever it stands
+
+
+def test_line_dedup_on_documents(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = df.select("doc_id", "text").collect()
+    assert sorted(tuple(r)[:4] for r in line_dedup(df).collect()) == sorted(brute_line_dedup(rows))
+
+
+def test_line_dedup_empty(frame):
+    assert line_dedup(frame(DOCS)).count() == 0
+
+
+# --- quality rules
+
+
+def brute_measures(text):
+    t = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[k:k + 3]) for k in range(len(words) - 2)]
+    many = {w for w, c in Counter(windows).items() if c > 1}
+    covered = {k + j for k, w in enumerate(windows) if w in many for j in range(3)}
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered),
+            n < 50 or 100 * len(covered) > 50 * n)
+
+
+def test_quality_measures(frame):
+    good = " ".join(f"w{k}" for k in range(60))
+    texts = [None, "", " \t\n", "a b", "a b c a b c", "é 🙂 x\x85y", good, good + "\nx\nx\n \n \nx", "go " * 200,
+             ("a b c d " * 30) + good * 3, "# * <b> |", "w " * 5000]
+    rows = [doc(k, t, source=None if k == 6 else f"s{k}") for k, t in enumerate(texts)]
+    got = {r.doc_id: tuple(r)[1:7] for r in quality_rules(frame(DOCS + ", host string", [r + ("clash",) for r in rows])).collect()}
+    assert got == {k: brute_measures(t) for k, t in enumerate(texts)}
+
+
+def test_quality_hosts(frame):
+    good = " ".join(f"w{k}" for k in range(60))
+    rows = [doc(k, good, "clean") for k in range(200)] + [doc(1000 + k, "bad", "spam") for k in range(95)]
+    rows += [doc(2000 + k, good, "spam") for k in range(5)] + [doc(3000, "bad", "small"), doc(3001, good, "small")]
+    rows += [doc(None, good, None), doc(4000, good, None)]
+    df = frame(DOCS, rows)
+    got = quality_rules(df)
+    kept = {(r.doc_id, r.kept) for r in got.collect()}
+    assert {i for i, k in kept if not k} == {*range(1000, 1095), *range(2000, 2005), 3000}
+    rates = {r.host_rate for r in got.where("doc_id = 3001").collect()}
+    assert all(0.3 < x < 0.6 for x in rates)         # one of two failed: drawn towards all hosts
+    left = drop_low_quality(df)
+    assert left.columns == df.columns and left.count() == 203
+    assert quality_rules(frame(DOCS)).count() == 0 and drop_low_quality(frame(DOCS)).count() == 0
+
+
+# --- secrets
+
+
+def brute_spans(text):
+    patterns = {"access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+",
+                "assign": r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                "pem": RULES[3].pattern, "hub": RULES[4].pattern}
+    out = []
+    for rank, r in enumerate(RULES):
+        for m in re.finditer(patterns[r.kind], text or "", re.ASCII):
+            if len(m[r.group]) >= r.min_length:
+                out.append((m.start(), rank, r.kind, m.end()))
+    return sorted(out)
+
+
+SECRETS = ["é🙂 token = abcdefghijkl x", 'API_KEY: "abc/def+ghi=jkl"', "password=short token: api_key: abcdefghijklmnop",
+           "AKIA" + "A1" * 8 + " AKIAshort", "f" * 16 + " " + "0123456789abcde" + " " + "ab" * 40, None, "", "nothing here",
+           "x" * 300_000 + " secret=abcdefghijklmnop " + "y" * 1000, "ghp_" + "a1B2" * 10, "-----BEGIN RSA PRIVATE KEY-----",
+           "token = " + "0123456789abcdef" * 2 + " PassWd='AKIA" + "B" * 20 + "'"]
+
+
+def test_secret_spans(frame):
+    rows = [doc(k, t) for k, t in enumerate(SECRETS)] + [doc(0, SECRETS[0]), doc(None, SECRETS[1]), doc(50, SECRETS[0])]
+    got = scan_secrets(frame(DOCS + ", blob string", [r + ("clash",) for r in rows]))
+    assert sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in got.collect()), key=str) == \
+        sorted(((r[0], brute_spans(r[1])) for r in rows), key=str)
+
+
+def test_secret_ledger_scans_only_what_is_new(spark, frame, tmp_path_str):
+    path = f"{tmp_path_str}/ledger"
+    one = frame(DOCS, [doc(k, t) for k, t in enumerate(SECRETS)])
+    scan_secrets(one, ledger=path).collect()
+    size = spark.read.parquet(path).count()
+    assert size == (len(SECRETS) - 1) * len(RULES)     # null and "" are one blob
+    scan_secrets(one, ledger=path).collect()
+    assert spark.read.parquet(path).count() == size
+    rules = (SecretRule("hex", r"[0-9a-f]{20,}", min_length=20, version=2, base=True),)
+    more = frame(DOCS, [doc(k, t) for k, t in enumerate(SECRETS)] + [doc(99, "c" * 24)])
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in scan_secrets(more, rules=rules, ledger=path).collect()}
+    assert got[99] == [(0, 0, "hex", 24)] and got[4] == [(33, 0, "hex", 113)]
+    assert spark.read.parquet(path).where("version = 2").count() == len(SECRETS)
+
+
+def test_redaction(frame):
+    df = frame(DOCS, [doc(k, t) for k, t in enumerate(SECRETS)])
+    out = redact_secrets(df)
+    assert out.columns == df.columns
+    for r in out.collect():
+        text, spans = SECRETS[r.doc_id], brute_spans(SECRETS[r.doc_id])
+        if not spans:
+            assert r.text == text
+            continue
+        want, at = "", 0
+        for s, _, _, e in spans:
+            if s >= at:
+                want += text[at:s] + "[REDACTED]"
+            at = max(at, e)
+        assert r.text == want + text[at:] and r.n_chars == len(r.text)
+    assert redact_secrets(frame(DOCS)).count() == 0
