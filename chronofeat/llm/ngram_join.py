@@ -254,9 +254,17 @@ class TreeWalk:
         self.shared = np.zeros(len(probes), np.int64)
         self.walked: List[np.ndarray] = [np.zeros(1, np.int64) for _ in probes]
         self.path = np.empty(0, np.uint64)
+        self.joined: Dict[int, int] = {}
 
-    def member(self, doc, n, comp, path, rest, end, half) -> Iterator[Tuple[int, int]]:
-        """(probe, doc) that may link (``rest`` > 0: so far) for the next path."""
+    def find(self, comp: int) -> int:
+        while self.joined.get(comp, comp) != comp:
+            comp = self.joined[comp]
+        return comp
+
+    def member(self, doc, n, comp, path, rest, end, half, whole) -> Iterator[Tuple[int, int]]:
+        """(probe, doc) that may link for the next path.  With ``whole`` sets a found
+        pair is a link: it joins the two components, and pairs that are joined
+        already are left out."""
         path = np.frombuffer(path, np.uint64)
         m = min(len(path), len(self.path))
         differ = np.flatnonzero(path[:m] != self.path[:m])
@@ -267,6 +275,8 @@ class TreeWalk:
         for k in np.flatnonzero(ok).tolist():
             if half and self.ids[k] >= doc:
                 continue
+            if whole and self.find(int(self.comp[k])) == self.find(comp):
+                continue
             own = self.sets[k]
             # whichever prefix ends first bounds what comes after it
             after = (self.rest[k] if self.end[k] <= end else rest) if rest or self.rest[k] else 0
@@ -280,21 +290,33 @@ class TreeWalk:
             self.walked[k] = np.concatenate([walked[:depth + 1], counts])
             self.shared[k] = len(path)
             if int(self.walked[k][-1]) + after >= need[k]:
+                if whole:
+                    self.joined[self.find(comp)] = self.find(int(self.comp[k]))
                 yield self.ids[k], doc
 
 
-def _walk(percent: int):
-    """Task code: rows sorted by group, role and path in; pairs out."""
+def _walk(percent: int, whole: bool):
+    """Task code: rows sorted by group, role and path in; links out (``whole``), or
+    of each group the documents that may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes: List[tuple] = []
-        walk, current, seen = None, None, None
+        walk, current, seen = None, None, set()
+        found: List[tuple] = []
+        docs = set()
+
+        def out():
+            kinds = [pa.int64()] * len(found[0])
+            names = ["a", "b"] if whole else [*_GROUP, "role", "doc"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
+
         for b in batches:
-            found: List[Tuple[int, int]] = []
             cols = [b.column(c).to_pylist() for c in range(b.num_columns)]
             for g1, s1, g2, s2, role, doc, n, comp, path, rest, freq, last in zip(*cols):
                 if (g1, s1, g2, s2) != current:
-                    current, probes, walk, seen = (g1, s1, g2, s2), [], None, set()
+                    if docs:
+                        found += [(*current, r, d) for r, d in sorted(docs)]
+                    current, probes, walk, seen, docs = (g1, s1, g2, s2), [], None, set(), set()
                 if role == 0:
                     if (doc, path) not in seen:
                         probes.append((doc, n, comp, path, rest, (freq, last % (1 << 64))))
@@ -302,10 +324,19 @@ def _walk(percent: int):
                     continue
                 if walk is None:
                     walk = TreeWalk(probes, percent)
-                found += walk.member(doc, n, comp, path, rest, (freq, last % (1 << 64)), (g1, s1) == (g2, s2))
+                pairs = walk.member(doc, n, comp, path, rest, (freq, last % (1 << 64)), (g1, s1) == (g2, s2), whole)
+                if whole:
+                    found += pairs
+                else:
+                    for x, y in pairs:
+                        docs.add((0, x))
+                        docs.add((1, y))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
-                                                  pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+                yield out()
+                found = []
+        if docs:
+            found += [(*current, r, d) for r, d in sorted(docs)]
+            yield out()
 
     return run
 
@@ -313,17 +344,26 @@ def _walk(percent: int):
 _GROUP = ["g1", "s1", "g2", "s2"]
 
 
-def tree_join(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of each group's probes (``role`` 0) and members (1) that
-    reach ``percent``.  ``rows``: the group's four keys, ``role, doc, n, comp,
-    path, rest`` (members after the path), ``freq, last`` (the path's end in
-    the order).  Pairs of one ``comp`` are left out, and where both halves of
-    the key are the same each pair is taken once.  With ``rest`` above 0 the
-    pairs are those that may still reach it."""
+def tree_join(rows: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Walk the probes (``role`` 0) of each group through the tree of its members
+    (1).  ``rows``: the group's four keys, ``role, doc, n, comp, path, rest``
+    (members after the path), ``freq, last`` (the path's end in the order).
+    Pairs of one ``comp`` are left out, and where both halves of the key are the
+    same each pair is taken once.
+
+    With ``whole`` sets: links ``(a, b)`` that reach ``percent``, as many as join
+    what a group's links join (a forest, never all pairs).  Else, on prefixes:
+    the group's keys, ``role, doc`` of documents in pairs that may reach it."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select(*_GROUP, "role", "doc", "n", "comp", "path", "rest", "freq", "last")
-    return rows.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP, "role", "path") \
-        .mapInArrow(_walk(percent), "a bigint, b bigint").distinct()
+    rows = rows.select(*_GROUP, F.col("role").cast("bigint"), "doc", "n", "comp", "path", "rest", "freq", "last")
+    schema = "a bigint, b bigint" if whole else ", ".join(f"{c} bigint" for c in [*_GROUP, "role", "doc"])
+    return rows.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP, "role", "path").mapInArrow(_walk(percent, whole), schema)
+
+
+def _whole(sets: DataFrame) -> DataFrame:
+    """Whole sets as rows of :func:`tree_join`."""
+    zero = F.lit(0).cast("bigint")
+    return sets.select("doc", "n", "path", zero.alias("rest"), zero.alias("freq"), zero.alias("last"))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256) -> DataFrame:
@@ -334,11 +374,10 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256) ->
         F.col("a").alias("g1"), F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / group)).alias("s1"),
         F.lit(0).cast("bigint").alias("g2"), F.lit(-1).cast("bigint").alias("s2"), "b")
     dealt = materialise(dealt, "pairs-dealt")
-    whole = sets.select("doc", "n", F.col("doc").alias("comp"), "path", F.lit(0).cast("bigint").alias("rest"),
-                        F.lit(0).cast("bigint").alias("freq"), F.lit(0).cast("bigint").alias("last"))
     probes = dealt.select(*_GROUP, F.col("g1").alias("doc"), F.lit(0).alias("role")).distinct()
     members = dealt.select(*_GROUP, F.col("b").alias("doc"), F.lit(1).alias("role"))
-    return tree_join(probes.unionByName(members).join(whole, "doc"), percent)
+    rows = probes.unionByName(members).join(_whole(sets), "doc").withColumn("comp", F.col("doc"))
+    return tree_join(rows, percent, whole=True).distinct()
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
@@ -406,8 +445,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         "prefixes")
     probes = groups.join(heads, (F.col("g1") == F.col("home")) & (F.col("s1") == F.col("part"))).withColumn("role", F.lit(0))
     members = groups.join(heads, (F.col("g2") == F.col("home")) & (F.col("s2") == F.col("part"))).withColumn("role", F.lit(1))
-    maybe = materialise(tree_join(probes.unionByName(members), percent), "pairs-left")
-    late = verify(maybe, sets, percent)
+    maybe = materialise(tree_join(probes.unionByName(members), percent, whole=False), "prefixes-left")
+    late = tree_join(maybe.join(homes.select("doc", "comp"), "doc").join(_whole(sets), "doc"), percent, whole=True)
     stars = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
     comp = connected_components(late.unionByName(stars))
     out = table.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("node"), "left")
