@@ -290,13 +290,14 @@ def vocabulary(path: str) -> WordVocabulary:
 def _blocks(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[Tuple[pa.Array, List[str]]]:
     """(ids, texts) in blocks of about ``chars`` characters."""
     for b in batches:
-        texts = [t or "" for t in b.column(1).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= chars or i == len(texts) - 1:
-                yield b.column(0).slice(start, i + 1 - start), texts[start:i + 1]
-                start, size = i + 1, 0
+        start, size, texts = 0, 0, []
+        for at in range(0, b.num_rows, 64):            # never a whole batch as Python strings
+            for i, t in enumerate(b.column(1).slice(at, 64).to_pylist(), at):
+                texts.append(t or "")
+                size += len(texts[-1])
+                if size >= chars or i == b.num_rows - 1:
+                    yield b.column(0).slice(start, i + 1 - start), texts
+                    start, size, texts = i + 1, 0, []
 
 
 def bpe_encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",

@@ -170,7 +170,7 @@ class WindowPacker:
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, length: int = 1024, end_id: int = 0,
                    id_col: str = "doc_id", text_col: str = "text", open_windows: int = 64, min_cut: int = 16,
-                   block_chars: int = 8 << 20) -> DataFrame:
+                   block_chars: int = 3 << 20) -> DataFrame:
     """One row per piece: ``doc_id, start`` (ids of the document before it),
     ``length, doc_tokens`` (with the closing ``end_id``), ``sequence_id, offset``
     (its place there) and ``ids`` (little-endian unsigned 32-bit).
