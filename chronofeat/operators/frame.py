@@ -20,6 +20,7 @@ from ..functions.timecols import (
     python_to_micros,
     ttl_micros,
 )
+from ..session import scratch_path
 
 # ---------------------------------------------------------------------------
 # Projections and schema lookups
@@ -293,6 +294,9 @@ def with_sort_position(df: DataFrame, order: Sequence[Column], pos_col: str = "p
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.shiftright(mid, 33).alias("__cf_pid"),
                            mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("__cf_idx"))
+    path = scratch_path(spark, "sorted")
+    tagged.write.parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
     counts = tagged.groupBy("__cf_pid").agg(F.count(F.lit(1)).alias("__cf_n"))
     w = Window.orderBy("__cf_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__cf_pid", F.coalesce(F.sum("__cf_n").over(w), F.lit(0)).alias("__cf_off"))

@@ -216,7 +216,11 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         vb = None
         if bounds is not None and ttl is not None:
             vb = (bounds[0] - ttl, bounds[1])
-        prepared.append(prepare_view_source(spark, view, feats, outs, vb))
+        src, has_created = prepare_view_source(spark, view, feats, outs, vb)
+        # keys in the spine's types before the stats job hashes them, so both sides hash alike
+        src = src.select(*[F.col(c).cast(spine.schema[c].dataType).alias(c) if c in view.join_keys else F.col(c)
+                           for c in src.columns])
+        prepared.append((src, has_created))
     widths = [bw] * len(plan)
     for i, (view, _, _) in enumerate(plan):
         # a Delta / Iceberg source's range-join bin size (seconds) is its bucket width

@@ -142,3 +142,14 @@ def test_join_left_salting_empty_salt_adds_no_rows(spark):
     out = ops.join_left(a, b, ["k"], max_rows_per_key=4)
     got = sorted(map(tuple, out.collect()), key=str)
     assert got == sorted([(1, "x", float(i)) for i in range(5)] + [(2, "y", None)], key=str)
+
+
+def test_sort_position_with_payload_is_exact(spark):
+    """A million rows with a payload column: positions are exactly 1..N."""
+    from pyspark.sql import functions as F
+
+    n = 1_000_000
+    df = spark.range(n).select(F.xxhash64("id").alias("k"), F.concat(F.lit("payload-"), F.col("id").cast("string")).alias("s"))
+    out = ops.with_sort_position(df, [F.col("k")], "pos", num_partitions=8)
+    got = out.agg(F.countDistinct("pos"), F.min("pos"), F.max("pos")).first()
+    assert tuple(got) == (n, 1, n)
