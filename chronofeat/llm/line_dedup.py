@@ -72,8 +72,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_doc = places.groupBy(F.col("doc_id").alias("p_id"), F.col("__cf_key").alias("p_key")) \
         .agg(F.collect_set(F.struct("nth", "hash", "stays")).alias("hits"))
     by_doc = materialise(by_doc, "line-hits")
+    # hits have no size bound: the same merge join at every size, never a broadcast
     same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("__cf_key") == F.col("p_key"))
-    bodies = base.join(by_doc, same).dropDuplicates(["p_id", "p_key"]) \
+    bodies = base.join(by_doc.hint("merge"), same).dropDuplicates(["p_id", "p_key"]) \
         .withColumn("chunks", line_chunks(F.col("text"), divisor)) \
         .select("doc_id", "__cf_key", "chunks", F.explode("hits").alias("h")) \
         .select("doc_id", "__cf_key", "h.*", F.get(F.col("chunks"), F.col("h.nth"))["body"].alias("body"))
@@ -83,7 +84,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy(F.col("doc_id").alias("g_id"), F.col("__cf_key").alias("g_key")) \
         .agg(F.collect_set("nth").alias("gone"))
     same = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("__cf_key") == F.col("g_key"))
-    rows = base.join(gone, same, "left").withColumn("chunks", F.when(
+    rows = base.join(gone.hint("merge"), same, "left").withColumn("chunks", F.when(
         F.col("gone").isNotNull(), line_chunks(F.col("text"), divisor)))
     left = F.filter(F.col("chunks"), lambda c, i: ~F.array_contains("gone", i))
     taken = F.filter(F.col("chunks"), lambda c, i: F.array_contains("gone", i))
