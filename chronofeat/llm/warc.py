@@ -210,8 +210,8 @@ def build_derivatives(records: DataFrame, record_col: str = "record", keep: Tupl
     an empty result."""
     ship_code(records.sparkSession)
     source = records.select(*keep, F.col(record_col).alias("__cf_record"))
-    schema = source.selectExpr(*[f"`{k}`" for k in keep], "'' as warc_type", "'' as record_id", "'' as refers_to", "'' as target_uri",
-                               "'' as date", "'' as payload_digest", "'' as block_digest", "0L as n_bytes",
+    schema = source.selectExpr(*[f"`{k}`" for k in keep], "cast(null as string) as warc_type", "cast(null as string) as record_id", "cast(null as string) as refers_to", "cast(null as string) as target_uri",
+                               "cast(null as string) as date", "cast(null as string) as payload_digest", "cast(null as string) as block_digest", "0L as n_bytes",
                                "cast('' as binary) as record").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
