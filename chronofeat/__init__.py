@@ -8,6 +8,7 @@ from .model import (  # noqa: F401
     DataFrameSource,
     DataSource,
     DeltaSource,
+    Entity,
     FeatureView,
     Field,
     IcebergSource,

@@ -111,7 +111,6 @@ def bucket_of(x: Column, w: Union[int, Column]) -> Column:
     """Time bucket ``floor(x / w)`` as a long, exact for negative x too.
     ``w`` is a positive constant or a per-row width column.
 
-    ``x - pmod(x, w)`` is an exact multiple of ``w``, so the quotient is an
-    integer (exact in double for |x| < 2^53 us, i.e. until year 2255)."""
+    ``x - pmod(x, w)`` is an exact multiple of ``w``, divided as integers."""
     wl = w if isinstance(w, Column) else F.lit(w)
-    return ((x - F.pmod(x, wl)) / wl).cast("long")
+    return F.call_function("div", x - F.pmod(x, wl), wl)

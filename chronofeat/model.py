@@ -30,18 +30,26 @@ class DataSource:
     (optional) the time the row was written; it outranks the event time when
     picking the latest row.  ``field_mapping`` renames raw columns
     (simultaneously) before anything else looks at them.
+
+    ``date_partition_column`` alone only names a column.  With
+    ``date_partition_grain`` (``"day"``, ``"month"`` or ``"year"``) its value
+    is declared to be the period of the row's event time, and reads bounded
+    in time skip the partitions of other periods.
     """
 
     timestamp_field: str
     created_timestamp_column: Optional[str] = None
     field_mapping: tuple = ()
     date_partition_column: Optional[str] = None
+    date_partition_grain: Optional[str] = None
     name: str = ""
     description: str = ""
     tags: tuple = ()
     owner: str = ""
 
     def __post_init__(self):
+        if self.date_partition_grain not in (None, "day", "month", "year"):
+            raise ValueError(f"unknown date_partition_grain {self.date_partition_grain!r}")
         if isinstance(self.field_mapping, Mapping):
             object.__setattr__(self, "field_mapping", _frozen_map(self.field_mapping))
         if isinstance(self.tags, Mapping):
@@ -75,14 +83,14 @@ class CsvSource(FileSource):
     schema: Optional[str] = None
     infer_schema: bool = False
     timestamp_format: Optional[str] = None
+    escape: str = "\\"
 
 
 @dataclass(frozen=True, kw_only=True)
 class DeltaSource(FileSource):
     """Delta table directory (needs the Delta connector on the classpath).
 
-    ``range_join`` is accepted for compatibility; the as-of strategy switch of
-    :func:`chronofeat.get_historical_features` replaces it."""
+    ``range_join`` (seconds) is the bucket width of the as-of join."""
 
     range_join: Optional[int] = None
 
@@ -105,6 +113,14 @@ class DataFrameSource(DataSource):
 AnySource = Union[DataSource, FileSource]
 
 
+@dataclass(frozen=True)
+class Entity:
+    """A named entity whose source column is ``join_key`` (default: its name)."""
+
+    name: str
+    join_key: Optional[str] = None
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -133,7 +149,9 @@ class FeatureView:
     join_key_map: tuple = ()
 
     def __post_init__(self):
-        object.__setattr__(self, "entities", tuple(self.entities or ()))
+        # views work with the entities' join keys
+        object.__setattr__(self, "entities", tuple(
+            (e.join_key or e.name) if isinstance(e, Entity) else e for e in (self.entities or ())))
         object.__setattr__(self, "schema", tuple(
             f if isinstance(f, Field) else Field(f) for f in (self.schema or ())))
         if isinstance(self.join_key_map, Mapping):
@@ -184,7 +202,8 @@ class OnDemandFeatureView:
     column expressions (preferred: stays in the JVM) or, with ``pandas=True``,
     a function ``pandas.DataFrame -> pandas.DataFrame`` run with
     ``mapInPandas``; then ``output_schema`` (DDL of the added columns) is
-    required.
+    required.  ``features`` lists its inputs as ``"view:feature"`` refs; they
+    are retrieved with it and stay in the result.
     """
 
     name: str
@@ -216,11 +235,13 @@ def group_feature_refs(refs: Iterable, views: Sequence[FeatureView],
     order: list = []
     feats: dict = {}
     ods: list = []
-    for r in refs:
+    work = list(refs)
+    for r in work:
         vn, f = parse_feature_ref(r)
         if vn in od_names:
             if od_names[vn] not in ods:
                 ods.append(od_names[vn])
+                work += od_names[vn].features       # its inputs, after what was asked for
             continue
         if vn not in by_name:
             raise ValueError(f"feature view {vn!r} is not defined")

@@ -159,9 +159,9 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     fusable = strategy == "bucketed" and all(v.ttl_us is not None for v in views)
     if len(views) > 1 and not fusable:
         out = spine
-        for n, v in enumerate(views):
+        for v in views:
             out = point_in_time_join_many(out, spine_ts, group_key, keys, [v], strategy,
-                                          keep_unmatched, max_bucket_rows, dedup_spine and n == 0,
+                                          keep_unmatched, max_bucket_rows, dedup_spine,
                                           copies_checked)
         return out
     keys = list(keys)
@@ -178,7 +178,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
             *([F.col(C_COL).cast("long").alias(C_COL)] if v.has_created else []),
             *[F.col(f) for f in v.features])
         rank = RankSpec(src, v.features, v.has_created)
-        ok = F.col(T_COL).isNotNull()
+        # a NULL time is outside every TTL; without TTL it only ranks lowest
+        ok = F.lit(True) if v.ttl_us is None else F.col(T_COL).isNotNull()
         for k in keys:                              # NULL keys never match
             ok = ok & F.col(k).isNotNull()
         src = src.where(ok).select(*keys, T_COL, rank.expr.alias(_r(i)))
@@ -502,7 +503,7 @@ def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
             copies[(r["__cf_v"], r["__cf_side"])] = int(r["n"])
     def slices(n: int, ttl_us: int) -> int:
         k = 0
-        while n > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1 and k < 20:
+        while n > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1:
             k += 1
         return k
 

@@ -79,8 +79,8 @@ def detect_event_timestamp_column(df: DataFrame, default: str = "event_timestamp
     if len(cands) == 1:
         return cands[0]
     raise ValueError(
-        f"Please provide an entity_df with a column named {default} representing the time of events "
-        f"(found timestamp columns {cands})")
+        f"no event time found: name one column {default!r} or pass a frame with exactly "
+        f"one timestamp column (here: {cands})")
 
 
 # ---------------------------------------------------------------------------
@@ -99,11 +99,13 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     AQE cannot split the right side of a left join.  With
     ``max_rows_per_key=N`` right-side keys holding more than N rows are
-    salted: one aggregate counts rows per key and returns only the hot keys
-    (at most ``rows / N`` of them, a proven bound), each hot key's right rows
-    spread round-robin over ``ceil(count / N)`` salts, and
-    the matching left rows are replicated once per salt.  Other keys keep
-    salt 0.  The result is the same rows."""
+    salted: rows per key are counted (partial counts on every task) and
+    joined back to both sides, where the right side's hot keys are the large
+    left side of an equi-join with a unique right side, which AQE splits.
+    Each hot key's right rows spread round-robin over ``ceil(count / N)``
+    salts, and the matching left rows are replicated once per salt.  Other
+    keys keep salt 0.  Nothing is collected or broadcast by force.  The
+    result is the same rows."""
     clash = [c for c in right.columns if c in left.columns and c not in keys]
     if clash:
         raise ValueError(f"columns {clash} exist on both sides of the join; rename or drop them")
@@ -113,16 +115,13 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
     hot = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cf_n")) \
         .where(F.col("__cf_n") > F.lit(max_rows_per_key)) \
         .select(*keys, F.ceil(F.col("__cf_n") / F.lit(max_rows_per_key)).cast("int").alias("__cf_salts"))
-    hot_rows = hot.collect()          # at most rows / max_rows_per_key keys
-    if not hot_rows:
-        return left.join(right, keys, "left")
-    hot_df = right.sparkSession.createDataFrame(hot_rows, hot.schema)
     salts = F.coalesce(F.col("__cf_salts"), F.lit(1))
-    r = right.join(F.broadcast(hot_df), keys, "left").withColumn(
-        # round-robin inside each task: exact duplicate rows spread too
-        "__cf_salt", F.pmod(F.monotonically_increasing_id(), salts.cast("long"))) \
-        .withColumn("__cf_hit", F.lit(True)).drop("__cf_salts")
-    lft = left.join(F.broadcast(hot_df), keys, "left") \
+    # numbered before the first shuffle: a task that runs again salts its rows alike,
+    # and exact duplicates spread too
+    r = right.withColumn("__cf_id", F.monotonically_increasing_id()).join(hot, keys, "left") \
+        .withColumn("__cf_salt", F.pmod(F.col("__cf_id"), salts.cast("long"))) \
+        .withColumn("__cf_hit", F.lit(True)).drop("__cf_salts", "__cf_id")
+    lft = left.join(hot, keys, "left") \
         .withColumn("__cf_hot", F.col("__cf_salts").isNotNull()) \
         .withColumn("__cf_salt", F.explode(F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))) \
         .drop("__cf_salts")

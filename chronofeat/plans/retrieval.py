@@ -13,6 +13,7 @@ copies (``bucket_width="auto"``, also the pair bound of ``strategy="join"``).
 
 from __future__ import annotations
 
+import warnings
 from typing import Any, Iterable, List, Optional, Sequence, Tuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ondemand import apply_on_demand
-from ..functions.timecols import epoch_micros, micros_literal, ttl_micros, MICROS_PER_DAY
+from ..functions.timecols import epoch_micros, micros_literal, ttl_micros
 from ..model import (
     DEFAULT_EVENT_TIMESTAMP_COL,
     FULL_NAME_SEPARATOR,
@@ -29,9 +30,9 @@ from ..model import (
     group_feature_refs,
 )
 from ..operators.asof import C_COL, T_COL, AsofView, asof_plan_stats, point_in_time_join_many
-from ..operators.frame import detect_event_timestamp_column
+from ..operators.frame import detect_event_timestamp_column, rename_columns
 from ..session import shared_dir
-from ..sources.readers import check_columns, read_source
+from ..sources.readers import check_columns, prune_partitions, read_source
 
 
 def prepare_entity_df(entity_df: Any, spark: Optional[SparkSession] = None) -> DataFrame:
@@ -54,8 +55,8 @@ def prepare_entity_df(entity_df: Any, spark: Optional[SparkSession] = None) -> D
                 pdf[c] = pdf[c].dt.tz_localize("UTC")
         return spark.createDataFrame(pdf)
     raise ValueError(
-        f"Please provide an entity_df of type pandas.DataFrame or pyspark DataFrame "
-        f"instead of type {type(entity_df)}")
+        f"cannot read entities from a {type(entity_df).__name__}: "
+        f"pass a Spark or a pandas DataFrame as entity_df")
 
 
 def output_feature_name(view: FeatureView, feature: str, full_feature_names: bool) -> str:
@@ -72,12 +73,10 @@ def prepare_view_source(spark: SparkSession, view: FeatureView, features: Sequen
     The field mapping is applied first; the key map then names the source's
     entity columns after the spine columns.  ``bounds_us`` (inclusive epoch
     micros) becomes a literal predicate on the raw time column, which reaches
-    the Parquet scan, and on the date partition column if declared."""
+    the Parquet scan, and on the date partition column if its grain is declared."""
     src = view.source
     df = read_source(spark, src)
-    mapping = src.mapping
-    if mapping:
-        df = df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
+    df = rename_columns(df, src.mapping)
     ts, cr = src.timestamp_field, src.created_timestamp_column
     check_columns(df, list(view.entities) + [ts] + ([cr] if cr else []), src)
     missing = [f for f in features if f not in df.columns]
@@ -91,15 +90,7 @@ def prepare_view_source(spark: SparkSession, view: FeatureView, features: Sequen
         else:   # dates, strings, numbers: compare parsed micros (exact, not pushed down)
             m = epoch_micros(ts, tdt)
             df = df.where((m >= F.lit(lo)) & (m <= F.lit(hi)))
-        part = src.date_partition_column
-        if part and part in df.columns:
-            pdt = df.schema[part].dataType
-            day = F.to_date(F.col(part)) if not isinstance(pdt, T.DateType) else F.col(part)
-            # one spare day each side: a partition day in any time zone
-            # (offsets are under 24 h) still holds every row of the range
-            lo_d = micros_literal(lo - lo % MICROS_PER_DAY - MICROS_PER_DAY, T.DateType())
-            hi_d = micros_literal(hi - hi % MICROS_PER_DAY + MICROS_PER_DAY, T.DateType())
-            df = df.where((day >= lo_d) & (day <= hi_d))
+        df = prune_partitions(df, src, lo, hi)
     key_map = view.key_map
     cols = [F.col(k).alias(key_map.get(k, k)) for k in view.entities]
     cols.append(epoch_micros(ts, tdt).alias(T_COL))
@@ -117,9 +108,7 @@ def feature_projection(view: FeatureView, features: Sequence[str], full_feature_
     spark = spark or SparkSession.getActiveSession()
     src = view.source
     df = read_source(spark, src)
-    mapping = src.mapping
-    if mapping:
-        df = df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
+    df = rename_columns(df, src.mapping)
     key_map = view.key_map
     ts, cr = src.timestamp_field, src.created_timestamp_column
     cols = [F.col(k).alias(key_map.get(k, k)) for k in view.entities] + [F.col(ts)]
@@ -230,7 +219,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     dedup_src = [False] * len(plan)
     hot_keys = [None] * len(plan)
     checked = [False] * len(plan)
-    dedup_spine = False
+    dedup_spine = [False] * len(plan)
     strategies = [strategy] * len(plan)
     if (strategy == "bucketed" and bw == "auto") or strategy == "join":
         idx = [i for i, t in enumerate(ttls) if t is not None]
@@ -243,6 +232,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                 if strategy == "join" and not (st.join_is_bounded() and plan[i][0].join_keys):
                     # the join would form too many pairs (or has no keys):
                     # use the linear plan instead, same result
+                    warnings.warn(f"view {plan[i][0].name_to_use()!r}: up to {st.pairs} pairs over {st.rows} rows; "
+                                  f"joined by the 'bucketed' strategy instead of 'join'", stacklevel=2)
                     strategies[i] = "bucketed"
                 if widths[i] == "auto":
                     # ordinary keys: one bucket per TTL; hot keys: narrower, per key
@@ -250,7 +241,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                     hot_keys[i] = st.hot_keys
                 if strategies[i] == "bucketed":
                     dedup_src[i] = st.source_copies
-                    dedup_spine = dedup_spine or st.spine_copies
+                    dedup_spine[i] = st.spine_copies
     # views on the same join keys and bucket width share one as-of pass (one
     # shuffle on (keys, bucket), one spine aggregate); groups run one after
     # another.  Views with other widths run apart: sharing a narrower bucket
@@ -275,7 +266,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                         hot_keys[i]) for i in idx]
         result = point_in_time_join_many(result, ets, group_key, list(pass_keys), avs, strategy=strategies[idx[0]],
                                          keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
-                                         dedup_spine=dedup_spine and n == 1,
+                                         dedup_spine=any(dedup_spine[i] for i in idx),
                                          copies_checked=all(checked[i] for i in idx))
         if checkpoint_every and n % checkpoint_every == 0 and n < len(passes):
             # cut the lineage of long requests: written to spark.checkpoint.dir

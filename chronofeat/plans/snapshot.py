@@ -16,14 +16,13 @@ from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.timecols import MICROS_PER_DAY, micros_literal, python_to_micros
+from ..functions.timecols import python_to_micros
 
 from ..model import DUMMY_ENTITY_ID, DUMMY_ENTITY_VAL, FULL_NAME_SEPARATOR, DataSource, FeatureView
-from ..operators.frame import check_unique_names, filter_time_range, keep_latest
+from ..operators.frame import check_unique_names, filter_time_range, keep_latest, rename_columns
 from ..session import scratch_path
-from ..sources.readers import check_columns, normalize_path, read_source
+from ..sources.readers import check_columns, normalize_path, prune_partitions, read_source
 
 
 def _session(spark: Optional[SparkSession]) -> SparkSession:
@@ -48,15 +47,7 @@ def pull_latest_from_table_or_query(source: DataSource, join_key_columns: Sequen
     ts_cols = [timestamp_field] + ([created_timestamp_column] if created_timestamp_column else [])
     check_columns(df, keys + ts_cols, source)
     df = filter_time_range(df, timestamp_field, start_date, end_date)
-    part = getattr(source, "date_partition_column", None)
-    if part and part in df.columns:
-        # prune partitions; one spare day each side covers partition days
-        # named in any time zone
-        lo = python_to_micros(start_date) - MICROS_PER_DAY
-        hi = python_to_micros(end_date) + MICROS_PER_DAY
-        day = F.col(part) if isinstance(df.schema[part].dataType, T.DateType) else F.to_date(F.col(part))
-        df = df.where((day >= micros_literal(lo - lo % MICROS_PER_DAY, T.DateType()))
-                      & (day <= micros_literal(hi - hi % MICROS_PER_DAY, T.DateType())))
+    df = prune_partitions(df, source, python_to_micros(start_date), python_to_micros(end_date))
     cols = check_unique_names(keys + list(feature_name_columns) + ts_cols)
     df = df.select(*cols)
     if keys:
@@ -80,9 +71,7 @@ def view_latest(view: FeatureView, start_date, end_date, spark: Optional[SparkSe
     from ..model import DataFrameSource
     spark = _session(spark)
     src = view.source
-    df = read_source(spark, src)
-    if src.mapping:
-        df = df.select(*[F.col(c).alias(src.mapping.get(c, c)) for c in df.columns])
+    df = rename_columns(read_source(spark, src), src.mapping)
     feats = list(features or view.feature_names)
     if not feats:
         # no declared schema: every column but keys, times and the partition column
@@ -92,7 +81,8 @@ def view_latest(view: FeatureView, start_date, end_date, spark: Optional[SparkSe
     return pull_latest_from_table_or_query(
         DataFrameSource(df=df, timestamp_field=src.timestamp_field,
                         created_timestamp_column=src.created_timestamp_column,
-                        date_partition_column=src.date_partition_column),
+                        date_partition_column=src.date_partition_column,
+                        date_partition_grain=src.date_partition_grain),
         list(view.entities), feats, src.timestamp_field, src.created_timestamp_column,
         start_date, end_date, spark=spark)
 

@@ -123,6 +123,37 @@ def q_pit_no_ttl(spark, d):
     return get_historical_features(purchases(spark, d), [v], ["act:f"])
 
 
+def q_pit_no_ttl_null_ts(spark, d):
+    """Signups with a value under 40 have no event time: without TTL they
+    still count and rank lowest."""
+    src = events_of(spark, d, "signup").withColumn("ts", F.when(F.col("value") >= 40, F.col("ts")))
+    v = FeatureView(name="signups", entities=["user_id"], ttl=None, schema=["g"],
+                    source=DataFrameSource(df=src, timestamp_field="ts", field_mapping={"value": "g"}))
+    return get_historical_features(purchases(spark, d), [v], ["signups:g"])
+
+
+def views_by_month(spark: SparkSession, d: str) -> ParquetSource:
+    """The view events written partitioned by month (``'2024-01'``), read
+    with that grain declared."""
+    out = scratch_path(spark, "views-by-month")
+    write_table(events_of(spark, d, "view").withColumn("month", F.date_format("ts", "yyyy-MM")), out,
+                partition_by=["month"])
+    return ParquetSource(path=out, timestamp_field="ts", field_mapping={"value": "f"},
+                         date_partition_column="month", date_partition_grain="month")
+
+
+def q_pit_month_partition(spark, d):
+    v = FeatureView(name="act", entities=["user_id"], ttl=timedelta(days=2), schema=["f"],
+                    source=views_by_month(spark, d))
+    return get_historical_features(purchases(spark, d), [v], ["act:f"])
+
+
+def q_pull_latest_month_partition(spark, d):
+    return mat.pull_latest_from_table_or_query(
+        views_by_month(spark, d), ["user_id"], ["value"], "ts", None,
+        datetime(2024, 1, 15), datetime(2024, 1, 31), spark=spark)
+
+
 def q_pit_multi_view(spark, d):
     v1 = activity_view(spark, d, "view", "act", feature="f")
     v2 = activity_view(spark, d, "click", "clk", feature="g")
@@ -170,6 +201,35 @@ def q_pit_hot_key(spark, d):
     return get_historical_features(spine, [v], ["act:f"], max_bucket_rows=50)
 
 
+def q_pit_hot_key_int_source(spark, d):
+    """The hot key again, with text keys in the source and long ones in the spine."""
+    ev = hot_events(spark, d)
+    spine = ev.where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("event_timestamp"))
+    src = ev.where(F.col("event_type") == "view").withColumn("user_id", F.col("user_id").cast("string"))
+    v = FeatureView(name="act", entities=["user_id"], ttl=timedelta(days=2), schema=["f"],
+                    source=DataFrameSource(df=src, timestamp_field="ts", field_mapping={"value": "f"}))
+    return get_historical_features(spine, [v], ["act:f"], max_bucket_rows=50)
+
+
+def copies_spine(spark: SparkSession, d: str) -> DataFrame:
+    """Purchases at the start of their day; users with a purchase under 20
+    count as user 0 of the coarser role, so its points are copied."""
+    return hot_events(spark, d).where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("purchase"), F.col("user_id").alias("member"),
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("event_timestamp"))
+
+
+def q_pit_hot_copies_second_view(spark, d):
+    """The first view's keys are unique, the second's are copied many times."""
+    own = events_of(spark, d, "purchase").select(F.col("event_id").alias("purchase"), "ts", F.col("value").alias("p"))
+    v1 = FeatureView(name="own", entities=["purchase"], ttl=None, schema=["p"],
+                     source=DataFrameSource(df=own, timestamp_field="ts"))
+    ev = hot_events(spark, d).where(F.col("event_type") == "view")
+    v2 = FeatureView(name="act", entities=["member"], ttl=timedelta(days=2), schema=["f"],
+                     source=DataFrameSource(df=ev, timestamp_field="ts", field_mapping={"value": "f", "user_id": "member"}))
+    return get_historical_features(copies_spine(spark, d), [v1, v2], ["own:p", "act:f"], max_bucket_rows=5)
+
+
 def role_spine(spark: SparkSession, d: str) -> DataFrame:
     """Purchases with two roles: the buyer, and a referrer: the user id named
     in the event's properties."""
@@ -222,6 +282,14 @@ def q_on_demand(spark, d):
                                    ["act:f", "derived:f2"], on_demand_feature_views=[od])
 
 
+def q_on_demand_inputs(spark, d):
+    """Only the derived feature is asked for; its input comes with it."""
+    od = OnDemandFeatureView(name="derived", features=("act:f",),
+                             transform=lambda df: df.withColumn("f2", F.col("f") * 2))
+    return get_historical_features(purchases(spark, d), [activity_view(spark, d)], ["derived:f2"],
+                                   on_demand_feature_views=[od])
+
+
 def q_on_demand_pandas(spark, d):
     # a local function is pickled by value: Python workers need no import of
     # this package to run it
@@ -350,6 +418,12 @@ def q_sort_rank(spark, d):
     return ops.with_sort_position(ev, order, "pos").select("event_id", "pos")
 
 
+def q_sort_rank_payload(spark, d):
+    ev = table(spark, d, "events").select("event_id", "value", "event_type", "props")
+    order = ops.sort_columns(["value", "event_id"], [True, True], na_position="first")
+    return ops.with_sort_position(ev, order, "pos")
+
+
 def q_rename_cols(spark, d):
     ev = table(spark, d, "events").select("user_id", "event_id", "value")
     return ops.rename_columns(ev, {"user_id": "event_id", "event_id": "user_id"})
@@ -403,6 +477,18 @@ def q_scan_csv(spark, d):
     return read_source(spark, src)
 
 
+def q_scan_csv_strings(spark, d):
+    """No schema: text columns, only the event time is parsed; ``props``
+    needs quoting."""
+    from .sources.readers import read_source
+    out = scratch_path(spark, "events-csv-text")
+    write_table(table(spark, d, "events"), out, fmt="csv", mode="errorifexists", header="true", escape='"')
+    raw = read_source(spark, CsvSource(path=out, timestamp_field="ts", escape='"'))
+    return raw.select(F.col("event_id").cast("long").alias("event_id"), "ts",
+                      F.col("user_id").cast("long").alias("user_id"), "event_type",
+                      F.col("value").cast("double").alias("value"), "props")
+
+
 def q_append_partitioned(spark, d):
     out = scratch_path(spark, "events-by-day")
     ev = table(spark, d, "events").select("event_id", "ts", "user_id", "value")
@@ -424,20 +510,26 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_created_subwidth": q_pit_created_subwidth,
     "pit_union_strategy": q_pit_union_strategy,
     "pit_no_ttl": q_pit_no_ttl,
+    "pit_no_ttl_null_ts": q_pit_no_ttl_null_ts,
+    "pit_month_partition": q_pit_month_partition,
     "pit_multi_view": q_pit_multi_view,
     "pit_entityless": q_pit_entityless,
     "pit_entityless_no_ttl": q_pit_entityless_no_ttl,
     "pit_fused_views": q_pit_fused_views,
     "pit_hot_key": q_pit_hot_key,
+    "pit_hot_key_int_source": q_pit_hot_key_int_source,
+    "pit_hot_copies_second_view": q_pit_hot_copies_second_view,
     "pit_role_twice": q_pit_role_twice,
     "pit_mixed_sources": q_pit_mixed_sources,
     "ts_name_collision": q_ts_name_collision,
     "detect_ts_col": q_detect_ts_col,
     "on_demand": q_on_demand,
+    "on_demand_inputs": q_on_demand_inputs,
     "on_demand_pandas": q_on_demand_pandas,
     "persist_roundtrip": q_persist_roundtrip,
     "pull_latest": q_pull_latest,
     "pull_latest_created": q_pull_latest_created,
+    "pull_latest_month_partition": q_pull_latest_month_partition,
     "pull_latest_entityless": q_pull_latest_entityless,
     "pull_all": q_pull_all,
     "materialize_merge": q_materialize_merge,
@@ -451,6 +543,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_left_salted": q_join_left_salted,
     "event_time_range": q_event_time_range,
     "sort_rank": q_sort_rank,
+    "sort_rank_payload": q_sort_rank_payload,
     "rename_cols": q_rename_cols,
     "feature_projection": q_feature_projection,
     "select_cols": q_select_cols,
@@ -460,6 +553,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_ts": q_normalize_ts,
     "scan_parquet": q_scan_parquet,
     "scan_csv": q_scan_csv,
+    "scan_csv_strings": q_scan_csv_strings,
     "append_partitioned": q_append_partitioned,
 }
 
@@ -532,6 +626,31 @@ ORACLES: Dict[str, str] = {
         "row_number() over (partition by e.user_id, e.ts order by v.ts desc, v.value desc) rn "
         "from ev e join ev v on e.user_id = v.user_id and v.event_type = 'view' and v.ts <= e.ts "
         "and v.ts >= e.ts - interval 2 day where e.event_type = 'purchase') where rn = 1"),
+    "pit_hot_copies_second_view": (
+        "with ev as (select event_id, ts, case when value < 20 then 0 else user_id end as member, "
+        "event_type, value from events), "
+        "sp as (select event_id purchase, member, date_trunc('day', ts) event_timestamp, value p from ev "
+        "where event_type = 'purchase') "
+        "select purchase, member, event_timestamp, p, f from (select sp.*, v.value f, row_number() over "
+        "(partition by purchase order by v.ts desc, v.value desc) rn from sp join ev v on sp.member = v.member "
+        "and v.event_type = 'view' and v.ts <= sp.event_timestamp and v.ts >= sp.event_timestamp - interval 2 day) "
+        "where rn = 1"),
+    "pit_no_ttl_null_ts": (
+        "select p.user_id, p.event_timestamp, s.g from (select distinct user_id, ts event_timestamp from events "
+        "where event_type = 'purchase') p left join (select user_id, value g from (select user_id, value, "
+        "row_number() over (partition by user_id order by case when value >= 40 then ts end desc nulls last, "
+        "value desc nulls last) rn from events where event_type = 'signup') where rn = 1) s "
+        "on p.user_id = s.user_id"),
+    "pit_month_partition": _PIT_TTL,
+    "pull_latest_month_partition": (
+        "select user_id, ts, value from (select user_id, ts, value, row_number() over (partition by user_id "
+        "order by ts desc, value desc nulls last) rn from events where event_type = 'view' and "
+        "ts >= timestamp '2024-01-15' and ts < timestamp '2024-01-31') where rn = 1"),
+    "on_demand_inputs": "select user_id, event_timestamp, f, f * 2 as f2 from (" + _PIT_TTL + ")",
+    "sort_rank_payload": (
+        "select event_id, value, event_type, props, row_number() over (order by value asc nulls first, "
+        "event_id asc) pos from events"),
+    "scan_csv_strings": "select event_id, ts, user_id, event_type, value, props from events",
     "pit_role_twice": (
         "with e as (select user_id buyer, cast(json_extract_string(props, '$.k') as bigint) referrer, "
         "ts event_timestamp from events where event_type = 'purchase'), "
@@ -603,3 +722,5 @@ ORACLES: Dict[str, str] = {
     "scan_csv": "select event_id, ts, user_id, event_type, value from events",
     "append_partitioned": "select event_id, ts, user_id, value, cast(ts as date) as day from events",
 }
+
+ORACLES["pit_hot_key_int_source"] = ORACLES["pit_hot_key"]

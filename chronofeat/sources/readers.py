@@ -8,6 +8,8 @@ pruning.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date, timedelta
 from typing import Iterable, Optional
 from urllib.parse import urlparse
 
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timecols import MICROS_PER_DAY, bucket_of, epoch_micros
 from ..model import (
     CsvSource,
     DataFrameSource,
@@ -51,8 +54,8 @@ def apply_endpoint_override(spark: SparkSession, source: FileSource) -> Optional
     return key
 
 
-def _read_csv(spark: SparkSession, s: CsvSource) -> DataFrame:
-    r = spark.read.option("sep", s.delimiter).option("header", str(bool(s.header)).lower())
+def _csv(reader, s: CsvSource) -> DataFrame:
+    r = reader.option("sep", s.delimiter).option("header", str(bool(s.header)).lower()).option("escape", s.escape)
     if s.schema:
         r = r.schema(s.schema)
     elif s.infer_schema:
@@ -78,7 +81,7 @@ def read_source(spark: SparkSession, source: DataSource) -> DataFrame:
     apply_endpoint_override(spark, source)
     path = normalize_path(source.path)
     if isinstance(source, CsvSource):
-        return _read_csv(spark, source)
+        return _csv(spark.read, source)
     if isinstance(source, ParquetSource):
         return spark.read.parquet(path)
     if isinstance(source, DeltaSource):
@@ -91,6 +94,45 @@ def read_source(spark: SparkSession, source: DataSource) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stream_source(spark: SparkSession, source: FileSource) -> DataFrame:
+    """Streaming read of a folder of Parquet or CSV files, typed as the
+    batch read of what lies there now."""
+    apply_endpoint_override(spark, source)
+    path = normalize_path(source.path)
+    if isinstance(source, CsvSource):
+        raw = source.schema or spark.read.option("sep", source.delimiter).option(
+            "header", str(bool(source.header)).lower()).option(
+            "inferSchema", str(bool(source.infer_schema)).lower()).csv(path).schema
+        return _csv(spark.readStream.schema(raw), replace(source, schema=None, infer_schema=False))
+    if isinstance(source, ParquetSource) or type(source) is FileSource:
+        return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    raise TypeError(f"incremental materialization cannot stream a {type(source).__name__}")
+
+
+def prune_partitions(df: DataFrame, source: DataSource, lo_us: int, hi_us: int) -> DataFrame:
+    """Skip partitions that hold no row timed in ``[lo_us, hi_us]``.
+
+    Acts only under a declared ``date_partition_grain``.  Both bounds are
+    widened by a day (partitions may be named in any time zone) and cut to
+    the grain; partitions whose value is no date stay."""
+    part, grain = source.date_partition_column, source.date_partition_grain
+    if not grain or part not in df.columns:
+        return df
+    first, last = (date.min - date(1970, 1, 1)).days, (date.max - date(1970, 1, 1)).days
+
+    def period_of(us: int):
+        day = date(1970, 1, 1) + timedelta(days=min(max(us // MICROS_PER_DAY, first), last))
+        if grain != "day":
+            day = day.replace(day=1)
+        return F.lit(day.replace(month=1) if grain == "year" else day)
+
+    period = F.col(part).cast("string").try_cast("date")
+    if grain != "day":
+        period = F.trunc(period, grain)
+    inside = (period >= period_of(lo_us - MICROS_PER_DAY)) & (period <= period_of(hi_us + MICROS_PER_DAY))
+    return df.where(period.isNull() | inside)
+
+
 def check_columns(df: DataFrame, required: Iterable[str], source: DataSource) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:
@@ -122,7 +164,6 @@ def append_partitioned_by_day(df: DataFrame, path: str, ts_col: str, day_col: st
     No shuffle: rows are only sorted by day inside each task, so a task
     writes one file per day it holds and a hot day is still spread over
     all tasks that hold it."""
-    from ..functions.timecols import MICROS_PER_DAY, bucket_of, epoch_micros
     dt = df.schema[ts_col].dataType
     day = F.date_from_unix_date(bucket_of(epoch_micros(ts_col, dt), MICROS_PER_DAY).cast("int"))
     out = df.withColumn(day_col, day).sortWithinPartitions(day_col)

@@ -5,22 +5,31 @@ feature-store user makes: historical retrieval by ``view:feature`` refs,
 materialization of a time range (merged into the previous snapshot of each
 view), and batch lookup of the latest features for entity rows.  All data
 work is lazy DataFrames; the only driver-side state is the definitions and
-the snapshot paths.
+the snapshot paths, which a ledger beside the snapshots keeps for the next
+store on the same root.
 """
 
 from __future__ import annotations
 
 import re
 
+from datetime import datetime, timedelta
 from typing import Any, Dict, Iterable, Optional, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.ondemand import apply_on_demand
+from .functions.timecols import python_to_micros
 from .model import FeatureView, OnDemandFeatureView, group_feature_refs
 from .plans.retrieval import get_historical_features, output_feature_name
 from .plans.snapshot import get_online_features, materialize
 from .session import shared_dir
+from .sources.readers import normalize_path
+
+#: One row per snapshot a store wrote.
+LEDGER = "view string, snapshot string, end_us long, generation long"
 
 
 class FeatureStore:
@@ -40,6 +49,28 @@ class FeatureStore:
         self._snapshots: Dict[str, str] = {}
         self._last_end: Dict[str, Any] = {}
         self._generation = 0
+        self._restore()
+
+    def _restore(self) -> None:
+        """Go on from the ledger of an earlier store on the same root: the
+        newest entry of each view (one row per view comes back)."""
+        try:
+            ledger = self.spark.read.schema(LEDGER).parquet(self._ledger)
+            rows = ledger.groupBy("view").agg(F.max_by(F.struct("snapshot", "end_us"), "generation").alias("x"),
+                                              F.max("generation").alias("generation")).collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        for r in rows:
+            self._snapshots[r["view"]] = r["x"]["snapshot"]
+            self._last_end[r["view"]] = datetime(1970, 1, 1) + timedelta(microseconds=r["x"]["end_us"])
+            self._generation = max(self._generation, r["generation"])
+
+    @property
+    def _ledger(self) -> str:
+        kind = f"tables-{self.table_prefix}" if self.snapshot_buckets else "folders"
+        return normalize_path(f"{self.snapshot_root}/_ledger/{kind}")
 
     def get_historical_features(self, entity_df: Any, features: Iterable, full_feature_names: bool = False,
                                 **options) -> DataFrame:
@@ -64,6 +95,9 @@ class FeatureStore:
             path = f"{self.snapshot_root}/{name}/gen={self._generation}"
             out[name] = materialize(v, start_date, end_date, path=path,
                                     previous=self._snapshots.get(name), spark=self.spark)
+        if out:
+            entries = [(n, p, python_to_micros(end_date), self._generation) for n, p in out.items()]
+            self.spark.createDataFrame(entries, LEDGER).coalesce(1).write.mode("append").parquet(self._ledger)
         self._snapshots.update(out)
         for name in out:
             self._last_end[name] = end_date
@@ -72,7 +106,6 @@ class FeatureStore:
     def materialize_incremental(self, end_date, views: Optional[Sequence[str]] = None) -> Dict[str, str]:
         """Materialize each view from where its last materialization ended
         (first time: ``end - ttl``, or the epoch without TTL) up to ``end``."""
-        from datetime import datetime
         out = {}
         for v in self.views:
             name = v.name_to_use()
@@ -99,7 +132,7 @@ class FeatureStore:
         rows = entity_rows
         if not isinstance(rows, DataFrame):
             rows = self.spark.createDataFrame(list(rows))
-        grouped, _ = group_feature_refs(list(features), self.views, self.on_demand_views)
+        grouped, ods = group_feature_refs(list(features), self.views, self.on_demand_views)
         out = rows
         for view, feats in grouped:
             snap = self.snapshot(view.name_to_use())
@@ -120,4 +153,6 @@ class FeatureStore:
             # one row per key in a snapshot: the left join cannot fan out
             out = get_online_features(snap, out, keys, [output_feature_name(view, f, full_feature_names)
                                                          for f in feats])
+        for od in ods:
+            out = apply_on_demand(out, od)
         return out

@@ -1,6 +1,6 @@
 """Incremental materialization with Structured Streaming.
 
-New files landing in a Parquet source folder are picked up as micro-batches.
+New files landing in a Parquet or CSV source folder are picked up as micro-batches.
 Each batch is reduced to its latest row per key (partial aggregate) and
 written under ``<snapshot>/batch_id=<n>``; the folder of a batch is replaced
 when Spark replays the batch, so a restart after a lost executor or driver
@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..model import FeatureView, FileSource
-from ..operators.frame import keep_latest
+from ..operators.frame import keep_latest, rename_columns
 from ..session import scratch_path
-from ..sources.readers import normalize_path
+from ..sources.readers import normalize_path, stream_source
 
 
 def _order(view: FeatureView):
@@ -33,11 +33,10 @@ def incremental_materialize(spark: SparkSession, view: FeatureView, snapshot_pat
     src = view.source
     if not isinstance(src, FileSource):
         raise TypeError("incremental materialization reads a file source folder")
-    schema = spark.read.parquet(normalize_path(src.path)).schema
     keys = list(view.entities)
     feats = view.feature_names
     cols = keys + [c for c in feats if c not in keys] + _order(view)
-    stream = spark.readStream.schema(schema).parquet(normalize_path(src.path)).select(*cols)
+    stream = rename_columns(stream_source(spark, src), src.mapping).select(*cols)
     out = normalize_path(snapshot_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

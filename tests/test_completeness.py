@@ -1,0 +1,126 @@
+"""Cases once dropped or refused: partition grains, rows without a time,
+on-demand inputs, entity join keys, a store opened again, typed streams."""
+
+import io
+from contextlib import redirect_stdout
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from chronofeat import (CsvSource, DataFrameSource, Entity, FeatureStore, FeatureView, OnDemandFeatureView,
+                        ParquetSource, get_historical_features, pull_latest_from_table_or_query)
+from chronofeat.operators import frame as ops
+
+D = datetime(2024, 1, 20)
+
+
+def by_month(spark, path):
+    spark.createDataFrame([(1, D, 7.0, "2024-01"), (1, D - timedelta(days=60), 1.0, "2023-11")],
+                          "k long, ts timestamp_ntz, f double, month string").write.partitionBy("month").parquet(path)
+
+
+@pytest.mark.parametrize("grain", [None, "month", "year"])
+def test_month_partitions_lose_no_rows(spark, tmp_path_str, grain):
+    by_month(spark, tmp_path_str + "/m")
+    src = ParquetSource(path=tmp_path_str + "/m", timestamp_field="ts", date_partition_column="month",
+                        date_partition_grain=grain)
+    v = FeatureView(name="v", entities=["k"], ttl=timedelta(days=2), schema=["f"], source=src)
+    sp = spark.createDataFrame([(1, D + timedelta(days=1))], "k long, event_timestamp timestamp_ntz")
+    assert [r["f"] for r in get_historical_features(sp, [v], ["v:f"]).collect()] == [7.0]
+    out = pull_latest_from_table_or_query(src, ["k"], ["f"], "ts", None, datetime(2024, 1, 15),
+                                          datetime(2024, 1, 31), spark=spark)
+    assert [r["f"] for r in out.collect()] == [7.0]
+
+
+def test_unknown_grain_is_refused():
+    with pytest.raises(ValueError, match="grain"):
+        ParquetSource(path="x", timestamp_field="ts", date_partition_grain="week")
+
+
+def test_no_ttl_keeps_rows_without_a_time_ranked_lowest(spark):
+    src = spark.createDataFrame([(1, None, 5.0), (2, None, 9.0), (2, D, 1.0)], "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=["k"], ttl=None, schema=["f"],
+                    source=DataFrameSource(df=src, timestamp_field="ts"))
+    sp = spark.createDataFrame([(1, D), (2, D)], "k long, event_timestamp timestamp_ntz")
+    got = get_historical_features(sp, [v], ["v:f"]).collect()
+    assert {r["k"]: r["f"] for r in got} == {1: 5.0, 2: 1.0}
+
+
+def test_on_demand_view_brings_its_inputs(spark):
+    src = spark.createDataFrame([(1, D, 5.0)], "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=["k"], ttl=None, schema=["f"],
+                    source=DataFrameSource(df=src, timestamp_field="ts"))
+    od = OnDemandFeatureView(name="d", features=("v:f",), transform=lambda df: df.withColumn("f2", F.col("f") * 2))
+    sp = spark.createDataFrame([(1, D)], "k long, event_timestamp timestamp_ntz")
+    got = get_historical_features(sp, [v], ["d:f2"], on_demand_feature_views=[od]).collect()
+    assert [(r["f"], r["f2"]) for r in got] == [(5.0, 10.0)]
+
+
+def test_entity_with_its_own_join_key(spark):
+    src = spark.createDataFrame([(1, D, 5.0)], "driver_id long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=[Entity("driver", join_key="driver_id")], ttl=None, schema=["f"],
+                    source=DataFrameSource(df=src, timestamp_field="ts"))
+    assert v.join_keys == ["driver_id"]
+    sp = spark.createDataFrame([(1, D)], "driver_id long, event_timestamp timestamp_ntz")
+    assert [r["f"] for r in get_historical_features(sp, [v], ["v:f"]).collect()] == [5.0]
+
+
+def test_a_second_store_goes_on_from_the_first(spark, tmp_path_str):
+    src = spark.createDataFrame([(1, D, 1.0), (2, D, 2.0), (1, D + timedelta(days=3), 3.0)],
+                                "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=["k"], ttl=timedelta(days=30), schema=["f"],
+                    source=DataFrameSource(df=src, timestamp_field="ts"))
+    FeatureStore(spark, [v], snapshot_root=tmp_path_str + "/store").materialize(D, D + timedelta(days=1))
+    again = FeatureStore(spark, [v], snapshot_root=tmp_path_str + "/store")
+    assert {r["k"]: r["f"] for r in again.snapshot("v").collect()} == {1: 1.0, 2: 2.0}
+    again.materialize_incremental(D + timedelta(days=5))
+    third = FeatureStore(spark, [v], snapshot_root=tmp_path_str + "/store")
+    got = third.get_online_features(["v:f"], [{"k": 1}, {"k": 2}, {"k": 3}]).collect()
+    assert {r["k"]: r["f"] for r in got} == {1: 3.0, 2: 2.0, 3: None}
+
+
+def test_stream_reads_csv_and_maps_fields(spark, tmp_path_str):
+    from chronofeat.streaming.incremental import incremental_materialize, read_snapshot
+    spark.createDataFrame([("1", "2024-01-20 00:00:00", "1.5"), ("1", "2024-01-21 00:00:00", "2.5")],
+                          "k string, ts string, value string").write.option("header", "true").csv(tmp_path_str + "/c")
+    v = FeatureView(name="v", entities=["k"], ttl=None, schema=["f"],
+                    source=CsvSource(path=tmp_path_str + "/c", timestamp_field="ts", field_mapping={"value": "f"}))
+    incremental_materialize(spark, v, tmp_path_str + "/snap",
+                            checkpoint_location=tmp_path_str + "/ck").awaitTermination()
+    assert [(r["k"], r["f"]) for r in read_snapshot(spark, v, tmp_path_str + "/snap").collect()] == [("1", "2.5")]
+
+
+def test_join_strategy_that_forms_too_many_pairs_warns(spark):
+    src = spark.createDataFrame([(1, D + timedelta(seconds=i), float(i)) for i in range(200)],
+                                "k long, ts timestamp_ntz, f double")
+    v = FeatureView(name="v", entities=["k"], ttl=timedelta(days=1), schema=["f"],
+                    source=DataFrameSource(df=src, timestamp_field="ts"))
+    sp = spark.createDataFrame([(1, D + timedelta(seconds=i)) for i in range(200)],
+                               "k long, event_timestamp timestamp_ntz")
+    with pytest.warns(UserWarning, match="bucketed"):
+        out = get_historical_features(sp, [v], ["v:f"], strategy="join")
+    assert out.count() == 200
+
+
+def test_salted_join_forces_no_broadcast(spark):
+    a = spark.range(10).withColumnRenamed("id", "k")
+    b = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("x"))
+    out = ops.join_left(a, b, ["k"], max_rows_per_key=4)
+    with redirect_stdout(io.StringIO()) as text:
+        out.explain(extended=True)
+    assert "strategy=broadcast" not in text.getvalue()
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, a.join(b, ["k"], "left").collect()), key=str)
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_sort_positions_of_a_million_rows_with_payload(spark, aqe):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        df = spark.range(1_000_000).select(F.xxhash64("id").alias("v"), "id", F.col("id").cast("string").alias("p"))
+        out = ops.with_sort_position(df, ops.sort_columns(["v", "id"], [True, True]), "pos")
+        r = out.agg(F.countDistinct("pos").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
+        assert (r["n"], r["lo"], r["hi"]) == (1_000_000, 1, 1_000_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
