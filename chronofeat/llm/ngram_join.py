@@ -62,47 +62,53 @@ def _expand(data: bytes) -> np.ndarray:
 def _deal(width: int, buckets: int, block_chars: int):
     """Task code: documents in, one row per (block of documents, bucket of members) out."""
 
+    def deal(own: pa.Array, texts: List[str], block: int) -> pa.RecordBatch:
+        rows: List[Tuple[int, int, bytes]] = []
+        sets = shingle_sets(texts, width)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        ids = own.to_numpy(zero_copy_only=False) if own.null_count == 0 else np.array(
+            [np.iinfo(np.int64).min if i is None else i for i in own.to_pylist()], np.int64)
+        known = np.array([i is not None for i in own.to_pylist()]) if own.null_count else np.ones(len(ids), bool)
+        # equal sets of a block are one; the smallest id speaks for them
+        digests = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
+        speaker: Dict[bytes, int] = {}
+        for i in np.argsort(ids, kind="stable").tolist():
+            if known[i] and sizes[i]:
+                speaker.setdefault(digests[i], i)
+        speaks = np.array([speaker.get(d, i) if k and n else i
+                           for i, (d, k, n) in enumerate(zip(digests, known, sizes.tolist()))])
+        chosen = sorted(speaker.values())
+        members = np.concatenate([np.empty(0, np.uint64), *[sets[i] for i in chosen]])
+        del sets
+        owner = np.repeat(np.array(chosen, np.int32), sizes[chosen])
+        by = np.argsort(members, kind="stable")
+        members, owner = members[by], owner[by]
+        del by
+        first = np.flatnonzero(np.concatenate([[True], members[1:] != members[:-1]])) if len(members) else \
+            np.empty(0, np.int64)
+        count = np.diff(np.concatenate([first, [len(members)]]))
+        many = count > 1
+        # a member of one document here travels with it, one of several with their number
+        token, mark = members[first], np.where(many, -count, owner[first] if len(first) else 0).astype(np.int32)
+        del members
+        home = (ids, known, sizes, speaks, digests, token[many], count[many], owner[np.repeat(many, count)])
+        rows.append((-1, block, pickle.dumps(home, 5)))
+        bounds = np.searchsorted(token, (np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets)))
+        edges = np.concatenate([[0], bounds, [len(token)]])
+        for k, (a, z) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if z > a:
+                rows.append((k, block, pickle.dumps((_squeeze(token[a:z]), mark[a:z]), 5)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()),
+             pa.array([r[0] if r[0] >= 0 else ((block + 1) * 2654435761) % buckets for r in rows], pa.int64()),
+             pa.array([r[1] for r in rows], pa.int64()),
+             pa.array([r[2] for r in rows], pa.binary())], ["kind", "bucket", "block", "payload"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for own, texts in _blocks(batches, block_chars):
-            rows: List[Tuple[int, int, bytes]] = []
-            sets = shingle_sets(texts, width)
-            ids = own.to_numpy(zero_copy_only=False) if own.null_count == 0 else np.array(
-                [np.iinfo(np.int64).min if i is None else i for i in own.to_pylist()], np.int64)
-            known = np.array([i is not None for i in own.to_pylist()]) if own.null_count else np.ones(len(ids), bool)
-            # equal sets of a block are one; the smallest id speaks for them
-            digests = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
-            speaker: Dict[bytes, int] = {}
-            for i in np.argsort(ids, kind="stable").tolist():
-                if known[i] and len(sets[i]):
-                    speaker.setdefault(digests[i], i)
-            speaks = np.array([speaker.get(d, i) if k and len(s) else i
-                               for i, (d, k, s) in enumerate(zip(digests, known, sets))])
-            chosen = sorted(speaker.values())
-            members = np.concatenate([np.empty(0, np.uint64), *[sets[i] for i in chosen]])
-            owner = np.repeat(np.array(chosen, np.int32), [len(sets[i]) for i in chosen])
-            by = np.argsort(members, kind="stable")
-            members, owner = members[by], owner[by]
-            first = np.flatnonzero(np.concatenate([[True], members[1:] != members[:-1]])) if len(members) else \
-                np.empty(0, np.int64)
-            count = np.diff(np.concatenate([first, [len(members)]]))
-            many = count > 1
-            # a member of one document here travels with it, one of several with their number
-            token, mark = members[first], np.where(many, -count, owner[first] if len(first) else 0).astype(np.int32)
-            home = (ids, known, np.array([len(s) for s in sets], np.int64), speaks, digests,
-                    token[many], count[many], owner[np.repeat(many, count)])
-            rows.append((-1, block, pickle.dumps(home, 5)))
-            bounds = np.searchsorted(token, (np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets)))
-            edges = np.concatenate([[0], bounds, [len(token)]])
-            for k, (a, z) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-                if z > a:
-                    rows.append((k, block, pickle.dumps((_squeeze(token[a:z]), mark[a:z]), 5)))
+            yield deal(own, texts, block)           # one block's arrays at a time
             block += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()),
-                 pa.array([r[0] if r[0] >= 0 else (block * 2654435761) % buckets for r in rows], pa.int64()),
-                 pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.binary())], ["kind", "bucket", "block", "payload"])
 
     return run
 
@@ -138,15 +144,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     current = None
     for b in batches:
         ready = []
-        for kind, bucket, block, payload in zip(*[b.column(c).to_pylist() for c in range(4)]):
+        # payloads stay in the batch until their group is settled
+        for kind, bucket, block, payload in zip(*[b.column(c).to_pylist() for c in range(3)], b.column(3)):
             if kind < 0:
-                ready.append((-1, block, payload))
+                ready.append((-1, block, payload.as_py()))
                 continue
             if bucket != current and group:
                 ready += settle(group)
                 group = []
             current = bucket
-            group.append((block, payload))
+            group.append((block, payload.as_buffer()))
         if ready:
             yield out(ready)
     if group:
@@ -200,12 +207,12 @@ def _order(percent: int):
 
         group, current = [], None
         for b in batches:
-            for kind, block, payload in zip(*[b.column(c).to_pylist() for c in range(3)]):
+            for kind, block, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if block != current and group:
                     yield out(list(settle(group)))
                     group = []
                 current = block
-                group.append((kind, payload))
+                group.append((kind, payload.as_buffer()))
         if group:
             yield out(list(settle(group)))
 
@@ -227,7 +234,8 @@ def ordered_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percen
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     dealt = source.mapInArrow(_deal(width, 4 * parts, block_chars),
                               "kind bigint, bucket bigint, block bigint, payload binary")
-    counted = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket") \
+    # buckets hold about as many members each: four to a partition, by number
+    counted = dealt.repartitionById(parts, F.col("bucket").cast("int")).sortWithinPartitions("bucket") \
         .mapInArrow(_count, "kind bigint, block bigint, payload binary")
     return counted.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(
         _order(percent), "doc_id bigint, n bigint, speaker bigint, digest binary, shared bigint, prefix array<bigint>, "
