@@ -187,13 +187,11 @@ def features(pages: List[List[Node]], odds: np.ndarray) -> np.ndarray:
         for v in (chars, linked, stops, blocks, elements):
             np.add.at(v, up[own_level], v[own_level])
     furniture, body = np.isin(tag, _FURNITURE).astype(float), np.isin(tag, _MAIN).astype(float)
-    above = np.zeros((4, n))               # telling tags, worst and best words among the ancestors
+    above = np.stack([furniture, body, worst, best])       # telling tags, worst and best words here or above
     for own_level in levels:
         p = up[own_level]
-        above[0, own_level] = np.maximum(above[0, p], furniture[p])
-        above[1, own_level] = np.maximum(above[1, p], body[p])
-        above[2, own_level] = np.minimum(above[2, p], worst[p])
-        above[3, own_level] = np.maximum(above[3, p], best[p])
+        above[[0, 1, 3], own_level[:, None]] = np.maximum(above[[0, 1, 3], own_level[:, None]], above[[0, 1, 3], p[:, None]])
+        above[2, own_level] = np.minimum(above[2, own_level], above[2, p])
     child = parent >= 0
     kids = np.bincount(up[child], minlength=n)
     kind = up * (len(TAGS) + 1) + tag

@@ -47,6 +47,8 @@ _FORM = ['form', 'form class="search"', 'form id="login"', 'form class="signup"'
 _TALK = ['section class="comments"', 'div id="comments"', 'div class="comment-list"', 'ol class="commentlist"',
          'section id="discussion"', 'div class="reader-comments"', 'div class="replies"', 'section class="user-comments"',
          'div id="disqus_thread"', 'div class="responses"']
+#: Tags that stand for furniture without any attribute.
+_TELLING = {"nav", "header", "footer", "aside", "form", "dialog"}
 
 
 @dataclass
@@ -71,8 +73,10 @@ class _Layout:
         return " | ".join(items)
 
     def furniture(self, kinds: Sequence[str]) -> str:
-        r, head = self.rng, None
+        r = self.rng
         head = r.choice(kinds)
+        if head.split()[0] in _TELLING and r.random() < 0.5:
+            head = head.split()[0]          # the tag alone says it
         if kinds in (_MENU, _HEAD):
             return self.wrap(head, ("<p>" + escape(self.text()[:60]) + "</p>" if kinds is _HEAD else "") + self.links(r.randint(2, 8)))
         if kinds is _FORM:
@@ -90,9 +94,9 @@ class _Layout:
         r = self.rng
         body = [self.wrap("h1" if k == 0 and r.random() < 0.7 else r.choice(["p"] * 8 + ["h2", "blockquote", "li", "div"]),
                           f'<span data-main="1"></span>{escape(t)}') for k, t in enumerate(self.main)]
-        for kinds, chance in ((_ADS, 0.25), (_SIDE, 0.1), (_NOTE, 0.1), (_FORM, 0.1)):
+        for kinds, chance in ((_ADS, 0.25), (_SIDE, 0.15), (_NOTE, 0.1), (_FORM, 0.25)):
             if r.random() < chance:
-                body.insert(r.randint(1, len(body)), self.furniture(kinds))
+                body.insert(r.choice([r.randint(1, len(body)), len(body)]), self.furniture(kinds))
         if r.random() < 0.3:
             body.append(self.furniture(_TALK))
         inner = "".join(body)
@@ -109,15 +113,15 @@ class _Layout:
 _MARK = "\ue000"        # a private character marks the main texts of a layout
 
 
-def training_rows(pages: Sequence[str], seed: int = 7, copies: int = 3) -> Tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features and labels of elements of layouts made from the texts of
-    ``pages``, and the odds of their attribute words."""
+def training_rows(pages: Sequence[str], seed: int = 7, layouts: int = 800) -> Tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features and labels of elements of ``layouts`` layouts made from the texts
+    of ``pages``, and the odds of their attribute words."""
     rng = random.Random(seed)
     texts = sorted({t for p in pages for x in parse(p) for _, t, _ in x.runs})
     if len(texts) < 4:
         texts += ["A page.", "More of the page, with a second sentence.", "Home", "About us"]
     made: List[Tuple[List[Node], np.ndarray]] = []
-    for _ in range(copies * max(len(pages), 40)):
+    for _ in range(layouts):
         main = [t for t in (rng.choice(texts) for _ in range(rng.randint(1, 14)))] + [max(rng.sample(texts, 3), key=len)]
         short = rng.choice([0.1, 0.5, 1.0])
         main = [t[:rng.randint(8, 90)] if rng.random() < short else t for t in main]
@@ -183,7 +187,7 @@ def train_extractor(pages: DataFrame, html_col: str = "html", id_col: str = "pag
     import pandas as pd
     rows = spark.createDataFrame(pd.DataFrame({"x": [r.tolist() for r in x.astype(np.float64)], "label": y}))
     rows = materialise(rows.repartition(4), "dom-training").select(array_to_vector("x").alias("features"), "label").cache()
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32).fit(rows)
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32, minInstancesPerNode=5).fit(rows)
     rows.unpersist()
     path = scratch_path(spark, "dom-trees")
     model.write().save(path)
