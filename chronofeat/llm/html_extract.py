@@ -105,6 +105,8 @@ class _Layout:
         before = [self.furniture(k) for k, c in ((_NOTE, 0.3), (_HEAD, 0.5), (_MENU, 0.8), (_ADS, 0.5), (_FORM, 0.2)) if r.random() < c]
         after = [self.furniture(k) for k, c in ((_ADS, 0.3), (_SIDE, 0.5), (_TALK, 0.5), (_FORM, 0.2), (_NOTE, 0.2), (_MENU, 0.2),
                                                 (_FOOT, 0.85)) if r.random() < c]
+        if r.random() < 0.1:                # the article alone
+            before, after = [], []
         if r.random() < 0.4:
             r.shuffle(before)
         return "<html><body>" + "".join(before) + inner + "".join(after) + "</body></html>"
@@ -122,9 +124,11 @@ def training_rows(pages: Sequence[str], seed: int = 7, layouts: int = 800) -> Tu
         texts += ["A page.", "More of the page, with a second sentence.", "Home", "About us"]
     made: List[Tuple[List[Node], np.ndarray]] = []
     for _ in range(layouts):
-        main = [t for t in (rng.choice(texts) for _ in range(rng.randint(1, 14)))] + [max(rng.sample(texts, 3), key=len)]
+        main = [rng.choice(texts) for _ in range(rng.choice([0, rng.randint(1, 14)]))] + [max(rng.sample(texts, 3), key=len)]
         short = rng.choice([0.1, 0.5, 1.0])
         main = [t[:rng.randint(8, 90)] if rng.random() < short else t for t in main]
+        if rng.random() < 0.15:             # a very long paragraph, with stops or without
+            main[-1] = " ".join([rng.choice([main[-1], main[-1].split()[0]])] * rng.randint(20, 400))
         other = [t[:rng.randint(10, 200)] for t in rng.sample(texts, min(8, len(texts)))]
         page = _Layout(rng, main, other).page().replace('<span data-main="1"></span>', _MARK)
         nodes = parse(page)
