@@ -2,8 +2,8 @@
 
 Heuristic labellers vote on every document (good, bad or no vote).  Their
 votes overlap and err; expectation-maximisation over the counts of all vote
-patterns estimates how often each labeller votes what for good and for bad
-documents, and with that every pattern's posterior.  The posteriors label a
+patterns estimates how often each labeller votes what for good documents and
+for each kind of bad ones, and with that every pattern's posterior.  The posteriors label a
 bounded sample of documents, on which a linear scorer over hashed words and
 word shapes is fitted; it then scores every document.  Votes and hashes are
 computed with numpy over blocks of texts.
@@ -90,40 +90,51 @@ def measure(texts: List[str], buckets: int) -> Tuple[List[str], np.ndarray, np.n
 
 @dataclass
 class LabelModel:
-    """Share of good documents and, for each labeller and class (bad, good), the chance of each vote (none, bad, good)."""
-    good: float
-    chance: np.ndarray              # (labellers, 2, 3)
+    """Shares of the good documents and of each kind of bad ones (kind k: the
+    fault that labeller k is written for), and for each labeller and class
+    (good, then the kinds) the chance of each vote (none, bad, good)."""
+    share: np.ndarray               # (1 + labellers,)
+    chance: np.ndarray              # (labellers, 1 + labellers, 3)
+
+    @property
+    def good(self) -> float:
+        return float(self.share[0])
+
+    def classes(self, votes: np.ndarray) -> np.ndarray:
+        """Chance of every class for documents with these votes (rows of -1, 0, 1)."""
+        logs = np.log(self.share) + sum(np.log(self.chance[k][:, votes[:, k] + 1]).T for k in range(votes.shape[1]))
+        p = np.exp(logs - logs.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """Chance that a document with these votes (rows of -1, 0, 1) is good."""
-        logs = np.log([1 - self.good, self.good]) + sum(
-            np.log(self.chance[k][:, votes[:, k] + 1]).T for k in range(votes.shape[1]))
-        return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -500, 500)))
+        """Chance that a document with these votes is good."""
+        return self.classes(votes)[:, 0]
 
 
-def fit_label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 200, prior: float = 0.85,
-                    false_alarm: float = 0.005) -> LabelModel:
+def fit_label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 200, false_alarm: float = 0.005) -> LabelModel:
     """Expectation-maximisation over vote patterns and their numbers of documents.
 
-    Starts from whether any labeller votes bad, so the classes keep their names;
-    counts are smoothed by one vote of each kind, and a bad vote is never
-    taken as a sign of a good document (nor the other way round).  Labellers are
-    written to be precise rather than complete, each for another kind of fault:
-    the share of bad votes on good documents is held to ``false_alarm``, which
-    keeps one frequent fault from defining the bad class."""
-    p = np.where((votes == 0).any(1), 1 - prior, prior)
+    Most bad documents have one fault, on which one or two labellers vote bad
+    and all others good.  With a single bad class the most frequent fault would
+    define it, so every labeller has a kind of its own.  Starts from each
+    pattern's bad votes, shared evenly among their kinds (none: good), so the
+    classes keep their names; counts are smoothed by a hundredth of a document
+    a vote.  Labellers are written to be precise rather than complete: the
+    share of bad votes on good documents is held to ``false_alarm``, and a
+    labeller votes bad on at least half of its own kind."""
+    n = votes.shape[1]
+    bad = (votes == 0).astype(np.float64)
+    p = np.concatenate([(bad.sum(1) == 0)[:, None], bad / np.maximum(bad.sum(1), 1)[:, None]], 1) * 0.98 + 0.02 / (n + 1)
+    own = np.arange(n)
     model = None
     for _ in range(rounds):
-        resp = np.stack([1 - p, p]) * weight
-        chance = np.empty((votes.shape[1], 2, 3))
-        for k in range(votes.shape[1]):
-            for v in range(3):
-                chance[k, :, v] = resp[:, votes[:, k] == v - 1].sum(1) + 1
+        resp = p * weight[:, None]
+        chance = np.stack([np.stack([resp[votes[:, k] == v].sum(0) for v in (-1, 0, 1)], 1) for k in range(n)]) + 0.01
         chance /= chance.sum(2, keepdims=True)
-        chance[:, 1, 1] = np.minimum(np.minimum(chance[:, 1, 1], chance[:, 0, 1]), false_alarm)
-        chance[:, 0, 2] = np.minimum(chance[:, 0, 2], chance[:, 1, 2])
-        model = LabelModel(float(np.clip(resp[1].sum() / max(weight.sum(), 1), 0.01, 0.99)), chance)
-        new = model.posterior(votes)
+        chance[:, 0, 1] = np.minimum(chance[:, 0, 1], false_alarm)
+        chance[own, own + 1, 1] = np.maximum(chance[own, own + 1, 1], 0.5)
+        model = LabelModel((resp.sum(0) + 0.01) / (resp.sum() + 0.01 * (n + 1)), chance)
+        new = model.classes(votes)
         if np.abs(new - p).max() < 1e-9:
             break
         p = new
