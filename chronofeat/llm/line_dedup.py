@@ -7,6 +7,10 @@ lines only and an insertion elsewhere shifts none of them.  Chunks of at least
 compared byte by byte with the first such chunk; equal ones are removed.
 Hashes are counted with partial aggregation, and only repeated chunks travel
 with their text.
+
+Chunks miss passages that hold no whole chunk, which is most passages of a few
+lines.  :func:`passage_dedup` misses none: it compares every pair of adjacent
+lines, and every long line by itself, by SHA-256.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialise, text_or_empty
+from .common import NOT_SPACE, let, materialise, text_or_empty
 
 #: Multipliers of the rolling hash, newest line first (fixed values; products stay below 2**53).
 ROLL = (1048573, 524287, 262139)
@@ -55,7 +59,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Defined cases: null text counts as empty (one empty line) and stays
     untouched; a null id ranks first; rows that repeat id and text are one
     document and come out alike, in one row each; a text of which all goes is
-    empty; an empty table gives an empty result."""
+    empty; an empty table gives an empty result.  A repeated passage that holds
+    no whole chunk stays (:func:`passage_dedup` removes it)."""
     text = text_or_empty(text_col)
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
                        F.xxhash64(F.col(id_col), text).alias("__cf_key"))
@@ -96,3 +101,79 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce(F.aggregate(taken, F.lit(0), lambda a, c: a + c["n_lines"]), F.lit(0)).cast("bigint")
         .alias("n_removed_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed_chunks"))
+
+
+#: Cuts a text before every line with a word, so lines without one stay with the line before them.
+_ITEM_END = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
+
+
+def line_units(items: Column, long_words: int) -> Column:
+    """Array of ``(nth, n, digest)``: every pair of adjacent lines (``n`` 2) and
+    every line of over ``long_words`` words (``n`` 1), with its SHA-256."""
+    def sha(x: Column) -> Column:
+        return F.unhex(F.sha2(x.cast("binary"), 256))
+
+    def units(lines: Column) -> Column:
+        digests = F.transform(lines, lambda x: F.when(x.rlike(NOT_SPACE), sha(x)))
+        return let(digests, lambda d: F.concat(
+            F.transform(d, lambda x, i: F.struct(
+                i.alias("nth"), F.lit(2).alias("n"), sha(F.concat(x, F.get(d, i + 1))).alias("digest"))),
+            F.transform(lines, lambda x, i: F.struct(
+                i.alias("nth"), F.lit(1).alias("n"),
+                # that many words take twice as many characters at least
+                F.when((F.length(x) > 2 * long_words) & (F.regexp_count(x, F.lit(NOT_SPACE + "+")) > long_words), F.get(d, i))
+                .alias("digest")))))
+
+    lines = F.transform(items, lambda x: F.substring_index(x, "\n", 1))
+    return F.filter(let(lines, units), lambda u: u["digest"].isNotNull())
+
+
+def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50) -> DataFrame:
+    """One row per input row: ``doc_id, text`` (without the removed lines),
+    ``n_lines``, ``n_removed_lines``, ``n_removed_chunks`` (removed stretches).
+
+    A passage is two adjacent lines or more, or one line of over ``long_words``
+    words.  A line goes wherever it belongs to a passage that stands at a
+    smaller (id, place) too, so every occurrence of a passage but the first is
+    removed whole.  The first place of a line always stays: the passage's
+    first occurrence holds the line at a smaller place.
+
+    Lines without a word are no part of a passage and go with the line before
+    them.  Single lines of up to ``long_words`` words stay.
+
+    Defined cases: as in :func:`line_dedup`."""
+    text = text_or_empty(text_col)
+    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
+                       F.xxhash64(F.col(id_col), text).alias("__cf_key"))
+    units = base.select("doc_id", "__cf_key", F.explode(line_units(F.split("text", _ITEM_END), long_words)).alias("u")) \
+        .select("doc_id", "__cf_key", "u.*")
+    units = materialise(units, "line-units")
+    place = F.struct("doc_id", "__cf_key", "nth")
+    firsts = units.groupBy("digest").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first")).where("c > 1").drop("c")
+    # written first, so both sides of the join are plain exchanges and Spark can split a common passage's places
+    again = units.join(materialise(firsts, "line-firsts").hint("merge"), "digest").where(~place.eqNullSafe(F.col("first")))
+    gone = again.groupBy(F.col("doc_id").alias("g_id"), F.col("__cf_key").alias("g_key")) \
+        .agg(F.collect_set(F.struct("nth", "n")).alias("hits"))
+    gone = gone.select("g_id", "g_key", F.array_sort(F.array_distinct(F.flatten(F.transform(
+        "hits", lambda h: F.sequence(h["nth"], h["nth"] + h["n"] - 1))))).alias("gone"))
+    gone = materialise(gone, "line-gone")
+    # no size bound: the same merge join at every size, never a broadcast
+    same = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("__cf_key") == F.col("g_key"))
+    rows = base.join(gone.hint("merge"), same, "left")
+
+    def left(items: Column) -> Column:
+        bounds = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size(items)))
+        return let(bounds, lambda b: F.array_join(F.flatten(F.transform(F.slice(b, 2, F.size(b)), lambda z, j: let(
+            F.get(b, j), lambda a: F.slice(items, a + 2, z - a - 1)))), "\n"))
+
+    def lines_of(items: Column) -> Column:
+        return F.aggregate("gone", F.lit(0), lambda n, i: n + F.size(F.split(F.get(items, i), "\n")))
+
+    stretches = F.size(F.filter("gone", lambda x, j: (j == 0) | (F.get("gone", j - 1) != x - 1)))
+    rows = rows.withColumn("items", F.when(F.col("gone").isNotNull(), F.split("text", _ITEM_END)))
+    return rows.select(
+        "doc_id",
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(let(F.col("items"), left)).alias("text"),
+        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
+        F.coalesce(let(F.col("items"), lines_of), F.lit(0)).cast("bigint").alias("n_removed_lines"),
+        F.when(F.col("gone").isNull(), F.lit(0)).otherwise(stretches).cast("bigint").alias("n_removed_chunks"))

@@ -13,7 +13,7 @@ import public_tokenizers
 from .bpe import bpe_encode
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text, train_extractor
-from .line_dedup import line_dedup
+from .line_dedup import passage_dedup
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
 from .quality_classifier import quality_classifier
@@ -31,7 +31,7 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    out = line_dedup(table(spark, d, "documents"))
+    out = passage_dedup(table(spark, d, "documents"))
     return out.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks",
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
