@@ -109,12 +109,21 @@ def stream_source(spark: SparkSession, source: FileSource) -> DataFrame:
     raise TypeError(f"incremental materialization cannot stream a {type(source).__name__}")
 
 
+#: Values taken as the period of a grain, finer ones included.  Without dashes only years from 1900 to 2199
+#: count, so MMyyyy and ddMMyyyy are never read as years.
+_PERIODS = {"day": r"\d{4}-\d\d-\d\d|(?:19|20|21)\d{6}"}
+_PERIODS["month"] = _PERIODS["day"] + r"|\d{4}-\d\d|(?:19|20|21)\d{4}"
+_PERIODS["year"] = _PERIODS["month"] + r"|\d{4}"
+
+
 def prune_partitions(df: DataFrame, source: DataSource, lo_us: int, hi_us: int) -> DataFrame:
     """Skip partitions that hold no row timed in ``[lo_us, hi_us]``.
 
     Acts only under a declared ``date_partition_grain``.  Both bounds are
     widened by a day (partitions may be named in any time zone) and cut to
-    the grain; partitions whose value is no date stay."""
+    the grain.  A value is read as yyyy-MM-dd or yyyyMMdd, for the grain month
+    also as yyyy-MM or yyyyMM, for year also as yyyy; numbers count as their
+    digits.  Partitions with any other value, or with no such date, stay."""
     part, grain = source.date_partition_column, source.date_partition_grain
     if not grain or part not in df.columns:
         return df
@@ -126,7 +135,9 @@ def prune_partitions(df: DataFrame, source: DataSource, lo_us: int, hi_us: int)
             day = day.replace(day=1)
         return F.lit(day.replace(month=1) if grain == "year" else day)
 
-    period = F.col(part).cast("string").try_cast("date")
+    name = F.col(part).cast("string")
+    digits = F.when(name.rlike(rf"\A(?:{_PERIODS[grain]})\z"), F.rpad(F.translate(name, "-", ""), 8, "0101"))
+    period = F.regexp_replace(digits, r"(\d{4})(\d\d)(\d\d)", "$1-$2-$3").try_cast("date")
     if grain != "day":
         period = F.trunc(period, grain)
     inside = (period >= period_of(lo_us - MICROS_PER_DAY)) & (period <= period_of(hi_us + MICROS_PER_DAY))
