@@ -11,6 +11,7 @@ fullest, so at most one sequence of a partition stays short.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from typing import Dict, Iterator, List, Tuple
 
@@ -27,12 +28,16 @@ from .wordblocks import distinct_words
 
 class ByteBpe:
     """Ids of a byte-level BPE vocabulary (JSON file of the ``tokenizers``
-    library).  Such a vocabulary always splits before a single space, so the
-    distinct words of a block are encoded once and looked up after that."""
+    library).  The pre-tokenizer splits before a single space between two
+    characters that are no white space, so the distinct words of a block are
+    encoded once and looked up after that.  A space beside other white space
+    can lie inside a token; texts that hold one are encoded whole."""
+
+    #: A space after or before white space (of any script).
+    run = re.compile(r"\x20(?:\s|(?<=\s\x20))")
 
     def __init__(self, path: str):
         import json
-        import re
 
         import tiktoken
 
@@ -70,7 +75,7 @@ class ByteBpe:
 
     def encode(self, texts: List[str]) -> Iterator[np.ndarray]:
         """Ids (uint32) of each text."""
-        plain = [t if t and "  " not in t and t[0] != " " and t[-1] != " " and "<|" not in t else "" for t in texts]
+        plain = [t if t and t[0] != " " and t[-1] != " " and "<|" not in t and not self.run.search(t) else "" for t in texts]
         datas = [t.encode() for t in plain]
         data = b" ".join(datas)
         space = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
