@@ -35,13 +35,21 @@ class SecretRule:
     base: bool = False
 
 
+#: A private key in PEM form: from its BEGIN mark to the END mark of that label, if that is the next mark; else to the
+#: end of the base64 lines (of 24 characters or more, and a shorter last one) that follow, and the mark alone if none
+#: do.  Line ends may be written as \\n, as in JSON.  Loops are possessive: no backtracking, no recursion in Java.
+_PEM_GAP = r"(?:\s|\\[nr])++"
+_PEM = (r"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END \1PRIVATE KEY-----"
+        rf"|(?:{_PEM_GAP}(?:Proc-Type|DEK-Info):\x20?[^\s\\]++)*+(?:{_PEM_GAP}[A-Za-z0-9+/=]{{24,}}+)++"
+        rf"(?:{_PEM_GAP}(?:[A-Za-z0-9+/=]++(?![^\r\n\\])|(?=[A-Za-z]*+[0-9+/=])[A-Za-z0-9+/=]++(?!\S)))?+)?+")
+
 #: A run of at least 16 (18) characters is the same match as a run of any length that is dropped below that.
 RULES = (
     SecretRule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                group=2, min_length=12, base=True),
     SecretRule("access", r"AKIA[A-Z0-9]{14,}", min_length=18, base=True),
     SecretRule("hex", r"[0-9a-f]{16,}", min_length=16, base=True),
-    SecretRule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    SecretRule("pem", _PEM, version=3),
     SecretRule("hub", r"gh[pousr]_[A-Za-z0-9]{36,}", min_length=40),
 )
 

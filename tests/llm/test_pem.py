@@ -1,0 +1,53 @@
+"""A private key is found and redacted whole."""
+
+import pytest
+
+from chronofeat.llm.secrets import redact_secrets, scan_secrets
+
+DOCS = "doc_id long, text string, n_chars long"
+LINES = [("MIIEowIBAAKCAQEA" + "aB3+/x9Z" * 8)[:64] for _ in range(5)]
+BODY = "\n".join(LINES) + "\nq83vEjRWeJq="
+
+
+def key(label="RSA ", body=BODY, end=None):
+    end = label if end is None else end
+    return f"-----BEGIN {label}PRIVATE KEY-----\n{body}\n-----END {end}PRIVATE KEY-----"
+
+
+OPEN = "-----BEGIN RSA PRIVATE KEY-----\n" + BODY
+CASES = [
+    (f"before\n{key()}\nafter", "before\n[REDACTED]\nafter"),
+    (key("") + " x " + key("EC "), "[REDACTED] x [REDACTED]"),
+    ("k " + key("ENCRYPTED ").replace("\n", "\\n") + "\\n z", "k [REDACTED]\\n z"),
+    ("k " + key("").replace("\n", " ") + " z", "k [REDACTED] z"),
+    (key(body="Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C\n\n" + BODY).replace("\n", "\r\n"), "[REDACTED]"),
+    ("a\n" + OPEN + "\nand so on", "a\n[REDACTED]\nand so on"),
+    (OPEN, "[REDACTED]"),
+    (OPEN.replace("\n", " ") + " and so on", "[REDACTED] and so on"),
+    ("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + BODY + "\n----- x", "[REDACTED]\n----- x"),
+    (OPEN + "\n" + key(), "[REDACTED]\n[REDACTED]"),
+    ("the line -----BEGIN PRIVATE KEY----- opens a key", "the line [REDACTED] opens a key"),
+]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return spark.createDataFrame([(k, t, len(t)) for k, (t, _) in enumerate(CASES)], DOCS)
+
+
+def test_whole_key_is_redacted(rows):
+    got = {r.doc_id: (r.text, r.n_chars) for r in redact_secrets(rows).collect()}
+    assert got == {k: (t, len(t)) for k, (_, t) in enumerate(CASES)}
+
+
+def test_span_covers_the_key(rows):
+    spans = {r.doc_id: [s for s in r.spans if s.kind == "pem"] for r in scan_secrets(rows).collect()}
+    assert [(s.start, s.end) for s in spans[0]] == [(7, 7 + len(key()))] and len(spans[1]) == 2
+
+
+def test_long_keys_need_no_stack(spark):
+    line = "\n" + "aB3+" * 16
+    texts = ["-----BEGIN PRIVATE KEY-----" + line * 50_000, key(body="a-b " * 200_000), OPEN + " - x" * 300_000]
+    df = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.text for r in redact_secrets(df).collect()}
+    assert got == {0: "[REDACTED]", 1: "[REDACTED]", 2: "[REDACTED]" + " - x" * 300_000}
