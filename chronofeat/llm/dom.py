@@ -32,6 +32,10 @@ _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "option": ({"option"}, {"select"})}
 
 
+#: Tag of the elements made for text directly in the body.
+BARE = "#text"
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "index", "runs", "depth", "order")
 
@@ -48,7 +52,8 @@ def parse(page: str) -> List[Node]:
     """Block elements of a page in page order; the first is its root.  Unclosed
     and stray tags are repaired as browsers do in the common cases; text is
     kept whole, character references decoded, white space of a stretch turned
-    into single spaces."""
+    into single spaces.  A stretch that stands directly in the body becomes an
+    element of its own, with the tag :data:`BARE`."""
     root = Node("html", "", None, 0, 0)
     nodes, here, links, order = [root], root, 0, 0
     pieces: List[str] = []
@@ -63,7 +68,11 @@ def parse(page: str) -> List[Node]:
             text = _SPACE.sub(" ", text).strip()
             if text:
                 order += 1
-                here.runs.append((order, text, min(in_link, len(text))))
+                block = here
+                if here is root:
+                    block = Node(BARE, "", root, len(nodes), order)
+                    nodes.append(block)
+                block.runs.append((order, text, min(in_link, len(text))))
             pieces, in_link = [], 0
 
     at, size = 0, len(page)

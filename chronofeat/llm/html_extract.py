@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import materialise, ship_code
-from .dom import ATTR_BUCKETS, Node, features, parse, token_buckets
+from .dom import ATTR_BUCKETS, BARE, Node, features, parse, token_buckets
 
 # --- training pages
 
@@ -111,26 +111,46 @@ class _Layout:
             r.shuffle(before)
         return "<html><body>" + "".join(before) + inner + "".join(after) + "</body></html>"
 
+    def bare_page(self) -> str:
+        """A page whose main text stands directly in the body, with furniture beside it in elements and bare."""
+        r = self.rng
+        marked = [f'<span data-main="1"></span>{escape(t)}' for t in self.main]
+        inner = r.choice(["<br>", "<br><br>", "<hr>"]).join(marked) if r.random() < 0.7 else "".join(
+            x if r.random() < 0.5 else f"<p>{x}</p>" for x in marked)
+        before = [self.furniture(k) for k, c in ((_NOTE, 0.2), (_HEAD, 0.4), (_MENU, 0.5), (_ADS, 0.3), (_FORM, 0.2)) if r.random() < c]
+        after = [self.furniture(k) for k, c in ((_ADS, 0.2), (_SIDE, 0.3), (_TALK, 0.3), (_NOTE, 0.2), (_FOOT, 0.5)) if r.random() < c]
+        for part in (before, after):
+            if r.random() < 0.25:           # a bare row of links
+                part.append(" | ".join(f'<a href="/{k}">{escape(self.text()[:r.randint(5, 20)])}</a>' for k in range(r.randint(2, 7)))
+                            + "<hr>")
+        if r.random() < 0.3:
+            before.append("<h1>" + marked[0] + "</h1>")
+        head = "<head><title>" + escape(self.text()[:40]) + "</title></head>" if r.random() < 0.5 else ""
+        return "<html>" + head + "<body>" + "".join(before) + inner + ("<hr>" if r.random() < 0.3 else "") \
+            + "".join(after) + "</body></html>"
+
 
 _MARK = "\ue000"        # a private character marks the main texts of a layout
 
 
-def training_rows(pages: Sequence[str], seed: int = 7, layouts: int = 800) -> Tuple[np.ndarray, np.ndarray, np.ndarray]:
+def training_rows(pages: Sequence[str], seed: int = 7, layouts: int = 800, bare_layouts: int = 200) -> Tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features and labels of elements of ``layouts`` layouts made from the texts
-    of ``pages``, and the odds of their attribute words."""
+    of ``pages`` and ``bare_layouts`` more with their main text directly in the
+    body, and the odds of their attribute words."""
     rng = random.Random(seed)
     texts = sorted({t for p in pages for x in parse(p) for _, t, _ in x.runs})
     if len(texts) < 4:
         texts += ["A page.", "More of the page, with a second sentence.", "Home", "About us"]
     made: List[Tuple[List[Node], np.ndarray]] = []
-    for _ in range(layouts):
+    for number in range(layouts + bare_layouts):
         main = [rng.choice(texts) for _ in range(rng.choice([0, rng.randint(1, 14)]))] + [max(rng.sample(texts, 3), key=len)]
         short = rng.choice([0.1, 0.5, 1.0])
         main = [t[:rng.randint(8, 90)] if rng.random() < short else t for t in main]
         if rng.random() < 0.15:             # a very long paragraph, with stops or without
             main[-1] = " ".join([rng.choice([main[-1], main[-1].split()[0]])] * rng.randint(20, 400))
         other = [t[:rng.randint(10, 200)] for t in rng.sample(texts, min(8, len(texts)))]
-        page = _Layout(rng, main, other).page().replace('<span data-main="1"></span>', _MARK)
+        layout = _Layout(rng, main, other)
+        page = (layout.page() if number < layouts else layout.bare_page()).replace('<span data-main="1"></span>', _MARK)
         nodes = parse(page)
         good: Set[int] = set()
         for x in nodes:
@@ -212,7 +232,8 @@ def train_extractor(pages: DataFrame, html_col: str = "html", id_col: str = "pag
 def decode(nodes: List[Node], score: np.ndarray) -> List[str]:
     """Texts of the best labelling without a kept element under a rejected one, in page order.
 
-    An element that holds nothing decides nothing.  ``gain`` is the best total
+    An element that holds nothing decides nothing.  Where text stands directly
+    in the body and nowhere else, all of it is the main text.  ``gain`` is the best total
     of an element's subtree given that the element is kept."""
     gain = score.tolist()
     for i in range(len(nodes) - 1, 0, -1):
@@ -220,10 +241,12 @@ def decode(nodes: List[Node], score: np.ndarray) -> List[str]:
             gain[nodes[i].parent.index] += gain[i]
     keep = [True] * len(nodes)
     runs = []
+    if all(x.tag == BARE for x in nodes if x.runs):
+        gain = [1.0] * len(nodes)
     for i, x in enumerate(nodes):
         if i:
             keep[i] = keep[x.parent.index] and gain[i] > 0
-        if x.runs and keep[i] and (i or len(nodes) == 1):
+        if x.runs and keep[i]:
             runs += [(o, t) for o, t, _ in x.runs]
     return [t for _, t in sorted(runs)]
 
@@ -233,8 +256,9 @@ def extract_main_text(pages: DataFrame, model: TreeEnsemble, id_col: str = "page
     """One row per input row: ``page_id, url, text`` (blocks of the main text in
     page order, joined by line ends) and ``n_chars`` (its code points).
 
-    Defined cases: null or empty HTML gives an empty text; text outside of any
-    element counts only on a page without elements; ids and urls may be null or
+    Defined cases: null or empty HTML gives an empty text; text directly in the
+    body is scored like a block, and is the main text where no element holds
+    text; ids and urls may be null or
     repeated; an empty table gives an empty result; other columns are not
     looked at."""
     ship_code(pages.sparkSession)
