@@ -16,14 +16,22 @@ _ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^'
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[^\S ]\s*| \s+")
 
-#: Elements whose content is never text of the page.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "canvas", "select",
-       "head"}
+#: Elements whose content is never text of the page (annotations repeat a formula in another notation).
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "select", "head", "annotation",
+       "annotation-xml"}
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements that run inside a line; their text belongs to the block around them.
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
-          "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+          "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+          "object", "canvas", "svg", "g", "defs", "use", "symbol", "desc", "text", "tspan", "textpath", "path", "rect", "circle",
+          "ellipse", "line", "polyline", "polygon", "lineargradient", "radialgradient", "stop", "clippath", "mask", "pattern",
+          "marker", "filter", "foreignobject", "image", "switch", "metadata",
+          "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "mfrac", "msqrt", "mroot", "mstyle", "merror",
+          "mpadded", "mphantom", "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover",
+          "mmultiscripts", "mprescripts", "none", "mtable", "mtr", "mtd", "mlabeledtr", "maction"}
+#: Inline elements whose text stands apart from what is beside it.
+_APART = {"object", "canvas", "svg", "text", "desc", "mtext", "mtr", "mtd", "math"}
 _ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset",
            "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav",
            "ol", "p", "pre", "section", "table", "ul"}
@@ -93,6 +101,8 @@ def parse(page: str) -> List[Node]:
         if tag in INLINE:
             if tag == "a":
                 links = 0 if m[1] else 1
+            elif tag in _APART:
+                pieces.append(" ")
             continue
         if tag in RAW and tag != "head":
             if not m[1] and not m[3].endswith("/"):
