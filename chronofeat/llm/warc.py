@@ -81,30 +81,71 @@ def split_http(block: bytes) -> Tuple[str, Headers, bytes]:
     return lines[0], [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:]) if k], body
 
 
-def plain_body(headers: Headers, body: bytes) -> bytes:
-    """The body without transfer and content codings; one that is broken stays as sent."""
-    if (get(headers, "Transfer-Encoding") or "").lower() == "chunked":
-        out, at = [], 0
-        while True:
-            end = body.find(b"\r\n", at)
-            try:
-                n = int(body[at:end].split(b";")[0], 16) if end >= 0 else 0
-            except ValueError:
-                break
-            if not n:
-                break
-            out.append(body[end + 2:end + 2 + n])
-            at = end + 4 + n
-        body = b"".join(out) or body
-    coding = (get(headers, "Content-Encoding") or "").lower()
+def _codings(headers: Headers, name: str) -> List[str]:
+    """Codings of all headers of that name, the one applied last first."""
+    found = [x.strip().lower() for k, v in headers if k.lower() == name for x in v.split(",")]
+    return [x for x in reversed(found) if x and x != "identity"]
+
+
+def _unchunk(body: bytes) -> bytes:
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        try:
+            n = int(body[at:end].split(b";")[0], 16) if end >= 0 else 0
+        except ValueError:
+            break
+        if not n:
+            break
+        out.append(body[end + 2:end + 2 + n])
+        at = end + 4 + n
+    return b"".join(out) or body
+
+
+def _inflate(body: bytes) -> bytes:
+    """Deflate with the zlib wrapper, or raw as some servers send it."""
+    try:
+        return zlib.decompress(body)
+    except zlib.error:
+        z = zlib.decompressobj(-zlib.MAX_WBITS)
+        out = z.decompress(body) + z.flush()
+        if not z.eof:
+            raise
+        return out
+
+
+def _is_text(body: bytes) -> bool:
     try:
-        if coding in ("gzip", "x-gzip"):
-            return gzip.decompress(body)
-        if coding == "deflate":
-            return zlib.decompress(body)
-    except (OSError, EOFError, zlib.error):
-        pass
-    return body
+        return b"\0" not in body and body.decode("utf-8") is not None
+    except UnicodeDecodeError:
+        return False
+
+
+def undo_codings(headers: Headers, body: bytes) -> Tuple[bytes, Optional[str]]:
+    """The body without transfer and content codings, and the coding that could
+    not be undone, if any: one that is not known here (br, zstd, ...) or is
+    broken.  UTF-8 text under such a coding was decoded before; it stays as sent."""
+    for coding in _codings(headers, "transfer-encoding") + _codings(headers, "content-encoding"):
+        try:
+            if coding == "chunked":
+                body = _unchunk(body)
+            elif not body:
+                continue
+            elif coding in ("gzip", "x-gzip"):
+                body = gzip.decompress(body)
+            elif coding == "deflate":
+                body = _inflate(body)
+            elif not _is_text(body):
+                return body, coding
+        except (OSError, EOFError, zlib.error):
+            if not _is_text(body):
+                return body, coding
+    return body, None
+
+
+def plain_body(headers: Headers, body: bytes) -> bytes:
+    """The body without transfer and content codings, as far as they can be undone."""
+    return undo_codings(headers, body)[0]
 
 
 def decode_body(headers: Headers, body: bytes) -> str:
@@ -144,11 +185,13 @@ def response_record(key: str, url: Optional[str], page: str, date: str) -> bytes
 
 
 def derive(headers: Headers, block: bytes) -> Iterator[Tuple[str, bytes]]:
-    """(type, record) of the metadata and the conversion record of a response."""
+    """(type, record) of the metadata and the conversion record of a response.
+    A body whose coding cannot be undone has no text: its metadata names the
+    coding as ``undecoded-coding``, and there is no conversion record."""
     source = get(headers, "WARC-Record-ID") or record_id("", digest(block))
     status, http, sent = split_http(block)
-    body = plain_body(http, sent)
-    page = decode_body(http, body)
+    body, undecoded = undo_codings(http, sent)
+    page = "" if undecoded else decode_body(http, body)
     payload = get(headers, "WARC-Payload-Digest") or digest(sent)
     kept = [(k, v) for k, v in ((k, get(headers, k)) for k in ("WARC-Target-URI", "WARC-Date")) if v is not None]
     title = _TITLE.search(page)
@@ -157,12 +200,16 @@ def derive(headers: Headers, block: bytes) -> Iterator[Tuple[str, bytes]]:
     fields += [(f"http-header-{k.lower()}", v) for k, v in http]
     fields += [(f"source-{k.lower()}", v) for k, v in headers
                if k.lower() not in ("warc-type", "content-length", "warc-payload-digest", "warc-block-digest")]
+    if undecoded:
+        fields.append(("undecoded-coding", undecoded))
     if title:
         fields.append(("title", " ".join(html.unescape(title[1]).split())))
     fields += [("outlink", html.unescape(u)) for u in _LINK.findall(page)]
     meta = "".join(f"{k}: {_line(v)}\r\n" for k, v in fields).encode("utf-8", "surrogatepass")
     text = plain_text(page).encode("utf-8", "surrogatepass")
     for kind, media, data in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", text)):
+        if undecoded and kind == "conversion":
+            continue
         yield kind, write_record([("WARC-Type", kind), ("WARC-Record-ID", record_id(source, kind)), ("WARC-Refers-To", source),
                                   *kept, ("WARC-Payload-Digest" if kind == "conversion" else "WARC-Source-Payload-Digest",
                                           digest(data) if kind == "conversion" else payload),
@@ -201,8 +248,8 @@ def page_responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
 
 def build_derivatives(records: DataFrame, record_col: str = "record", keep: Tuple[str, ...] = ()) -> DataFrame:
-    """Two rows for every response in ``record_col`` (whole WARC records): the
-    columns in ``keep``, ``warc_type, record_id, refers_to, target_uri, date,
+    """Two rows for every response in ``record_col`` (whole WARC records), one
+    (metadata) where its coding cannot be undone: the columns in ``keep``, ``warc_type, record_id, refers_to, target_uri, date,
     payload_digest, block_digest, n_bytes`` (of the block) and ``record``.
 
     Defined cases: null, damaged and other records (requests, metadata, ...)

@@ -1,0 +1,45 @@
+"""Lists of codings, raw deflate, and codings that cannot be undone."""
+
+import gzip
+import zlib
+
+import pytest
+
+from chronofeat.llm.warc import derive, read_record, warc_fields
+
+PAGE = "<title>T</title><p>Some text \u00e9 of the page</p>".encode()
+RAW = zlib.compressobj(9, zlib.DEFLATED, -15)
+RAW = RAW.compress(PAGE * 9) + RAW.flush()
+
+
+def chunked(b):
+    return b"".join(b"%x\r\n%s\r\n" % (len(b[k:k + 7]), b[k:k + 7]) for k in range(0, len(b), 7)) + b"0\r\n\r\n"
+
+
+def derived(head, body):
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + head + b"\r\n\r\n" + body
+    return dict(derive([("WARC-Record-ID", "<urn:uuid:1>")], block))
+
+
+@pytest.mark.parametrize("head, body", [
+    (b"Transfer-Encoding: gzip, chunked", chunked(gzip.compress(PAGE))),
+    (b"Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(PAGE))),
+    (b"Content-Encoding: deflate\r\nContent-Encoding: gzip\r\nTransfer-Encoding: Chunked",
+     chunked(gzip.compress(zlib.compress(PAGE)))),
+    (b"Content-Encoding: deflate", RAW), (b"Content-Encoding: deflate", zlib.compress(PAGE)),
+    (b"Content-Encoding: identity", PAGE), (b"Content-Encoding: br", PAGE)])
+def test_codings_are_undone(head, body):
+    out = derived(head, body)
+    assert "Some text \u00e9 of the page" in read_record(out["conversion"])[1].decode()
+    assert "undecoded-coding" not in warc_fields(out["metadata"])
+
+
+@pytest.mark.parametrize("head, body, name", [
+    (b"Content-Encoding: br", b"\x8b\x03\x80\xff\x00", "br"), (b"Content-Encoding: zstd", b"\x28\xb5\x2f\xfd\x00", "zstd"),
+    (b"Content-Encoding: br, gzip", gzip.compress(b"\x8b\x03\x80\xff\x00"), "br"),
+    (b"Content-Encoding: gzip", gzip.compress(PAGE)[:20], "gzip")])
+def test_what_cannot_be_undone_has_no_text(head, body, name):
+    out = derived(head, body)
+    assert set(out) == {"metadata"}
+    fields = warc_fields(out["metadata"])
+    assert fields["undecoded-coding"] == [name] and "title" not in fields
