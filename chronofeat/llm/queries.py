@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from .bpe import bpe_encode
+from .conversation_repair import damaged, repair_conversations
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text, train_extractor
 from .line_dedup import passage_dedup
@@ -84,6 +85,10 @@ def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality_classifier(table(spark, d, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    return repair_conversations(damaged(table(spark, d, "conversations")))
+
+
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -95,6 +100,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_html_extract": op9_html_extract,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLES: Dict[str, str] = {}
@@ -185,3 +191,64 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN a USING (doc_id)
 """
+
+#: Unsigned CRC-32 of an ASCII string, bit by bit: eight steps for every byte.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+  lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, b:
+  xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)), 4294967295::BIGINT)"""
+
+#: The repair as a search over the four states of the role language (0 start, 1 after s, 2 after u, 3 after a): each
+#: step of the recursion takes one row of every conversation and keeps the least (cost, audit) per state.
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC32.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS fate
+  FROM conversations),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM raw, generate_series(1, 2) AS g(copy) WHERE fate <> 0 AND (copy = 1 OR fate = 3)),
+rws AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dam),
+flt AS (
+  SELECT *, left(role, 1) AS ini,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM rws),
+ins(p, q, n, lines) AS (VALUES (0, 0, 0, []), (0, 2, 1, ['user:']), (0, 3, 2, ['user:', 'assistant:']),
+  (1, 1, 0, []), (1, 2, 1, ['user:']), (1, 3, 2, ['user:', 'assistant:']),
+  (2, 2, 0, []), (2, 3, 1, ['assistant:']), (3, 3, 0, []), (3, 2, 1, ['user:'])),
+step(p, sym, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+edit(q, letter, sym, r) AS (
+  SELECT p, 'D', '', p FROM (VALUES (0), (1), (2), (3)) AS v(p) UNION ALL
+  SELECT p, 'K', sym, q FROM step UNION ALL SELECT p, 'R', sym, q FROM step WHERE sym <> 's'),
+path AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM raw
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, lines FROM (
+    SELECT t.conv_id, f.i, e.r AS state,
+           t.cost + 3 * s.n + CASE letter WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+             + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 3 ELSE 0 END AS cost,
+           t.audit || repeat('I', s.n) || letter AS audit,
+           t.lines || s.lines || CASE letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [f.role || ':' || f.text]
+             ELSE [CASE e.sym WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text] END AS lines
+    FROM path t JOIN flt f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.i = t.i + 1
+    JOIN ins s ON s.p = t.state JOIN edit e ON e.q = s.q
+    WHERE letter = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (letter = 'R' OR e.sym = f.ini)))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1),
+fin AS (
+  SELECT conv_id, cost + 3 * n AS cost, audit || repeat('I', n) AS audit, t.lines || s.lines AS lines
+  FROM (SELECT * FROM path QUALIFY i = max(i) OVER (PARTITION BY conv_id)) t JOIN ins s ON s.p = t.state
+  WHERE (s.q = 3 OR (t.state = 0 AND s.q = 0))
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost + 3 * n, audit || repeat('I', n)) = 1),
+cnt AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM flt) GROUP BY conv_id)
+SELECT fin.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+       sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM fin LEFT JOIN cnt ON fin.conv_id IS NOT DISTINCT FROM cnt.conv_id
+"""

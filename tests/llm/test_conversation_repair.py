@@ -1,0 +1,177 @@
+"""Conversation repair against a search over whole strings, and the given tables."""
+
+import hashlib
+import heapq
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from chronofeat.llm.conversation_repair import (ACCEPT, GOTO, REDUCE, SHIFT, Conversation, damaged,
+                                                repair_conversations, repaired_turns, undamaged)
+from chronofeat.llm.queries import op12_conversation_repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def faults(rows):
+    seen, out = set(), []
+    for role, text in rows:
+        bare = text.rstrip(SPACE)
+        out.append("blank" if not bare else "duplicate" if (role, text) in seen
+                   else "truncated" if bare[-1] not in ".!?" else None)
+        seen.add((role, text))
+    return out
+
+
+def cheapest(rows):
+    """Dijkstra over (rows read, last role of the output), whole audits as they are."""
+    marks = faults(rows)
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, last, lines = heapq.heappop(heap)
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+
+        def legal(ini):
+            return (last, ini) in {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+
+        def go(more, letter, step, ini, line):
+            heapq.heappush(heap, (cost + more, audit + letter, i + step, last if ini is None else ini,
+                                  lines if line is None else (*lines, line)))
+        for name in ("user", "assistant"):
+            if legal(name[0]):
+                go(3, "I", 0, name[0], name + ":")
+        if i < len(rows):
+            role, text = rows[i]
+            go(4, "D", 1, None, None)
+            if marks[i] in ("blank", "duplicate"):
+                continue
+            extra = 3 if marks[i] == "truncated" else 0
+            if legal(role[:1]):
+                go(extra, "K", 1, role[:1], f"{role}:{text}")
+            for name in ("user", "assistant"):
+                if legal(name[0]):
+                    go(3 + extra, "R", 1, name[0], f"{name}:{text}")
+
+
+def brute(table):
+    """The whole contract in plain Python."""
+    out = {}
+    for conv in {r[0] for r in table}:
+        rows = []
+        for c, turn, role, text in table:
+            if c != conv:
+                continue
+            role, text = " " if role is None else role, " " if text is None else text
+            fate = zlib.crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20
+            role, text = "user" if fate == 4 else role, "" if fate == 1 else text
+            text = re.sub("[.!?]", "", text) if fate == 2 else text
+            rows += [(turn, role, text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        marks = faults([r[1:] for r in rows])
+        turns = [r[0] for r in rows if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+        out[conv] = (gaps, *[marks.count(k) for k in ("blank", "duplicate", "truncated")], illegal,
+                     *cheapest([r[1:] for r in rows]))
+    return out
+
+
+def result(df):
+    cols = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    return {r.conv_id: tuple(r[c] for c in cols) for r in df.collect()}
+
+
+def test_automaton_reads_the_language():
+    def accepted(word):
+        stack = [0]
+        for c in word:
+            if (stack[-1], c) not in SHIFT:
+                return False
+            stack.append(SHIFT[stack[-1], c])
+            if stack[-1] in REDUCE:
+                del stack[-REDUCE[stack[-1]]:]
+                stack.append(GOTO[stack[-1]])
+        return stack[-1] in ACCEPT
+    for n in range(8):
+        for word in itertools.product("sua", repeat=n):
+            word = "".join(word)
+            assert accepted(word) == bool(re.fullmatch("(s?(ua)+)?", word)), word
+
+
+def test_parser_finds_the_cheapest_audit():
+    rng = random.Random(7)
+    texts = ["one.", "two", "", " ", "one.", "three!", "four"]
+    for _ in range(1500):
+        rows = [(rng.choice(["user", "assistant", "system", "tool", "", "User", "s"]), rng.choice(texts))
+                for _ in range(rng.randrange(9))]
+        parse = Conversation()
+        for (role, text), fault in zip(rows, faults(rows)):
+            parse.row(role, text, fault)
+        assert parse.end() == cheapest(rows), rows
+
+
+def test_long_conversations_keep_few_tops():
+    rng = random.Random(3)
+    rows = [(rng.choice(["user", "assistant", "system"]), f"{i}" + rng.choice([".", ""])) for i in range(5000)]
+    parse = Conversation()
+    for (role, text), fault in zip(rows, faults(rows)):
+        parse.row(role, text, fault)
+        assert len(parse.tops) <= 8 and all(len(t.below) <= 2 for t in parse.tops.values())
+    cost, audit, digest = parse.end()
+    assert (cost, audit, digest) == cheapest(rows)
+
+
+ODD = [(1, 0, "user", "hello."), (1, 0, "user", "hello."), (1, 0, "assistant", None), (1, None, None, "x."),
+       (1, 5, "system", "late."), (None, 1, "user", "no id."), (None, None, "assistant", "none."),
+       (2, None, None, None), (3, 2, "assistant", "a" * 300_000 + "."), (3, 2, "user", ""), (-4, 7, "user", "é"),
+       (5, -(1 << 63), "user", "first."), (5, (1 << 63) - 1, "assistant", "last.")]
+
+
+def test_odd_rows_follow_the_contract(frame):
+    got = result(repair_conversations(damaged(frame(SCHEMA, ODD))))
+    want = brute(ODD)
+    want[5] = (min(want[5][0], (1 << 63) - 1), *want[5][1:])
+    assert got == want
+
+
+def test_query_follows_the_contract(spark, sf_dir):
+    table = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet")
+             .select("conv_id", "turn", "role", "text").collect()]
+    assert result(op12_conversation_repair(spark, sf_dir)) == brute(table)
+
+
+def test_many_rows_of_one_conversation(frame):
+    rng = random.Random(1)
+    table = [(rng.choice([1, 1, 1, 2, 3]), rng.randrange(900), rng.choice(["user", "assistant"]),
+              f"t{rng.randrange(60)}" + rng.choice([".", ""])) for _ in range(3000)]
+    assert result(repair_conversations(damaged(frame(SCHEMA, table)))) == brute(table)
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_repaired_turns_have_the_digest(frame, extra):
+    df = frame(SCHEMA, ODD)
+    if extra:
+        df = df.selectExpr("*", "1 AS gone", "'x' AS fate", "2 AS blank", "3 AS cost", "4 AS audit", "5 AS position")
+    for rows in (damaged(df), undamaged(df)):
+        repairs = repair_conversations(rows)
+        texts = {}
+        for r in repaired_turns(rows, repairs).orderBy("position").collect():
+            texts.setdefault(r.conv_id, []).append(f"{r.role}:{r.text}")
+        for r in repairs.collect():
+            assert hashlib.sha256("\n".join(texts.get(r.conv_id, [])).encode()).hexdigest() == r.repaired_sha256
+            initials = "".join(x[0] for x in texts.get(r.conv_id, []))
+            assert re.fullmatch("(s?(ua)+)?", initials)
+
+
+def test_empty_table(frame):
+    rows = damaged(frame(SCHEMA))
+    assert repair_conversations(rows).collect() == []
+    assert repaired_turns(rows, repair_conversations(rows)).collect() == []
