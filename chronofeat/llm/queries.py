@@ -17,6 +17,7 @@ from .html_extract import extract_main_text, train_extractor
 from .line_dedup import passage_dedup
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
+from .prefix_trie import grafted, prefix_trie
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .secrets import RULES, scan_secrets, spans_text
@@ -89,6 +90,10 @@ def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return repair_conversations(damaged(table(spark, d, "conversations")))
 
 
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie(grafted(table(spark, d, "conversations"))).drop("node", "parent")
+
+
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -101,6 +106,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extract": op9_html_extract,
     "op10_quality_classifier": op10_quality_classifier,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: Dict[str, str] = {}
@@ -212,9 +218,11 @@ rws AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dam),
 flt AS (
   SELECT *, left(role, 1) AS ini,
-         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
               WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-              WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault
   FROM rws),
 ins(p, q, n, lines) AS (VALUES (0, 0, 0, []), (0, 2, 1, ['user:']), (0, 3, 2, ['user:', 'assistant:']),
   (1, 1, 0, []), (1, 2, 1, ['user:']), (1, 3, 2, ['user:', 'assistant:']),
@@ -252,3 +260,39 @@ SELECT fin.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coal
        sha256(array_to_string(lines, chr(10))) AS repaired_sha256
 FROM fin LEFT JOIN cnt ON fin.conv_id IS NOT DISTINCT FROM cnt.conv_id
 """
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS leader, {_CRC32.format("(conv_id::VARCHAR)")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.leader AND p < h UNION ALL
+  SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p >= h),
+seq AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(text) AS tokens,
+         sha256(string_agg(len(role) || ':' || role || len(text) || ':' || text, '') OVER w) AS name
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+pre AS (
+  SELECT conv_id, 0 AS depth, 0 AS tokens, '' AS name FROM c UNION ALL SELECT conv_id, depth, tokens, name FROM seq),
+step AS (
+  SELECT *, lag(name) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM pre),
+node AS (
+  SELECT name, any_value(parent) AS parent, any_value(depth) AS depth, any_value(tokens) AS tokens,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM step GROUP BY name),
+kids AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, up.conv_id AS parent_conv_id
+  FROM node n LEFT JOIN (SELECT parent, count(*) AS n FROM node GROUP BY parent) k ON k.parent = n.name
+  LEFT JOIN node up ON up.name = n.parent),
+sums AS (
+  SELECT a.name, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n_convs - 1) * v.tokens)::BIGINT AS saved_tokens
+  FROM kids v JOIN pre a ON a.conv_id = v.conv_id AND a.depth <= v.depth GROUP BY a.name)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM kids JOIN sums USING (name)
+"""
