@@ -37,7 +37,6 @@ import hashlib
 import heapq
 import struct
 import tempfile
-import zlib
 from bisect import bisect_right
 from typing import Callable, Iterator, List, Tuple
 
@@ -63,19 +62,16 @@ DONE, OPEN, SENT = 0, 1, 2                 # what it gives
 def grafted(conversations: DataFrame) -> DataFrame:
     """The rows of whole conversations in the form :func:`prefix_trie` takes:
     every conversation with the first turns of its group's leader (the contract)."""
-    leader = F.try_subtract("conv_id", F.pmod("conv_id", F.lit(GROUP)))
-    return conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text") \
-        .withColumn("leader", leader)
+    c = F.col("conv_id").cast("long")
+    return conversations.select(
+        c.alias("conv_id"), "turn", "role", "text", F.try_subtract(c, F.pmod(c, F.lit(GROUP))).alias("leader"),
+        (F.crc32(c.cast("string").cast("binary")) % (MOST_SHARED + 1)).alias("shared"))
 
 
 def ungrafted(conversations: DataFrame) -> DataFrame:
     """The rows as they are, in the form :func:`prefix_trie` takes."""
     return conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text",
-                                F.lit(None).cast("long").alias("leader"))
-
-
-def shared_turns(conv_id: int) -> int:
-    return zlib.crc32(str(conv_id).encode()) % (MOST_SHARED + 1)
+                                F.lit(None).cast("long").alias("leader"), F.lit(0).cast("long").alias("shared"))
 
 
 def child_name(name: bytes, role: str, text: str) -> bytes:
@@ -108,18 +104,16 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(done, _PREFIX)], schema=_PREFIX)
 
     for batch in batches:
-        for c, _, role, text, lead in zip(*[x.to_pylist() for x in batch.columns]):
+        for c, _, role, text, lead, shared in zip(*[x.to_pylist() for x in batch.columns]):
             if c != conv_id:
                 if row is not None:
                     out.append((*row, True))
                 if lead != leader:
                     leader, head = lead, []
                 conv_id, at, row = c, 0, (ROOT, None, 0, b"", 0, c)
-                skip = 0
-                if lead is not None and c != lead:
-                    skip = shared_turns(c)
-                    for turn in head[:skip]:
-                        grow(*turn)
+                skip = shared if c != lead else 0      # the leader's own turns stay as they are
+                for turn in head[:skip]:
+                    grow(*turn)
             if c == leader and len(head) < MOST_SHARED:
                 head.append((role, text))
             at += 1
@@ -282,14 +276,15 @@ def prefix_trie(rows: DataFrame, shards: int = 0, queue_limit: int = 100_000) ->
     n_children, n_leaves, saved_tokens, ends_sha256, node, parent`` (the last
     two are the names, 16 bytes).
 
-    ``rows`` has ``conv_id, turn, role, text, leader`` (see :func:`grafted`).
+    ``rows`` has ``conv_id, turn, role, text, leader, shared`` (see
+    :func:`grafted`): the first ``shared`` turns are the leader's.
     ``shards``: how many, by default the session's shuffle partitions."""
     spark = rows.sparkSession
     ship_code(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     turns = rows.where(F.col("conv_id").isNotNull()).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-        "leader")
+        "leader", "shared")
     # conversations without a leader need no others beside them; ids of a group start with its leader's
     prefixes = materialise(turns.repartition(F.coalesce("leader", "conv_id")).sortWithinPartitions(
         "leader", "conv_id", F.col("turn").asc_nulls_first(), "role", "text").mapInArrow(_prefixes, _PREFIX_DDL),
