@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
+from . import pii
 from .bpe import bpe_encode
 from .conversation_repair import damaged, repair_conversations
 from .exact_dedup import exact_dedup
@@ -86,6 +87,19 @@ def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality_classifier(table(spark, d, "documents"))
 
 
+def op11_pii(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    found = pii.find_personal_data(docs, pii.train_tagger(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.KINDS],
+                        F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.spans_text(F.col("spans")).alias("spans"))
+
+
 def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     return repair_conversations(damaged(table(spark, d, "conversations")))
 
@@ -105,6 +119,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_html_extract": op9_html_extract,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_pii": op11_pii,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_prefix_trie": op13_prefix_trie,
 }
