@@ -17,9 +17,10 @@ Strategies (one result, different plans):
     prefixes, descending for suffixes); (c) joins maxima of dyadic blocks of
     buckets, O(log(ttl / w)) per spine row.  A final aggregate on the spine
     key keeps the best candidate.  Work is linear in rows: no pairs are
-    formed.  Views on the same keys share the pass.  :func:`asof_plan_stats`
-    sizes ``w`` so that a hot key is cut into enough time slices, and
-    detects heavy copies (equal keys and time), which are collapsed first.
+    formed.  Views on the same keys share the pass.  A bucket that holds too
+    many rows of one key is cut into slices at quantiles of its times
+    (:func:`.asof_stats.pass_stats`), which then are (a), (b) and (c); heavy
+    copies (equal keys and time) are collapsed first.
 ``join``
     Equi-join on the keys with the TTL range in the join condition, then
     keep the best row per spine row.  Forms every (spine, source) pair of a
@@ -33,7 +34,7 @@ is a single row, attached as a scalar subquery.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Dict, List, Optional, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import bucket_of, epoch_micros
+from .asof_stats import PassStats, Slices, pass_stats, with_slice
 from .frame import is_orderable
 
 T_COL = "__cf_t"      # epoch micros of the source ts / spine event ts
@@ -52,7 +54,7 @@ GKEY = "__cf_g"       # struct of the spine dedup key
 SPAY = "__cf_s"       # struct of the other spine columns
 BEST = "__cf_best"    # best ranking struct found for a spine row, one per view
 VIEW = "__cf_view"    # index of the view a source / probe row belongs to
-WIDTH = "__cf_w"      # per-row bucket width (micros), set by the row's key
+HOT = "__cf_hot"      # whether the row's bucket is cut into slices
 
 STRATEGIES = ("bucketed", "join")
 
@@ -107,7 +109,8 @@ class AsofView:
 
     ``source`` holds the key columns under the spine's key names, ``T_COL``
     (and ``C_COL`` if ``has_created``) as epoch micros, and the features under
-    their output names.  ``width``: bucket width in micros, or ``"auto"``."""
+    their output names.  ``width``: bucket width in micros (None: the TTL), or
+    ``"auto"``: the TTL, with the pass's statistics."""
 
     source: DataFrame
     features: List[str]
@@ -115,7 +118,6 @@ class AsofView:
     has_created: bool = False
     width: Union[int, str, None] = "auto"
     dedup_source: bool = False
-    hot_keys: Optional[Dict[int, int]] = None   # hash of keys -> k: width >> k for that key
 
 
 def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
@@ -137,7 +139,7 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
                             keys: Sequence[str], views: Sequence[AsofView],
                             strategy: str = "bucketed", keep_unmatched: bool = False,
                             max_bucket_rows: int = 2_000_000, dedup_spine: bool = False,
-                            copies_checked: bool = False) -> DataFrame:
+                            stats: Optional[PassStats] = None) -> DataFrame:
     """As-of join several views that share the same join keys, in one pass.
 
     With the ``bucketed`` strategy and TTLs on all views, the views share one
@@ -149,10 +151,10 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     ``dedup_spine`` answers each distinct (keys, time) point of the spine
     once and joins the answers back (the distinct's partial step merges
     copies on every task); a view's ``dedup_source`` keeps only the best
-    source row per (keys, time) the same way.  Both are set from :func:`asof_plan_stats` when copies are
-    heavy; results are the same either way.  ``copies_checked`` says the
-    stats job ran for these views, so no set of spine copies exceeds the row
-    budget: the final aggregate then skips its map-side partial step."""
+    source row per (keys, time) the same way.  Both are set from the pass's
+    ``stats`` when copies are heavy; results are the same either way.  With
+    ``stats`` no set of spine copies exceeds the row budget, so the final
+    aggregate skips its map-side partial step."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
     views = list(views)
@@ -161,14 +163,23 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
         out = spine
         for v in views:
             out = point_in_time_join_many(out, spine_ts, group_key, keys, [v], strategy,
-                                          keep_unmatched, max_bucket_rows, dedup_spine,
-                                          copies_checked)
+                                          keep_unmatched, max_bucket_rows, dedup_spine)
         return out
     keys = list(keys)
     spine_cols = list(spine.columns)
     payload_cols = [c for c in spine_cols if c not in group_key]
     spine_orderable = all(is_orderable(spine.schema[c].dataType) for c in payload_cols)
 
+    w = None
+    if fusable:
+        w = min(min(v.ttl_us if v.width in (None, "auto") else int(v.width), v.ttl_us) for v in views)
+        if stats is None and any(v.width == "auto" for v in views):
+            stats = pass_stats(spine, spine_ts, keys, [(_keys_as(v.source, spine, keys), v.ttl_us) for v in views], w,
+                               max_bucket_rows)
+        if stats is not None:
+            dedup_spine = dedup_spine or stats.spine_copies
+            views = [replace(v, dedup_source=v.dedup_source or c) for v, c in zip(views, stats.source_copies)]
+
     srcs, ranks = [], []
     for i, v in enumerate(views):
         # cast source keys to the spine key types so both sides partition alike
@@ -202,7 +213,6 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     bests = [_b(i) for i in range(len(views))]
 
     v0 = views[0]
-    auto = []
     probe = sp_ok
     if dedup_spine and v0.ttl_us is not None:
         # heavy copies on (keys, time): answer each distinct point once (the
@@ -216,27 +226,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     elif strategy == "join":
         cands = _join_plan(probe, srcs[0], keys, v0.ttl_us, keep_unmatched and probe is sp_ok)
     else:
-        widths = [v.width for v in views]
-        hot_keys: Dict[int, int] = {}
-        for v in views:
-            for h, k in (v.hot_keys or {}).items():
-                hot_keys[h] = max(k, hot_keys.get(h, 0))
-        auto = [i for i, wd in enumerate(widths) if wd == "auto"]
-        if auto:
-            got = asof_plan_stats(spine, spine_ts, [(srcs[i], keys, views[i].ttl_us) for i in auto],
-                                  max_bucket_rows)
-            for i, st in zip(auto, got):
-                widths[i] = views[i].ttl_us
-                for h, k in st.hot_keys.items():
-                    hot_keys[h] = max(k, hot_keys.get(h, 0))
-        w = min(min(int(wd or v.ttl_us), v.ttl_us) for wd, v in zip(widths, views))
-        hot, max_k = None, 0
-        if hot_keys:
-            max_k = max(hot_keys.values())
-            # at most rows / max_bucket_rows hot keys: a proven bound
-            hot = spine.sparkSession.createDataFrame(sorted(hot_keys.items()), "__cf_hk long, __cf_k int")
-        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s,
-                               hot, max_k)
+        slices = stats.slices if stats is not None else Slices()
+        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s, slices)
     if probe is not sp_ok:
         answers = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)]) \
             .select(*[F.col(GKEY)[k].alias(k) for k in keys], F.col(GKEY)[T_COL].alias(T_COL), *bests)
@@ -246,9 +237,7 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
             GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))
 
     spay = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
-    if auto and not copies_checked:
-        copies_checked = True       # the stats job above ran for every view here
-    if copies_checked and v0.ttl_us is not None:
+    if stats is not None and v0.ttl_us is not None:
         # a spine row's candidates come from different window partitions, and
         # the stats job bounded any copies: shuffle first, aggregate once
         cands = cands.repartition(GKEY)
@@ -301,51 +290,40 @@ def _join_plan(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     return j.select(GKEY, SPAY, F.col(_r(0)).alias(_b(0)))
 
 
-def _with_width(df: DataFrame, keys: List[str], w: int, hot: Optional[DataFrame]) -> DataFrame:
-    """Add the bucket width of each row's key: ``w``, or ``w >> k`` for the
-    hot keys in ``hot`` (hash of keys -> k; a small table, broadcast)."""
-    if hot is None:
-        return df.withColumn(WIDTH, F.lit(w).cast("long"))
-    h = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
-    return df.withColumn("__cf_hk", h).join(F.broadcast(hot), "__cf_hk", "left") \
-        .withColumn(WIDTH, F.expr(f"shiftright(cast({int(w)} as bigint), coalesce(__cf_k, 0))")) \
-        .drop("__cf_hk", "__cf_k")
+def _keys_as(source: DataFrame, spine: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` with its keys in the spine's types, so that both sides hash alike."""
+    return source.select(*[F.col(c).cast(spine.schema[c].dataType).alias(c) if c in keys else F.col(c)
+                           for c in source.columns])
 
 
 def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls: List[int], w: int,
-                   ranks: List[RankSpec], null_r: List[Column], null_s: Column,
-                   hot: Optional[DataFrame] = None, max_k: int = 0) -> DataFrame:
-    """``w``: bucket width of ordinary keys; keys in ``hot`` use ``w >> k``
-    (``max_k`` is the largest k there)."""
+                   ranks: List[RankSpec], null_r: List[Column], null_s: Column, slices: Slices) -> DataFrame:
+    """``w``: bucket width; the hot buckets in ``slices`` are cut further."""
     if w <= 0 or any(w > ttl for ttl in ttls):
         raise ValueError("bucket width must be positive and not larger than any TTL")
     n = len(srcs)
     t = F.col(T_COL)
-    wc = F.col(WIDTH)
     null_g = _null_like(sp, GKEY)
-    sp = _with_width(sp, keys, w, hot)
-    srcs = [_with_width(src, keys, w, hot) for src in srcs]
+    hot, factor = slices.frame(sp.sparkSession), slices.factor
     parts = []
     for i, src in enumerate(srcs):
-        parts.append(src.select(*keys, T_COL, F.lit(0).alias(KIND), F.lit(i).alias(VIEW),
-                                bucket_of(t, wc).alias(BUCKET),
-                                *[(F.col(_r(j)) if j == i else null_r[j]).alias(_r(j)) for j in range(n)],
-                                null_g.alias(GKEY), null_s.alias(SPAY)))
+        rows = with_slice(src, keys, t, w, hot, factor, BUCKET)
+        parts.append(rows.select(*keys, T_COL, F.lit(0).alias(KIND), F.lit(i).alias(VIEW), BUCKET,
+                                 *[(F.col(_r(j)) if j == i else null_r[j]).alias(_r(j)) for j in range(n)],
+                                 null_g.alias(GKEY), null_s.alias(SPAY)))
     # each spine row yields itself (kind 1, at t) and one probe (kind 2, at
     # t - ttl) per distinct TTL, shared by the views with that TTL, all from
     # one scan of the spine; a probe row's VIEW is its TTL's index
     distinct_ttls = list(dict.fromkeys(ttls))
-    items = [F.struct(t.alias(T_COL), F.lit(1).alias(KIND), F.lit(-1).alias(VIEW),
-                      bucket_of(t, wc).alias(BUCKET), F.col(SPAY).alias(SPAY))]
+    items = [F.struct(t.alias(T_COL), F.lit(1).alias(KIND), F.lit(-1).alias(VIEW), F.col(SPAY).alias(SPAY))]
     for i, ttl in enumerate(distinct_ttls):
-        lo = t - F.lit(ttl)
-        items.append(F.struct(lo.alias(T_COL), F.lit(2).alias(KIND), F.lit(i).alias(VIEW),
-                              bucket_of(lo, wc).alias(BUCKET), null_s.alias(SPAY)))
+        items.append(F.struct((t - F.lit(ttl)).alias(T_COL), F.lit(2).alias(KIND), F.lit(i).alias(VIEW),
+                              null_s.alias(SPAY)))
     pair = F.col("__cf_pair")
-    e_rows = sp.select(*keys, GKEY, F.explode(F.array(*items)).alias("__cf_pair")).select(
-        *keys, pair[T_COL].alias(T_COL), pair[KIND].alias(KIND), pair[VIEW].alias(VIEW),
-        pair[BUCKET].alias(BUCKET), *[null_r[j].alias(_r(j)) for j in range(n)], GKEY,
-        pair[SPAY].alias(SPAY))
+    points = sp.select(*keys, GKEY, F.explode(F.array(*items)).alias("__cf_pair")).select(
+        *keys, pair[T_COL].alias(T_COL), pair[KIND].alias(KIND), pair[VIEW].alias(VIEW), GKEY, pair[SPAY].alias(SPAY))
+    e_rows = with_slice(points, keys, t, w, hot, factor, BUCKET).select(
+        *keys, T_COL, KIND, VIEW, BUCKET, *[null_r[j].alias(_r(j)) for j in range(n)], GKEY, SPAY)
     u = parts[0]
     for p in parts[1:] + [e_rows]:
         u = u.unionByName(p)
@@ -361,35 +339,36 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
                   ranks[j].best(F.col(_r(j))).over(down)).alias(_b(j))
             for j in range(n)]
     out = u.select(KIND, GKEY, SPAY, *best).where(kind > 0).select(GKEY, SPAY, *[_b(j) for j in range(n)])
-    narrowest = w >> max_k
     for i, (src, ttl) in enumerate(zip(srcs, ttls)):
-        if narrowest < ttl:
-            # only keys whose buckets are narrower than this TTL have middle buckets
-            inner = _middle_blocks(sp.where(wc < F.lit(ttl)), src.where(wc < F.lit(ttl)), keys, ttl,
-                                   narrowest, ranks[i], _r(i))
+        if w < ttl or hot is not None:
+            inner = _middle_blocks(sp, src, keys, ttl, w, hot, factor, ranks[i], _r(i))
             out = out.unionByName(inner.select(
                 GKEY, null_s.alias(SPAY),
                 *[(F.col(BEST) if j == i else null_r[j]).alias(_b(j)) for j in range(n)]))
     return out
 
 
-def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, narrowest: int,
-                   rank: RankSpec, rcol: str) -> DataFrame:
-    """Best source row of the whole buckets strictly inside (b(t - ttl), b(t)).
+def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, w: int, hot: Optional[DataFrame],
+                   factor: int, rank: RankSpec, rcol: str) -> DataFrame:
+    """Best source row of the whole slices strictly between those of ``t - ttl`` and ``t``.
 
-    Rows carry their key's bucket width in ``WIDTH`` (at least
-    ``narrowest``).  The middle buckets are covered by dyadic blocks
-    (segment-tree decomposition), at most 2 per level, so a spine row joins
-    O(log(ttl / w)) block maxima instead of ttl / w bucket maxima.  Block
-    maxima come from per-bucket maxima (a partial aggregate over the source),
-    then every level from those small rows in one more aggregate."""
+    Slice numbers grow with time, so these are a range of numbers, covered by
+    dyadic blocks (segment-tree decomposition), at most 2 per level: a spine
+    row joins O(log(ttl / w * factor)) block maxima.  Block maxima come from
+    per-slice maxima (a partial aggregate over the source), then every level
+    from those small rows in one more aggregate.  With ``w == ttl`` only hot
+    buckets have slices in between; other rows do not take part."""
     t = F.col(T_COL)
     r = F.col(rcol)
-    wc = F.col(WIDTH)
-    lo = t - F.lit(ttl_us)
-    levels = max(1, math.ceil(math.log2(math.ceil(ttl_us / narrowest) + 1)))
-    first_b = bucket_of(lo, wc) + F.lit(1)          # half-open [first_b, end_b)
-    end_b = bucket_of(t, wc)
+    per_bucket = with_slice(src, keys, t, w, hot, factor, BUCKET, HOT)
+    ends = with_slice(sp, keys, t, w, hot, factor, "__cf_end", "__cf_hot1")
+    ends = with_slice(ends, keys, t - F.lit(ttl_us), w, hot, factor, "__cf_first", "__cf_hot0")
+    if w == ttl_us:
+        per_bucket = per_bucket.where(HOT)
+        ends = ends.where(F.col("__cf_hot0") | F.col("__cf_hot1"))
+    levels = max(1, math.ceil(math.log2((math.ceil(ttl_us / w) + 1) * factor + 1)))
+    first_b = F.col("__cf_first") + F.lit(1)        # half-open [first_b, end_b)
+    end_b = F.col("__cf_end")
     blocks = []
     for j in range(levels + 1):
         lj = F.shiftright(first_b + F.lit((1 << j) - 1), j)   # ceil(first_b / 2^j)
@@ -399,9 +378,9 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
                              F.struct(F.lit(j).alias("lvl"), lj.alias("blk"))))
         blocks.append(F.when(inside & (F.pmod(rj, F.lit(2)) == 1),
                              F.struct(F.lit(j).alias("lvl"), (rj - F.lit(1)).alias("blk"))))
-    mids = sp.select(*keys, GKEY, F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("m")) \
+    mids = ends.select(*keys, GKEY, F.explode(F.filter(F.array(*blocks), lambda x: x.isNotNull())).alias("m")) \
         .select(*keys, GKEY, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk"))
-    per_bucket = src.groupBy(*keys, bucket_of(t, wc).alias(BUCKET)).agg(rank.best(r).alias(BEST))
+    per_bucket = per_bucket.groupBy(*keys, BUCKET).agg(rank.best(r).alias(BEST))
     lv = F.explode(F.array(*[F.struct(F.lit(j).alias("lvl"), F.shiftright(F.col(BUCKET), j).alias("blk"))
                              for j in range(levels + 1)])).alias("m")
     per_block = per_bucket.select(*keys, BEST, lv) \
@@ -412,17 +391,18 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
 
 @dataclass
 class AsofPlanStats:
-    """What the stats job found for a view: the bucket width to use, whether
-    copies (rows equal on keys and time, which no time slicing can split) are
-    heavy on the source or spine side, and an upper bound on the (spine,
-    source) pairs the ``join`` strategy would form, next to the row total."""
+    """Statistics of a view by itself: the width of the narrowest slice of its
+    hottest key were its rows even in time, whether copies (rows equal on keys
+    and time, which no time slicing can split) are heavy on either side, and an
+    upper bound on the (spine, source) pairs the ``join`` strategy would form,
+    next to the row total."""
 
     width: int
     source_copies: bool = False
     spine_copies: bool = False
     pairs: int = 0
     rows: int = 0
-    hot_keys: Dict[int, int] = None   # hash of keys -> k: that key uses width ttl >> k
+    hot_keys: Optional[Dict[int, int]] = None   # hash of keys -> k: its hottest bucket needs 2^k slices
 
     def __post_init__(self):
         if self.hot_keys is None:
@@ -433,94 +413,43 @@ class AsofPlanStats:
         return self.pairs <= factor * max(self.rows, 1)
 
 
+def join_pairs(spine: DataFrame, spine_ts: str, source: DataFrame, keys: Sequence[str], ttl_us: int) -> tuple:
+    """(upper bound on the pairs of the ``join`` strategy, rows of both sides).
+
+    Spine rows of a TTL-wide bucket times source rows of that bucket and the
+    one before, which hold every row of any TTL window ending in it; counted
+    with partial aggregates, one row comes back."""
+    h = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+    ok = F.lit(True)
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
+    sp_t = epoch_micros(spine_ts, spine.schema[spine_ts].dataType)
+
+    def side(df, t, spine_side):
+        shifts = F.array(F.lit(0)) if spine_side else F.array(F.lit(0), F.lit(1))
+        return df.where(ok & t.isNotNull()).select(h.alias("__cf_h"), bucket_of(t, ttl_us).alias("b"),
+                                                   F.explode(shifts).alias("shift"), F.lit(spine_side).alias("spine"))
+    u = side(source, F.col(T_COL).cast("long"), False).unionByName(side(spine, sp_t, True))
+    n = u.groupBy("__cf_h", (F.col("b") + F.col("shift")).alias("b")).agg(
+        F.count_if(F.col("shift") == 0).alias("n"), F.count_if(~F.col("spine")).alias("n_src"),
+        F.count_if("spine").alias("n_spine")).agg(F.sum("n").alias("rows"),
+                                                  F.sum(F.col("n_spine") * F.col("n_src")).alias("pairs")).first()
+    return int(n["pairs"] or 0), int(n["rows"] or 0)
+
+
 def asof_plan_stats(spine: DataFrame, spine_ts: str, views: Sequence[tuple],
                     max_bucket_rows: int, pair_bound: bool = False) -> List[AsofPlanStats]:
-    """Size the as-of plan of every view.
-
-    ``views`` is ``[(prepared_source, keys, ttl_us)]``.  Job 1 counts rows of
-    both sides per (view, hash of keys, TTL-wide bucket) with partial counts
-    on every task.  Per view it returns one row: the row total, an upper
-    bound on join pairs (spine rows of a bucket times source rows of that
-    bucket and the one before, which hold every row of any TTL window ending
-    in it; only with ``pair_bound``), and the *hot* groups, those above ``max_bucket_rows`` (at most
-    rows / max_bucket_rows of them: a proven bound).  A hot key holding a
-    third of all rows is one of them; its view gets width ``ttl / 2^k``, the
-    smallest k that brings the group under the budget (assuming rows spread
-    in time inside the bucket).  Copies (equal keys and time) cannot be split
-    by time, so job 2, run only when hot groups exist and only over their
-    rows, finds the largest set of copies per view and side; above the
-    budget the plan collapses them first.  ``hot_keys`` maps the hash of each
-    hot key to its k: only those keys get narrower buckets.  Hash collisions only over-count,
-    i.e. err toward narrower buckets and fewer joins."""
-    t = F.col(T_COL)
-    parts = []
-    for i, (src, keys, ttl_us) in enumerate(views):
-        h = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
-        sp_t = epoch_micros(spine_ts, spine.schema[spine_ts].dataType)
-        for side, (df, tcol) in enumerate(((src, F.col(T_COL).cast("long")), (spine, sp_t))):
-            ok = tcol.isNotNull()
-            for k in keys:
-                ok = ok & F.col(k).isNotNull()
-            parts.append(df.where(ok).select(F.lit(i).alias("__cf_v"), F.lit(side).alias("__cf_side"),
-                                             h.alias("__cf_h"), tcol.alias(T_COL),
-                                             bucket_of(tcol, ttl_us).alias(BUCKET)))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    side = F.col("__cf_side")
-    grp = ["__cf_v", "__cf_h", BUCKET]
-    # every collect below is bounded: one row per view, plus hot groups (each
-    # above max_bucket_rows, so at most rows / max_bucket_rows of them)
-    if pair_bound:
-        # a source row also counts toward the next bucket (shift 1), for the pair bound only
-        shifted = u.select("*", F.explode(F.when(side == 0, F.array(F.lit(0), F.lit(1)))
-                                          .otherwise(F.array(F.lit(0)))).alias("__cf_shift"))
-        own = F.col("__cf_shift") == 0
-        per_group = shifted.groupBy("__cf_v", "__cf_h", (F.col(BUCKET) + F.col("__cf_shift")).alias(BUCKET)) \
-            .agg(F.count(F.when(own, 1)).alias("n"),
-                 F.count(F.when(side == 0, 1)).alias("n_src2"),
-                 F.count(F.when(own & (side == 1), 1)).alias("n_spine"))
-        hot_item = F.when(F.col("n") > F.lit(max_bucket_rows),
-                          F.struct(F.col("__cf_h"), F.col(BUCKET), F.col("n")))
-        per_view = {r["__cf_v"]: r for r in per_group.groupBy("__cf_v").agg(
-            F.sum("n").alias("rows"),
-            F.sum(F.col("n_spine") * F.col("n_src2")).alias("pairs"),
-            F.collect_list(hot_item).alias("hot")).collect()}
-    else:
-        # hot groups only, straight from the group counts (one shuffle)
-        per_view = {}
-        for r in u.groupBy(*grp).agg(F.count(F.lit(1)).alias("n")) \
-                .where(F.col("n") > F.lit(max_bucket_rows)).collect():
-            e = per_view.setdefault(r["__cf_v"], {"rows": 0, "pairs": 0, "hot": []})
-            e["hot"].append({"__cf_h": r["__cf_h"], BUCKET: r[BUCKET], "n": r["n"]})
-    hot_rows = [(v, x["__cf_h"], x[BUCKET]) for v, r in per_view.items() for x in r["hot"]]
-    copies: dict = {}
-    if hot_rows:
-        hot_df = spine.sparkSession.createDataFrame(hot_rows, f"__cf_v int, __cf_h long, {BUCKET} long")
-        in_hot = u.join(F.broadcast(hot_df), grp)
-        for r in in_hot.groupBy("__cf_v", "__cf_side", "__cf_h", T_COL).agg(F.count(F.lit(1)).alias("n")) \
-                .groupBy("__cf_v", "__cf_side").agg(F.max("n").alias("n")).collect():
-            copies[(r["__cf_v"], r["__cf_side"])] = int(r["n"])
-    def slices(n: int, ttl_us: int) -> int:
-        k = 0
-        while n > max_bucket_rows * (1 << k) and (ttl_us >> (k + 1)) >= 1:
-            k += 1
-        return k
-
+    """Statistics of every view ``(prepared_source, keys, ttl_us)`` by itself,
+    from :func:`.asof_stats.pass_stats`; with ``pair_bound`` also the pairs."""
     out = []
-    for i, (_, _, ttl_us) in enumerate(views):
-        r = per_view.get(i)
+    for src, keys, ttl_us in views:
+        st = pass_stats(spine, spine_ts, keys, [(src, ttl_us)], ttl_us, max_bucket_rows)
         per_key: Dict[int, int] = {}
-        for x in (r["hot"] if r is not None else []):
-            per_key[int(x["__cf_h"])] = max(per_key.get(int(x["__cf_h"]), 0), int(x["n"]))
-        hot_keys = {h: slices(n, ttl_us) for h, n in per_key.items()}
-        hot_keys = {h: k for h, k in hot_keys.items() if k > 0}
-        k = max(hot_keys.values(), default=0)
-        out.append(AsofPlanStats(width=max(1, ttl_us >> k), hot_keys=hot_keys,
-                                 source_copies=copies.get((i, 0), 0) > max_bucket_rows,
-                                 spine_copies=copies.get((i, 1), 0) > max_bucket_rows,
-                                 pairs=int(r["pairs"] or 0) if r is not None else 0,
-                                 rows=int(r["rows"] or 0) if r is not None else 0))
+        for (h, _), cuts in st.slices.cuts.items():
+            per_key[h] = max(per_key.get(h, 0), len(cuts).bit_length())
+        pairs, rows = join_pairs(spine, spine_ts, src, keys, ttl_us) if pair_bound else (0, st.rows)
+        out.append(AsofPlanStats(width=max(1, ttl_us >> max(per_key.values(), default=0)), hot_keys=per_key,
+                                 source_copies=st.source_copies[0], spine_copies=st.spine_copies, pairs=pairs, rows=rows))
     return out
 
 

@@ -5,10 +5,10 @@ view, read its source (column-pruned, time-bounded), project it (field
 mapping, key map, feature names) and as-of join it onto the running result.
 Views on the same keys and bucket width share a pass; passes run one after
 another, and with TTLs a spine row dropped by one view stays dropped.  The
-only eager work is two small bounded aggregates: the spine's min/max event
-time, which bounds every source scan (``prune_by_spine_range=False`` skips
-it), and the stats job that sizes buckets for hot keys and detects heavy
-copies (``bucket_width="auto"``, also the pair bound of ``strategy="join"``).
+only eager work is small and bounded: the spine's min/max event time, which
+bounds every source scan (``prune_by_spine_range=False`` skips it), one
+statistics job a pass (``bucket_width=None`` skips it; with hot keys two more,
+over their rows), the pair counts of ``strategy="join"``, and the key filter.
 """
 
 from __future__ import annotations
@@ -29,11 +29,16 @@ from ..model import (
     OnDemandFeatureView,
     group_feature_refs,
 )
-from ..operators.asof import C_COL, T_COL, AsofView, asof_plan_stats, point_in_time_join_many
+from ..operators.asof import C_COL, T_COL, AsofView, join_pairs, point_in_time_join_many
+from ..operators.asof_stats import PassStats, key_hash, pass_stats
 from ..operators.frame import detect_event_timestamp_column, rename_columns
+from ..operators.keyfilter import MAX_KEYS, KeyFilter, can_filter
 from ..session import shared_dir
 from ..sources.readers import check_columns, prune_partitions, read_source
 
+#: The ``join`` strategy is used up to this many pairs per input row.
+JOIN_PAIRS_PER_ROW = 4
+
 
 def prepare_entity_df(entity_df: Any, spark: Optional[SparkSession] = None) -> DataFrame:
     """Spine ingest: a Spark DataFrame passes through; a pandas DataFrame is
@@ -128,6 +133,24 @@ def spine_time_bounds(spine: DataFrame, ts: str) -> Optional[Tuple[int, int]]:
     return int(row["lo"]), int(row["hi"])
 
 
+def _pruned(spine: DataFrame, keys: Sequence[str], srcs: List[DataFrame], mode: str, stats: Optional[PassStats],
+            filters: dict) -> List[DataFrame]:
+    """``srcs`` without rows of keys that the spine lacks, where that pays.
+    ``filters`` keeps the filter of each key set for later passes."""
+    if mode == "off" or not can_filter(spine, keys) or (mode == "auto" and stats is None):
+        return srcs
+    if stats is not None:
+        count = stats.spine_keys
+    else:
+        count = int(spine.agg(F.approx_count_distinct(key_hash(keys))).first()[0])
+    wanted = [mode == "on" or 2 * count <= stats.source_keys[i] for i in range(len(srcs))]
+    if count > MAX_KEYS or not any(wanted):
+        return srcs
+    if tuple(keys) not in filters:
+        filters[tuple(keys)] = KeyFilter(spine, keys, count)
+    return [filters[tuple(keys)].prune(s) if use else s for s, use in zip(srcs, wanted)]
+
+
 def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView],
                             feature_refs: Iterable, full_feature_names: bool = False, *,
                             on_demand_feature_views: Sequence[OnDemandFeatureView] = (),
@@ -139,16 +162,22 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                             prune_by_spine_range: bool = True,
                             event_timestamp_column: Optional[str] = None,
                             checkpoint_every: Optional[int] = None,
-                            max_views_per_pass: int = 8) -> DataFrame:
+                            max_views_per_pass: int = 8,
+                            key_filter: str = "auto") -> DataFrame:
     """Training set: the spine plus, per requested feature, the value of the
     latest source row inside the view's TTL at each spine row's event time.
 
     Options: ``strategy`` ``"bucketed"`` (default; linear, skew-aware) or
-    ``"join"`` (used per view only when the stats job bounds its pairs, else
-    bucketed); ``bucket_width`` ``"auto"`` (default: one bucket per TTL,
-    narrower only for hot keys found by the stats job), ``None`` (one bucket
-    per TTL, no stats job) or a timedelta; ``max_bucket_rows`` the row budget
-    of one window partition; ``keep_unmatched`` keeps spine rows without a
+    ``"join"`` (used per view only when its pairs are counted as few, else
+    bucketed); ``bucket_width`` ``"auto"`` (default: one bucket per TTL) or a
+    timedelta (buckets that a pass's statistics find hot are cut into slices at
+    quantiles of their times), or ``None`` (one bucket per TTL, no
+    statistics); ``max_bucket_rows`` the row budget of one window partition;
+    ``key_filter`` ``"auto"`` (default: where the statistics find at most half
+    as many keys in the spine as in a source, a Bloom filter of the spine's
+    keys is tested in that source's scan), ``"on"`` (in every keyed source,
+    also of views without statistics) or ``"off"``; there is no filter above
+    4 million keys (:mod:`..operators.keyfilter`); ``keep_unmatched`` keeps spine rows without a
     match in TTL views (NULL features); ``prune_by_spine_range`` bounds every
     TTL view's scan by the spine's event-time range (one small job);
     ``max_views_per_pass`` caps how many views share one pass (each adds a
@@ -216,32 +245,16 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         rj = getattr(view.source, "range_join", None)
         if rj and bucket_width == "auto" and ttls[i] is not None:
             widths[i] = min(ttl_micros(float(rj)), ttls[i])
-    dedup_src = [False] * len(plan)
-    hot_keys = [None] * len(plan)
-    checked = [False] * len(plan)
-    dedup_spine = [False] * len(plan)
     strategies = [strategy] * len(plan)
-    if (strategy == "bucketed" and bw == "auto") or strategy == "join":
-        idx = [i for i, t in enumerate(ttls) if t is not None]
-        if idx:
-            stats = asof_plan_stats(spine, ets, [(prepared[i][0], plan[i][0].join_keys, ttls[i])
-                                                 for i in idx], max_bucket_rows,
-                                    pair_bound=strategy == "join")
-            for i, st in zip(idx, stats):
-                checked[i] = True
-                if strategy == "join" and not (st.join_is_bounded() and plan[i][0].join_keys):
-                    # the join would form too many pairs (or has no keys):
-                    # use the linear plan instead, same result
-                    warnings.warn(f"view {plan[i][0].name_to_use()!r}: up to {st.pairs} pairs over {st.rows} rows; "
-                                  f"joined by the 'bucketed' strategy instead of 'join'", stacklevel=2)
-                    strategies[i] = "bucketed"
-                if widths[i] == "auto":
-                    # ordinary keys: one bucket per TTL; hot keys: narrower, per key
-                    widths[i] = ttls[i]
-                    hot_keys[i] = st.hot_keys
-                if strategies[i] == "bucketed":
-                    dedup_src[i] = st.source_copies
-                    dedup_spine[i] = st.spine_copies
+    for i, (view, _, _) in enumerate(plan):
+        if strategy == "join" and ttls[i] is not None:
+            pairs, rows = join_pairs(spine, ets, prepared[i][0], view.join_keys, ttls[i])
+            if not view.join_keys or pairs > JOIN_PAIRS_PER_ROW * max(rows, 1):
+                # the join would form too many pairs (or has no keys):
+                # use the linear plan instead, same result
+                warnings.warn(f"view {view.name_to_use()!r}: up to {pairs} pairs over {rows} rows; "
+                              f"joined by the 'bucketed' strategy instead of 'join'", stacklevel=2)
+                strategies[i] = "bucketed"
     # views on the same join keys and bucket width share one as-of pass (one
     # shuffle on (keys, bucket), one spine aggregate); groups run one after
     # another.  Views with other widths run apart: sharing a narrower bucket
@@ -251,7 +264,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     for i, (view, _, _) in enumerate(plan):
         fuse = strategies[i] == "bucketed" and ttls[i] is not None
         if fuse:
-            w = widths[i] if isinstance(widths[i], int) else ttls[i]
+            w = min(widths[i], ttls[i]) if isinstance(widths[i], int) else ttls[i]
             gk = (tuple(view.join_keys), "ttl", w)
         else:
             gk = (tuple(view.join_keys), "single", i)
@@ -259,15 +272,21 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     # a fused pass gives every source row one ranking column per view (NULL
     # but for its own, 8 bytes each in a row): cap the views per pass
     step = max(1, max_views_per_pass)
-    passes = [(gk[0], idx[c:c + step]) for gk, idx in groups.items() for c in range(0, len(idx), step)]
-    result = spine
-    for n, (pass_keys, idx) in enumerate(passes, start=1):
-        avs = [AsofView(prepared[i][0], list(plan[i][2]), ttls[i], prepared[i][1], widths[i], dedup_src[i],
-                        hot_keys[i]) for i in idx]
-        result = point_in_time_join_many(result, ets, group_key, list(pass_keys), avs, strategy=strategies[idx[0]],
-                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows,
-                                         dedup_spine=any(dedup_spine[i] for i in idx),
-                                         copies_checked=all(checked[i] for i in idx))
+    passes = [(gk, idx[c:c + step]) for gk, idx in groups.items() for c in range(0, len(idx), step)]
+    if key_filter not in ("auto", "on", "off"):
+        raise ValueError(f"key_filter {key_filter!r} is none of 'auto', 'on', 'off'")
+    result, filters = spine, {}
+    for n, (gk, idx) in enumerate(passes, start=1):
+        pass_keys, srcs = list(gk[0]), [prepared[i][0] for i in idx]
+        stats = None
+        if gk[1] == "ttl" and bucket_width is not None:
+            # per pass: all its sources and the spine rows share the row budget
+            stats = pass_stats(spine, ets, pass_keys, [(s, ttls[i]) for s, i in zip(srcs, idx)], gk[2], max_bucket_rows)
+        srcs = _pruned(spine, pass_keys, srcs, key_filter, stats, filters)
+        avs = [AsofView(s, list(plan[i][2]), ttls[i], prepared[i][1], gk[2] if gk[1] == "ttl" else None)
+               for s, i in zip(srcs, idx)]
+        result = point_in_time_join_many(result, ets, group_key, pass_keys, avs, strategy=strategies[idx[0]],
+                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows, stats=stats)
         if checkpoint_every and n % checkpoint_every == 0 and n < len(passes):
             # cut the lineage of long requests: written to spark.checkpoint.dir
             shared_dir(spark)

@@ -211,6 +211,38 @@ def q_pit_hot_key_int_source(spark, d):
     return get_historical_features(spine, [v], ["act:f"], max_bucket_rows=50)
 
 
+def burst_events(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`hot_events` with user 0's events of a day inside its first
+    millisecond, where halving time would leave them together."""
+    start = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    burst = start + F.make_dt_interval(secs=F.col("event_id") % 1000 / F.lit(1_000_000).cast("decimal(18,6)"))
+    return hot_events(spark, d).withColumn("ts", F.when(F.col("user_id") == 0, burst).otherwise(F.col("ts")))
+
+
+def q_pit_burst_key(spark, d):
+    ev = burst_events(spark, d)
+    spine = ev.where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("event_timestamp"))
+    v = FeatureView(name="act", entities=["user_id"], ttl=timedelta(days=2), schema=["f"],
+                    source=DataFrameSource(df=ev.where(F.col("event_type") == "view"), timestamp_field="ts",
+                                           field_mapping={"value": "f"}))
+    return get_historical_features(spine, [v], ["act:f"], max_bucket_rows=50)
+
+
+def few_customers(spark: SparkSession, d: str) -> DataFrame:
+    """A spine of about one customer in a hundred: one segment of one nation."""
+    nation = table(spark, d, "nation").where(F.col("n_name") == "NATION_19")
+    return table(spark, d, "customer").where(F.col("c_mktsegment") == "FURNITURE") \
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .select(F.col("c_custkey").alias("o_custkey"), F.expr("timestamp_ntz'2000-01-01'").alias("event_timestamp"))
+
+
+def q_pit_key_pruned(spark, d):
+    """The orders of all other customers go in the scan's stage, by a Bloom filter of the spine's keys."""
+    v = FeatureView(name="o", entities=["o_custkey"], ttl=timedelta(days=365), schema=["o_totalprice"],
+                    source=orders_source(d))
+    return get_historical_features(few_customers(spark, d), [v], ["o:o_totalprice"])
+
+
 def copies_spine(spark: SparkSession, d: str) -> DataFrame:
     """Purchases at the start of their day; users with a purchase under 20
     count as user 0 of the coarser role, so its points are copied."""
@@ -517,6 +549,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_entityless_no_ttl": q_pit_entityless_no_ttl,
     "pit_fused_views": q_pit_fused_views,
     "pit_hot_key": q_pit_hot_key,
+    "pit_burst_key": q_pit_burst_key,
+    "pit_key_pruned": q_pit_key_pruned,
     "pit_hot_key_int_source": q_pit_hot_key_int_source,
     "pit_hot_copies_second_view": q_pit_hot_copies_second_view,
     "pit_role_twice": q_pit_role_twice,
@@ -626,6 +660,20 @@ ORACLES: Dict[str, str] = {
         "row_number() over (partition by e.user_id, e.ts order by v.ts desc, v.value desc) rn "
         "from ev e join ev v on e.user_id = v.user_id and v.event_type = 'view' and v.ts <= e.ts "
         "and v.ts >= e.ts - interval 2 day where e.event_type = 'purchase') where rn = 1"),
+    "pit_burst_key": (
+        "with ev as (select event_id, case when value < 20 or user_id = 0 then date_trunc('day', ts) + "
+        "to_microseconds(event_id % 1000) else ts end as ts, "
+        "case when value < 20 then 0 else user_id end as user_id, event_type, value from events) "
+        "select user_id, event_timestamp, f from (select e.user_id, e.ts event_timestamp, v.value f, "
+        "row_number() over (partition by e.user_id, e.ts order by v.ts desc, v.value desc) rn "
+        "from ev e join ev v on e.user_id = v.user_id and v.event_type = 'view' and v.ts <= e.ts "
+        "and v.ts >= e.ts - interval 2 day where e.event_type = 'purchase') where rn = 1"),
+    "pit_key_pruned": (
+        "select o_custkey, event_timestamp, o_totalprice from (select o_custkey, timestamp '2000-01-01' event_timestamp, "
+        "o_totalprice, row_number() over (partition by o_custkey order by o_orderdate desc, o_totalprice desc) rn "
+        "from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey "
+        "where c_mktsegment = 'FURNITURE' and n_name = 'NATION_19' and o_orderdate <= timestamp '2000-01-01' "
+        "and o_orderdate >= timestamp '2000-01-01' - interval 365 day) where rn = 1"),
     "pit_hot_copies_second_view": (
         "with ev as (select event_id, ts, case when value < 20 then 0 else user_id end as member, "
         "event_type, value from events), "
