@@ -27,6 +27,7 @@ from .model import (
 )
 from .operators import frame as ops
 from .plans import snapshot as mat
+from .plans.bucket_snapshot import materialize_buckets
 from .plans.retrieval import feature_projection, get_historical_features, prepare_entity_df
 from .session import scratch_path
 from .sources.readers import append_partitioned_by_day, write_table
@@ -375,6 +376,25 @@ def q_materialize_merge(spark, d):
     return spark.read.parquet(second).select("o_custkey", "o_orderdate", "o_totalprice")
 
 
+def orders_by_buckets(spark: SparkSession, d: str, num_buckets: int):
+    """The orders view in a bucketed snapshot: everything before 1999 first, later orders merged in by year."""
+    v = FeatureView(name="cust_orders", entities=["o_custkey"], ttl=None, schema=["o_totalprice"], source=orders_source(d))
+    root = scratch_path(spark, "orders-buckets")
+    for lo, hi in ((1990, 1999), (1999, 2000), (2000, 2010)):
+        snapshot = materialize_buckets(v, datetime(lo, 1, 1), datetime(hi, 1, 1), root, num_buckets, spark=spark)
+    return snapshot
+
+
+def q_materialize_bucket_merge(spark, d):
+    return orders_by_buckets(spark, d, 16).read().select("o_custkey", "o_orderdate", "o_totalprice")
+
+
+def q_snapshot_lookup_few(spark, d):
+    """Few keys: only the files of their buckets are opened."""
+    keys = few_customers(spark, d).select("o_custkey")
+    return orders_by_buckets(spark, d, 64).lookup(keys, ["o_orderdate", "o_totalprice"])
+
+
 def q_snapshot_lookup(spark, d):
     v = orders_view(d)
     snap = spark.read.parquet(mat.materialize(v, datetime(1900, 1, 1), datetime(1996, 1, 1), spark=spark))
@@ -568,6 +588,8 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pull_all": q_pull_all,
     "materialize_merge": q_materialize_merge,
     "snapshot_lookup": q_snapshot_lookup,
+    "materialize_bucket_merge": q_materialize_bucket_merge,
+    "snapshot_lookup_few": q_snapshot_lookup_few,
     "stream_materialize": q_stream_materialize,
     "latest_per_key": q_latest_per_key,
     "dedup_keep_last": q_dedup_keep_last,
@@ -736,6 +758,11 @@ ORACLES: Dict[str, str] = {
         "timestamp '1996-01-01' and o_orderdate < timestamp '1999-01-01') where rn = 1"),
     "materialize_merge": _LATEST_ORDERS.format(
         cond="o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '2000-01-01'"),
+    "materialize_bucket_merge": _LATEST_ORDERS.format(cond="o_orderdate < timestamp '2010-01-01'"),
+    "snapshot_lookup_few": (
+        "select c_custkey as o_custkey, o_orderdate, o_totalprice from customer join nation on c_nationkey = n_nationkey "
+        "left join (" + _LATEST_ORDERS.format(cond="o_orderdate < timestamp '2010-01-01'") + ") on o_custkey = c_custkey "
+        "where c_mktsegment = 'FURNITURE' and n_name = 'NATION_19'"),
     "snapshot_lookup": (
         "select c.c_custkey, o.o_totalprice from customer c left join (" + _LATEST_ORDERS.format(
             cond="o_orderdate >= timestamp '1900-01-01' and o_orderdate < timestamp '1996-01-01'")

@@ -12,6 +12,7 @@ store on the same root.
 from __future__ import annotations
 
 import re
+import uuid
 
 from datetime import datetime, timedelta
 from typing import Any, Dict, Iterable, Optional, Sequence
@@ -24,6 +25,7 @@ from .functions.ondemand import apply_on_demand
 from .functions.timecols import python_to_micros
 from .model import FeatureView, OnDemandFeatureView, group_feature_refs
 from .plans.retrieval import get_historical_features, output_feature_name
+from .plans.bucket_snapshot import BucketSnapshot, materialize_buckets
 from .plans.snapshot import get_online_features, materialize
 from .session import shared_dir
 from .sources.readers import normalize_path
@@ -36,11 +38,17 @@ class FeatureStore:
     def __init__(self, spark: SparkSession, views: Sequence[FeatureView],
                  on_demand_views: Sequence[OnDemandFeatureView] = (),
                  snapshot_root: Optional[str] = None, snapshot_buckets: Optional[int] = None,
-                 table_prefix: str = "chronofeat_snapshot"):
+                 table_prefix: str = "chronofeat_snapshot", merge_buckets: Optional[int] = None):
         """``snapshot_buckets=N`` writes snapshots as catalog tables bucketed
-        by the entity keys (named ``<table_prefix>_<view>_<generation>``), so
-        lookups shuffle only the entity rows."""
-        self.snapshot_buckets = snapshot_buckets
+        by the entity keys (named ``<table_prefix>_<view>_<generation>_<attempt>``),
+        so lookups shuffle only the entity rows.  ``merge_buckets=N`` keeps one
+        snapshot a view, split by key hash: a merge rewrites only the buckets
+        it touches, and a lookup opens only those of its keys
+        (:mod:`.plans.bucket_snapshot`).  Every attempt writes under a name of
+        its own, so what a killed call left behind is never in the way."""
+        if snapshot_buckets and merge_buckets:
+            raise ValueError("give snapshot_buckets or merge_buckets, not both")
+        self.snapshot_buckets, self.merge_buckets = snapshot_buckets, merge_buckets
         self.table_prefix = table_prefix
         self.spark = spark
         self.views = list(views)
@@ -69,7 +77,7 @@ class FeatureStore:
 
     @property
     def _ledger(self) -> str:
-        kind = f"tables-{self.table_prefix}" if self.snapshot_buckets else "folders"
+        kind = f"tables-{self.table_prefix}" if self.snapshot_buckets else "buckets" if self.merge_buckets else "folders"
         return normalize_path(f"{self.snapshot_root}/_ledger/{kind}")
 
     def get_historical_features(self, entity_df: Any, features: Iterable, full_feature_names: bool = False,
@@ -87,12 +95,17 @@ class FeatureStore:
             name = v.name_to_use()
             if views is not None and name not in views:
                 continue
+            attempt = uuid.uuid4().hex[:12]
+            if self.merge_buckets:
+                out[name] = f"{self.snapshot_root}/{name}/buckets"
+                materialize_buckets(v, start_date, end_date, out[name], self.merge_buckets, spark=self.spark)
+                continue
             if self.snapshot_buckets:
-                table = re.sub(r"\W", "_", f"{self.table_prefix}_{name}_{self._generation}")
+                table = re.sub(r"\W", "_", f"{self.table_prefix}_{name}_{self._generation}_{attempt}")
                 out[name] = materialize(v, start_date, end_date, previous=self._snapshots.get(name),
                                         spark=self.spark, table=table, num_buckets=self.snapshot_buckets)
                 continue
-            path = f"{self.snapshot_root}/{name}/gen={self._generation}"
+            path = f"{self.snapshot_root}/{name}/gen-{self._generation}-{attempt}"
             out[name] = materialize(v, start_date, end_date, path=path,
                                     previous=self._snapshots.get(name), spark=self.spark)
         if out:
@@ -120,6 +133,8 @@ class FeatureStore:
     def snapshot(self, view_name: str) -> DataFrame:
         if view_name not in self._snapshots:
             raise ValueError(f"view {view_name!r} has not been materialized")
+        if self.merge_buckets:
+            return BucketSnapshot(self.spark, self._snapshots[view_name]).read()
         if self.snapshot_buckets:
             return self.spark.table(self._snapshots[view_name])
         return self.spark.read.parquet(self._snapshots[view_name])
@@ -135,9 +150,12 @@ class FeatureStore:
         grouped, ods = group_feature_refs(list(features), self.views, self.on_demand_views)
         out = rows
         for view, feats in grouped:
-            snap = self.snapshot(view.name_to_use())
             keys = view.join_keys
             names = [output_feature_name(view, f, full_feature_names) for f in feats]
+            if self.merge_buckets and keys:
+                out = self._bucket_lookup(view, out, keys, feats, names)
+                continue
+            snap = self.snapshot(view.name_to_use())
             if not keys:
                 # entityless: the snapshot is one row, attached as a scalar subquery
                 one = snap.select(F.struct(*[F.col(f).alias(n) for f, n in zip(feats, names)]).alias("x"))
@@ -156,3 +174,14 @@ class FeatureStore:
         for od in ods:
             out = apply_on_demand(out, od)
         return out
+
+    def _bucket_lookup(self, view: FeatureView, rows: DataFrame, keys: Sequence[str], feats: Sequence[str],
+                       names: Sequence[str]) -> DataFrame:
+        """``rows`` with ``feats`` (as ``names``) from the buckets that their keys fall into."""
+        if view.name_to_use() not in self._snapshots:
+            raise ValueError(f"view {view.name_to_use()!r} has not been materialized")
+        store = BucketSnapshot(self.spark, self._snapshots[view.name_to_use()])
+        asked = rows.select(*[F.col(k).alias(e) for k, e in zip(keys, view.entities)]).distinct()
+        found = store.lookup(asked, feats).select(*[F.col(e).alias(k) for k, e in zip(keys, view.entities)],
+                                                  *[F.col(f).alias(n) for f, n in zip(feats, names)])
+        return rows.join(found, list(keys), "left")

@@ -1,0 +1,148 @@
+"""Snapshots by key bucket: partial rewrites, pruned lookups, crashes between any two steps."""
+
+import glob
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from chronofeat import FeatureView, ParquetSource
+from chronofeat.plans import bucket_snapshot as bs
+from chronofeat.plans.bucket_snapshot import BucketSnapshot
+from chronofeat.store import FeatureStore
+from helpers import rows
+
+T0 = datetime(2024, 1, 1)
+SCHEMA = "k long, ts timestamp_ntz, f double"
+
+
+def size(path):
+    return sum(os.path.getsize(p) for p in glob.glob(path + "/**/*.parquet", recursive=True))
+
+
+def many(spark, n, at=T0, value=1.0):
+    return spark.range(n).select(F.col("id").alias("k"), F.lit(at).cast("timestamp_ntz").alias("ts"),
+                                 (F.rand(3) + value).alias("f"))
+
+
+def test_newest_row_per_key_wins(spark, tmp_path_str):
+    s = BucketSnapshot(spark, tmp_path_str + "/s")
+    day = timedelta(days=1)
+    s.merge(spark.createDataFrame([(1, T0, 1.0), (1, T0 + day, 2.0), (2, T0, 3.0), (None, T0, 4.0)], SCHEMA), ["k"], ["ts"], 8)
+    s.merge(spark.createDataFrame([(1, T0, 9.0), (2, T0 + day, 5.0), (3, T0, 6.0)], SCHEMA), ["k"], ["ts"], 8)
+    s.merge(spark.createDataFrame([], SCHEMA), ["k"], ["ts"], 8)
+    assert rows(s.read().select("k", "f"), F.col("k").asc_nulls_first()) == [(None, 4.0), (1, 2.0), (2, 5.0), (3, 6.0)]
+    with pytest.raises(ValueError):
+        s.merge(spark.createDataFrame([(1, T0, 1.0)], SCHEMA), ["k"], ["ts"], 9)
+    with pytest.raises(ValueError):
+        BucketSnapshot(spark, tmp_path_str + "/none").read()
+
+
+def test_merge_writes_what_it_touches(spark, tmp_path_str):
+    """One bucket of a hundred is touched: about a hundredth is written, the other files stay."""
+    root = tmp_path_str + "/s"
+    s = BucketSnapshot(spark, root)
+    s.merge(many(spark, 40_000), ["k"], ["ts"], 100)
+    before, whole = s.manifest(), size(root + "/data")
+    late = many(spark, 40_000, T0 + timedelta(days=1), 5.0)
+    late = late.where(bs._bucket(late, ["k"], 100) == 7)
+    assert s.merge(late, ["k"], ["ts"], 100) == [7]
+    assert size(root + "/data") - whole < 0.03 * whole
+    now = s.manifest()
+    assert [b for b in now if now[b]["folder"] != before[b]["folder"]] == [7]
+    assert s.obsolete() == [before[7]["folder"]]
+    assert s.read().where("f >= 5").count() == late.count() and s.read().count() == 40_000
+
+
+def test_lookup_opens_the_buckets_of_its_keys(spark, tmp_path_str):
+    s = BucketSnapshot(spark, tmp_path_str + "/s")
+    s.merge(many(spark, 5000), ["k"], ["ts"], 64)
+    asked = spark.createDataFrame([(k,) for k in (3, 77, 78, 4000, 4999, -1)], "k int")       # another type than stored
+    out = s.lookup(asked, ["f"], "v", True)
+    assert len(out.inputFiles()) <= 6 and out.columns == ["k", "v__f"]
+    got = {r["k"]: r["v__f"] for r in out.collect()}
+    want = {r["k"]: r["f"] for r in s.read().where("k in (3, 77, 78, 4000, 4999)").collect()}
+    assert got == {**want, -1: None}
+    assert len(s.read().inputFiles()) == 64
+
+
+def test_new_columns_are_null_in_old_buckets(spark, tmp_path_str):
+    s = BucketSnapshot(spark, tmp_path_str + "/s")
+    s.merge(spark.createDataFrame([(1, T0, 1.0), (2, T0, 2.0)], SCHEMA), ["k"], ["ts"], 50)
+    s.merge(spark.createDataFrame([(1, T0 + timedelta(1), 1.5, "x")], SCHEMA + ", g string"), ["k"], ["ts"], 50)
+    assert rows(s.read().select("k", "f", "g")) == [(1, 1.5, "x"), (2, 2.0, None)]
+
+
+def test_zeros_of_a_float_are_one_key(spark, tmp_path_str):
+    s = BucketSnapshot(spark, tmp_path_str + "/s")
+    s.merge(spark.createDataFrame([(0.0, T0, 1.0)], "k double, ts timestamp_ntz, f double"), ["k"], ["ts"], 64)
+    s.merge(spark.createDataFrame([(-0.0, T0 + timedelta(1), 2.0)], "k double, ts timestamp_ntz, f double"), ["k"], ["ts"], 64)
+    assert [r.f for r in s.read().collect()] == [2.0]
+
+
+@pytest.fixture()
+def view(spark, tmp_path_str):
+    day = timedelta(days=1)
+    spark.createDataFrame([(k, T0 + d * day, float(10 * k + d)) for k in range(20) for d in range(3)], SCHEMA) \
+        .write.parquet(tmp_path_str + "/src")
+    return FeatureView(name="v", entities=["k"], ttl=day, schema=["f"],
+                       source=ParquetSource(path=tmp_path_str + "/src", timestamp_field="ts"))
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["staged", "written", "committed"])
+def test_killed_merge_leaves_the_snapshot_and_the_next_store_goes_on(spark, tmp_path_str, view, monkeypatch, step):
+    day = timedelta(days=1)
+
+    def store():
+        return FeatureStore(spark, [view], snapshot_root=tmp_path_str + "/root", merge_buckets=4)
+    store().materialize(T0, T0 + day)
+    commit, latest = BucketSnapshot._commit, bs.keep_latest
+
+    def die(*_):
+        raise Killed
+    with monkeypatch.context() as m:
+        if step == "staged":               # new rows lie there, the merge has not begun
+            m.setattr(bs, "keep_latest", die)
+        elif step == "written":            # bucket files lie there, the manifest does not name them
+            m.setattr(BucketSnapshot, "_commit", die)
+        else:                              # the merge is committed, the store's ledger is not
+            m.setattr(BucketSnapshot, "_commit", lambda self, e: (commit(self, e), die()))
+        with pytest.raises(Killed):
+            store().materialize(T0 + day, T0 + 2 * day)
+    assert bs.keep_latest is latest
+    after = store()
+    got = rows(after.snapshot("v").select("k", "f"))
+    assert got == [(k, 10.0 * k + (step == "committed")) for k in range(20)]
+    after.materialize_incremental(T0 + 3 * day)
+    assert rows(store().snapshot("v").select("k", "f")) == [(k, 10.0 * k + 2) for k in range(20)]
+    out = store().get_online_features(["v:f"], [{"k": 4}, {"k": 99}], full_feature_names=True)
+    assert rows(out) == [(4, 42.0), (99, None)]
+
+
+@pytest.mark.parametrize("options", [{}, {"snapshot_buckets": 3, "table_prefix": "crash_test"}])
+def test_store_goes_on_after_a_crash_before_its_ledger(spark, tmp_path_str, view, monkeypatch, options):
+    """The snapshot was written, its ledger entry was not: the same generation is made again, under another name."""
+    def store():
+        return FeatureStore(spark, [view], snapshot_root=tmp_path_str + "/root", **options)
+    import chronofeat.store as module
+
+    def die(*_):
+        raise Killed
+    with monkeypatch.context() as m:
+        m.setattr(module, "python_to_micros", die)      # the first thing done for the ledger
+        with pytest.raises(Killed):
+            store().materialize(T0, T0 + timedelta(days=1))
+    again = store()
+    again.materialize(T0, T0 + timedelta(days=3))
+    assert rows(again.snapshot("v").select("k", "f")) == [(k, 10.0 * k + 2) for k in range(20)]
+    assert rows(store().snapshot("v").select("k", "f")) == rows(again.snapshot("v").select("k", "f"))
+
+
+def test_both_layouts_are_refused(spark, view):
+    with pytest.raises(ValueError):
+        FeatureStore(spark, [view], snapshot_buckets=2, merge_buckets=2)
