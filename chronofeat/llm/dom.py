@@ -9,10 +9,13 @@ from typing import List, Optional, Tuple
 
 import numpy as np
 
+#: The inside of a tag after its name.  A quote opens a value only behind ``=`` and only if it is closed somewhere;
+#: any other value runs to white space or ``>``, whatever quotes it holds.  Nothing is read twice.
+INSIDE_TAG = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|[^>=])*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({INSIDE_TAG})(?:>|\Z)", re.S)
+_ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[^\S ]\s*| \s+")
 

@@ -232,8 +232,7 @@ def train_extractor(pages: DataFrame, html_col: str = "html", id_col: str = "pag
 def decode(nodes: List[Node], score: np.ndarray) -> List[str]:
     """Texts of the best labelling without a kept element under a rejected one, in page order.
 
-    An element that holds nothing decides nothing.  Where text stands directly
-    in the body and nowhere else, all of it is the main text.  ``gain`` is the best total
+    An element that holds nothing decides nothing.  ``gain`` is the best total
     of an element's subtree given that the element is kept."""
     gain = score.tolist()
     for i in range(len(nodes) - 1, 0, -1):
@@ -241,8 +240,6 @@ def decode(nodes: List[Node], score: np.ndarray) -> List[str]:
             gain[nodes[i].parent.index] += gain[i]
     keep = [True] * len(nodes)
     runs = []
-    if all(x.tag == BARE for x in nodes if x.runs):
-        gain = [1.0] * len(nodes)
     for i, x in enumerate(nodes):
         if i:
             keep[i] = keep[x.parent.index] and gain[i] > 0
@@ -257,8 +254,7 @@ def extract_main_text(pages: DataFrame, model: TreeEnsemble, id_col: str = "page
     page order, joined by line ends) and ``n_chars`` (its code points).
 
     Defined cases: null or empty HTML gives an empty text; text directly in the
-    body is scored like a block, and is the main text where no element holds
-    text; ids and urls may be null or
+    body is scored like a block; a gain of 0 is no gain; ids and urls may be null or
     repeated; an empty table gives an empty result; other columns are not
     looked at."""
     ship_code(pages.sparkSession)

@@ -1,11 +1,16 @@
 """Word shingles of a batch of texts as 64-bit hashes, vectorised with numpy.
 
 Words are maximal runs of non-white-space characters (white space: space and
-``\\x09``-``\\x0D``) after lower-casing A-Z.  A word's hash is a polynomial of
-table values of its UTF-8 bytes modulo 2**64; a shingle's hash mixes the
-hashes of its words in order.  Two different shingles of one pair of texts
-collide with a chance of about ``n**2 / 2**64``, that is 1e-11 for texts of
-20,000 words.
+``\\x09``-``\\x0D``) after lower-casing A-Z.  A word's hash in a shingle is the
+64-bit XXH3 of its UTF-8 bytes, made once for each distinct word of a chunk; a
+shingle's hash mixes the hashes of its words in order.  XXH3 has no known
+families of colliding words; were its values random, two different shingles of
+one pair of texts would collide with a chance of about ``n**2 / 2**64``, that
+is 1e-11 for texts of 20,000 words.
+
+:func:`_hashes_of` is a faster polynomial of the bytes modulo 2**64.  Words
+that collide can be constructed for it, so it only serves where a collision
+changes a weight, not a result (the hashed scorer).
 """
 
 from __future__ import annotations
@@ -13,6 +18,9 @@ from __future__ import annotations
 from typing import List, Optional, Sequence
 
 import numpy as np
+import xxhash
+
+from .wordblocks import distinct_words
 
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15)
@@ -57,6 +65,20 @@ def _hashes_of(b: np.ndarray):
     return _mix(np.add.reduceat(v, first) + lens.astype(_U)), starts
 
 
+def _sound_hashes(data: bytes):
+    """(XXH3 of each word, its start) in a text."""
+    b = np.frombuffer(data, np.uint8)
+    inside = ~_SPACE[b]
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    starts, lens = edge[0::2], edge[1::2] - edge[0::2]
+    if len(starts) == 0:
+        return np.empty(0, _U), np.empty(0, np.int64)
+    one, number = distinct_words(data, starts, lens)
+    of = xxhash.xxh3_64_intdigest
+    values = np.fromiter((of(data[s:s + n]) for s, n in zip(starts[one].tolist(), lens[one].tolist())), _U, len(one))
+    return values[number], starts
+
+
 def shingle_sets(texts: Sequence[Optional[str]], width: int, chunk_bytes: int = 1 << 20) -> List[np.ndarray]:
     """For each text its sorted distinct shingle hashes (uint64).
 
@@ -78,7 +100,7 @@ def shingle_sets(texts: Sequence[Optional[str]], width: int, chunk_bytes: int =
 
 def _sets(datas: List[bytes], width: int) -> List[np.ndarray]:
     with np.errstate(over="ignore"):
-        h, starts = _hashes_of(np.frombuffer(b" ".join(datas), np.uint8))
+        h, starts = _sound_hashes(b" ".join(datas))
         bounds = np.cumsum([0] + [len(d) + 1 for d in datas])
         cut = np.searchsorted(starts, bounds)
         rolled = None

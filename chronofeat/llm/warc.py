@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship_code
+from .dom import INSIDE_TAG
 
 Headers = List[Tuple[str, str]]
 
@@ -48,7 +49,8 @@ def write_record(headers: Headers, block: bytes) -> bytes:
 
 def read_record(data: bytes, at: int = 0) -> Tuple[Headers, bytes, int]:
     """(headers, block, place after the record) of the record at ``at``; a block
-    that is cut off gives what is there."""
+    that is cut off gives what is there.  ValueError where no record begins or
+    its Content-Length is no number; the place is always beyond ``at``."""
     end = data.find(b"\r\n\r\n", at)
     if end < 0 or not data.startswith(b"WARC/", at):
         raise ValueError(f"no WARC record at byte {at}")
@@ -60,8 +62,10 @@ def read_record(data: bytes, at: int = 0) -> Tuple[Headers, bytes, int]:
         elif ":" in x:
             k, v = x.split(":", 1)
             headers.append((k.strip(), v.strip()))
-    size = int(get(headers, "Content-Length") or 0)
-    start = end + 4
+    length = get(headers, "Content-Length") or ""
+    if not re.fullmatch(r"[0-9]{1,18}", length):
+        raise ValueError(f"record at byte {at} has the Content-Length {length!r}")
+    size, start = int(length), end + 4
     after = start + size
     while data.startswith(b"\r\n", after):
         after += 2
@@ -87,19 +91,27 @@ def _codings(headers: Headers, name: str) -> List[str]:
     return [x for x in reversed(found) if x and x != "identity"]
 
 
+class BrokenBody(ValueError):
+    """A chunked body that breaks off after some of its chunks."""
+
+
 def _unchunk(body: bytes) -> bytes:
+    """The chunks' contents.  ValueError where not even the first chunk can be
+    read (the body is not chunked), BrokenBody where a later one cannot."""
     out, at = [], 0
     while True:
         end = body.find(b"\r\n", at)
-        try:
-            n = int(body[at:end].split(b";")[0], 16) if end >= 0 else 0
-        except ValueError:
-            break
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", size):
+            raise (BrokenBody if at else ValueError)(f"no chunk at byte {at}")
+        n = int(size, 16)
         if not n:
-            break
+            return b"".join(out)
+        if end + 2 + n > len(body):
+            raise BrokenBody(f"the chunk at byte {at} is cut off")
         out.append(body[end + 2:end + 2 + n])
-        at = end + 4 + n
-    return b"".join(out) or body
+        at = end + 2 + n
+        at += 2 if body.startswith(b"\r\n", at) else 0
 
 
 def _inflate(body: bytes) -> bytes:
@@ -124,20 +136,23 @@ def _is_text(body: bytes) -> bool:
 def undo_codings(headers: Headers, body: bytes) -> Tuple[bytes, Optional[str]]:
     """The body without transfer and content codings, and the coding that could
     not be undone, if any: one that is not known here (br, zstd, ...) or is
-    broken.  UTF-8 text under such a coding was decoded before; it stays as sent."""
+    broken.  UTF-8 text under such a coding was decoded before; it stays as
+    sent.  A chunked body that breaks off is not handed on in part."""
     for coding in _codings(headers, "transfer-encoding") + _codings(headers, "content-encoding"):
         try:
-            if coding == "chunked":
-                body = _unchunk(body)
-            elif not body:
+            if not body:
                 continue
+            elif coding == "chunked":
+                body = _unchunk(body)
             elif coding in ("gzip", "x-gzip"):
                 body = gzip.decompress(body)
             elif coding == "deflate":
                 body = _inflate(body)
             elif not _is_text(body):
                 return body, coding
-        except (OSError, EOFError, zlib.error):
+        except BrokenBody:
+            return body, coding
+        except (OSError, EOFError, ValueError, zlib.error):
             if not _is_text(body):
                 return body, coding
     return body, None
@@ -159,8 +174,8 @@ def decode_body(headers: Headers, body: bytes) -> str:
 
 _UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main"
-                    r"|nav|ol|p|pre|section|table|td|th|tr|ul|body|html)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
+                    rf"|nav|ol|p|pre|section|table|td|th|tr|ul|body|html)\b{INSIDE_TAG}>", re.I)
+_TAG = re.compile(rf"<[!/?a-zA-Z]{INSIDE_TAG}>")
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
 _LINK = re.compile(r"<a\s[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)", re.I)
 
@@ -252,9 +267,14 @@ def build_derivatives(records: DataFrame, record_col: str = "record", keep: Tupl
     (metadata) where its coding cannot be undone: the columns in ``keep``, ``warc_type, record_id, refers_to, target_uri, date,
     payload_digest, block_digest, n_bytes`` (of the block) and ``record``.
 
-    Defined cases: null, damaged and other records (requests, metadata, ...)
-    give no rows; repeated responses give repeated rows; an empty table gives
+    Defined cases: names in ``keep`` that the result has too, or that are
+    repeated, are refused with a ValueError before any job; null, damaged and
+    other records (requests, metadata, ...) give no rows; repeated responses give repeated rows; an empty table gives
     an empty result."""
+    names = [k.lower() for k in (*keep, "warc_type", "record_id", "refers_to", "target_uri", "date", "payload_digest",
+                                 "block_digest", "n_bytes", "record", "__cf_record")]
+    if len(set(names)) < len(names):
+        raise ValueError(f"keep={keep} repeats a name or clashes with a column of the result")
     ship_code(records.sparkSession)
     source = records.select(*keep, F.col(record_col).alias("__cf_record"))
     schema = source.selectExpr(*[f"`{k}`" for k in keep], "cast(null as string) as warc_type", "cast(null as string) as record_id", "cast(null as string) as refers_to", "cast(null as string) as target_uri",
@@ -290,29 +310,52 @@ def build_derivatives(records: DataFrame, record_col: str = "record", keep: Tupl
     return source.mapInArrow(run, schema)
 
 
+_STARTS = re.compile(rb"(?:(?<=\n)|(?<![\s\S]))WARC/|\x1f\x8b\x08")
+
+
+def records_of(data: bytes) -> Iterator[Tuple[int, Optional[bytes], Optional[str]]]:
+    """``(place, record, damage)`` of a WARC file's records, in order.  Where no
+    record can be read, one entry gives the place and the reason, and reading
+    goes on at the next place where a record or a gzip member begins."""
+    at, bad = 0, False
+    while at < len(data):
+        try:
+            if data[at:at + 2] == b"\x1f\x8b":
+                one, after = _member(data, at)
+                read_record(one)
+            else:
+                after = read_record(data, at)[2]
+                one = data[at:after]
+        except (ValueError, EOFError, OSError, zlib.error) as e:
+            if not bad:
+                yield at, None, str(e)[:200] or type(e).__name__
+            bad = True
+            found = _STARTS.search(data, at + 1)
+            at = found.start() if found else len(data)
+            continue
+        bad = False
+        yield at, one, None
+        at = max(after, at + 1)
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``path, offset, record`` of WARC files, plain or with one gzip member per
-    record.  A file is a task's unit of work and must fit Spark's binary file
-    source (2 GB); crawls write files of about 1 GB."""
+    """``path, offset, record, damage`` of WARC files, plain or with one gzip
+    member per record.  A damaged stretch is one row without a record: its
+    place and the reason; the records behind it are read.  A file is a task's
+    unit of work and must fit Spark's binary file source (2 GB); crawls write
+    files of about 1 GB."""
     ship_code(spark)
+    schema = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("record", pa.binary()), ("damage", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-                zip(*rows), (pa.string(), pa.int64(), pa.binary()))], ["path", "offset", "record"])
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows: List[Tuple[str, int, bytes]] = []
-                at = 0
-                while at < len(data):
-                    if data[at:at + 2] == b"\x1f\x8b":
-                        one, after = _member(data, at)
-                    else:
-                        _, _, after = read_record(data, at)
-                        one = data[at:after]
-                    rows.append((name, at, one))
-                    at = after
+                rows: List[tuple] = []
+                for found in records_of(data):
+                    rows.append((name, *found))
                     if len(rows) >= 500:
                         yield out(rows)
                         rows = []
@@ -320,7 +363,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     yield out(rows)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, offset bigint, record binary")
+    return files.mapInArrow(run, "path string, offset bigint, record binary, damage string")
 
 
 def warc_fields(record: bytes) -> Dict[str, List[str]]:
