@@ -4,6 +4,7 @@ from .model import (  # noqa: F401
     DEFAULT_EVENT_TIMESTAMP_COL,
     DUMMY_ENTITY_ID,
     DUMMY_ENTITY_VAL,
+    BucketedTableSource,
     CsvSource,
     DataFrameSource,
     DataSource,

@@ -107,6 +107,34 @@ def micros_literal(us: int, dtype: T.DataType) -> Column:
     return F.lit(us)
 
 
+def raw_bounds(name: str, dtype: T.DataType, lo_us: int, hi_us: int, iso_text: bool = False) -> Optional[Column]:
+    """A predicate on the column as it is stored that every row timed in
+    ``[lo_us, hi_us]`` meets: the bounds in the column's own type, rounded
+    outwards.  It reaches the scan and prunes row groups; an exact test must
+    follow.  None where the type gives no such bounds (text that is not
+    declared to begin with yyyy-MM-dd)."""
+    first, last = (date.min - date(1970, 1, 1)).days, (date.max - date(1970, 1, 1)).days
+
+    def day(us: int) -> int:
+        return min(max(us // MICROS_PER_DAY, first), last)
+
+    def iso(days: int) -> str:
+        return (date(1970, 1, 1) + timedelta(days=days)).isoformat()
+
+    c = F.col(name)
+    if isinstance(dtype, (T.LongType, T.IntegerType)):
+        return (c >= F.lit(lo_us)) & (c <= F.lit(hi_us))
+    if isinstance(dtype, T.DateType):
+        # days are times of midnight: the last one may be that of the bound itself
+        return (c >= F.expr(f"DATE'{iso(day(lo_us))}'")) & (c <= F.expr(f"DATE'{iso(day(hi_us))}'"))
+    if isinstance(dtype, T.StringType) and iso_text:
+        out = c >= F.lit(iso(day(lo_us)))
+        if day(hi_us) < last:              # below the day after the last one
+            out = out & (c < F.lit(iso(day(hi_us) + 1)))
+        return out
+    return None
+
+
 def bucket_of(x: Column, w: Union[int, Column]) -> Column:
     """Time bucket ``floor(x / w)`` as a long, exact for negative x too.
     ``w`` is a positive constant or a per-row width column.

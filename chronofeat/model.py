@@ -35,6 +35,10 @@ class DataSource:
     ``date_partition_grain`` (``"day"``, ``"month"`` or ``"year"``) its value
     is declared to be the period of the row's event time, and reads bounded
     in time skip the partitions of other periods.
+
+    ``timestamp_text="iso"`` declares that a text time column begins with
+    ``yyyy-MM-dd`` (four, two and two digits) in every row, so that its texts
+    sort as its days do and reads bounded in time can skip row groups.
     """
 
     timestamp_field: str
@@ -42,6 +46,7 @@ class DataSource:
     field_mapping: tuple = ()
     date_partition_column: Optional[str] = None
     date_partition_grain: Optional[str] = None
+    timestamp_text: Optional[str] = None
     name: str = ""
     description: str = ""
     tags: tuple = ()
@@ -50,6 +55,8 @@ class DataSource:
     def __post_init__(self):
         if self.date_partition_grain not in (None, "day", "month", "year"):
             raise ValueError(f"unknown date_partition_grain {self.date_partition_grain!r}")
+        if self.timestamp_text not in (None, "iso"):
+            raise ValueError(f"unknown timestamp_text {self.timestamp_text!r}")
         if isinstance(self.field_mapping, Mapping):
             object.__setattr__(self, "field_mapping", _frozen_map(self.field_mapping))
         if isinstance(self.tags, Mapping):
@@ -76,7 +83,15 @@ class CsvSource(FileSource):
     """CSV files.  ``schema`` (DDL string) gives typed columns without an
     inference pass; without it every column is read as a string and only the
     timestamp columns are parsed (``infer_schema=True`` asks Spark to infer,
-    which costs one extra pass over the data)."""
+    which costs one extra pass over the data).
+
+    ``bad_rows`` says what happens to rows that do not fit ``schema`` (a value
+    of another type, too many or too few fields): ``"fail"`` (default) ends the
+    read with an error that quotes the row, ``"null"`` keeps them with NULL for
+    what cannot be read, ``"drop"`` leaves them out;
+    :func:`chronofeat.sources.read_csv_with_rejects` gives those it leaves out.
+    With ``"fail"`` and ``"null"`` a row is judged by the columns that a query
+    needs, with ``"drop"`` as a whole."""
 
     delimiter: str = ","
     header: bool = True
@@ -84,6 +99,12 @@ class CsvSource(FileSource):
     infer_schema: bool = False
     timestamp_format: Optional[str] = None
     escape: str = "\\"
+    bad_rows: str = "fail"
+
+    def __post_init__(self):
+        super().__post_init__()
+        if self.bad_rows not in ("fail", "null", "drop"):
+            raise ValueError(f"unknown bad_rows {self.bad_rows!r}")
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -102,6 +123,15 @@ class IcebergSource(FileSource):
     range_join: Optional[int] = None
 
 
+@dataclass(frozen=True, kw_only=True)
+class BucketedTableSource(DataSource):
+    """A catalog table that :func:`chronofeat.sources.write_bucketed` wrote:
+    bucketed by entity keys, sorted by keys and time.  As-of joins on exactly
+    those keys read it without shuffling it."""
+
+    table: str
+
+
 @dataclass(frozen=True, kw_only=True, eq=False)
 class DataFrameSource(DataSource):
     """A source that is already a (lazy) Spark DataFrame, e.g. a filtered or

@@ -139,7 +139,7 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
                             keys: Sequence[str], views: Sequence[AsofView],
                             strategy: str = "bucketed", keep_unmatched: bool = False,
                             max_bucket_rows: int = 2_000_000, dedup_spine: bool = False,
-                            stats: Optional[PassStats] = None) -> DataFrame:
+                            stats: Optional[PassStats] = None, buckets: int = 0) -> DataFrame:
     """As-of join several views that share the same join keys, in one pass.
 
     With the ``bucketed`` strategy and TTLs on all views, the views share one
@@ -154,7 +154,12 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     source row per (keys, time) the same way.  Both are set from the pass's
     ``stats`` when copies are heavy; results are the same either way.  With
     ``stats`` no set of spine copies exceeds the row budget, so the final
-    aggregate skips its map-side partial step."""
+    aggregate skips its map-side partial step.
+
+    ``buckets``: all sources are stored in that many buckets of exactly
+    ``keys``, in the spine's types.  The spine rows then go to the sources'
+    buckets, and no source is shuffled; where a group is hot, slices need a
+    shuffle of their own, and ``buckets`` is not used."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
     views = list(views)
@@ -227,7 +232,8 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
         cands = _join_plan(probe, srcs[0], keys, v0.ttl_us, keep_unmatched and probe is sp_ok)
     else:
         slices = stats.slices if stats is not None else Slices()
-        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s, slices)
+        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s, slices,
+                               0 if slices.cuts else buckets)
     if probe is not sp_ok:
         answers = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)]) \
             .select(*[F.col(GKEY)[k].alias(k) for k in keys], F.col(GKEY)[T_COL].alias(T_COL), *bests)
@@ -297,18 +303,25 @@ def _keys_as(source: DataFrame, spine: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls: List[int], w: int,
-                   ranks: List[RankSpec], null_r: List[Column], null_s: Column, slices: Slices) -> DataFrame:
-    """``w``: bucket width; the hot buckets in ``slices`` are cut further."""
+                   ranks: List[RankSpec], null_r: List[Column], null_s: Column, slices: Slices,
+                   buckets: int = 0) -> DataFrame:
+    """``w``: bucket width; the hot buckets in ``slices`` are cut further.
+    With ``buckets`` the spine rows are dealt as the stored sources are: the
+    union then keeps that partitioning, and the windows need no shuffle."""
     if w <= 0 or any(w > ttl for ttl in ttls):
         raise ValueError("bucket width must be positive and not larger than any TTL")
     n = len(srcs)
     t = F.col(T_COL)
     null_g = _null_like(sp, GKEY)
     hot, factor = slices.frame(sp.sparkSession), slices.factor
+    # keys under new names: a union compares the partitionings of its inputs by
+    # column, and a table's own columns carry the table's name
+    named = [f"__cf_k{i}" for i in range(len(keys))]
+    renamed = [F.col(k).alias(x) for k, x in zip(keys, named)]
     parts = []
     for i, src in enumerate(srcs):
         rows = with_slice(src, keys, t, w, hot, factor, BUCKET)
-        parts.append(rows.select(*keys, T_COL, F.lit(0).alias(KIND), F.lit(i).alias(VIEW), BUCKET,
+        parts.append(rows.select(*renamed, T_COL, F.lit(0).alias(KIND), F.lit(i).alias(VIEW), BUCKET,
                                  *[(F.col(_r(j)) if j == i else null_r[j]).alias(_r(j)) for j in range(n)],
                                  null_g.alias(GKEY), null_s.alias(SPAY)))
     # each spine row yields itself (kind 1, at t) and one probe (kind 2, at
@@ -323,11 +336,13 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
     points = sp.select(*keys, GKEY, F.explode(F.array(*items)).alias("__cf_pair")).select(
         *keys, pair[T_COL].alias(T_COL), pair[KIND].alias(KIND), pair[VIEW].alias(VIEW), GKEY, pair[SPAY].alias(SPAY))
     e_rows = with_slice(points, keys, t, w, hot, factor, BUCKET).select(
-        *keys, T_COL, KIND, VIEW, BUCKET, *[null_r[j].alias(_r(j)) for j in range(n)], GKEY, SPAY)
+        *renamed, T_COL, KIND, VIEW, BUCKET, *[null_r[j].alias(_r(j)) for j in range(n)], GKEY, SPAY)
+    if buckets:
+        e_rows = e_rows.repartition(buckets, *named)
     u = parts[0]
     for p in parts[1:] + [e_rows]:
         u = u.unionByName(p)
-    part = [*keys, BUCKET]
+    part = [*named, BUCKET]
     # source rows sort before spine/probe rows at equal time: both bounds inclusive
     up = Window.partitionBy(*part).orderBy(t.asc(), F.col(KIND).asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -18,6 +18,7 @@ from ..functions.timecols import (
     epoch_micros,
     micros_literal,
     python_to_micros,
+    raw_bounds,
     ttl_micros,
 )
 from ..session import scratch_path
@@ -148,14 +149,18 @@ def filter_ttl(df: DataFrame, event_ts: str, ts: str, ttl) -> DataFrame:
     return df.where((t >= e - F.lit(us)) & (t <= e))
 
 
-def filter_time_range(df: DataFrame, ts: str, start, end) -> DataFrame:
+def filter_time_range(df: DataFrame, ts: str, start, end, iso_text: bool = False) -> DataFrame:
     """Keep rows with ``start <= ts < end`` (half-open).
 
     The bounds become literals of the column's own type, so the predicate is
-    pushed into the Parquet scan and prunes row groups."""
+    pushed into the Parquet scan and prunes row groups; for text only if
+    ``iso_text`` says that it begins with yyyy-MM-dd."""
     dt = df.schema[ts].dataType
     if not isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        # dates, strings, numbers: compare parsed epoch micros (exact)
+        # dates, strings, numbers: own bounds for the scan, then parsed epoch micros (exact)
+        bounds = raw_bounds(ts, dt, python_to_micros(start), python_to_micros(end), iso_text)
+        if bounds is not None:
+            df = df.where(bounds)
         m = epoch_micros(ts, dt)
         return df.where((m >= F.lit(python_to_micros(start))) & (m < F.lit(python_to_micros(end))))
     lo = micros_literal(python_to_micros(start), dt)

@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ondemand import apply_on_demand
-from ..functions.timecols import epoch_micros, micros_literal, ttl_micros
+from ..functions.timecols import epoch_micros, micros_literal, raw_bounds, ttl_micros
 from ..model import (
     DEFAULT_EVENT_TIMESTAMP_COL,
     FULL_NAME_SEPARATOR,
+    BucketedTableSource,
     FeatureView,
     OnDemandFeatureView,
     group_feature_refs,
@@ -34,7 +35,7 @@ from ..operators.asof_stats import PassStats, key_hash, pass_stats
 from ..operators.frame import detect_event_timestamp_column, rename_columns
 from ..operators.keyfilter import MAX_KEYS, KeyFilter, can_filter
 from ..session import shared_dir
-from ..sources.readers import check_columns, prune_partitions, read_source
+from ..sources.readers import bucket_spec, check_columns, prune_partitions, read_source
 
 #: The ``join`` strategy is used up to this many pairs per input row.
 JOIN_PAIRS_PER_ROW = 4
@@ -92,7 +93,10 @@ def prepare_view_source(spark: SparkSession, view: FeatureView, features: Sequen
         lo, hi = bounds_us
         if isinstance(tdt, (T.TimestampType, T.TimestampNTZType)):
             df = df.where((F.col(ts) >= micros_literal(lo, tdt)) & (F.col(ts) <= micros_literal(hi, tdt)))
-        else:   # dates, strings, numbers: compare parsed micros (exact, not pushed down)
+        else:   # dates, strings, numbers: own bounds for the scan, then parsed micros (exact)
+            bounds = raw_bounds(ts, tdt, lo, hi, src.timestamp_text == "iso")
+            if bounds is not None:
+                df = df.where(bounds)
             m = epoch_micros(ts, tdt)
             df = df.where((m >= F.lit(lo)) & (m <= F.lit(hi)))
         df = prune_partitions(df, src, lo, hi)
@@ -151,6 +155,23 @@ def _pruned(spine: DataFrame, keys: Sequence[str], srcs: List[DataFrame], mode:
     return [filters[tuple(keys)].prune(s) if use else s for s, use in zip(srcs, wanted)]
 
 
+def _stored_buckets(spark: SparkSession, spine: DataFrame, views: Sequence[FeatureView]) -> int:
+    """The number of buckets that all of these views' sources are stored in by
+    exactly their keys, in the spine's types; 0 if they are not."""
+    found = set()
+    for v in views:
+        src = v.source
+        if not isinstance(src, BucketedTableSource) or not v.entities:
+            return 0
+        n, cols = bucket_spec(spark, src.table)
+        stored = rename_columns(spark.table(src.table), src.mapping)
+        if [src.mapping.get(c, c) for c in cols] != list(v.entities) or any(
+                stored.schema[e].dataType != spine.schema[k].dataType for e, k in zip(v.entities, v.join_keys)):
+            return 0
+        found.add(n)
+    return found.pop() if len(found) == 1 else 0
+
+
 def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView],
                             feature_refs: Iterable, full_feature_names: bool = False, *,
                             on_demand_feature_views: Sequence[OnDemandFeatureView] = (),
@@ -286,7 +307,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         avs = [AsofView(s, list(plan[i][2]), ttls[i], prepared[i][1], gk[2] if gk[1] == "ttl" else None)
                for s, i in zip(srcs, idx)]
         result = point_in_time_join_many(result, ets, group_key, pass_keys, avs, strategy=strategies[idx[0]],
-                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows, stats=stats)
+                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows, stats=stats,
+                                         buckets=_stored_buckets(spark, spine, [plan[i][0] for i in idx]))
         if checkpoint_every and n % checkpoint_every == 0 and n < len(passes):
             # cut the lineage of long requests: written to spark.checkpoint.dir
             shared_dir(spark)

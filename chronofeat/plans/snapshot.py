@@ -46,7 +46,7 @@ def pull_latest_from_table_or_query(source: DataSource, join_key_columns: Sequen
     keys = list(join_key_columns)
     ts_cols = [timestamp_field] + ([created_timestamp_column] if created_timestamp_column else [])
     check_columns(df, keys + ts_cols, source)
-    df = filter_time_range(df, timestamp_field, start_date, end_date)
+    df = filter_time_range(df, timestamp_field, start_date, end_date, source.timestamp_text == "iso")
     df = prune_partitions(df, source, python_to_micros(start_date), python_to_micros(end_date))
     cols = check_unique_names(keys + list(feature_name_columns) + ts_cols)
     df = df.select(*cols)
@@ -82,7 +82,7 @@ def view_latest(view: FeatureView, start_date, end_date, spark: Optional[SparkSe
         DataFrameSource(df=df, timestamp_field=src.timestamp_field,
                         created_timestamp_column=src.created_timestamp_column,
                         date_partition_column=src.date_partition_column,
-                        date_partition_grain=src.date_partition_grain),
+                        date_partition_grain=src.date_partition_grain, timestamp_text=src.timestamp_text),
         list(view.entities), feats, src.timestamp_field, src.created_timestamp_column,
         start_date, end_date, spark=spark)
 

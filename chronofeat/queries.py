@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .functions.timecols import to_instant
 from .model import (
+    BucketedTableSource,
     CsvSource,
     DataFrameSource,
     FeatureView,
@@ -30,7 +31,7 @@ from .plans import snapshot as mat
 from .plans.bucket_snapshot import materialize_buckets
 from .plans.retrieval import feature_projection, get_historical_features, prepare_entity_df
 from .session import scratch_path
-from .sources.readers import append_partitioned_by_day, write_table
+from .sources.readers import append_partitioned_by_day, read_csv_with_rejects, write_bucketed, write_table
 
 # ---------------------------------------------------------------------------
 # shared inputs
@@ -244,6 +245,53 @@ def q_pit_key_pruned(spark, d):
     return get_historical_features(few_customers(spark, d), [v], ["o:o_totalprice"])
 
 
+def bucketed_view(spark: SparkSession, d: str, name: str, event_type: str, feature: str) -> FeatureView:
+    """A view over events of one type in a table bucketed by user and sorted by time."""
+    path = scratch_path(spark, f"bucketed-{event_type}")
+    source_table = f"chronofeat_{event_type}_{path[-12:]}"
+    write_bucketed(events_of(spark, d, event_type), source_table, ["user_id"], "ts", 8, path)
+    return FeatureView(name=name, entities=["user_id"], ttl=timedelta(days=2), schema=[feature],
+                       source=BucketedTableSource(table=source_table, timestamp_field="ts", field_mapping={"value": feature}))
+
+
+def q_pit_bucketed_source(spark, d):
+    """Two bucketed sources in one pass: only spine rows are shuffled."""
+    views = [bucketed_view(spark, d, "act", "view", "f"), bucketed_view(spark, d, "clk", "click", "g")]
+    return get_historical_features(purchases(spark, d), views, ["act:f", "clk:g"])
+
+
+def q_pull_latest_date_col(spark, d):
+    """Orders with a date and with a text time column: bounds in the column's own type reach the scan."""
+    out = None
+    for kind, iso in (("date", None), ("string", "iso")):
+        path = scratch_path(spark, f"orders-{kind}")
+        table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date").cast(kind)) \
+            .repartitionByRange(4, "o_orderdate").sortWithinPartitions("o_orderdate").write.parquet(path)
+        src = ParquetSource(path=path, timestamp_field="o_orderdate", timestamp_text=iso)
+        one = mat.pull_latest_from_table_or_query(src, ["o_custkey"], ["o_totalprice"], "o_orderdate", None,
+                                                  datetime(1996, 1, 1), datetime(1997, 6, 1), spark=spark)
+        one = one.select("o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice",
+                         F.lit(kind).alias("kind"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_scan_csv_rejects(spark, d):
+    """Events as CSV in which errors have a value that is no number and
+    signups one field too many: good rows by type, rejected ones by reason."""
+    path = scratch_path(spark, "events-damaged")
+    ev = table(spark, d, "events")
+    value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
+    line = F.concat_ws(";", "event_id", "event_type", value, F.when(F.col("event_type") == "signup", "more"))
+    ev.select(line).write.text(path)
+    src = CsvSource(path=path, timestamp_field="", delimiter=";", header=False,
+                    schema="event_id long, event_type string, value double")
+    good, rejected = read_csv_with_rejects(spark, src)
+    return good.groupBy(F.col("event_type").alias("what")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")) \
+        .unionByName(rejected.groupBy(F.col("reason").alias("what")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.split("row", ";")[0].cast("long")).alias("ids")))
+
+
 def copies_spine(spark: SparkSession, d: str) -> DataFrame:
     """Purchases at the start of their day; users with a purchase under 20
     count as user 0 of the coarser role, so its points are copied."""
@@ -571,6 +619,9 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_hot_key": q_pit_hot_key,
     "pit_burst_key": q_pit_burst_key,
     "pit_key_pruned": q_pit_key_pruned,
+    "pit_bucketed_source": q_pit_bucketed_source,
+    "pull_latest_date_col": q_pull_latest_date_col,
+    "scan_csv_rejects": q_scan_csv_rejects,
     "pit_hot_key_int_source": q_pit_hot_key_int_source,
     "pit_hot_copies_second_view": q_pit_hot_copies_second_view,
     "pit_role_twice": q_pit_role_twice,
@@ -690,6 +741,15 @@ ORACLES: Dict[str, str] = {
         "row_number() over (partition by e.user_id, e.ts order by v.ts desc, v.value desc) rn "
         "from ev e join ev v on e.user_id = v.user_id and v.event_type = 'view' and v.ts <= e.ts "
         "and v.ts >= e.ts - interval 2 day where e.event_type = 'purchase') where rn = 1"),
+    "pit_bucketed_source": _PIT_MULTI,
+    "pull_latest_date_col": (
+        "select o_custkey, o_orderdate, o_totalprice, kind from (select o_custkey, cast(o_orderdate as date) o_orderdate, "
+        "o_totalprice, row_number() over (partition by o_custkey order by cast(o_orderdate as date) desc, o_totalprice desc) rn "
+        "from orders where o_orderdate >= timestamp '1996-01-01' and o_orderdate < timestamp '1997-06-01') "
+        "cross join (values ('date'), ('string')) k(kind) where rn = 1"),
+    "scan_csv_rejects": (
+        "select case event_type when 'error' then 'value is no double' when 'signup' then 'too many fields' "
+        "else event_type end as what, count(*) as n, cast(sum(event_id) as bigint) as ids from events group by 1"),
     "pit_key_pruned": (
         "select o_custkey, event_timestamp, o_totalprice from (select o_custkey, timestamp '2000-01-01' event_timestamp, "
         "o_totalprice, row_number() over (partition by o_custkey order by o_orderdate desc, o_totalprice desc) rn "

@@ -13,12 +13,13 @@ from datetime import date, timedelta
 from typing import Iterable, Optional
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import MICROS_PER_DAY, bucket_of, epoch_micros
 from ..model import (
+    BucketedTableSource,
     CsvSource,
     DataFrameSource,
     DataSource,
@@ -54,28 +55,94 @@ def apply_endpoint_override(spark: SparkSession, source: FileSource) -> Optional
     return key
 
 
+#: Spark's CSV modes for ``bad_rows``.
+_CSV_MODES = {"fail": "FAILFAST", "null": "PERMISSIVE", "drop": "PERMISSIVE"}
+_BAD = "__cf_bad_row"
+
+
+def _whole_row(df: DataFrame) -> Column:
+    """Always true, and takes in every column: Spark judges a row by the
+    columns that a query needs, so without it a fault in another one would
+    not count."""
+    return F.hash(*[F.col(c) for c in df.columns if c != _BAD]) >= F.lit(-(1 << 31))
+
+
+def _csv_options(s: CsvSource) -> dict:
+    out = {"sep": s.delimiter, "header": str(bool(s.header)).lower(), "escape": s.escape}
+    if s.timestamp_format:
+        out |= {"timestampNTZFormat": s.timestamp_format, "timestampFormat": s.timestamp_format}
+    return out
+
+
 def _csv(reader, s: CsvSource) -> DataFrame:
-    r = reader.option("sep", s.delimiter).option("header", str(bool(s.header)).lower()).option("escape", s.escape)
+    r = reader.options(**_csv_options(s))
     if s.schema:
-        r = r.schema(s.schema)
+        r = r.option("mode", _CSV_MODES[s.bad_rows])
+        r = r.schema(f"{s.schema}, {_BAD} string").option("columnNameOfCorruptRecord", _BAD) \
+            if s.bad_rows == "drop" else r.schema(s.schema)
     elif s.infer_schema:
         r = r.option("inferSchema", "true")
-    if s.timestamp_format:
-        r = r.option("timestampNTZFormat", s.timestamp_format).option("timestampFormat", s.timestamp_format)
     df = r.csv(normalize_path(s.path))
+    if s.schema and s.bad_rows == "drop":
+        df = df.where(_whole_row(df) & F.col(_BAD).isNull()).drop(_BAD)
     # time columns must be typed even when the rest stays as strings
     for c in (s.timestamp_field, s.created_timestamp_column):
         if c and c in df.columns and isinstance(df.schema[c].dataType, T.StringType):
-            parsed = (F.to_timestamp_ntz(F.col(c), F.lit(s.timestamp_format))
-                      if s.timestamp_format else F.to_timestamp_ntz(F.col(c)))
+            if s.bad_rows == "fail":
+                parsed = F.to_timestamp_ntz(F.col(c), *_format(s))
+            else:
+                parsed = _parsed_time(s, F.col(c))
+                if s.bad_rows == "drop":
+                    df = df.where(F.col(c).isNull() | parsed.isNotNull())
             df = df.withColumn(c, parsed)
     return df
 
 
+def _format(s: CsvSource) -> tuple:
+    return (F.lit(s.timestamp_format),) if s.timestamp_format else ()
+
+
+def _parsed_time(s: CsvSource, c: Column) -> Column:
+    """The naive time of a text, NULL where it is none."""
+    if s.timestamp_format:
+        return F.from_csv(c, "t timestamp_ntz", {"timestampNTZFormat": s.timestamp_format, "sep": "\u0001"})["t"]
+    return c.try_cast("timestamp_ntz")
+
+
+def read_csv_with_rejects(spark: SparkSession, source: CsvSource) -> tuple:
+    """``(good rows, rejected rows)`` of a CSV source with a ``schema``.
+
+    A rejected row has its ``file``, the ``row`` as it stands there and the
+    ``reason``: the columns whose text is not of their type, or the number of
+    fields.  Both frames are lazy and together hold every row once."""
+    if not source.schema:
+        raise ValueError("rows can only be rejected against a schema")
+    apply_endpoint_override(spark, source)
+    options = _csv_options(source)
+    raw = spark.read.options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD) \
+        .schema(f"{source.schema}, {_BAD} string").csv(normalize_path(source.path))
+    columns = [f for f in raw.schema.fields if f.name != _BAD]
+    # the texts of a row's fields, one more than there should be
+    texts = F.from_csv(F.col(_BAD), ", ".join(f"c{i} string" for i in range(len(columns) + 1)),
+                       {k: v for k, v in options.items() if k in ("sep", "escape")})
+    bad = raw.where(_whole_row(raw) & F.col(_BAD).isNotNull()).select(F.col("_metadata.file_path").alias("file"), F.col(_BAD).alias("row"),
+                                                   *[F.col(f.name).alias(f"v{i}") for i, f in enumerate(columns)],
+                                                   texts.alias("c"))
+    wrong = F.array_compact(F.array(*[
+        F.when(F.col("c")[f"c{i}"].isNotNull() & F.col(f"v{i}").isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+        for i, f in enumerate(columns)]))
+    fields = F.when(F.col("c")[f"c{len(columns)}"].isNotNull(), F.lit("too many fields")) \
+        .when(F.size(wrong) == 0, F.lit("too few fields"))
+    reason = F.coalesce(fields, F.array_join(wrong, ", "))
+    return _csv(spark.read, replace(source, bad_rows="drop")), bad.select("file", "row", reason.alias("reason"))
+
+
 def read_source(spark: SparkSession, source: DataSource) -> DataFrame:
     """Lazy DataFrame over a source (dispatch on the source type)."""
     if isinstance(source, DataFrameSource):
         return source.df
+    if isinstance(source, BucketedTableSource):
+        return spark.table(source.table)
     if not isinstance(source, FileSource):
         raise TypeError(f"unsupported source type {type(source).__name__}")
     apply_endpoint_override(spark, source)
@@ -192,3 +259,25 @@ def append_to_catalog_table(df: DataFrame, table: str, partitioned_by: Optional[
     if partitioned_by:
         w = w.partitionBy(*partitioned_by)
     w.saveAsTable(table)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Iterable[str], ts_col: str, num_buckets: int,
+                   path: Optional[str] = None) -> None:
+    """Write a source as a catalog table bucketed by ``keys``, one file a
+    bucket, sorted by keys and time.  One shuffle here saves one of the source
+    in every later as-of join on these keys.  Choose ``num_buckets`` so that a
+    bucket fits a task: it is what one task reads.  ``path`` places the files
+    (default: the warehouse); an existing table is an error."""
+    keys = list(keys)
+    w = df.repartition(num_buckets, *keys).sortWithinPartitions(*keys, ts_col).write.mode("errorifexists").format("parquet")
+    if path:
+        w = w.option("path", normalize_path(path))
+    w.bucketBy(num_buckets, *keys).sortBy(*keys, ts_col).saveAsTable(table)
+
+
+def bucket_spec(spark: SparkSession, table: str) -> tuple:
+    """``(number of buckets, [bucket columns])`` of a catalog table; ``(0, [])`` without buckets."""
+    told = {r["col_name"].strip(): r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if "Num Buckets" not in told:
+        return 0, []
+    return int(told["Num Buckets"]), [c.strip(" `") for c in told["Bucket Columns"].strip("[]").split(",")]

@@ -10,7 +10,7 @@ from helpers import plan_text
 from __spark_entry__ import entry, oracle_sql, queries
 from chronofeat.queries import QUERIES
 
-TABLES = ["customer", "orders", "lineitem", "events"]
+TABLES = ["customer", "orders", "lineitem", "events", "nation"]
 
 
 def _norm(v):

@@ -1,0 +1,193 @@
+"""Bucketed sources without a shuffle, bounds in a column's own type, CSV rows that do not parse."""
+
+import uuid
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from chronofeat import (BucketedTableSource, CsvSource, DataFrameSource, FeatureView, ParquetSource, get_historical_features,
+                        pull_latest_from_table_or_query)
+from chronofeat.functions.timecols import raw_bounds
+from chronofeat.operators.frame import filter_time_range
+from chronofeat.sources import bucket_spec, read_csv_with_rejects, read_source, write_bucketed
+from helpers import plan_text, rows, us
+
+T0 = datetime(2024, 1, 1)
+
+
+def bucketed(spark, path, df, keys, n=6):
+    name = f"bucketed_{uuid.uuid4().hex[:10]}"
+    write_bucketed(df, name, keys, "ts", n, f"{path}/{name}")
+    return name
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    src = spark.range(3000).select((F.col("id") % 50).alias("id"),
+                                   F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 37 % 90000)").alias("ts"),
+                                   F.col("id").cast("double").alias("f"))
+    spine = spark.range(80).select((F.col("id") % 60).alias("id"), F.expr(
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 1013)").alias("event_timestamp"))
+    return src, spine
+
+
+def views(name, src, **options):
+    common = dict(name="v", entities=["id"], ttl=timedelta(hours=5), schema=["f"])
+    return (FeatureView(source=BucketedTableSource(table=name, timestamp_field="ts"), **(common | options)),
+            FeatureView(source=DataFrameSource(df=src, timestamp_field="ts"), **(common | options)))
+
+
+def exchanges_over_scan(text):
+    """Exchanges that stand over a bucketed scan, from the indented tree of the plan."""
+    tree = [x for x in text.split("\n\n\n")[0].split("\n") if x.strip()]
+    depth = [len(x) - len(x.lstrip(" :|+-")) for x in tree]
+    out = 0
+    for i, line in enumerate(tree):
+        if "Scan parquet spark_catalog" not in line:
+            continue
+        d = depth[i]
+        for j in range(i - 1, -1, -1):
+            if depth[j] < d:
+                d = depth[j]
+                if "Union" in tree[j]:
+                    break
+                out += "Exchange" in tree[j]
+    return out
+
+
+def test_a_bucketed_source_is_not_shuffled(spark, data, tmp_path_str):
+    src, spine = data
+    name = bucketed(spark, tmp_path_str, src, ["id"])
+    assert bucket_spec(spark, name) == (6, ["id"])
+    stored, plain = views(name, src)
+    out = get_historical_features(spine, [stored], ["v:f"], key_filter="off")
+    text = plan_text(out)
+    assert "Bucketed: true" in text and exchanges_over_scan(text) == 0
+    assert text.count("Exchange") == 2 * 2         # the spine's rows, and their answers: each named in tree and details
+    assert rows(out) == rows(get_historical_features(spine, [plain], ["v:f"]))
+
+
+@pytest.mark.parametrize("options", [dict(max_bucket_rows=20), dict(bucket_width=timedelta(minutes=50)),
+                                     dict(keep_unmatched=True), dict(key_filter="on"), dict(bucket_width=None)])
+def test_stored_layout_gives_the_same_rows(spark, data, tmp_path_str, options):
+    src, spine = data
+    stored, plain = views(bucketed(spark, tmp_path_str, src, ["id"]), src)
+    assert rows(get_historical_features(spine, [stored], ["v:f"], **options)) == \
+        rows(get_historical_features(spine, [plain], ["v:f"], **options))
+
+
+def test_other_keys_and_types_are_shuffled(spark, data, tmp_path_str):
+    src, spine = data
+    two = src.withColumn("k", F.col("id") % 3)
+    name = bucketed(spark, tmp_path_str, two, ["id", "k"])
+    stored, plain = views(name, two)
+    want = rows(get_historical_features(spine, [plain], ["v:f"]))
+    assert rows(get_historical_features(spine, [stored], ["v:f"])) == want
+    narrow = spine.withColumn("id", F.col("id").cast("int"))
+    stored, _ = views(bucketed(spark, tmp_path_str, src, ["id"]), src)
+    assert rows(get_historical_features(narrow, [stored], ["v:f"])) == want
+
+
+# -- bounds -----------------------------------------------------------------
+
+DAYS = [None, "0001-01-01", "1969-12-31", "1970-01-01", "2024-01-01", "2024-01-02", "9999-12-31"]
+
+
+@pytest.mark.parametrize("kind", ["date", "string", "long"])
+def test_own_bounds_round_outwards(spark, kind):
+    df = spark.createDataFrame([(d,) for d in DAYS], "d string").select(F.col("d").cast("date").alias("d"))
+    if kind == "string":
+        df = df.select(F.concat(F.col("d").cast("string"), F.lit(" 12:00:00")).alias("d"))
+    if kind == "long":
+        df = df.select((F.unix_date("d").cast("long") * 86_400_000_000 + 43_200_000_000).alias("d"))
+    for lo in (datetime(1, 1, 1), datetime(1969, 12, 31, 13), datetime(2024, 1, 1), datetime(2024, 1, 1, 12, 0, 0, 1)):
+        for hi in (datetime(1970, 1, 1), datetime(2024, 1, 1, 12), datetime(9999, 12, 31, 23)):
+            plain = filter_time_range(df, "d", lo, hi)
+            assert rows(filter_time_range(df, "d", lo, hi, iso_text=True)) == rows(plain)
+            loose = df.where(raw_bounds("d", df.schema["d"].dataType, us(lo), us(hi), True))
+            assert set(rows(plain)) <= set(rows(loose))
+
+
+@pytest.mark.parametrize("kind, iso", [("date", None), ("string", "iso"), ("long", None)])
+def test_bounds_reach_the_scan(spark, tmp_path_str, kind, iso):
+    day = F.expr("date'2024-01-01' + cast(id % 100 as int)")
+    col = {"date": day, "string": F.concat(day.cast("string"), F.lit("T08:30:00")),
+           "long": F.unix_date(day).cast("long") * 86_400_000_000}[kind]
+    spark.range(500).select((F.col("id") % 7).alias("id"), col.alias("ts"), F.col("id").cast("double").alias("f")) \
+        .write.parquet(tmp_path_str + "/t")
+    src = ParquetSource(path=tmp_path_str + "/t", timestamp_field="ts", timestamp_text=iso)
+    lo, hi = datetime(2024, 2, 1), datetime(2024, 2, 10, 12)
+    out = pull_latest_from_table_or_query(src, ["id"], ["f"], "ts", None, lo, hi, spark=spark)
+    pushed = [x for x in plan_text(out).split("\n") if "PushedFilters" in x][0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan" in pushed
+    want = {}
+    for i in range(500):
+        t = datetime(2024, 1, 1) + timedelta(days=i % 100, hours=8.5 if kind == "string" else 0)
+        if lo <= t < hi:
+            want[i % 7] = max(want.get(i % 7, (t, 0)), (t, float(i)))
+    assert {r["id"]: r["f"] for r in out.collect()} == {k: v[1] for k, v in want.items()}
+    spine = spark.createDataFrame([(k, hi) for k in range(7)], "id long, event_timestamp timestamp_ntz")
+    v = FeatureView(name="v", entities=["id"], ttl=timedelta(days=9, hours=12), schema=["f"], source=src)
+    out = get_historical_features(spine, [v], ["v:f"])
+    assert "GreaterThanOrEqual(ts" in plan_text(out)
+    assert {r["id"]: r["f"] for r in out.collect()} == {k: v[1] for k, v in want.items()}
+
+
+def test_undeclared_text_is_not_pushed(spark):
+    df = spark.createDataFrame([("2024-1-5",), ("2024-01-05 00:00:00",)], "ts string")
+    assert raw_bounds("ts", df.schema["ts"].dataType, 0, 1) is None
+    assert filter_time_range(df, "ts", date(2024, 1, 5), date(2024, 1, 6)).count() == 2
+    with pytest.raises(ValueError):
+        ParquetSource(path="p", timestamp_field="ts", timestamp_text="european")
+
+
+# -- CSV --------------------------------------------------------------------
+
+LINES = ["k;ts;f", "1;2024-01-01 00:00:00;1.5", "2;2024-01-02 00:00:00;", "x;2024-01-03 00:00:00;2.5", "4;soon;3.5",
+         "5;2024-01-05 00:00:00", "6;2024-01-06 00:00:00;6.5;more", "y;never;7,5", '7;2024-01-07 00:00:00;"8.5"']
+
+
+@pytest.fixture()
+def csv(tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join(LINES) + "\n")
+    (tmp_path / "b.csv").write_text("k;ts;f\n9;2024-01-09 00:00:00;9.5\nz;2024-01-10 00:00:00;1\n")
+
+    def source(**options):
+        return CsvSource(path=str(tmp_path), timestamp_field="ts", delimiter=";",
+                         **({"schema": "k long, ts timestamp_ntz, f double"} | options))
+    return source
+
+
+def test_bad_rows_end_the_read_by_default(spark, csv):
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        read_source(spark, csv()).collect()
+    with pytest.raises(ValueError):
+        csv(bad_rows="perhaps")
+
+
+def test_bad_rows_as_null_or_dropped(spark, csv):
+    assert read_source(spark, csv(bad_rows="null")).count() == 10
+    assert rows(read_source(spark, csv(bad_rows="drop")).select("k", "f")) == [(1, 1.5), (2, None), (7, 8.5), (9, 9.5)]
+    # a column that the fault is not in
+    assert read_source(spark, csv(bad_rows="drop")).select("k").count() == 4
+
+
+def test_rejected_rows_have_file_row_and_reason(spark, csv):
+    good, bad = read_csv_with_rejects(spark, csv())
+    assert good.select("f").count() == 4 and bad.select("file").count() == 6
+    got = {r.row: (r.file[-5:], r.reason) for r in bad.collect()}
+    assert got == {LINES[3]: ("a.csv", "k is no bigint"), LINES[4]: ("a.csv", "ts is no timestamp_ntz"),
+                   LINES[5]: ("a.csv", "too few fields"), LINES[6]: ("a.csv", "too many fields"),
+                   LINES[7]: ("a.csv", "k is no bigint, ts is no timestamp_ntz, f is no double"),
+                   "z;2024-01-10 00:00:00;1": ("b.csv", "k is no bigint")}
+    with pytest.raises(ValueError):
+        read_csv_with_rejects(spark, csv(schema=None))
+
+
+def test_text_times_that_are_none(spark, csv):
+    assert read_source(spark, csv(schema=None, bad_rows="drop")).where("k = '4'").count() == 0
+    kept = read_source(spark, csv(schema=None, bad_rows="null")).where("k = '4'").collect()
+    assert [r.ts for r in kept] == [None]
+    other = csv(schema=None, bad_rows="drop", timestamp_format="yyyy-MM-dd HH:mm:ss")
+    assert {r.k for r in read_source(spark, other).collect()} == {"1", "2", "x", "5", "6", "7", "9", "z"}
