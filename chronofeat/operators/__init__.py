@@ -16,6 +16,7 @@ from .frame import (  # noqa: F401
     select_columns,
     select_dtypes_columns,
     sort_columns,
+    sort_positions,
     sort_values,
     with_sort_position,
 )

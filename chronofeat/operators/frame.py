@@ -283,6 +283,10 @@ def with_sort_position(df: DataFrame, order: Sequence[Column], pos_col: str = "p
                        num_partitions: Optional[int] = None) -> DataFrame:
     """Add the 1-based position of every row in the global ``order``.
 
+    Writes the rows once under the shared folder; for rows that hold little
+    besides their order columns that is the cheaper way.
+    :func:`sort_positions` writes none of them.
+
     Distributed: range-partition on the order, sort inside each partition,
     take the in-partition index from ``monotonically_increasing_id`` (its low
     33 bits), count rows per partition, and add the running count of the
@@ -309,6 +313,71 @@ def with_sort_position(df: DataFrame, order: Sequence[Column], pos_col: str = "p
                       (F.col("__cf_off") + F.col("__cf_idx") + F.lit(1)).cast("long").alias(pos_col))
 
 
+def _as_list(v, n: int) -> list:
+    return list(v) if isinstance(v, (list, tuple)) else [v] * n
+
+
+def _at_or_before(cut: Column, by: Sequence[str], asc: Sequence[bool], nulls_first: bool) -> Column:
+    """Whether the struct ``cut`` (fields ``c0, c1, ...``) comes before a row's
+    ``by`` columns in their order, or is equal to them."""
+    out = F.lit(True)
+    for i in reversed(range(len(by))):
+        a, b = cut[f"c{i}"], F.col(by[i])
+        less = F.when(a.isNull(), b.isNotNull() & F.lit(nulls_first)).when(b.isNull(), F.lit(not nulls_first)) \
+            .otherwise(a < b if asc[i] else a > b)
+        out = less | (a.eqNullSafe(b) & out)
+    return out
+
+
+def sort_positions(df: DataFrame, by: Union[str, Sequence[str]], ascending=True, na_position: str = "last",
+                   pos_col: str = "pos", num_partitions: Optional[int] = None, sampled: int = 16) -> DataFrame:
+    """Add the 1-based position of every row in the global order of ``by``
+    (as :func:`sort_values` orders), without writing the rows anywhere.
+
+    Cut points come from a random sample of ``sampled`` rows a partition (order
+    columns only; they decide balance alone) and are written once, so that both
+    passes below agree on them.  The first pass reads the order columns, finds
+    each row's range by binary search among the cuts and counts ranges, with
+    partial sums: one number a partition comes back.  The second sends each row
+    to its range, sorts there, and adds the counts of the ranges before it.  So
+    the payload is shuffled once and never stored.  Equal rows in ``by`` get an
+    arbitrary order among themselves and share a range.  ``df`` is read three
+    times and must give the same rows each time."""
+    spark = df.sparkSession
+    by = [by] if isinstance(by, str) else list(by)
+    asc = _as_list(ascending, len(by))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = na_position == "first"
+    # at most sampled * n rows of the order columns, sorted in one task
+    w = Window.orderBy(*sort_columns(by, asc, na_position))
+    some = df.select(*by).orderBy(F.rand(1)).limit(sampled * n).withColumn("__cf_rn", F.row_number().over(w))
+    cuts = some.where(F.col("__cf_rn") % sampled == 0).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("__cf_rn").alias("rn"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(by)]))).alias("cuts"))
+    path = scratch_path(spark, "sort-cuts")
+    cuts.write.parquet(path)
+    cuts = spark.read.schema(cuts.schema).parquet(path).scalar()
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        out, step = rows.withColumn("__cf_range", F.lit(0)), 1 << (n.bit_length() - 1)
+        while step:
+            cut = F.get(cuts, F.col("__cf_range") + F.lit(step - 1))
+            ahead = cut.isNotNull() & _at_or_before(cut, by, asc, first)
+            out = out.withColumn("__cf_range", F.col("__cf_range") + F.when(ahead, F.lit(step)).otherwise(F.lit(0)))
+            step //= 2
+        return out
+
+    counts = {r[0]: r[1] for r in ranged(df.select(*by)).groupBy("__cf_range").count().collect()}    # at most n + 1
+    offsets, total = [], 0
+    for k in range(n + 1):
+        offsets.append((k, total))
+        total += counts.get(k, 0)
+    table = spark.createDataFrame(offsets, "__cf_range int, __cf_off long")
+    out = ranged(df).join(F.broadcast(table), "__cf_range").repartitionById(n + 1, F.col("__cf_range")) \
+        .sortWithinPartitions(*sort_columns(by, asc, na_position))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return out.select(*[F.col(c) for c in df.columns], (F.col("__cf_off") + place + F.lit(1)).cast("long").alias(pos_col))
+
+
 # ---------------------------------------------------------------------------
 # Event time range
 

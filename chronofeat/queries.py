@@ -520,8 +520,7 @@ def q_sort_rank(spark, d):
 
 def q_sort_rank_payload(spark, d):
     ev = table(spark, d, "events").select("event_id", "value", "event_type", "props")
-    order = ops.sort_columns(["value", "event_id"], [True, True], na_position="first")
-    return ops.with_sort_position(ev, order, "pos")
+    return ops.sort_positions(ev, ["value", "event_id"], na_position="first")
 
 
 def q_rename_cols(spark, d):
