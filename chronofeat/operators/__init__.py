@@ -21,9 +21,11 @@ from .frame import (  # noqa: F401
     with_sort_position,
 )
 from .asof import (  # noqa: F401,E402
+    AsofPass,
     AsofPlanStats,
     AsofView,
     asof_plan_stats,
     point_in_time_join,
     point_in_time_join_many,
+    point_in_time_join_passes,
 )

@@ -135,18 +135,33 @@ def point_in_time_join(spine: DataFrame, spine_ts: str, group_key: Sequence[str]
                                    keep_unmatched, max_bucket_rows)
 
 
+@dataclass
+class AsofPass:
+    """Views that share their join keys, joined in one pass over the spine.
+
+    ``stats`` and ``buckets`` as in :func:`point_in_time_join_many`."""
+
+    keys: List[str]
+    views: List[AsofView]
+    strategy: str = "bucketed"
+    stats: Optional[PassStats] = None
+    buckets: int = 0
+    dedup_spine: bool = False
+
+
 def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence[str],
                             keys: Sequence[str], views: Sequence[AsofView],
                             strategy: str = "bucketed", keep_unmatched: bool = False,
                             max_bucket_rows: int = 2_000_000, dedup_spine: bool = False,
                             stats: Optional[PassStats] = None, buckets: int = 0) -> DataFrame:
-    """As-of join several views that share the same join keys, in one pass.
+    """As-of join several views that share the same join keys.
 
     With the ``bucketed`` strategy and TTLs on all views, the views share one
     shuffle on ``(keys, bucket)`` and one final aggregate: each view's source
     rows carry that view's ranking column, each spine row yields one probe
-    per view.  Otherwise the views are joined one after the other.  A spine
-    row must match every TTL view (unless ``keep_unmatched``).
+    per view.  Otherwise each view is a pass of its own
+    (:func:`point_in_time_join_passes`).  A spine row must match every TTL
+    view (unless ``keep_unmatched``).
 
     ``dedup_spine`` answers each distinct (keys, time) point of the spine
     once and joins the answers back (the distinct's partial step merges
@@ -160,30 +175,82 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     ``keys``, in the spine's types.  The spine rows then go to the sources'
     buckets, and no source is shuffled; where a group is hot, slices need a
     shuffle of their own, and ``buckets`` is not used."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown as-of strategy {strategy!r}; use one of {STRATEGIES}")
     views = list(views)
-    fusable = strategy == "bucketed" and all(v.ttl_us is not None for v in views)
-    if len(views) > 1 and not fusable:
-        out = spine
-        for v in views:
-            out = point_in_time_join_many(out, spine_ts, group_key, keys, [v], strategy,
-                                          keep_unmatched, max_bucket_rows, dedup_spine)
-        return out
-    keys = list(keys)
+    if len(views) > 1 and not (strategy == "bucketed" and all(v.ttl_us is not None for v in views)):
+        passes = [AsofPass(list(keys), [v], strategy, None, 0, dedup_spine) for v in views]
+    else:
+        passes = [AsofPass(list(keys), views, strategy, stats, buckets, dedup_spine)]
+    return point_in_time_join_passes(spine, spine_ts, group_key, passes, keep_unmatched, max_bucket_rows)
+
+
+def point_in_time_join_passes(spine: DataFrame, spine_ts: str, group_key: Sequence[str], passes: Sequence[AsofPass],
+                              keep_unmatched: bool = False, max_bucket_rows: int = 2_000_000,
+                              checkpoint_every: Optional[int] = None) -> DataFrame:
+    """As-of join of passes over different key sets.
+
+    Every pass reads the spine itself and gives candidates, ``(spine row, best
+    source row per view)``; those of all passes meet in one final aggregate by
+    spine row.  So plan and scans grow in proportion to the passes, the spine's
+    payload is carried once, by the first, and a spine row that one view drops
+    is dropped at the end.  ``checkpoint_every`` writes the candidates of that
+    many passes at a time to ``spark.checkpoint.dir``."""
+    for x in passes:
+        if x.strategy not in STRATEGIES:
+            raise ValueError(f"unknown as-of strategy {x.strategy!r}; use one of {STRATEGIES}")
     spine_cols = list(spine.columns)
     payload_cols = [c for c in spine_cols if c not in group_key]
     spine_orderable = all(is_orderable(spine.schema[c].dataType) for c in payload_cols)
+    ready, views, ranks, offset = [], [], [], 0
+    for n, x in enumerate(passes):
+        cands, own = _candidates(spine, spine_ts, group_key, payload_cols, x, keep_unmatched, max_bucket_rows, n == 0)
+        # the views' best columns are numbered through all passes
+        ready.append(cands.select(GKEY, SPAY, *[F.col(_b(i)).alias(_b(offset + i)) for i in range(len(own))]))
+        views += [(v, x) for v in x.views]
+        ranks += own
+        offset += len(own)
+    bests = [_b(i) for i in range(offset)]
+    if len(ready) == 1:
+        all_cands = ready[0]
+    else:
+        kinds = {b: _null_like(r, b) for r in ready for b in r.columns if b in bests}
+        all_cands = None
+        for n, r in enumerate(ready, start=1):
+            part = r.select(GKEY, SPAY, *[F.col(b) if b in r.columns else kinds[b].alias(b) for b in bests])
+            all_cands = part if all_cands is None else all_cands.unionByName(part)
+            if checkpoint_every and n % checkpoint_every == 0 and n < len(ready):
+                all_cands = all_cands.checkpoint(eager=True)
+
+    spay = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
+    if all(x.stats is not None for x in passes):
+        # a spine row's candidates come from different window partitions, and
+        # the stats jobs bounded any copies: shuffle first, aggregate once
+        all_cands = all_cands.repartition(GKEY)
+    # otherwise keep the map-side partial step: it merges copies of a spine
+    # row before the shuffle (no TTL, no statistics)
+    out = all_cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)], spay.alias(SPAY))
+    for (v, _), b in zip(views, bests):
+        if v.ttl_us is not None and not keep_unmatched:
+            out = out.where(F.col(b).isNotNull())
+    cols = [(F.col(GKEY)[c] if c in group_key else F.col(SPAY)[c]).alias(c) for c in spine_cols]
+    for rk, b, (v, _) in zip(ranks, bests, views):
+        cols += [rk.feature(F.col(b), f).alias(f) for f in v.features]
+    return out.select(*cols)
 
+
+def _candidates(spine: DataFrame, spine_ts: str, group_key: Sequence[str], payload_cols: Sequence[str], x: AsofPass,
+                keep_unmatched: bool, max_bucket_rows: int, payload: bool) -> tuple:
+    """``(GKEY, SPAY, best columns)`` of one pass, and the views' ranks.  Without
+    ``payload`` SPAY is NULL.  Statistics made here are left in ``x.stats``."""
+    keys, views, strategy, dedup_spine = list(x.keys), list(x.views), x.strategy, x.dedup_spine
     w = None
-    if fusable:
+    if strategy == "bucketed" and all(v.ttl_us is not None for v in views):
         w = min(min(v.ttl_us if v.width in (None, "auto") else int(v.width), v.ttl_us) for v in views)
-        if stats is None and any(v.width == "auto" for v in views):
-            stats = pass_stats(spine, spine_ts, keys, [(_keys_as(v.source, spine, keys), v.ttl_us) for v in views], w,
-                               max_bucket_rows)
-        if stats is not None:
-            dedup_spine = dedup_spine or stats.spine_copies
-            views = [replace(v, dedup_source=v.dedup_source or c) for v, c in zip(views, stats.source_copies)]
+        if x.stats is None and any(v.width == "auto" for v in views):
+            x.stats = pass_stats(spine, spine_ts, keys, [(_keys_as(v.source, spine, keys), v.ttl_us) for v in views], w,
+                                 max_bucket_rows)
+        if x.stats is not None:
+            dedup_spine = dedup_spine or x.stats.spine_copies
+            views = [replace(v, dedup_source=v.dedup_source or c) for v, c in zip(views, x.stats.source_copies)]
 
     srcs, ranks = [], []
     for i, v in enumerate(views):
@@ -209,12 +276,14 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
                       epoch_micros(spine_ts, spine.schema[spine_ts].dataType).alias(T_COL),
                       _struct_or_null(group_key).alias(GKEY),
                       _struct_or_null(payload_cols).alias(SPAY))
+    null_s = _null_like(sp, SPAY)
+    if not payload:
+        sp = sp.withColumn(SPAY, null_s)
     valid = F.col(T_COL).isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
     sp_ok = sp.where(valid)
     null_r = [_null_like(srcs[i], _r(i)) for i in range(len(views))]
-    null_s = _null_like(sp, SPAY)
     bests = [_b(i) for i in range(len(views))]
 
     v0 = views[0]
@@ -231,9 +300,9 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     elif strategy == "join":
         cands = _join_plan(probe, srcs[0], keys, v0.ttl_us, keep_unmatched and probe is sp_ok)
     else:
-        slices = stats.slices if stats is not None else Slices()
+        slices = x.stats.slices if x.stats is not None else Slices()
         cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s, slices,
-                               0 if slices.cuts else buckets)
+                               0 if slices.cuts else x.buckets)
     if probe is not sp_ok:
         answers = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)]) \
             .select(*[F.col(GKEY)[k].alias(k) for k in keys], F.col(GKEY)[T_COL].alias(T_COL), *bests)
@@ -241,23 +310,7 @@ def point_in_time_join_many(spine: DataFrame, spine_ts: str, group_key: Sequence
     if keep_unmatched and v0.ttl_us is not None:
         cands = cands.unionByName(sp.where(~valid).select(
             GKEY, SPAY, *[nr.alias(b) for nr, b in zip(null_r, bests)]))
-
-    spay = F.max(SPAY) if spine_orderable else F.first(SPAY, ignorenulls=True)
-    if stats is not None and v0.ttl_us is not None:
-        # a spine row's candidates come from different window partitions, and
-        # the stats job bounded any copies: shuffle first, aggregate once
-        cands = cands.repartition(GKEY)
-    # otherwise keep the map-side partial step: it merges copies of a spine
-    # row before the shuffle (explicit widths, no TTL: no stats job ran)
-    out = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)],
-                                  spay.alias(SPAY))
-    if v0.ttl_us is not None and not keep_unmatched:
-        for b in bests:
-            out = out.where(F.col(b).isNotNull())
-    cols = [(F.col(GKEY)[c] if c in group_key else F.col(SPAY)[c]).alias(c) for c in spine_cols]
-    for rk, b, v in zip(ranks, bests, views):
-        cols += [rk.feature(F.col(b), f).alias(f) for f in v.features]
-    return out.select(*cols)
+    return cands, ranks
 
 
 def _r(i: int) -> str:

@@ -3,8 +3,8 @@
 ``get_historical_features`` composes one lazy DataFrame: for each requested
 view, read its source (column-pruned, time-bounded), project it (field
 mapping, key map, feature names) and as-of join it onto the running result.
-Views on the same keys and bucket width share a pass; passes run one after
-another, and with TTLs a spine row dropped by one view stays dropped.  The
+Views on the same keys and bucket width share a pass; every pass reads the
+spine, and one final aggregate brings the passes' answers together.  The
 only eager work is small and bounded: the spine's min/max event time, which
 bounds every source scan (``prune_by_spine_range=False`` skips it), one
 statistics job a pass (``bucket_width=None`` skips it; with hot keys two more,
@@ -30,7 +30,7 @@ from ..model import (
     OnDemandFeatureView,
     group_feature_refs,
 )
-from ..operators.asof import C_COL, T_COL, AsofView, join_pairs, point_in_time_join_many
+from ..operators.asof import C_COL, T_COL, AsofPass, AsofView, join_pairs, point_in_time_join_passes
 from ..operators.asof_stats import PassStats, key_hash, pass_stats
 from ..operators.frame import detect_event_timestamp_column, rename_columns
 from ..operators.keyfilter import MAX_KEYS, KeyFilter, can_filter
@@ -203,9 +203,9 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     TTL view's scan by the spine's event-time range (one small job);
     ``max_views_per_pass`` caps how many views share one pass (each adds a
     column to every source row of the pass);
-    ``checkpoint_every=N`` checkpoints the running result (into
-    ``spark.checkpoint.dir``) after every N groups of views, which bounds
-    lineage and plan size for requests over many entities.
+    ``checkpoint_every=N`` checkpoints (into ``spark.checkpoint.dir``) the
+    answers of every N passes, which bounds lineage and plan size for requests
+    over very many entities.
 
     Rules: created time outranks event time; ties break by the features in
     request order (descending, NULL lowest); NULL keys never match; spine
@@ -277,8 +277,7 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
                               f"joined by the 'bucketed' strategy instead of 'join'", stacklevel=2)
                 strategies[i] = "bucketed"
     # views on the same join keys and bucket width share one as-of pass (one
-    # shuffle on (keys, bucket), one spine aggregate); groups run one after
-    # another.  Views with other widths run apart: sharing a narrower bucket
+    # shuffle on (keys, bucket)).  Views with other widths run apart: sharing a narrower bucket
     # would add middle blocks to the wider view, which measured slower than
     # a second pass (equal widths: the shared pass measured ~25% faster).
     groups: dict = {}
@@ -296,8 +295,8 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
     passes = [(gk, idx[c:c + step]) for gk, idx in groups.items() for c in range(0, len(idx), step)]
     if key_filter not in ("auto", "on", "off"):
         raise ValueError(f"key_filter {key_filter!r} is none of 'auto', 'on', 'off'")
-    result, filters = spine, {}
-    for n, (gk, idx) in enumerate(passes, start=1):
+    joins, filters = [], {}
+    for gk, idx in passes:
         pass_keys, srcs = list(gk[0]), [prepared[i][0] for i in idx]
         stats = None
         if gk[1] == "ttl" and bucket_width is not None:
@@ -306,13 +305,13 @@ def get_historical_features(entity_df: Any, feature_views: Sequence[FeatureView]
         srcs = _pruned(spine, pass_keys, srcs, key_filter, stats, filters)
         avs = [AsofView(s, list(plan[i][2]), ttls[i], prepared[i][1], gk[2] if gk[1] == "ttl" else None)
                for s, i in zip(srcs, idx)]
-        result = point_in_time_join_many(result, ets, group_key, pass_keys, avs, strategy=strategies[idx[0]],
-                                         keep_unmatched=keep_unmatched, max_bucket_rows=max_bucket_rows, stats=stats,
-                                         buckets=_stored_buckets(spark, spine, [plan[i][0] for i in idx]))
-        if checkpoint_every and n % checkpoint_every == 0 and n < len(passes):
-            # cut the lineage of long requests: written to spark.checkpoint.dir
-            shared_dir(spark)
-            result = result.checkpoint(eager=True)
+        joins.append(AsofPass(pass_keys, avs, strategies[idx[0]], stats,
+                              _stored_buckets(spark, spine, [plan[i][0] for i in idx])))
+    if checkpoint_every:
+        shared_dir(spark)
+    # one final aggregate for all passes; nothing to join where no view was asked for
+    result = point_in_time_join_passes(spine, ets, group_key, joins, keep_unmatched, max_bucket_rows,
+                                       checkpoint_every) if joins else spine
     feature_cols = [o for _, _, outs in plan for o in outs]
     result = result.select(*spine.columns, *feature_cols)
     for od in ods:

@@ -320,6 +320,19 @@ def role_spine(spark: SparkSession, d: str) -> DataFrame:
                      F.col("ts").alias("event_timestamp"))
 
 
+def q_pit_three_entities_subwidth(spark, d):
+    """Buyer, referrer and hour of the day as entities, in buckets narrower
+    than the TTL: three passes that meet in one final aggregate."""
+    spine = role_spine(spark, d).withColumn("hour", F.hour("event_timestamp").cast("long"))
+    clicks = events_of(spark, d, "click").withColumn("hour", F.hour("ts").cast("long"))
+    views = [activity_view(spark, d, name="b", ttl=timedelta(days=5), feature="f").with_join_key_map({"user_id": "buyer"}),
+             activity_view(spark, d, name="r", event_type="signup", ttl=timedelta(days=5), feature="g")
+             .with_join_key_map({"user_id": "referrer"}),
+             FeatureView(name="h", entities=["hour"], ttl=timedelta(days=1), schema=["k"],
+                         source=DataFrameSource(df=clicks, timestamp_field="ts", field_mapping={"value": "k"}))]
+    return get_historical_features(spine, views, ["b:f", "r:g", "h:k"], bucket_width=timedelta(hours=7))
+
+
 def q_pit_role_twice(spark, d):
     v = activity_view(spark, d, ttl=timedelta(days=5), feature="value")
     buyer = v.with_name("b").with_join_key_map({"user_id": "buyer"})
@@ -617,6 +630,7 @@ QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_fused_views": q_pit_fused_views,
     "pit_hot_key": q_pit_hot_key,
     "pit_burst_key": q_pit_burst_key,
+    "pit_three_entities_subwidth": q_pit_three_entities_subwidth,
     "pit_key_pruned": q_pit_key_pruned,
     "pit_bucketed_source": q_pit_bucketed_source,
     "pull_latest_date_col": q_pull_latest_date_col,
@@ -732,6 +746,19 @@ ORACLES: Dict[str, str] = {
         "row_number() over (partition by e.user_id, e.ts order by v.ts desc, v.value desc) rn "
         "from ev e join ev v on e.user_id = v.user_id and v.event_type = 'view' and v.ts <= e.ts "
         "and v.ts >= e.ts - interval 2 day where e.event_type = 'purchase') where rn = 1"),
+    "pit_three_entities_subwidth": (
+        "with sp as (select distinct user_id as buyer, cast(json_extract_string(props, '$.k') as bigint) as referrer, "
+        "ts as event_timestamp, cast(extract(hour from ts) as bigint) as hour from events where event_type = 'purchase'), "
+        "b as (select sp.*, v.value f, row_number() over (partition by buyer, referrer, hour, event_timestamp "
+        "order by v.ts desc, v.value desc) rn from sp join events v on v.user_id = buyer and v.event_type = 'view' "
+        "and v.ts <= event_timestamp and v.ts >= event_timestamp - interval 5 day), "
+        "r as (select b.* exclude (rn), v.value g, row_number() over (partition by buyer, referrer, hour, event_timestamp "
+        "order by v.ts desc, v.value desc) rn from b join events v on v.user_id = referrer and v.event_type = 'signup' "
+        "and v.ts <= event_timestamp and v.ts >= event_timestamp - interval 5 day where b.rn = 1), "
+        "h as (select r.* exclude (rn), v.value k, row_number() over (partition by buyer, referrer, hour, event_timestamp "
+        "order by v.ts desc, v.value desc) rn from r join events v on extract(hour from v.ts) = r.hour and v.event_type = 'click' "
+        "and v.ts <= event_timestamp and v.ts >= event_timestamp - interval 1 day where r.rn = 1) "
+        "select buyer, referrer, event_timestamp, hour, f, g, k from h where rn = 1"),
     "pit_burst_key": (
         "with ev as (select event_id, case when value < 20 or user_id = 0 then date_trunc('day', ts) + "
         "to_microseconds(event_id % 1000) else ts end as ts, "
