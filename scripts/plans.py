@@ -16,7 +16,8 @@ from chronofeat.queries import QUERIES  # noqa: E402
 from chronofeat.session import local_session  # noqa: E402
 
 KEYS = ["pit_ttl", "pit_fused_views", "pit_hot_key", "pit_no_ttl", "pit_entityless_no_ttl",
-        "pull_latest", "latest_per_key", "snapshot_lookup", "sort_rank"]
+        "pull_latest", "latest_per_key", "snapshot_lookup", "sort_rank", "sort_rank_payload", "pit_key_pruned",
+        "pit_bucketed_source", "pit_burst_key", "pull_latest_date_col"]
 
 
 def main():
