@@ -8,14 +8,14 @@ compared byte by byte with the first such chunk; equal ones are removed.
 Hashes are counted with partial aggregation, and only repeated chunks travel
 with their text.
 
-Chunks miss passages that hold no whole chunk, which is most passages of a few
-lines.  :func:`passage_dedup` misses none: it compares every pair of adjacent
-lines, and every long line by itself, by SHA-256.
+Chunks by themselves miss passages that hold no whole chunk, which is most
+passages of a few lines.  :func:`passage_dedup` misses none: behind the chunks
+come finer ones, with a boundary at every line, where no repeated chunk lies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NOT_SPACE, let, materialise, text_or_empty
@@ -107,28 +107,61 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 _ITEM_END = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
 
 
-def line_units(items: Column, long_words: int) -> Column:
-    """Array of ``(nth, n, digest)``: every pair of adjacent lines (``n`` 2) and
-    every line of over ``long_words`` words (``n`` 1), with its SHA-256."""
+def line_units(items: Column, long_words: int, divisor: int, window: int) -> Column:
+    """Array of ``(nth, n, digest)`` units, ``n`` lines from line ``nth`` on:
+
+    * content-defined chunks of three lines or more: from one boundary line to
+      the next, both included, so every pair of adjacent lines lies in exactly
+      one chunk.  A line is a boundary where the sum of the CRC-32 of the last
+      ``window`` lines times :data:`ROLL` leaves 0 modulo ``divisor`` after
+      dropping 8 low bits; the first and the last line are boundaries too;
+    * the finest chunks, with a boundary at every line: pairs of adjacent lines;
+    * every line of over ``long_words`` words."""
     def sha(x: Column) -> Column:
-        return F.unhex(F.sha2(x.cast("binary"), 256))
+        return F.sha2(x.cast("binary"), 256)
+
+    def key(x: Column) -> Column:
+        return F.unhex(sha(x))
 
     def units(lines: Column) -> Column:
+        crc = F.transform(lines, lambda x: F.crc32(x.cast("binary")))
         digests = F.transform(lines, lambda x: F.when(x.rlike(NOT_SPACE), sha(x)))
-        return let(digests, lambda d: F.concat(
+
+        def boundary(h: Column, d: Column, i: Column) -> Column:
+            parts = [F.coalesce(F.get(h, i - k), F.lit(0).cast("bigint")) * F.lit(ROLL[k]) for k in range(window)]
+            rolled = F.shiftright(sum(parts[1:], parts[0]), 8) % F.lit(divisor)
+            # a line without a word can only be the first
+            return F.get(d, i).isNotNull() & (
+                (rolled == 0) | (i == F.size(d) - 1) | (i == 0) | F.get(d, i - 1).isNull())
+
+        def chunks(d: Column, ends: Column) -> Column:
+            return F.filter(F.transform(ends, lambda a, j: let(
+                F.coalesce(F.get(ends, j + 1) - a + 1, F.lit(0)), lambda n: F.struct(
+                    a.alias("nth"), n.alias("n"),
+                    F.when(n > 2, key(F.array_join(F.slice(d, a + 1, F.greatest(n, F.lit(0))), ""))).alias("digest")))),
+                lambda u: u["digest"].isNotNull())
+
+        coarse = let(digests, lambda d: let(crc, lambda h: let(
+            F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: boundary(h, d, i)), lambda e: chunks(d, e))))
+        return F.concat(coarse, let(digests, lambda d: F.concat(
             F.transform(d, lambda x, i: F.struct(
-                i.alias("nth"), F.lit(2).alias("n"), sha(F.concat(x, F.get(d, i + 1))).alias("digest"))),
+                i.alias("nth"), F.lit(2).alias("n"), key(F.concat(x, F.get(d, i + 1))).alias("digest"))),
             F.transform(lines, lambda x, i: F.struct(
                 i.alias("nth"), F.lit(1).alias("n"),
                 # that many words take twice as many characters at least
-                F.when((F.length(x) > 2 * long_words) & (F.regexp_count(x, F.lit(NOT_SPACE + "+")) > long_words), F.get(d, i))
-                .alias("digest")))))
+                F.when((F.length(x) > 2 * long_words) & (F.regexp_count(x, F.lit(NOT_SPACE + "+")) > long_words),
+                       F.unhex(F.get(d, i))).alias("digest"))))))
+
+    return F.filter(let(unit_lines(items), units), lambda u: u["digest"].isNotNull())
+
 
-    lines = F.transform(items, lambda x: F.substring_index(x, "\n", 1))
-    return F.filter(let(lines, units), lambda u: u["digest"].isNotNull())
+def unit_lines(items: Column) -> Column:
+    """The line with a word of every item, without the lines that follow it."""
+    return F.transform(items, lambda x: F.substring_index(x, "\n", 1))
 
 
-def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50) -> DataFrame:
+def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = 50,
+                  divisor: int = 4, window: int = 2) -> DataFrame:
     """One row per input row: ``doc_id, text`` (without the removed lines),
     ``n_lines``, ``n_removed_lines``, ``n_removed_chunks`` (removed stretches).
 
@@ -138,6 +171,13 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     removed whole.  The first place of a line always stays: the passage's
     first occurrence holds the line at a smaller place.
 
+    Repeated content-defined chunks (:func:`line_units`) find the passages;
+    the finest chunks carry each match on, line by line, to the ends of the
+    passage.  They are looked at only outside the chunks that go: a pair of
+    lines inside one never is the pair's first place.  Digests only choose
+    candidates.  The texts of candidates are compared with the text at the first
+    place, and unequal ones stay.
+
     Lines without a word are no part of a passage and go with the line before
     them.  Single lines of up to ``long_words`` words stay.
 
@@ -145,13 +185,36 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = text_or_empty(text_col)
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
                        F.xxhash64(F.col(id_col), text).alias("__cf_key"))
-    units = base.select("doc_id", "__cf_key", F.explode(line_units(F.split("text", _ITEM_END), long_words)).alias("u")) \
+    items = F.split("text", _ITEM_END)
+    units = base.select("doc_id", "__cf_key", F.explode(line_units(items, long_words, divisor, window)).alias("u")) \
         .select("doc_id", "__cf_key", "u.*")
     units = materialise(units, "line-units")
     place = F.struct("doc_id", "__cf_key", "nth")
     firsts = units.groupBy("digest").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("first")).where("c > 1").drop("c")
     # written first, so both sides of the join are plain exchanges and Spark can split a common passage's places
-    again = units.join(materialise(firsts, "line-firsts").hint("merge"), "digest").where(~place.eqNullSafe(F.col("first")))
+    hits = units.join(materialise(firsts, "line-firsts").hint("merge"), "digest") \
+        .select("doc_id", "__cf_key", "nth", "n", "digest", place.eqNullSafe(F.col("first")).alias("stays"))
+    # one document's hits: the furthest end of the chunks that go and begin up to here
+    upto = Window.partitionBy("doc_id", "__cf_key").orderBy("nth", F.desc("n")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.max(F.when((F.col("n") > 2) & ~F.col("stays"), F.col("nth") + F.col("n"))).over(upto)
+    hits = hits.withColumn("covered", covered) \
+        .where((F.col("n") > 2) | F.col("covered").isNull() | (F.col("covered") < F.col("nth") + F.col("n")))
+    by_doc = hits.groupBy(F.col("doc_id").alias("p_id"), F.col("__cf_key").alias("p_key")) \
+        .agg(F.collect_set(F.struct("nth", "n", "digest", "stays")).alias("hits"))
+    by_doc = materialise(by_doc, "line-hits")
+    # hits have no size bound: the same merge join at every size, never a broadcast
+    same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("__cf_key") == F.col("p_key"))
+    bodies = base.join(by_doc.hint("merge"), same).select(
+        "doc_id", "__cf_key", F.explode(let(unit_lines(items), lambda lines: F.transform("hits", lambda h: F.struct(
+            h["nth"].alias("nth"), h["n"].alias("n"), h["digest"].alias("digest"), h["stays"].alias("stays"),
+            F.array_join(F.slice(lines, h["nth"] + 1, h["n"]), "\n").alias("body"))))).alias("h")) \
+        .select("doc_id", "__cf_key", "h.*")
+    bodies = materialise(bodies, "line-bodies")
+    # rows that repeat id and text share their place: one body each digest
+    kept = bodies.where("stays").groupBy("digest").agg(F.min("body").alias("kept_body"))
+    again = bodies.where(~F.col("stays")).join(materialise(kept, "line-kept").hint("merge"), "digest") \
+        .where(F.col("body") == F.col("kept_body"))
     gone = again.groupBy(F.col("doc_id").alias("g_id"), F.col("__cf_key").alias("g_key")) \
         .agg(F.collect_set(F.struct("nth", "n")).alias("hits"))
     gone = gone.select("g_id", "g_key", F.array_sort(F.array_distinct(F.flatten(F.transform(

@@ -3,6 +3,9 @@
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
+from chronofeat.llm import line_dedup
 from chronofeat.llm.line_dedup import passage_dedup
 from chronofeat.llm.queries import QUERIES
 
@@ -72,3 +75,34 @@ def test_stretches_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "a\nb\nx\nc\nd")], DOCS)
     assert {tuple(r) for r in passage_dedup(df).collect()} == {(1, "a\nb\nc\nd", 4, 0, 0), (2, "x", 5, 4, 2)}
     assert passage_dedup(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_chunks_shift_with_their_lines(spark):
+    """A line put in front moves every chunk by one; chunks share their boundary lines and hold three lines or more."""
+    lines = [f"line number {k} of the text" for k in range(400)]
+    df = spark.createDataFrame([(0, lines), (1, ["a new first line", *lines])], "k int, items array<string>")
+    found = {r.k: [(u.nth, u.n, bytes(u.digest)) for u in r.u if u.n > 2] for r in df.select(
+        "k", line_dedup.line_units(F.col("items"), 50, 4, 2).alias("u")).collect()}
+    moved = {(nth - 1, n, digest) for nth, n, digest in found[1]}
+    assert len(found[0]) > 50 and len(moved & set(found[0])) >= len(found[0]) - 2
+    ends = [(nth, nth + n - 1) for nth, n, _ in found[0]]
+    assert all(b[0] >= a[1] for a, b in zip(ends, ends[1:]))
+
+
+def test_candidates_are_compared_byte_by_byte(spark, monkeypatch):
+    """Digests of four values make nearly all units candidates; no line goes that the texts do not repeat."""
+    plain = line_dedup.line_units
+
+    def coarse_digests(*args):
+        return F.transform(plain(*args), lambda u: F.struct(
+            u["nth"].alias("nth"), u["n"].alias("n"),
+            F.unhex(F.lpad(F.conv(F.substring(F.hex(u["digest"]), 1, 1), 16, 4), 2, "0").substr(2, 1)).alias("digest")))
+
+    rows = [(k, "\n".join(f"line {k * 7 + j if j % 3 else 'common'} {j}" for j in range(k % 9))) for k in range(40)]
+    rows += [(100 + k, rows[k][1]) for k in range(20)]
+    want = {r[0]: r for r in brute_passages(rows)}
+    monkeypatch.setattr(line_dedup, "line_units", coarse_digests)
+    got = passage_dedup(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == len(rows) and all(r.n_removed_lines <= want[r.doc_id][3] for r in got)
+    texts = {i: (t or "").split("\n") for i, t in rows}
+    assert all(set(r.text.split("\n")) - {""} <= set(texts[r.doc_id]) for r in got)
