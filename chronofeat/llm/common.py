@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import string
 import tempfile
@@ -43,6 +44,29 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def own_names_aside(op: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return their table's own columns: columns whose names
+    the operator uses itself (``__cf_...``), or that need quoting (a dot, a
+    backtick), are called otherwise while it runs and come out as they were."""
+    @functools.wraps(op)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        odd = [c for c in docs.columns if c.lower().startswith("__cf_") or "." in c or "`" in c]
+        if not odd:
+            return op(docs, *args, **kwargs)
+        prefix = "aside_"
+        while any(c.lower().startswith(prefix) for c in docs.columns):
+            prefix += "_"
+        names = {c: f"{prefix}{k}" for k, c in enumerate(odd)}
+
+        def named(x):
+            return names.get(x, x) if isinstance(x, str) else x
+
+        out = op(docs.toDF(*[named(c) for c in docs.columns]), *map(named, args), **{k: named(v) for k, v in kwargs.items()})
+        back = {v: k for k, v in names.items()}
+        return out.toDF(*[back.get(c, c) for c in out.columns])
+    return run
+
+
 _SHIPPED = set()
 
 

@@ -3,8 +3,8 @@
 Every text is measured in its own row with built-in functions.  The rule
 failures are then counted by host, each host's failure rate is shrunk towards
 all hosts by an empirical beta prior, and the host's verdict is joined back to
-its documents.  A host's documents are spread over salts for that join, so a
-hot host is not one task; the counts are partial on every task.
+its documents.  The documents of hot hosts are spread over salts for that join,
+so a hot host is not one task; the counts are partial on every task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from typing import Dict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, SPACE, let, materialise
+from .common import NOT_SPACE, SPACE, let, materialise, own_names_aside
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -100,13 +100,34 @@ def host_verdicts(rows: DataFrame, host_col: str, failed: Column, max_rate: floa
         .withColumn("host_rejected", F.col("host_rate") > F.lit(max_rate))
 
 
-def _with_salts(hosts: DataFrame, salts: int) -> DataFrame:
-    return hosts.withColumn("__cf_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+#: A host is hot with more than one in so many of all documents: there are fewer such hosts than that.
+HOT_SHARE = 256
 
 
-def _meets(host_col: str, salts: int, *spread: str) -> Column:
-    """A document's join condition with salted hosts; ``spread`` columns choose its salt."""
-    return (F.col(host_col) == F.col("__cf_host")) & (F.pmod(F.xxhash64(*spread), F.lit(salts)) == F.col("__cf_salt"))
+def hot_hosts(hosts: DataFrame) -> DataFrame:
+    """``__cf_hot``: hosts with more than 1 / :data:`HOT_SHARE` of all documents."""
+    total = hosts.agg(F.sum("host_docs").alias("__cf_total"))
+    return hosts.join(F.broadcast(total), F.col("host_docs") * HOT_SHARE > F.col("__cf_total")) \
+        .select(F.col("__cf_host").alias("__cf_hot"))
+
+
+def _with_salts(hosts: DataFrame, hot: DataFrame, salts: int) -> DataFrame:
+    """``hosts`` with ``__cf_salt``: one row a host, and ``salts`` rows a hot one."""
+    # fewer than HOT_SHARE rows, whatever the input: a proven bound for the broadcast
+    last = F.when(F.col("__cf_hot").isNotNull(), F.lit(salts - 1)).otherwise(F.lit(0)).cast("bigint")
+    return hosts.join(F.broadcast(hot), F.col("__cf_host") == F.col("__cf_hot"), "left") \
+        .withColumn("__cf_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("__cf_hot")
+
+
+def _salted(rows: DataFrame, hot: DataFrame, host_col: str, salts: int, *spread: str) -> DataFrame:
+    """Documents with ``__cf_doc_salt``; ``spread`` columns choose it for those of hot hosts, all others have 0."""
+    salt = F.when(F.col("__cf_hot").isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0))
+    return rows.join(F.broadcast(hot), F.col(host_col) == F.col("__cf_hot"), "left") \
+        .withColumn("__cf_doc_salt", salt.cast("bigint"))
+
+
+def _meets(host_col: str) -> Column:
+    return (F.col(host_col) == F.col("__cf_host")) & (F.col("__cf_doc_salt") == F.col("__cf_salt"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -120,21 +141,24 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = with_base_rules(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"),
                                        F.col(text_col).alias("text")))
     rows = materialise(rows.select("doc_id", "host", "__cf_m.*"), "quality-measures")
-    hosts = host_verdicts(rows, "host", F.col("base_failed"), max_rate)
-    hosts = _with_salts(materialise(hosts, "hosts"), salts)
-    return rows.join(hosts, _meets("host", salts, "doc_id", "n_words", "word_chars"), "left").select(
+    hosts = materialise(host_verdicts(rows, "host", F.col("base_failed"), max_rate), "hosts")
+    hot = hot_hosts(hosts)
+    rows = _salted(rows, hot, "host", salts, "doc_id", "n_words", "word_chars")
+    return rows.join(_with_salts(hosts, hot, salts), _meets("host"), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"),
         "host_rate", F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"))
 
 
+@own_names_aside
 def drop_low_quality(docs: DataFrame, text_col: str = "text", host_col: str = "source",
                      max_rate: float = 0.5, salts: int = 64) -> DataFrame:
     """The rows of ``docs`` that pass their own rules and their host's, all
     columns as they were.  Cases as in :func:`quality_rules`."""
     rows = with_base_rules(docs, text_col)
     rows = materialise(rows.select(*docs.columns, F.col("__cf_m.base_failed").alias("__cf_failed")), "quality-rows")
-    hosts = host_verdicts(rows, host_col, F.col("__cf_failed"), max_rate).where("host_rejected").select("__cf_host")
-    hosts = _with_salts(materialise(hosts, "rejected-hosts"), salts)
-    return rows.where(~F.col("__cf_failed")) \
-        .join(hosts, _meets(host_col, salts, text_col), "left_anti").select(*docs.columns)
+    hosts = materialise(host_verdicts(rows, host_col, F.col("__cf_failed"), max_rate), "hosts")
+    hot = hot_hosts(hosts)
+    rejected = _with_salts(hosts.where("host_rejected").select("__cf_host"), hot, salts)
+    return _salted(rows.where(~F.col("__cf_failed")), hot, host_col, salts, text_col) \
+        .join(rejected, _meets(host_col), "left_anti").select(*docs.columns)
