@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import let, materialise, text_or_empty
+from .common import let, materialise, own_names_aside, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,8 @@ def _read_ledger(spark, path: str) -> DataFrame:
     try:
         return spark.read.schema(_LEDGER).parquet(path)
     except AnalysisException:              # no ledger there yet
-        return spark.createDataFrame([], _LEDGER)
+        types = [c.split(" ", 1) for c in ("blob string", "kind string", "version int", f"spans {_SPANS}")]
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in types])
 
 
 def _hit_rows(matches: Column, values: Column, gaps: Column, rank: int, min_length: int) -> Column:
@@ -116,7 +117,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = text_or_empty(text_col)
     blob = F.sha2(text.cast("binary"), 256)
     paths = materialise(docs.select(F.col(id_col).alias("doc_id"), blob.alias("blob")), "blob-paths")
-    wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
+    # a handful of literal rows
+    wanted = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])))
     seen = _read_ledger(spark, ledger).join(F.broadcast(wanted), ["kind", "version"]) \
         .groupBy("blob").agg(F.collect_set("kind").alias("seen"))
     lacking = F.array_except(F.array(*[F.lit(r.kind) for r in rules]), F.coalesce("seen", F.array().cast("array<string>")))
@@ -158,6 +161,7 @@ def redact(text, spans, mark: str = "[REDACTED]"):
                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
+@own_names_aside
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: Optional[str] = "n_chars",
                    rules: Sequence[SecretRule] = RULES, ledger: Optional[str] = None) -> DataFrame:
     """``docs`` with each secret replaced by ``[REDACTED]``; every row stays, in
