@@ -197,7 +197,8 @@ def train_quality(docs: DataFrame, sample: int = 5_000, sample_words: int = 1_00
                   seed: int = 11) -> Tuple[Dict[str, float], LinearScorer]:
     """(posterior of every vote pattern, scorer).  The label model takes in all
     documents, by pattern (at most 3**8 reach the driver).  The scorer is fitted
-    on about ``sample`` documents chosen by hash, on ``sample_words`` words of each
+    on about ``sample`` documents chosen by hash (the first ``2 * sample`` by hash, id and words
+    at most, so a table gives the same model on each run), on ``sample_words`` words of each
     (spread evenly over the text): documented bounds of the training set only."""
     patterns = {r[0]: r[1] for r in vote(docs, buckets).groupBy("votes").count().collect()}
     if not patterns:
@@ -210,7 +211,7 @@ def train_quality(docs: DataFrame, sample: int = 5_000, sample_words: int = 1_00
     step = F.greatest(F.ceil(F.size("words") / F.lit(2 * sample_words)), F.lit(1)).cast("int")
     rows = vote(chosen, buckets, True).select("doc_id", "votes", F.expr("words").alias("words"), step.alias("step")) \
         .select("doc_id", "votes", F.filter("words", lambda x, i: (F.floor(i / 2) % F.col("step")) == 0).alias("words")) \
-        .limit(2 * sample).collect()
+        .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "votes", "words").limit(2 * sample).collect()
     rows.sort(key=lambda r: (str(r.doc_id), r.votes, r.words[:8]))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))

@@ -186,7 +186,9 @@ def test_classifier_on_held_out_labels(spark):
     good = [i for i, q in labels.items() if q == 1]
     bad = [i for i, q in labels.items() if q == 0]
     assert sum(got[i] for i in good) >= 0.98 * len(good)
-    assert sum(not got[i] for i in bad) >= 0.8 * len(bad)
+    assert sum(not got[i] for i in bad) >= 0.95 * len(bad)
+    again = {r.doc_id: r.kept for r in QUERIES["op10_quality_classifier"](spark, d).collect()}
+    assert got == again
 
 
 def test_label_model_finds_accuracies():
@@ -197,6 +199,10 @@ def test_label_model_finds_accuracies():
     model = fit_label_model(rows, counts.astype(float))
     assert abs(model.good - 0.8) < 0.08
     assert ((model.posterior(rows) > 0.5) == (rows.min(1) == 1)).all()
+    # the labellers overlap; a tenth of the bad documents gets no vote and counts as good, which raises the hits by as much
+    hits = (model.share[1:] * model.chance[:, 1:, 1]).sum(1) / model.share[1:].sum()
+    assert np.abs(hits - (0.7, 0.5, 0.4)).max() < 0.1
+    assert np.abs(model.chance[:, 0, 1] - 0.004).max() < 0.004
 
 
 def test_classifier_cases(frame):
