@@ -16,7 +16,7 @@ from typing import Tuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise, text_or_empty
+from .common import ascii_lower, materialise, own_names_aside, text_or_empty
 
 
 def text_digest(text_col: str):
@@ -69,6 +69,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
+@own_names_aside
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           heavy: int = 256, tracked: int = 4096) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were: one per group.

@@ -26,9 +26,10 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .bpe import _blocks
-from .common import materialise, ship_code
+from .common import materialise, own_names_aside, ship_code
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -402,7 +403,10 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Defined cases: null text counts as empty; a row without an id gets its
     ``n_shingles``, a null ``component_id`` and no links; rows that repeat an id
     are one document that links by any of its texts; an empty table gives an
-    empty result; other columns are not looked at."""
+    empty result; other columns are not looked at.  Ids are integers; a column
+    of another type is refused with a TypeError before any job."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"ids of {id_col!r} are {docs.schema[id_col].dataType.simpleString()}, not integers; number the rows first")
     table = materialise(ordered_sets(docs, id_col, text_col, width, percent), "ordered-sets")
     cand = table.where(F.col("digest").isNotNull())
     # equal sets of all blocks: the smallest id speaks for them
@@ -461,6 +465,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+@own_names_aside
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                          percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the smallest id, all
