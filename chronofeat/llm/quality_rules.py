@@ -144,7 +144,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hosts = materialise(host_verdicts(rows, "host", F.col("base_failed"), max_rate), "hosts")
     hot = hot_hosts(hosts)
     rows = _salted(rows, hot, "host", salts, "doc_id", "n_words", "word_chars")
-    return rows.join(_with_salts(hosts, hot, salts), _meets("host"), "left").select(
+    salted = materialise(_with_salts(hosts, hot, salts), "salted-hosts")
+    return rows.join(salted, _meets("host"), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"),
         "host_rate", F.coalesce("host_rejected", F.lit(False)).alias("host_rejected"))
@@ -159,6 +160,7 @@ def drop_low_quality(docs: DataFrame, text_col: str = "text", host_col: str = "s
     rows = materialise(rows.select(*docs.columns, F.col("__cf_m.base_failed").alias("__cf_failed")), "quality-rows")
     hosts = materialise(host_verdicts(rows, host_col, F.col("__cf_failed"), max_rate), "hosts")
     hot = hot_hosts(hosts)
-    rejected = _with_salts(hosts.where("host_rejected").select("__cf_host"), hot, salts)
+    # written first: its size is known to the join, so documents need no shuffle where it is small
+    rejected = materialise(_with_salts(hosts.where("host_rejected").select("__cf_host"), hot, salts), "rejected-hosts")
     return _salted(rows.where(~F.col("__cf_failed")), hot, host_col, salts, text_col) \
         .join(rejected, _meets(host_col), "left_anti").select(*docs.columns)
