@@ -364,7 +364,10 @@ def sort_positions(df: DataFrame, by: Union[str, Sequence[str]], ascending=True,
             ahead = cut.isNotNull() & _at_or_before(cut, by, asc, first)
             out = out.withColumn("__cf_range", F.col("__cf_range") + F.when(ahead, F.lit(step)).otherwise(F.lit(0)))
             step //= 2
-        return out
+        # Each step names the last one several times.  Where the range is joined on, the planner puts
+        # expressions in place of names, down to the scan: fivefold more with every step.  It looks through
+        # no generator, so the joined column comes out of one.
+        return out.withColumn("__cf_range", F.explode(F.array("__cf_range")))
 
     counts = {r[0]: r[1] for r in ranged(df.select(*by)).groupBy("__cf_range").count().collect()}    # at most n + 1
     offsets, total = [], 0

@@ -67,3 +67,18 @@ def test_ranges_are_balanced(spark):
     assert "Exchange" in plan_text(out)
     n = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert max(n) < 3 * 40_000 / 8
+
+
+def test_planning_does_not_grow_with_the_search_steps(spark):
+    """The planner follows a joined column down through projections, and writes out what each step names:
+    with 8 steps that filled the driver.  A generator between the join and the steps ends that."""
+    df = spark.range(3000).select((F.xxhash64("id") % 50).alias("v"), "id")
+    out = ops.sort_positions(df, ["v", "id"], num_partitions=40)
+    tree = out._jdf.queryExecution().analyzed().toString().split("\n")
+    join, fence = (next(i for i, x in enumerate(tree) if word in x) for word in ("Join Inner", "Generate explode"))
+    step = next(i for i, x in enumerate(tree) if "Project" in x and "get(scalar-subquery" in x)
+    assert join < fence < step
+    # 10 steps: planned and run
+    rows = ops.sort_positions(df, ["v", "id"], num_partitions=1000).orderBy("pos").collect()
+    assert [r.pos for r in rows] == list(range(1, 3001))
+    assert [(r.v, r.id) for r in rows] == sorted((r.v, r.id) for r in rows)
