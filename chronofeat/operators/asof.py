@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import bucket_of, epoch_micros
-from .asof_stats import PassStats, Slices, pass_stats, with_slice
+from .asof_stats import PassStats, pass_stats, with_slice
 from .frame import is_orderable
 
 T_COL = "__cf_t"      # epoch micros of the source ts / spine event ts
@@ -57,6 +57,8 @@ VIEW = "__cf_view"    # index of the view a source / probe row belongs to
 HOT = "__cf_hot"      # whether the row's bucket is cut into slices
 
 STRATEGIES = ("bucketed", "join")
+#: Rows that a task sorts at once, about.  They take up to 400 bytes each in memory.
+ROWS_A_TASK = 200_000
 
 
 class RankSpec:
@@ -103,6 +105,15 @@ def _null_like(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast(df.schema[name].dataType)
 
 
+def _dealt(df: DataFrame, rows: int, cols: Sequence[str]) -> DataFrame:
+    """``df``, about ``rows`` of them, dealt by ``cols`` over enough tasks.  Adaptive
+    execution would merge partitions by their compressed bytes, up to a fixed size in which
+    these narrow, much repeated rows are many: what a task sorts then grows with the
+    input.  A number of partitions that is asked for it leaves as it is."""
+    n = -(-rows // ROWS_A_TASK)
+    return df.repartition(n, *cols) if n > 1 else df
+
+
 @dataclass
 class AsofView:
     """One prepared source for :func:`point_in_time_join_many`.
@@ -224,7 +235,8 @@ def point_in_time_join_passes(spine: DataFrame, spine_ts: str, group_key: Sequen
     if all(x.stats is not None for x in passes):
         # a spine row's candidates come from different window partitions, and
         # the stats jobs bounded any copies: shuffle first, aggregate once
-        all_cands = all_cands.repartition(GKEY)
+        rows = sum(x.stats.rows for x in passes)
+        all_cands = _dealt(all_cands, rows, [GKEY]) if rows > ROWS_A_TASK else all_cands.repartition(GKEY)
     # otherwise keep the map-side partial step: it merges copies of a spine
     # row before the shuffle (no TTL, no statistics)
     out = all_cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)], spay.alias(SPAY))
@@ -300,9 +312,9 @@ def _candidates(spine: DataFrame, spine_ts: str, group_key: Sequence[str], paylo
     elif strategy == "join":
         cands = _join_plan(probe, srcs[0], keys, v0.ttl_us, keep_unmatched and probe is sp_ok)
     else:
-        slices = x.stats.slices if x.stats is not None else Slices()
-        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s, slices,
-                               0 if slices.cuts else x.buckets)
+        st = x.stats or PassStats()
+        cands = _bucketed_plan(probe, srcs, keys, [v.ttl_us for v in views], w, ranks, null_r, null_s, st,
+                               0 if st.slices.cuts else x.buckets)
     if probe is not sp_ok:
         answers = cands.groupBy(GKEY).agg(*[rk.best(F.col(b)).alias(b) for rk, b in zip(ranks, bests)]) \
             .select(*[F.col(GKEY)[k].alias(k) for k in keys], F.col(GKEY)[T_COL].alias(T_COL), *bests)
@@ -356,9 +368,10 @@ def _keys_as(source: DataFrame, spine: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls: List[int], w: int,
-                   ranks: List[RankSpec], null_r: List[Column], null_s: Column, slices: Slices,
+                   ranks: List[RankSpec], null_r: List[Column], null_s: Column, stats: PassStats,
                    buckets: int = 0) -> DataFrame:
-    """``w``: bucket width; the hot buckets in ``slices`` are cut further.
+    """``w``: bucket width; the hot buckets in the slices of ``stats`` are cut
+    further, and its rows tell over how many tasks to deal (none: as Spark does).
     With ``buckets`` the spine rows are dealt as the stored sources are: the
     union then keeps that partitioning, and the windows need no shuffle."""
     if w <= 0 or any(w > ttl for ttl in ttls):
@@ -366,7 +379,7 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
     n = len(srcs)
     t = F.col(T_COL)
     null_g = _null_like(sp, GKEY)
-    hot, factor = slices.frame(sp.sparkSession), slices.factor
+    hot, factor = stats.slices.frame(sp.sparkSession), stats.slices.factor
     # keys under new names: a union compares the partitionings of its inputs by
     # column, and a table's own columns carry the table's name
     named = [f"__cf_k{i}" for i in range(len(keys))]
@@ -396,6 +409,8 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
     for p in parts[1:] + [e_rows]:
         u = u.unionByName(p)
     part = [*named, BUCKET]
+    if not buckets:
+        u = _dealt(u, stats.rows, part)
     # source rows sort before spine/probe rows at equal time: both bounds inclusive
     up = Window.partitionBy(*part).orderBy(t.asc(), F.col(KIND).asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -409,7 +424,8 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
     out = u.select(KIND, GKEY, SPAY, *best).where(kind > 0).select(GKEY, SPAY, *[_b(j) for j in range(n)])
     for i, (src, ttl) in enumerate(zip(srcs, ttls)):
         if w < ttl or hot is not None:
-            inner = _middle_blocks(sp, src, keys, ttl, w, hot, factor, ranks[i], _r(i))
+            rows = stats.rows if w < ttl else sum(stats.counts.values())
+            inner = _middle_blocks(sp, src, keys, ttl, w, hot, factor, ranks[i], _r(i), rows)
             out = out.unionByName(inner.select(
                 GKEY, null_s.alias(SPAY),
                 *[(F.col(BEST) if j == i else null_r[j]).alias(_b(j)) for j in range(n)]))
@@ -417,7 +433,7 @@ def _bucketed_plan(sp: DataFrame, srcs: List[DataFrame], keys: List[str], ttls:
 
 
 def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int, w: int, hot: Optional[DataFrame],
-                   factor: int, rank: RankSpec, rcol: str) -> DataFrame:
+                   factor: int, rank: RankSpec, rcol: str, rows: int) -> DataFrame:
     """Best source row of the whole slices strictly between those of ``t - ttl`` and ``t``.
 
     Slice numbers grow with time, so these are a range of numbers, covered by
@@ -425,7 +441,8 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     row joins O(log(ttl / w * factor)) block maxima.  Block maxima come from
     per-slice maxima (a partial aggregate over the source), then every level
     from those small rows in one more aggregate.  With ``w == ttl`` only hot
-    buckets have slices in between; other rows do not take part."""
+    buckets have slices in between; other rows do not take part.  ``rows``: of
+    the pass that do, for the number of tasks."""
     t = F.col(T_COL)
     r = F.col(rcol)
     per_bucket = with_slice(src, keys, t, w, hot, factor, BUCKET, HOT)
@@ -451,10 +468,12 @@ def _middle_blocks(sp: DataFrame, src: DataFrame, keys: List[str], ttl_us: int,
     per_bucket = per_bucket.groupBy(*keys, BUCKET).agg(rank.best(r).alias(BEST))
     lv = F.explode(F.array(*[F.struct(F.lit(j).alias("lvl"), F.shiftright(F.col(BUCKET), j).alias("blk"))
                              for j in range(levels + 1)])).alias("m")
+    block = [*keys, "__cf_lvl", "__cf_blk"]
     per_block = per_bucket.select(*keys, BEST, lv) \
-        .groupBy(*keys, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk")) \
-        .agg(rank.best(F.col(BEST)).alias(BEST))
-    return mids.join(per_block, [*keys, "__cf_lvl", "__cf_blk"]).select(GKEY, BEST)
+        .select(*keys, F.col("m.lvl").alias("__cf_lvl"), F.col("m.blk").alias("__cf_blk"), BEST)
+    # about a block per level on either side
+    per_block = _dealt(per_block, rows * levels, block).groupBy(*block).agg(rank.best(F.col(BEST)).alias(BEST))
+    return _dealt(mids, rows * levels, block).join(per_block, block).select(GKEY, BEST)
 
 
 @dataclass

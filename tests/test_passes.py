@@ -1,11 +1,13 @@
 """Requests over several key sets: one final aggregate, plans linear in the passes."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
 
 from chronofeat import DataFrameSource, FeatureView, get_historical_features
+from chronofeat.operators import asof
 from helpers import brute_asof, plan_text, rows, us
 
 BASE = datetime(2024, 1, 1)
@@ -74,3 +76,28 @@ def test_payload_is_carried_once(spark, data):
     assert len(scans) >= 1
     assert rows(out) == rows(get_historical_features(sp, views(spark, sources, [timedelta(hours=2)] * 4),
                                                      [f"v{i}:f{i}" for i in range(4)]))
+
+
+@pytest.mark.parametrize("options", [dict(bucket_width=timedelta(minutes=11)), dict(max_bucket_rows=6),
+                                     dict(bucket_width=timedelta(minutes=11), keep_unmatched=True)])
+def test_a_task_sorts_rows_by_their_number(spark, data, options, monkeypatch):
+    """Windows, block joins and the final aggregate get a task per so many rows: adaptive execution,
+    which would merge them by compressed bytes, leaves a number that is asked for."""
+    _, sources, sp = data
+    want = [f"v{i}:f{i}" for i in range(3)]
+
+    def run():
+        return get_historical_features(sp, views(spark, sources, [timedelta(hours=2)] * 3), want, **options)
+    plain = rows(run())
+    seen = []
+    for most in (40, 20):
+        monkeypatch.setattr(asof, "ROWS_A_TASK", most)
+        out = run()
+        asked = re.findall(r"hashpartitioning\((.*), (\d+)\), REPARTITION_BY_NUM", plan_text(out))
+        seen.append({what: [int(n) for cols, n in asked if what in cols] for what in (asof.BUCKET + "#", "__cf_lvl", asof.GKEY + "#")})
+        assert rows(out) == plain
+    few, many = seen
+    assert all(len(few[x]) == len(many[x]) > 0 for x in few), seen
+    # twice as many tasks, rounded up
+    assert all(2 * a - 1 <= b <= 2 * a for x in few for a, b in zip(few[x], many[x])), seen
+    assert min(many[asof.BUCKET + "#"]) >= 6 and many[asof.GKEY + "#"][0] >= 20
